@@ -1,0 +1 @@
+"""Structured Streaming drivers for the incremental models."""
