@@ -169,8 +169,7 @@ def happened_before(events: DataFrame, first_events: Sequence[str], then_events:
     event is after the first ``then_events`` event, else 1 (no ``then``
     event, a tie or a missing time all give 1).  One aggregate, no join."""
     name = F.col(name_col)
-    ev = events.where(F.col(session_col).isNotNull()
-                      & name.isin(sorted(set(first_events) | set(then_events))))
+    ev = events.where(name.isin(sorted(set(first_events) | set(then_events))))
     agg = ev.groupBy(session_col).agg(
         F.max(name.isin(list(first_events))).alias("_has_first"),
         first_time(name.isin(list(first_events)), time_col).alias("_t_first"),

@@ -16,6 +16,11 @@ from sessionlens.operators.classify import campaign_intent, classify_columns
 from sessionlens.operators.funnel import (
     attach_step_flags, exclusive_attribution, gate_funnel, session_step_flags,
 )
+from sessionlens.operators.identity import bounded_identity_join
+from sessionlens.operators.milestones import milestone_durations, milestones
+from sessionlens.operators.outcomes import outcomes_after, research_measures
+from sessionlens.operators.sessions import first_seen, session_base, session_rollup
+from sessionlens.plans import app_config as A
 from sessionlens.plans import site_config as S
 
 
@@ -70,12 +75,95 @@ def site_session_dimensions(stg_sessions: DataFrame) -> DataFrame:
     return dims.distinct()
 
 
-def site_model(sessions: DataFrame, events: DataFrame, bound=None) -> DataFrame:
-    """Web sessions with channel attribution and gated funnel flags (83 columns)."""
+def site_gated(sessions: DataFrame, events: DataFrame, bound=None) -> DataFrame:
+    """Session dimensions and gated step flags (74 columns, before attribution)."""
     stg_s, stg_e = site_staging(sessions, events, bound)
     dims = site_session_dimensions(stg_s)
     flags = session_step_flags(stg_e, S.SITE_STEPS, allow_list=S.SITE_EVENT_ALLOW_LIST,
                                portal=S.PORTAL)
     d1 = attach_step_flags(dims, flags, S.SITE_STEPS, portal_name=S.PORTAL[0])
-    d2 = gate_funnel(d1, S.GATES, keep=S.SITE_DIMENSIONS)
-    return exclusive_attribution(d2, S.ATTRIBUTION)
+    return gate_funnel(d1, S.GATES, keep=S.SITE_DIMENSIONS)
+
+
+def site_model(sessions: DataFrame, events: DataFrame, bound=None) -> DataFrame:
+    """Web sessions with channel attribution and gated funnel flags (83 columns)."""
+    return exclusive_attribution(site_gated(sessions, events, bound), S.ATTRIBUTION)
+
+
+def site_classified(stg_sessions: DataFrame) -> DataFrame:
+    """Lowercased session rows with ad_intention and the four classifications."""
+    lowered = {c: F.lower(c) for c in S.LOWERED_SESSION_COLUMNS}
+    sess = stg_sessions.select(
+        "distinct_session_id", "session_id", "user_id",
+        *[expr.alias(c) for c, expr in lowered.items()])
+    sess = campaign_intent(sess, stg_sessions, S.RETARGETING_CAMPAIGNS)
+    return classify_columns(sess, {
+        "browser_class": (S.BROWSER_RULES, S.BROWSER_DEFAULT),
+        "channel": (S.CHANNEL_RULES, S.CHANNEL_DEFAULT),
+        "email_stream": (S.EMAIL_STREAM_RULES, S.EMAIL_STREAM_DEFAULT),
+        "platform_class": (S.PLATFORM_RULES, S.PLATFORM_DEFAULT),
+    })
+
+
+# ------------------------------------------------------------------ app
+
+def app_event_filter(events: DataFrame, name_col: str = "event_table_name") -> DataFrame:
+    """App events only: names matching the app patterns or listed exactly."""
+    from sessionlens.functions.columns import like_any
+    name = F.col(name_col)
+    return events.where(like_any(name, A.APP_EVENT_LIKE) | name.isin(A.APP_EVENT_EXACT))
+
+
+def simplified_links(links: DataFrame) -> DataFrame:
+    """Distinct app-to-web links that carry a web identity."""
+    return (links.select("primary_account_id", "account_id_web_user", "acs_app_user_id",
+                         "account_id_web_user_first_session")
+            .where(F.col("account_id_web_user").isNotNull()).distinct())
+
+
+def linked_app_events(events: DataFrame, links: DataFrame) -> DataFrame:
+    """App events with the links whose first web session came later."""
+    return bounded_identity_join(app_event_filter(events), simplified_links(links),
+                                 event_key="user_id", link_key="acs_app_user_id",
+                                 time_col="time", bound_col="account_id_web_user_first_session")
+
+
+def app_milestones(linked_events: DataFrame) -> DataFrame:
+    """C3 + C4 over linked app events: one row per session id."""
+    ev = linked_events.select("session_id", F.col("time").alias("event_time"), "event_table_name",
+                              "account_id_web_user_first_session")
+    ms = milestones(ev, A.MILESTONES, link_time_col="account_id_web_user_first_session",
+                    linked_events=A.CONTACT_INFO_EVENTS)
+    return milestone_durations(ms, A.DURATIONS, valid_after=A.SCAN_END,
+                               order=A.MILESTONE_OUTPUT_ORDER, keep=["session_id"])
+
+
+def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
+                      account_map: DataFrame) -> DataFrame:
+    """App sessions with account, rollup and milestone times.
+
+    One row per session and view-event time (the original keeps ``time`` in
+    its session DISTINCT), all rows of a session sharing its surrogate key.
+    """
+    base = session_base(sessions, events, A.APP_VIEW_EVENTS)
+    linked = linked_app_events(events, links)
+    rollup = session_rollup(linked, counts={"CSP_shared_count": A.CSP_SHARED_EVENTS})
+    first = first_seen(base)
+    acct = account_map.select("reference_number", "primary_account_id").distinct()
+    joined = (base.withColumn("_uid", F.col("user_id").cast("string"))
+              .join(acct, F.col("_uid") == F.col("reference_number"), "left")
+              .drop("_uid", "reference_number")
+              .join(rollup, ["session_id", "user_id"], "left")
+              .join(first, "user_id", "left"))
+    joined = joined.select(*base.columns, "primary_account_id", "first_session_date",
+                           "session_end_time", "event_count", "CSP_shared_count")
+    return joined.join(app_milestones(linked), "session_id", "left").select(
+        *joined.columns, *A.MILESTONE_OUTPUT_ORDER)
+
+
+# ------------------------------------------------------------- research
+
+def research_effects(accounts: DataFrame, opportunities: DataFrame, research: DataFrame) -> DataFrame:
+    """Opportunities closed / won / lost after a research presentation, per company."""
+    return outcomes_after(accounts, opportunities, research, research_measures(),
+                          outcome_date=F.to_date("close_date"))

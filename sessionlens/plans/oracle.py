@@ -279,3 +279,277 @@ def site_model_body(bound_sql: str | None = None, sessions: str = "web_sessions"
 
 def site_model_sql(bound_sql: str | None = None) -> str:
     return with_ctes(web_adapters_sql(), site_model_body(bound_sql)) + "\nSELECT * FROM site"
+
+
+# ------------------------------------------------------------ oracle queries
+
+def _site(select: str, bound_sql: str | None = None) -> str:
+    return with_ctes(web_adapters_sql(), site_model_body(bound_sql)) + "\n" + select
+
+
+def funnel_flags_any_sql() -> str:
+    aggs = ",\n  ".join(
+        f"CASE WHEN SUM(CASE WHEN e.event_table_name IN ({sql_list(evs)}) THEN 1 END) > 0 "
+        f"THEN 1 ELSE 0 END AS {name}"
+        for name, style, evs in S.SITE_STEPS if style == "any")
+    return _site(f"""SELECT s.distinct_session_id, s.session_id, s.user_id,
+  {aggs}
+FROM (SELECT DISTINCT distinct_session_id, session_id, user_id FROM stg_sessions) s
+LEFT JOIN site_events e ON s.session_id = e.session_id
+GROUP BY 1, 2, 3""")
+
+
+def funnel_flags_user_sql() -> str:
+    aggs = ",\n  ".join(
+        f"COUNT(DISTINCT CASE WHEN e.event_table_name IN ({sql_list(evs)}) THEN s.user_id END) AS {name}"
+        for name, style, evs in S.SITE_STEPS if style == "user")
+    return _site(f"""SELECT s.distinct_session_id, s.session_id, s.user_id,
+  {aggs},
+  COUNT(DISTINCT CASE WHEN cc.portal_bf_sale = 1 THEN s.user_id END) AS {S.PORTAL[0]}
+FROM (SELECT DISTINCT distinct_session_id, session_id, user_id FROM stg_sessions) s
+LEFT JOIN site_events e ON s.session_id = e.session_id
+LEFT JOIN cc3 cc ON cc.session_id = s.session_id
+GROUP BY 1, 2, 3""")
+
+
+def exclusive_attribution_sql() -> str:
+    names = ", ".join(n for n, _ in S.ATTRIBUTION)
+    return _site(f"SELECT distinct_session_id, session_id, user_id, {names} FROM site")
+
+
+def _classified_sql(select: str) -> str:
+    lowered = ", ".join(f"lower({c}) AS {c}" for c in S.LOWERED_SESSION_COLUMNS)
+    return _site(f"""SELECT {select}
+FROM (SELECT distinct_session_id, session_id, user_id, {lowered} FROM stg_sessions) s
+LEFT JOIN utm_def ON s.utm_campaign = utm_def.ad_campaign""")
+
+
+def classify_channel_sql() -> str:
+    return _classified_sql(
+        "s.distinct_session_id, s.utm_source, s.utm_campaign, s.utm_medium, s.referrer, "
+        f"utm_def.ad_intention, {classify_sql(S.CHANNEL_RULES, S.CHANNEL_DEFAULT)} AS channel")
+
+
+def campaign_intent_sql() -> str:
+    return _classified_sql("s.distinct_session_id, s.utm_campaign, utm_def.ad_intention")
+
+
+def classify_browser_sql() -> str:
+    return _classified_sql(
+        f"s.distinct_session_id, {classify_sql(S.BROWSER_RULES, S.BROWSER_DEFAULT)} AS browser, "
+        f"{classify_sql(S.PLATFORM_RULES, S.PLATFORM_DEFAULT)} AS platform, "
+        f"{classify_sql(S.EMAIL_STREAM_RULES, S.EMAIL_STREAM_DEFAULT)} AS email_stream")
+
+
+def url_param_literal(q: str, key: str) -> str:
+    """The original's extraction: regexp test, then 3-argument position
+    searches emulated as strpos on the suffix starting at the key."""
+    k = sql_literal(key)
+    pos = f"strpos({q}, {k})"
+    rel_amp = f"strpos(substr({q}, {pos}), '&')"
+    rel_pct = f"strpos(substr({q}, {pos}), '%')"
+    amp = f"({rel_amp} + {pos} - 1)"
+    pct = f"({rel_pct} + {pos} - 1)"
+    n = len(key)
+    return f"""CASE WHEN regexp_matches({q}, {sql_literal(key + '[^&%]*')}) THEN
+    CASE WHEN {rel_amp} > 0 THEN substring({q}, {pos} + {n}, {amp} - {pos} - {n})
+         WHEN {rel_pct} > 0 THEN substring({q}, {pos} + {n}, {pct} - {pos} - {n})
+         ELSE substring({q}, {pos} + {n}) END
+  ELSE NULL END"""
+
+
+def url_param_sql() -> str:
+    from sessionlens.plans.catalog import URL_PARAMS
+    cols = ",\n  ".join(f"{url_param_literal('url', k)} AS {k.rstrip('=')}" for k in URL_PARAMS)
+    return with_ctes(link_urls_sql()) + f"\nSELECT page_id, url,\n  {cols}\nFROM link_urls"
+
+
+def link_identities_sql() -> str:
+    w = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    return with_ctes(identity_adapters_sql(), f"""
+account_services AS (
+  SELECT DISTINCT primary_account_id,
+    first_value(h.date_created) OVER (PARTITION BY primary_account_id ORDER BY h.date_created NULLS LAST {w})
+      AS acs_reference_date_created,
+    primary_reference_number AS acs_user_id
+  FROM id_history h LEFT JOIN primary_accounts a USING (primary_account_id)
+  WHERE CAST(h.date_created AS DATE) >= DATE '2023-01-01'),
+to_ck AS (
+  SELECT DISTINCT primary_account_id, acs_reference_date_created, acs_user_id,
+    e.reference_number AS acs_email, c.reference_number AS acs_contact_key,
+    first_value(c.date_created) OVER (PARTITION BY primary_account_id ORDER BY c.date_created NULLS LAST {w})
+      AS acs_contact_key_created_date
+  FROM account_services LEFT JOIN contact_keys c USING (primary_account_id)
+  LEFT JOIN emails e USING (primary_account_id)),
+to_lku AS (
+  SELECT DISTINCT c.primary_account_id, acs_reference_date_created, acs_user_id, acs_email,
+    acs_contact_key, acs_contact_key_created_date, web_user_id, app_user_id,
+    first_value(first_session_date) OVER (PARTITION BY c.primary_account_id ORDER BY first_session_date NULLS LAST {w})
+      AS buy_now_user_first_session_date
+  FROM to_ck c LEFT JOIN app_web_lookup a ON c.acs_user_id = a.app_user_id
+  LEFT JOIN web_session_facts f ON f.user_id = a.web_user_id),
+pageviews_term AS (
+  SELECT DISTINCT CAST(p.user_id AS VARCHAR) AS web_user_id_from_pageviews, p.utm_term,
+    f.first_session_date AS contact_key_user_first_session
+  FROM page_views p LEFT JOIN web_session_facts f ON f.user_id = p.user_id
+  WHERE p.utm_source = 'sfmc' AND p.utm_term IS NOT NULL AND CAST(p.session_time AS DATE) > DATE '2022-01-01'),
+direct AS (
+  SELECT DISTINCT CAST(p.user_id AS VARCHAR) AS account_id_user,
+    s.first_session_date AS account_id_user_first_session,
+    {url_param_literal('query', 'accountId=')} AS primary_account_id
+  FROM page_views p LEFT JOIN web_session_facts s ON s.user_id = p.user_id
+  WHERE path LIKE '%/custom-smile-plan-3d%'),
+final1 AS (SELECT * FROM to_lku h LEFT JOIN pageviews_term p ON h.acs_contact_key = p.utm_term),
+final2 AS (SELECT * FROM final1 LEFT JOIN direct USING (primary_account_id))""") + """
+SELECT primary_account_id, acs_reference_date_created, acs_user_id, acs_email, acs_contact_key,
+  acs_contact_key_created_date, web_user_id AS buy_now_user_id, buy_now_user_first_session_date,
+  web_user_id_from_pageviews AS contact_key_user_id, contact_key_user_first_session,
+  account_id_user, account_id_user_first_session
+FROM final2"""
+
+
+def _app_filter(col: str) -> str:
+    likes = " OR ".join(f"{col} LIKE {sql_literal(p)}" for p in A.APP_EVENT_LIKE)
+    return f"({likes} OR {col} IN ({sql_list(A.APP_EVENT_EXACT)}))"
+
+
+def app_body() -> str:
+    """Literal app-session model CTEs over the app adapters."""
+    w = "PARTITION BY session_id ORDER BY event_time NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    cols = []
+    for out, kind, evs in A.MILESTONES:
+        cond = f"event_table_name IN ({sql_list(evs)})"
+        if kind == "first":
+            cols.append(f"first_value(CASE WHEN {cond} THEN event_time ELSE NULL END IGNORE NULLS) OVER ({w}) AS {out}")
+        elif kind == "last":
+            cols.append(f"last_value(CASE WHEN {cond} THEN event_time ELSE NULL END IGNORE NULLS) OVER ({w}) AS {out}")
+        elif kind in ("csp_first", "csp_last"):
+            fn = "first_value" if kind == "csp_first" else "last_value"
+            c = (f"({cond} OR (event_table_name IN ({sql_list(A.CONTACT_INFO_EVENTS)}) "
+                 f"AND account_id_web_user_first_session IS NOT NULL))")
+            cols.append(f"{fn}(CASE WHEN {c} THEN coalesce(event_time, account_id_web_user_first_session) "
+                        f"ELSE NULL END IGNORE NULLS) OVER ({w}) AS {out}")
+        elif kind == "last_name":
+            cols.append("last_value(event_table_name) OVER (PARTITION BY session_id ORDER BY event_time NULLS LAST, "
+                        "event_table_name ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS " + out)
+    windows = ",\n    ".join(cols)
+    out_name, value, start, blocker = A.SCAN_END
+    derived = [f"CASE WHEN {value} > {start} AND {blocker} IS NULL THEN {value} ELSE NULL END AS {out_name}"]
+    for out, frm, tos in A.DURATIONS:
+        end = tos[0] if len(tos) == 1 else f"ifnull({tos[0]}, {tos[1]})"
+        derived.append(f"date_diff('second', {frm}, {end}) / 60 AS {out}")
+    derived_sql = ",\n    ".join(derived)
+    share = sql_list(A.CSP_SHARED_EVENTS)
+    return f"""
+sessions AS (
+  SELECT DISTINCT user_id, session_id,
+    md5(coalesce(CAST(session_id AS VARCHAR), '') || '-' || coalesce(CAST(user_id AS VARCHAR), '')
+        || '-' || coalesce(CAST(session_start_time AS VARCHAR), '')) AS distinct_session_id,
+    time, session_start_time, library, platform, device_type, country, region, city, ip
+  FROM app_sessions hs LEFT JOIN app_events USING (user_id, session_id)
+  WHERE event_table_name IN ({sql_list(A.APP_VIEW_EVENTS)})),
+simplified_app_to_web AS (
+  SELECT DISTINCT primary_account_id, account_id_web_user, acs_app_user_id, account_id_web_user_first_session
+  FROM app_to_web_links WHERE account_id_web_user IS NOT NULL),
+account_service AS (SELECT DISTINCT reference_number, primary_account_id FROM app_account_map),
+linked AS (
+  SELECT * FROM app_events h
+  LEFT JOIN simplified_app_to_web a
+    ON CAST(h.user_id AS VARCHAR) = CAST(a.acs_app_user_id AS VARCHAR)
+   AND h.time < a.account_id_web_user_first_session
+  WHERE {_app_filter('event_table_name')}),
+events_agg AS (
+  SELECT user_id, session_id, max(time) AS session_end_time, count(*) AS event_count,
+    CAST(sum(CASE WHEN event_table_name IN ({share}) THEN 1 ELSE 0 END) AS BIGINT) AS CSP_shared_count
+  FROM linked GROUP BY 1, 2),
+min_sess AS (SELECT user_id, min(session_start_time) AS first_session_date FROM sessions GROUP BY 1),
+sessions_joined AS (
+  SELECT s.*, a.primary_account_id, ms.first_session_date, ea.session_end_time, ea.event_count,
+    ea.CSP_shared_count
+  FROM sessions s
+  LEFT JOIN account_service a ON CAST(s.user_id AS VARCHAR) = a.reference_number
+  LEFT JOIN events_agg ea ON s.session_id = ea.session_id AND s.user_id = ea.user_id
+  LEFT JOIN min_sess ms ON s.user_id = ms.user_id),
+session_events AS (
+  SELECT DISTINCT session_id, time AS event_time, event_table_name, account_id_web_user_first_session
+  FROM linked),
+windows_raw AS (
+  SELECT DISTINCT session_id,
+    {windows}
+  FROM session_events),
+windowsf AS (
+  SELECT *,
+    {derived_sql}
+  FROM windows_raw),
+combined AS (
+  SELECT sj.*, {', '.join('w.' + c for c in A.MILESTONE_OUTPUT_ORDER)}
+  FROM sessions_joined sj LEFT JOIN windowsf w USING (session_id))"""
+
+
+def _app(select: str) -> str:
+    return with_ctes(app_adapters_sql(), app_body()) + "\n" + select
+
+
+def research_sql() -> str:
+    return with_ctes(research_adapters_sql(), """
+unioned AS (
+  SELECT * FROM accounts
+  LEFT JOIN (SELECT account_id, CAST(close_date AS DATE) AS opp_close_date, type, is_opp_won
+             FROM opportunities) opps USING (account_id)
+  LEFT JOIN research_log USING (main_company_identifier))""") + """
+SELECT main_company_identifier,
+  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date THEN 1 ELSE 0 END) AS BIGINT)
+    AS total_opps_closed_after_deck_delivered,
+  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date AND is_opp_won = TRUE THEN 1 ELSE 0 END) AS BIGINT)
+    AS total_opps_won_after_deck_delivered,
+  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date AND is_opp_won = FALSE THEN 1 ELSE 0 END) AS BIGINT)
+    AS total_opps_lost_after_deck_delivered,
+  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date AND is_opp_won = TRUE AND type = 'Renewal'
+           THEN 1 ELSE 0 END) AS BIGINT) AS total_renewal_won_after_deck_delivered,
+  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date AND is_opp_won = TRUE
+                AND (type = 'New' OR type = 'New Logo') THEN 1 ELSE 0 END) AS BIGINT)
+    AS total_new_opps_won_after_deck_delivered
+FROM unioned GROUP BY main_company_identifier"""
+
+
+def incremental_refresh_sql() -> str:
+    from sessionlens.plans.catalog import INITIAL_BUILD_UNTIL
+    until = f"TIMESTAMP '{INITIAL_BUILD_UNTIL}'"
+    bound = '(SELECT max("DATE") - INTERVAL 1 DAY FROM t_site)'
+    return with_ctes(
+        web_adapters_sql(),
+        f"""
+t_sessions AS (SELECT * FROM web_sessions WHERE session_start_time < {until}),
+t_events AS (SELECT * FROM web_events WHERE time < {until})""",
+        site_model_body(None, sessions="t_sessions", events="t_events", prefix="t_"),
+        site_model_body(bound, prefix="b_"),
+    ) + """
+SELECT * FROM t_site t WHERE NOT EXISTS (SELECT 1 FROM b_site b WHERE b.distinct_session_id = t.distinct_session_id)
+UNION ALL
+SELECT * FROM b_site"""
+
+
+def oracle_queries() -> dict[str, str]:
+    return {
+        "site_model": site_model_sql(),
+        "funnel_flags_any": funnel_flags_any_sql(),
+        "funnel_flags_user": funnel_flags_user_sql(),
+        "funnel_gated": _site("SELECT * FROM d2"),
+        "exclusive_attribution": exclusive_attribution_sql(),
+        "happened_before": _site("SELECT session_id, portal_bf_sale FROM cc3"),
+        "classify_channel": classify_channel_sql(),
+        "campaign_intent": campaign_intent_sql(),
+        "classify_browser": classify_browser_sql(),
+        "url_param": url_param_sql(),
+        "link_identities": link_identities_sql(),
+        "bounded_identity_join": _app("SELECT * FROM linked"),
+        "session_rollup": _app("SELECT * FROM events_agg"),
+        "session_base": _app("SELECT * FROM sessions"),
+        "first_seen": _app("SELECT * FROM min_sess"),
+        "milestones": _app("SELECT * FROM windows_raw"),
+        "milestone_durations": _app(
+            "SELECT session_id, " + ", ".join([A.SCAN_END[0], *[d[0] for d in A.DURATIONS]]) + " FROM windowsf"),
+        "app_session_model": _app("SELECT * FROM combined"),
+        "outcomes_after": research_sql(),
+        "incremental_refresh": incremental_refresh_sql(),
+    }

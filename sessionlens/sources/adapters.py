@@ -50,24 +50,26 @@ ENTITIES = ["US", "CA"]
 LANGUAGES = ["en", "fr", "es"]
 ROLLUPS = ["paid", "organic", None]
 
-# (vocabulary, multiplier, offset) for each web-session label column.
+# (vocabulary, multiplier, offset) for each web-session label column.  The
+# multipliers are primes larger than every vocabulary, so no column is
+# constant and the columns vary independently of each other.
 WEB_SESSION_LABELS = [
-    ("device_type", DEVICES, 3, 1),
-    ("referrer", REFERRERS, 5, 2),
-    ("landing_page", LANDING_PAGES, 7, 3),
-    ("grouped_landing_pages", LANDING_GROUPS, 11, 4),
-    ("utm_source", SOURCES, 13, 5),
-    ("utm_campaign", CAMPAIGNS, 17, 6),
-    ("utm_medium", MEDIUMS, 19, 7),
-    ("utm_term", TERMS, 23, 8),
-    ("utm_primary_rollup", ROLLUPS, 29, 9),
-    ("utm_primary_rollup_split", ROLLUPS, 31, 10),
-    ("utm_digital_rollup", ROLLUPS, 37, 11),
-    ("utm_platform", PLATFORMS, 41, 12),
-    ("browser", BROWSERS, 43, 13),
-    ("platform", PLATFORMS, 47, 14),
-    ("business_entity", ENTITIES, 53, 15),
-    ("business_entity_language", LANGUAGES, 59, 16),
+    ("device_type", DEVICES, 23, 1),
+    ("referrer", REFERRERS, 29, 2),
+    ("landing_page", LANDING_PAGES, 31, 3),
+    ("grouped_landing_pages", LANDING_GROUPS, 37, 4),
+    ("utm_source", SOURCES, 41, 5),
+    ("utm_campaign", CAMPAIGNS, 43, 6),
+    ("utm_medium", MEDIUMS, 47, 7),
+    ("utm_term", TERMS, 53, 8),
+    ("utm_primary_rollup", ROLLUPS, 59, 9),
+    ("utm_primary_rollup_split", ROLLUPS, 61, 10),
+    ("utm_digital_rollup", ROLLUPS, 67, 11),
+    ("utm_platform", PLATFORMS, 71, 12),
+    ("browser", BROWSERS, 73, 13),
+    ("platform", PLATFORMS, 79, 14),
+    ("business_entity", ENTITIES, 83, 15),
+    ("business_entity_language", LANGUAGES, 89, 16),
 ]
 
 WEB_SESSION_COLUMNS = [
