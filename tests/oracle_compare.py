@@ -51,12 +51,34 @@ def normalise(columns, rows):
     return cols, out
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+    "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT",
+}
+
+
+def type_mismatches(spark_df, con, sql: str):
+    """(column, spark type, duckdb type) for columns whose types differ."""
+    d_types = {r[0].lower(): str(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for name, t in spark_df.dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        got = d_types.get(name.lower())
+        if got is not None and got != want:
+            out.append((name, t, got))
+    return out
+
+
 def compare(spark_df, con, sql: str):
     s_cols, s_rows = normalise(spark_df.columns, [tuple(r) for r in spark_df.collect()])
     rel = con.execute(sql)
     d_cols = [d[0] for d in rel.description]
     d_cols, d_rows = normalise(d_cols, rel.fetchall())
     problems = []
+    types = type_mismatches(spark_df, con, sql)
+    if types:
+        problems.append(f"types differ: {types[:6]}")
     if s_cols != d_cols:
         problems.append(f"columns differ: spark-only {sorted(set(s_cols) - set(d_cols))}, "
                         f"oracle-only {sorted(set(d_cols) - set(s_cols))}")
