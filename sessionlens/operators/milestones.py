@@ -43,6 +43,7 @@ def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "sess
     name = F.col(name_col)
     t = F.col(time_col)
     aggs = []
+    name_outs = []
     for out, kind, evs in specs:
         cond = name.isin(list(evs))
         if kind == "first":
@@ -56,10 +57,19 @@ def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "sess
             c = cond | (name.isin(list(linked_events)) & link.isNotNull())
             aggs.append(_linked_view(c, t, link, last=(kind == "csp_last")).alias(out))
         elif kind == "last_name":
-            aggs.append(last_by_time(name, t).alias(out))
+            name_outs.append(out)
         else:
             raise ValueError(f"unknown milestone kind {kind!r}")
-    return events.groupBy(by).agg(*aggs)
+    # Time milestones have fixed-width buffers: hash aggregation.
+    times = events.groupBy(by).agg(*aggs) if aggs else events.select(by).distinct()
+    if not name_outs:
+        return times
+    # A string-valued aggregate forces sort-based aggregation, so the last
+    # event name runs as its own aggregate over three narrow columns and is
+    # joined per key; the time milestones above stay hash-based.
+    names = events.groupBy(by).agg(*[last_by_time(name, t).alias(o) for o in name_outs])
+    out = times.join(names, by, "left")
+    return out.select(by, *[o for o, _, _ in specs])
 
 
 def milestone_durations(df: DataFrame, durations: Sequence[tuple[str, str, Sequence[str]]], *,

@@ -41,12 +41,19 @@ def session_base(sessions: DataFrame, events: DataFrame, view_events: Iterable[s
     session's surrogate key md5(session_id-user_id-session_start_time):
     the original filters the right side of a left join, which makes it an
     inner join, and keeps ``time`` in its DISTINCT list.
+
+    Both sides are de-duplicated *before* the join (each hashed on all of
+    its columns, so a hot session spreads over tasks).  Every output column
+    comes from one side or is a function of them, so the join of two
+    distinct inputs is already distinct and no aggregate follows it; AQE
+    can then split a skewed session's partition of the join.
     """
     ev = (events.where(F.col(name_col).isin(list(view_events)))
-          .select(*keys, time_col))
-    joined = sessions.join(ev, list(keys), "inner")
+          .select(*keys, time_col).distinct())
+    sess = sessions.select(*keys, *[c for c in session_cols if c not in keys]).distinct()
+    joined = sess.join(ev, list(keys), "inner")
     return joined.select(
         "user_id", "session_id",
         surrogate_key("session_id", "user_id", "session_start_time").alias(key_col),
         time_col, *session_cols,
-    ).distinct()
+    )

@@ -1,0 +1,64 @@
+"""The original plan shapes, on Spark, for measurement and equivalence tests.
+
+These mirror how the reference models compute milestones (whole-partition
+windows followed by DISTINCT) and funnel flags (join every event to its
+session rows, then COUNT(DISTINCT)/SUM(CASE) grouped by the session
+columns).  They are not used by the models; ``tools/bench_shapes.py`` times
+them against the shaped operators and the tests check both agree.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from sessionlens.plans import app_config as A
+from sessionlens.plans import site_config as S
+
+
+def milestones_literal(events: DataFrame, link_col: str = "account_id_web_user_first_session") -> DataFrame:
+    """C3 as windows + DISTINCT (every event row sorted within its session)."""
+    ev = events.select("session_id", "event_time", "event_table_name", link_col).distinct()
+    w = (Window.partitionBy("session_id").orderBy(F.col("event_time").asc_nulls_last())
+         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    w_name = (Window.partitionBy("session_id")
+              .orderBy(F.col("event_time").asc_nulls_last(), F.col("event_table_name").asc())
+              .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    name = F.col("event_table_name")
+    t = F.col("event_time")
+    cols = []
+    for out, kind, evs in A.MILESTONES:
+        cond = name.isin(list(evs))
+        if kind == "first":
+            cols.append(F.first(F.when(cond, t), ignorenulls=True).over(w).alias(out))
+        elif kind == "last":
+            cols.append(F.last(F.when(cond, t), ignorenulls=True).over(w).alias(out))
+        elif kind in ("csp_first", "csp_last"):
+            c = cond | (name.isin(A.CONTACT_INFO_EVENTS) & F.col(link_col).isNotNull())
+            v = F.when(c, F.coalesce(t, F.col(link_col)))
+            fn = F.first if kind == "csp_first" else F.last
+            cols.append(fn(v, ignorenulls=True).over(w).alias(out))
+        else:
+            cols.append(F.last(name).over(w_name).alias(out))
+    return ev.select("session_id", *cols).distinct()
+
+
+def funnel_flags_user_literal(sessions: DataFrame, events: DataFrame) -> DataFrame:
+    """C5 ("user" steps and the portal) as join-then-COUNT(DISTINCT)."""
+    allowed = events.where(F.col("event_table_name").isin(S.SITE_EVENT_ALLOW_LIST)) \
+                    .select("session_id", "event_table_name")
+    portal_name, portal_event, eval_events = S.PORTAL
+    p1 = (events.where(F.col("event_table_name") == portal_event).groupBy("session_id")
+          .agg(F.min("time").alias("t_portal")))
+    p2 = (events.where(F.col("event_table_name").isin(eval_events)).groupBy("session_id")
+          .agg(F.min("time").alias("t_eval")))
+    cc = (p1.join(p2, "session_id", "left")
+          .select(F.col("session_id").alias("cc_session"),
+                  F.when(F.col("t_portal") > F.col("t_eval"), 0).otherwise(1).alias("portal_bf_sale")))
+    j = (sessions.join(allowed, "session_id", "left")
+         .join(cc, F.col("session_id") == F.col("cc_session"), "left"))
+    name = F.col("event_table_name")
+    aggs = [F.countDistinct(F.when(name.isin(list(evs)), F.col("user_id"))).alias(n)
+            for n, style, evs in S.SITE_STEPS if style == "user"]
+    aggs.append(F.countDistinct(F.when(F.col("portal_bf_sale") == 1, F.col("user_id"))).alias(portal_name))
+    return j.groupBy("distinct_session_id", "session_id", "user_id").agg(*aggs)
