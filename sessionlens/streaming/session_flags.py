@@ -1,0 +1,151 @@
+"""Per-session funnel step flags maintained by Structured Streaming.
+
+The batch model refreshes its table from a high-water mark (C11).  With a
+continuously arriving event log the same table can be kept current by a
+stateful stream: step flags are maxima and the portal test uses minima, so
+one small state row per live session is enough.  A plain streaming
+``groupBy(session_id)`` would never evict that state (event time is not
+part of the key), so the state is kept with ``applyInPandasWithState`` and
+an event-time timeout: a session's state is dropped once the watermark
+passes its last event plus ``session_gap``.  Each micro-batch emits the
+sessions it touched with their merged flags; ``foreachBatch`` replaces
+those rows in the versioned table by key (``merge_by_key``), so a retried
+epoch rewrites the same version directory.
+
+Events are first filtered to the step/portal event names (stateless, in
+the JVM); the Python function only merges a few flag columns per session.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import (
+    BooleanType, IntegerType, LongType, StructField, StructType,
+)
+
+from sessionlens.operators.funnel import PortalSpec, Step, effective_steps
+from sessionlens.operators.refresh import _switch, merge_by_key, read_current
+
+_NO_TIME = -1  # state encoding of "no such event yet" (times are epoch micros)
+
+
+def _parse_seconds(interval: str) -> int:
+    n, unit = interval.split()
+    return int(n) * {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600,
+                     "hours": 3600, "day": 86400, "days": 86400}[unit]
+
+
+def stream_step_flags(events: DataFrame, steps: Sequence[Step], key_type, *,
+                      allow_list: Iterable[str] | None = None, portal: PortalSpec | None = None,
+                      watermark: str = "1 day", session_gap: str = "1 day",
+                      session_col: str = "session_id", name_col: str = "event_table_name",
+                      time_col: str = "time") -> DataFrame:
+    """Streaming DataFrame of per-session flags, emitted as sessions change.
+
+    Columns: ``session_col``, one int per step and, with ``portal``,
+    ``<portal>_bf_eval`` (same meaning as ``session_step_flags``).
+    """
+    steps = effective_steps(steps, allow_list)
+    wanted = {e for _, _, ev in steps for e in ev}
+    if portal is not None:
+        wanted |= {portal[1], *portal[2]}
+    names = [n for n, _, _ in steps]
+    gap_us = _parse_seconds(session_gap) * 1_000_000
+
+    ev = (events.where(F.col(session_col).isNotNull() & F.col(name_col).isin(sorted(wanted)))
+          .select(session_col, name_col,
+                  F.unix_micros(F.col(time_col).cast("timestamp")).alias("_t"),
+                  F.col(time_col).cast("timestamp").alias("_wm"))
+          .withWatermark("_wm", watermark))
+
+    out_fields = [StructField(session_col, key_type)] + [StructField(n, IntegerType()) for n in names]
+    state_fields = [StructField(n, IntegerType()) for n in names] + [StructField("_last", LongType())]
+    if portal is not None:
+        out_fields.append(StructField(f"{portal[0]}_bf_eval", IntegerType()))
+        state_fields += [StructField("_has_portal", BooleanType()),
+                         StructField("_first_portal", LongType()),
+                         StructField("_first_eval", LongType())]
+    out_schema, state_schema = StructType(out_fields), StructType(state_fields)
+    step_sets = [(n, set(evs)) for n, _, evs in steps]
+
+    def merge(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if state.exists:
+            prev = state.get
+            flags = list(prev[:len(names)])
+            last = prev[len(names)]
+            extra = list(prev[len(names) + 1:])
+        else:
+            flags, last = [0] * len(names), _NO_TIME
+            extra = [False, _NO_TIME, _NO_TIME]
+        for pdf in pdfs:
+            nm, t = pdf[name_col], pdf["_t"]
+            for i, (_, evset) in enumerate(step_sets):
+                if not flags[i] and nm.isin(evset).any():
+                    flags[i] = 1
+            if len(t.dropna()):
+                last = max(last, int(t.max()))
+            if portal is not None:
+                p = nm == portal[1]
+                if p.any():
+                    extra[0] = True
+                    tp = t[p].dropna()
+                    if len(tp):
+                        cur = int(tp.min())
+                        extra[1] = cur if extra[1] == _NO_TIME else min(extra[1], cur)
+                te = t[nm.isin(set(portal[2]))].dropna()
+                if len(te):
+                    cur = int(te.min())
+                    extra[2] = cur if extra[2] == _NO_TIME else min(extra[2], cur)
+        state.update(tuple(flags) + (last,) + (tuple(extra) if portal is not None else ()))
+        if last != _NO_TIME:
+            state.setTimeoutTimestamp(max(last // 1000 + gap_us // 1000,
+                                          state.getCurrentWatermarkMs() + 1))
+        row = {session_col: [key[0]], **{n: [f] for n, f in zip(names, flags)}}
+        if portal is not None:
+            has, tp, te = extra
+            later = tp != _NO_TIME and te != _NO_TIME and tp > te
+            row[f"{portal[0]}_bf_eval"] = [None if not has else (0 if later else 1)]
+        yield pd.DataFrame(row)
+
+    return ev.groupBy(session_col).applyInPandasWithState(
+        merge, out_schema, state_schema, "Update", GroupStateTimeout.EventTimeTimeout)
+
+
+def upsert_batch(spark: SparkSession, base: str, batch: DataFrame, epoch_id: int, key: str) -> None:
+    """Replace rows of the table under ``base`` by key with ``batch``."""
+    current = read_current(spark, base)
+    result = batch if current is None else merge_by_key(current, batch, key)
+    name = f"epoch={epoch_id:012d}"
+    result.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}")
+    _switch(spark, base, name)
+
+
+def start_flags_stream(spark: SparkSession, source_dir: str, schema: StructType, target_base: str,
+                       checkpoint_location: str, steps: Sequence[Step], *,
+                       allow_list: Iterable[str] | None = None, portal: PortalSpec | None = None,
+                       watermark: str = "1 day", session_gap: str = "1 day",
+                       available_now: bool = True, key: str = "session_id") -> StreamingQuery:
+    """Start the stream: parquet event files in ``source_dir`` -> flags table.
+
+    ``checkpoint_location`` must be on shared storage: it holds the source
+    offsets and the session state that let a restarted query resume
+    exactly where it stopped.
+    """
+    events = spark.readStream.schema(schema).parquet(source_dir)
+    flags = stream_step_flags(events, steps, schema[key].dataType, allow_list=allow_list,
+                              portal=portal, watermark=watermark, session_gap=session_gap,
+                              session_col=key)
+    writer = (flags.writeStream.outputMode("update")
+              .option("checkpointLocation", checkpoint_location)
+              .foreachBatch(lambda df, epoch: upsert_batch(spark, target_base, df, epoch, key)))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
