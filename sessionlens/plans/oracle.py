@@ -48,7 +48,7 @@ web_keyed AS (
   FROM events),
 web_events AS (
   SELECT session_id, web_user_id AS user_id, ts AS time,
-         {sql_pick(S_VOCAB(), 'event_id * 13 + user_id')} AS event_table_name
+         {sql_pick(S.site_vocabulary(), 'event_id * 13 + user_id')} AS event_table_name
   FROM web_keyed),
 web_sess0 AS (
   SELECT session_id, web_user_id AS user_id, min(ts) AS session_start_time
@@ -70,10 +70,6 @@ web_sessions AS (
   FROM web_sess1)"""
 
 
-def S_VOCAB() -> list[str]:
-    return S.site_vocabulary()
-
-
 def app_adapters_sql() -> str:
     return f"""
 app_keyed AS (
