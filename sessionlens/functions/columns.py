@@ -19,11 +19,19 @@ def col(c: str | Column) -> Column:
 def seconds_between(start: str | Column, end: str | Column) -> Column:
     """Whole-second boundaries crossed between two timestamps.
 
-    ``unix_timestamp`` floors to the second, so .9 s -> 1.1 s counts 1
-    (warehouse ``datediff(second, ..)`` semantics), unlike
-    ``timestampdiff`` which counts elapsed whole seconds and gives 0.
+    .9 s -> 1.1 s counts 1 (warehouse ``datediff(second, ..)`` semantics),
+    where ``timestampdiff(SECOND, ..)`` counts elapsed whole seconds and
+    gives 0.  Each end becomes microseconds since a TIMESTAMP_NTZ epoch,
+    floored to whole seconds, and the seconds are subtracted.  Nothing is
+    cast, so TIMESTAMP_NTZ inputs stay wall-clock values whatever the
+    session time zone (even inside a skipped daylight-saving hour).
     """
-    return F.unix_timestamp(col(end)) - F.unix_timestamp(col(start))
+    return _epoch_seconds(col(end)) - _epoch_seconds(col(start))
+
+
+def _epoch_seconds(c: Column) -> Column:
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.floor(F.timestamp_diff("MICROSECOND", epoch, c) / F.lit(1_000_000))
 
 
 def minutes_between(start: str | Column, end: str | Column) -> Column:
