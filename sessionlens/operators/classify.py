@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.rules import Rule, classify
+from sessionlens.operators.joins import join_per_key
 
 
 def campaign_intent(sessions: DataFrame, campaigns: DataFrame, retargeting: Iterable[str], *,
@@ -23,14 +24,16 @@ def campaign_intent(sessions: DataFrame, campaigns: DataFrame, retargeting: Iter
     cannot fan out; its size is data-dependent, so the join strategy is left
     to AQE (broadcast once measured small, sort-merge otherwise).
     """
-    lookup = (campaigns.select(F.col(raw_campaign_col).alias("_ad_campaign"))
-              .where(F.col("_ad_campaign").isNotNull())
+    lookup = (campaigns.select(F.col(raw_campaign_col).alias(campaign_col))
+              .where(F.col(campaign_col).isNotNull())
               .distinct()
-              .select("_ad_campaign",
-                      F.when(F.lower("_ad_campaign").isin(list(retargeting)), F.lit("retargeting"))
+              .select(campaign_col,
+                      F.when(F.lower(campaign_col).isin(list(retargeting)), F.lit("retargeting"))
                       .otherwise(F.lit("prospecting")).alias(out_col)))
-    joined = sessions.join(lookup, F.col(campaign_col) == F.col("_ad_campaign"), "left")
-    return joined.drop("_ad_campaign")
+    # A single campaign can carry a large share of all sessions: keep the
+    # join splittable by AQE (operators/joins.py).
+    joined = join_per_key(sessions, lookup, campaign_col)
+    return joined.select(*sessions.columns, out_col)
 
 
 def classify_columns(df: DataFrame, tables: Mapping[str, tuple[Sequence[Rule], str | None]]) -> DataFrame:

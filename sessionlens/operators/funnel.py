@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import any_flag, first_time, flag
+from sessionlens.operators.joins import join_per_key
 
 Step = tuple[str, str, Sequence[str]]  # (flag name, "user" | "any", event names)
 PortalSpec = tuple[str, str, Sequence[str]]  # (flag name, portal event, evaluation events)
@@ -83,7 +84,7 @@ def attach_step_flags(sessions: DataFrame, flags: DataFrame, steps: Sequence[Ste
     portal flag) count the session's user: 1 only when the user id is not
     NULL (bigint, as a distinct count of user ids within one session row).
     """
-    joined = sessions.join(flags, session_col, "left")
+    joined = join_per_key(sessions, flags, session_col, "left")
     user_known = F.col(user_col).isNotNull()
     finished = {}
     for step, style, _ in steps:

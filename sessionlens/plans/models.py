@@ -17,6 +17,7 @@ from sessionlens.operators.funnel import (
     attach_step_flags, exclusive_attribution, gate_funnel, session_step_flags,
 )
 from sessionlens.operators.identity import bounded_identity_join
+from sessionlens.operators.joins import join_per_key
 from sessionlens.operators.milestones import milestone_durations, milestones
 from sessionlens.operators.outcomes import outcomes_after, research_measures
 from sessionlens.operators.sessions import first_seen, session_base, session_rollup
@@ -152,12 +153,14 @@ def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
     acct = account_map.select("reference_number", "primary_account_id").distinct()
     joined = (base.withColumn("_uid", F.col("user_id").cast("string"))
               .join(acct, F.col("_uid") == F.col("reference_number"), "left")
-              .drop("_uid", "reference_number")
-              .join(rollup, ["session_id", "user_id"], "left")
-              .join(first, "user_id", "left"))
+              .drop("_uid", "reference_number"))
+    # Per-session / per-user aggregates: joined so that a hot session or
+    # user can be split by AQE (see operators/joins.py).
+    joined = join_per_key(joined, rollup, ["session_id", "user_id"])
+    joined = join_per_key(joined, first, "user_id")
     joined = joined.select(*base.columns, "primary_account_id", "first_session_date",
                            "session_end_time", "event_count", "CSP_shared_count")
-    return joined.join(app_milestones(linked), "session_id", "left").select(
+    return join_per_key(joined, app_milestones(linked), "session_id").select(
         *joined.columns, *A.MILESTONE_OUTPUT_ORDER)
 
 
