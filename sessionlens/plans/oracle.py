@@ -360,9 +360,10 @@ def url_param_sql() -> str:
     return with_ctes(link_urls_sql()) + f"\nSELECT page_id, url,\n  {cols}\nFROM link_urls"
 
 
-def link_identities_sql() -> str:
+def link_identities_body() -> str:
+    """Literal linking-model CTEs over tables named like the adapters."""
     w = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
-    return with_ctes(identity_adapters_sql(), f"""
+    return f"""
 account_services AS (
   SELECT DISTINCT primary_account_id,
     first_value(h.date_created) OVER (PARTITION BY primary_account_id ORDER BY h.date_created NULLS LAST {w})
@@ -396,7 +397,10 @@ direct AS (
   FROM page_views p LEFT JOIN web_session_facts s ON s.user_id = p.user_id
   WHERE path LIKE '%/custom-smile-plan-3d%'),
 final1 AS (SELECT * FROM to_lku h LEFT JOIN pageviews_term p ON h.acs_contact_key = p.utm_term),
-final2 AS (SELECT * FROM final1 LEFT JOIN direct USING (primary_account_id))""") + """
+final2 AS (SELECT * FROM final1 LEFT JOIN direct USING (primary_account_id))"""
+
+
+LINK_SELECT = """
 SELECT primary_account_id, acs_reference_date_created, acs_user_id, acs_email, acs_contact_key,
   acs_contact_key_created_date, web_user_id AS buy_now_user_id, buy_now_user_first_session_date,
   web_user_id_from_pageviews AS contact_key_user_id, contact_key_user_first_session,
@@ -404,6 +408,10 @@ SELECT primary_account_id, acs_reference_date_created, acs_user_id, acs_email, a
 FROM final2"""
 
 
+def link_identities_sql() -> str:
+    return with_ctes(identity_adapters_sql(), link_identities_body()) + LINK_SELECT
+
+
 def _app_filter(col: str) -> str:
     likes = " OR ".join(f"{col} LIKE {sql_literal(p)}" for p in A.APP_EVENT_LIKE)
     return f"({likes} OR {col} IN ({sql_list(A.APP_EVENT_EXACT)}))"
