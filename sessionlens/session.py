@@ -62,3 +62,41 @@ def local_test_session(app_name: str = "sessionlens-test", cores: int = 8) -> Sp
     cores = int(os.environ.get("BENCH_CPUS", cores))
     return get_spark(app_name, master=f"local[{cores}]", shuffle_partitions=cores,
                      **{"spark.driver.memory": "8g"})
+
+
+MIB = 1 << 20
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of files under ``paths`` (file-system metadata only)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def scale_settings(shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 * MIB,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a given volume of shuffled data.
+
+    ``shuffle_bytes``: the widest shuffle of the job (for these models the
+    event rows entering a join such as the identity join or the session
+    base; per-session aggregates are far smaller).  The initial partition
+    count targets ``partition_bytes`` per reducer so tasks fit in executor
+    memory without heavy spill; AQE then coalesces small partitions and
+    splits skewed ones (a partition is skewed above 4x the target).
+    """
+    wanted = -(-shuffle_bytes // partition_bytes)
+    partitions = max(2 * total_cores, min(max_partitions, wanted))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(partition_bytes // 8),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MIB),
+    }
