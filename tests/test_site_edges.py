@@ -1,0 +1,94 @@
+"""Site model on inline edge rows: shaped Spark model vs the literal
+join-then-COUNT(DISTINCT)/SUM(CASE), gates and attribution SQL in DuckDB."""
+
+import datetime as dt
+
+from inline_tables import register
+from oracle_compare import compare
+from sessionlens.plans.models import site_model
+from sessionlens.plans.oracle import site_model_body, with_ctes
+from sessionlens.sources.adapters import WEB_SESSION_COLUMNS
+
+
+def ts(s):
+    return None if s is None else dt.datetime.fromisoformat(s)
+
+
+SESSION_TYPES = {"session_id": "bigint", "user_id": "bigint", "session_start_time": "timestamp_ntz",
+                 "first_session_date": "timestamp_ntz"}
+
+
+def session(dsid, sid, user, start, group="Home", source=None, campaign=None, medium=None, term=None,
+            referrer=None, landing="website.com/x", browser="Firefox 1", platform="Mac OS X"):
+    values = {
+        "distinct_session_id": dsid, "session_id": sid, "user_id": user, "ip": "ip",
+        "session_start_time": ts(start), "device_type": "Desktop", "referrer": referrer,
+        "landing_page": landing, "grouped_landing_pages": group, "utm_source": source,
+        "utm_campaign": campaign, "utm_medium": medium, "utm_term": term,
+        "utm_primary_rollup": "Paid", "utm_primary_rollup_split": None, "utm_digital_rollup": "x",
+        "utm_platform": None, "browser": browser, "platform": platform, "business_entity": "US",
+        "business_entity_language": "en", "first_session_date": ts(start),
+    }
+    return tuple(values[c] for c in WEB_SESSION_COLUMNS)
+
+
+SESSIONS = [
+    session("d1", 1, 10, "2024-01-01 08:00:00", source="Google", medium="cpc"),
+    session("d2", 1, 11, "2024-01-01 08:30:00", source="facebook", campaign="RTG"),
+    session("d3", 2, None, "2024-01-01 09:00:00", referrer="https://www.google.com/"),
+    session("d4", 3, 12, "2024-01-02 08:00:00", source="pinterest", campaign="rtg"),
+    session("d5", 4, 13, "2024-01-02 08:00:00", group="App sessions"),
+    session("d6", 5, 14, "2024-01-02 08:00:00", group=None),
+    session("d7", 6, 15, "2024-01-03 08:00:00", landing="website.com/"),
+    session("d8", 7, 16, "2024-01-03 09:00:00", medium="Email", campaign="brdcst_slead_x"),
+]
+
+EVENTS = [(sid, user, ts(t), name) for sid, user, t, name in [
+    (1, 10, "2024-01-01 08:01:00", "view_1st_scanning_page_new_"),
+    (1, 10, "2024-01-01 08:02:00", "successfully_scheduled_scan_appointment_1_2_"),
+    (1, 11, "2024-01-01 08:31:00", "scans_view_shops_page"),
+    (1, 10, "2024-01-01 08:03:00", "kit_1st_page_new_w_w_o_promo"),
+    (1, 10, "2024-01-01 08:04:00", "ik_funnel_pageview_ik_ty"),
+    (1, 10, "2024-01-01 10:00:00", "reschedule_funnel_pageview_patient_portal"),
+    (2, None, "2024-01-01 10:00:00", "reschedule_funnel_pageview_patient_portal"),
+    (2, None, "2024-01-01 09:10:00", "smp_web_view_web_csp"),
+    (3, 12, "2024-01-02 08:10:00", "contentful_scans_view_location_page"),
+    (3, 12, "2024-01-02 09:00:00", "contentful_scans_view_scan_checkout_thank_you"),
+    (3, 12, "2024-01-02 09:00:00", "reschedule_funnel_pageview_patient_portal"),
+    (6, 15, "2024-01-03 08:01:00", "bypass_funnel_pageview_product_lander_from_bypass"),
+    (6, 15, "2024-01-03 08:02:00", "order_kit_or_scan_incl_cc_page_12_10_17"),
+    (6, 15, "2024-01-03 08:03:00", "partner_network_appointment_confirmed"),
+    (7, 16, "2024-01-03 09:01:00", "snapchat_landing_pages_total_snapchat_leads"),
+    (7, 16, "2024-01-03 09:02:00", "parent_teen_click_video_consult_cta"),
+    (7, 16, "2024-01-03 09:03:00", "lead_funnel_submission_sa"),
+    (None, 16, "2024-01-03 09:04:00", "smp_web_view_web_csp"),
+]]
+
+
+def test_site_model_edges_match_literal_sql(spark):
+    cols = [(c, SESSION_TYPES.get(c, "string")) for c in WEB_SESSION_COLUMNS]
+    ev_cols = [("session_id", "bigint"), ("user_id", "bigint"), ("time", "timestamp_ntz"),
+               ("event_table_name", "string")]
+    con, frames = register(spark, {"web_sessions": (cols, SESSIONS), "web_events": (ev_cols, EVENTS)})
+    got = site_model(frames["web_sessions"], frames["web_events"])
+    problems, n = compare(got, con, with_ctes(site_model_body()) + "\nSELECT * FROM site")
+    assert not problems, problems
+    rows = {r["distinct_session_id"]: r for r in got.collect()}
+    assert set(rows) == {"d1", "d2", "d3", "d4", "d7", "d8"}   # App sessions and NULL group dropped
+    d1 = rows["d1"]
+    assert d1["channel"] == "Google Paid Search - Non-Branded"
+    assert d1["ik_product_page"] == 0 and d1["ik_thanks_page_temp"] == 1   # gates read raw flags
+    assert d1["scan_complete_page_temp"] == 1 and d1["scan_locations_complete_page_temp"] == 1
+    assert sum(d1[c] for c in ("scan_complete_page", "scan_locations_complete_page",
+                               "single_scan_location_complete_page",
+                               "scan_location_complete_after_checkout_page",
+                               "scan_location_complete_after_shops_page")) == 0
+    assert d1["patient_portal"] == 0                       # portal after the evaluation
+    assert rows["d2"]["channel"] == "Facebook - Retargeting"  # 'rtg' exists raw
+    assert rows["d3"]["view_web_csp"] == 0 and rows["d3"]["patient_portal"] == 0  # NULL user
+    assert rows["d4"]["single_scan_location_complete_page"] == 1 and rows["d4"]["patient_portal"] == 1
+    assert rows["d7"]["channel"] == "Direct Load - Homepage"
+    assert rows["d7"]["bypass_sa_order_page"] == 1
+    d8 = rows["d8"]
+    assert d8["email_stream"] == "Broadcast Emails Scan Leads"
+    assert d8["sa_view"] == 0 and d8["sa_complete"] == 0 and d8["PARENT_VIDEO_CONSULT_CTA"] == 0
