@@ -105,3 +105,50 @@ def refresh_table(spark: SparkSession, base: str, build: Callable[[object], Data
     writer.parquet(f"{base.rstrip('/')}/{name}")
     _switch(spark, base, name)
     return f"{base.rstrip('/')}/{name}"
+
+
+# ------------------------------------------------ partition-scoped refresh
+
+def refresh_partitioned(spark: SparkSession, path: str, build: Callable[[object], DataFrame],
+                        key: str, date_col: str, lookback_days: int = 1,
+                        staging_root: str | None = None) -> None:
+    """Refresh a table partitioned by ``date_col``, rewriting only recent partitions.
+
+    Precondition: a key always lands in the same ``date_col`` value (true
+    for the site model, whose key hashes the session start that ``DATE``
+    is derived from).  Then only partitions on or after the bound date can
+    change.  Those partitions are read (partition pruning), merged with the
+    batch by key, staged in the shared checkpoint folder (the target cannot
+    be overwritten while it is being read) and swapped in with dynamic
+    partition overwrite.  Older partitions are never read or written, so a
+    run costs the batch plus the recent partitions, not the whole table.
+    The bound's own midnight partition keeps target rows that the batch
+    does not replace (a row starting exactly at the bound is not rebuilt).
+    """
+    from sessionlens.session import checkpoint_dir
+
+    fs, p = _fs(spark, path)
+    target = spark.read.parquet(path) if fs.exists(p) else None
+    bound = high_water_mark(target, date_col, lookback_days)
+    if bound is None:
+        build(None).write.mode("overwrite").partitionBy(date_col).parquet(path)
+        return
+    batch = build(bound)
+    recent = target.where(F.col(date_col) >= F.lit(bound))
+    merged = merge_by_key(recent, batch.select(*recent.columns), key)
+    root = staging_root or checkpoint_dir(spark)
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    staging = f"{root.rstrip('/')}/refresh-staging-{stamp}"
+    merged.write.mode("errorifexists").partitionBy(date_col).parquet(staging)
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        (spark.read.parquet(staging).select(*target.columns)
+         .write.mode("overwrite").partitionBy(date_col).parquet(path))
+    finally:
+        if previous is None:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        else:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    sfs, sp = _fs(spark, staging)
+    sfs.delete(sp, True)

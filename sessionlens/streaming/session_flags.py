@@ -8,9 +8,10 @@ one small state row per live session is enough.  A plain streaming
 part of the key), so the state is kept with ``applyInPandasWithState`` and
 an event-time timeout: a session's state is dropped once the watermark
 passes its last event plus ``session_gap``.  Each micro-batch emits the
-sessions it touched with their merged flags; ``foreachBatch`` replaces
-those rows in the versioned table by key (``merge_by_key``), so a retried
-epoch rewrites the same version directory.
+sessions it touched with their merged flags.  ``foreachBatch`` appends
+them as one ``_epoch=N`` partition (a retried epoch overwrites its own
+partition), so a micro-batch writes only what changed; ``read_flags``
+returns the latest row per session.
 
 Events are first filtered to the step/portal event names (stateless, in
 the JVM); the Python function only merges a few flag columns per session.
@@ -30,7 +31,7 @@ from pyspark.sql.types import (
 )
 
 from sessionlens.operators.funnel import PortalSpec, Step, effective_steps
-from sessionlens.operators.refresh import _switch, merge_by_key, read_current
+from sessionlens.operators.joins import join_per_key
 
 _NO_TIME = -1  # state encoding of "no such event yet" (times are epoch micros)
 
@@ -120,13 +121,19 @@ def stream_step_flags(events: DataFrame, steps: Sequence[Step], key_type, *,
         merge, out_schema, state_schema, "Update", GroupStateTimeout.EventTimeTimeout)
 
 
-def upsert_batch(spark: SparkSession, base: str, batch: DataFrame, epoch_id: int, key: str) -> None:
-    """Replace rows of the table under ``base`` by key with ``batch``."""
-    current = read_current(spark, base)
-    result = batch if current is None else merge_by_key(current, batch, key)
-    name = f"epoch={epoch_id:012d}"
-    result.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}")
-    _switch(spark, base, name)
+EPOCH = "_epoch"
+
+
+def append_epoch(base: str, batch: DataFrame, epoch_id: int) -> None:
+    """Write one micro-batch's rows as partition ``_epoch=<id>`` under ``base``."""
+    batch.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{EPOCH}={epoch_id}")
+
+
+def read_flags(spark: SparkSession, base: str, key: str = "session_id") -> DataFrame:
+    """Current table: for each key, its row from the latest epoch."""
+    rows = spark.read.parquet(base)
+    latest = rows.groupBy(key).agg(F.max(EPOCH).alias(EPOCH))
+    return join_per_key(rows, latest, [key, EPOCH], "inner").drop(EPOCH)
 
 
 def start_flags_stream(spark: SparkSession, source_dir: str, schema: StructType, target_base: str,
@@ -146,6 +153,6 @@ def start_flags_stream(spark: SparkSession, source_dir: str, schema: StructType,
                               session_col=key)
     writer = (flags.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint_location)
-              .foreachBatch(lambda df, epoch: upsert_batch(spark, target_base, df, epoch, key)))
+              .foreachBatch(lambda df, epoch: append_epoch(target_base, df, epoch)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -26,3 +26,12 @@ def spark(tmp_path_factory):
     checkpoint_dir(session, str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
+
+
+@pytest.fixture()
+def scratch(spark):
+    """A new folder under the shared checkpoint folder for each test run."""
+    import uuid
+
+    from sessionlens.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/sessionlens-test-{uuid.uuid4().hex}"

@@ -4,16 +4,14 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sessionlens.operators.funnel import session_step_flags
-from sessionlens.operators.refresh import read_current
 from sessionlens.plans import site_config as S
-from sessionlens.session import checkpoint_dir
 from sessionlens.sources import adapters as AD
 from sessionlens.sources.tables import Tables
-from sessionlens.streaming.session_flags import start_flags_stream
+from sessionlens.streaming.session_flags import read_flags, start_flags_stream
 
 
-def test_stream_matches_batch(spark):
-    base = checkpoint_dir(spark) + "/stream_flags"
+def test_stream_matches_batch(spark, scratch):
+    base = scratch + "/stream_flags"
     src, target, ckpt = f"{base}/source", f"{base}/table", f"{base}/_checkpoint"
     events = AD.web_events(Tables(spark, SF_SMALL))
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
@@ -22,14 +20,14 @@ def test_stream_matches_batch(spark):
 
     q = start_flags_stream(spark, f"{src}/*", events.schema, target, ckpt, S.SITE_STEPS, **kw)
     q.awaitTermination()
-    first = read_current(spark, target)
+    first = read_flags(spark, target)
     assert first is not None and first.count() > 0
 
     events.where(F.col("time") >= cut).write.mode("overwrite").parquet(f"{src}/part=2")
     q = start_flags_stream(spark, f"{src}/*", events.schema, target, ckpt, S.SITE_STEPS, **kw)
     q.awaitTermination()
 
-    got = read_current(spark, target)
+    got = read_flags(spark, target)
     want = session_step_flags(events, S.SITE_STEPS, **kw)
     cols = sorted(want.columns)
     got, want = got.select(cols), want.select(cols)

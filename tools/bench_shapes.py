@@ -81,13 +81,15 @@ def main() -> None:
 
 
 def checkpoint_base(spark):
-    """The cluster's checkpoint folder; a fresh scratch folder only when unset."""
+    """A new folder for this run under the shared checkpoint folder (the
+    cluster's setting; a local scratch folder only when it is unset)."""
     import tempfile
+    import uuid
 
     from sessionlens.session import checkpoint_dir
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return checkpoint_dir(spark)
-    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="shapes-", dir="/tmp"))
+    root = checkpoint_dir(spark, None if spark.conf.get("spark.checkpoint.dir", None)
+                          else tempfile.mkdtemp(prefix="shapes-", dir="/tmp"))
+    return f"{root.rstrip('/')}/bench-shapes-{uuid.uuid4().hex}"
 
 
 if __name__ == "__main__":
