@@ -3,9 +3,7 @@ window + DISTINCT SQL in DuckDB over the very same rows."""
 
 import datetime as dt
 
-import duckdb
-import pandas as pd
-
+from inline_tables import register
 from oracle_compare import compare
 from sessionlens.plans import app_config as A
 from sessionlens.plans.models import app_session_model
@@ -57,17 +55,10 @@ def _spark_type(c):
 
 
 def test_app_model_edges_match_literal_sql(spark):
-    con = duckdb.connect()
-    frames = {}
-    for name, (cols, rows) in {"app_sessions": SESSIONS, "app_events": EVENTS,
-                               "app_to_web_links": LINKS, "app_account_map": ACCOUNT_MAP}.items():
-        pdf = pd.DataFrame(rows, columns=cols)
-        con.register(f"{name}_pdf", pdf)
-        select = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" if c in TS_COLS else
-                           f"CAST({c} AS BIGINT) AS {c}" if c in INT_COLS else
-                           f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
-        con.execute(f"CREATE TABLE {name} AS SELECT {select} FROM {name}_pdf")
-        frames[name] = spark.createDataFrame(rows, ", ".join(f"{c} {_spark_type(c)}" for c in cols))
+    con, frames = register(spark, {
+        name: ([(c, _spark_type(c)) for c in cols], rows)
+        for name, (cols, rows) in {"app_sessions": SESSIONS, "app_events": EVENTS,
+                                   "app_to_web_links": LINKS, "app_account_map": ACCOUNT_MAP}.items()})
     got = app_session_model(frames["app_sessions"], frames["app_events"], frames["app_to_web_links"],
                             frames["app_account_map"])
     problems, n = compare(got, con, with_ctes(app_body()) + "\nSELECT * FROM combined")

@@ -3,9 +3,7 @@ window + DISTINCT SQL in DuckDB over the very same rows."""
 
 import datetime as dt
 
-import duckdb
-import pandas as pd
-
+from inline_tables import register
 from oracle_compare import compare
 from sessionlens.operators.identity import link_identities
 from sessionlens.plans.oracle import LINK_SELECT, link_identities_body, with_ctes
@@ -56,21 +54,13 @@ TABLES = {
 }
 
 
+TS_COLS = {"date_created", "session_start_time", "first_session_date", "session_time"}
+
+
 def test_link_identities_edges_match_literal_sql(spark):
-    con = duckdb.connect()
-    frames = {}
-    for name, (cols, rows) in TABLES.items():
-        pdf = pd.DataFrame(rows, columns=cols)
-        for c in cols:
-            if c in ("date_created", "session_start_time", "first_session_date", "session_time"):
-                pdf[c] = pd.to_datetime(pdf[c])
-            else:
-                pdf[c] = pdf[c].astype("string")
-        con.register(f"{name}_pdf", pdf)
-        select = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" if pdf[c].dtype.kind == "M" else c for c in cols)
-        con.execute(f"CREATE TABLE {name} AS SELECT {select} FROM {name}_pdf")
-        schema = ", ".join(f"{c} timestamp_ntz" if pdf[c].dtype.kind == "M" else f"{c} string" for c in cols)
-        frames[name] = spark.createDataFrame(rows, schema)
+    con, frames = register(spark, {
+        name: ([(c, "timestamp_ntz" if c in TS_COLS else "string") for c in cols], rows)
+        for name, (cols, rows) in TABLES.items()})
     got = link_identities(frames["id_history"], frames["contact_keys"], frames["emails"],
                           frames["app_web_lookup"], frames["web_session_facts"], frames["page_views"])
     problems, n = compare(got, con, with_ctes(link_identities_body()) + LINK_SELECT)
