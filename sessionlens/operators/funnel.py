@@ -10,6 +10,11 @@ here events are reduced to one row per session id *before* any join: a
 hash aggregate with map-side partial aggregation, which also absorbs hot
 session ids (each task ships at most one partial row per id).  The session
 dimensions are joined to that small per-session table afterwards.
+
+The original also semi-joins events to the known session ids before its
+left join from sessions; that semi join cannot change the result (the left
+join drops unmatched events anyway), so the per-session table is built from
+all events and the join to the sessions keeps only known ids.
 """
 
 from __future__ import annotations
