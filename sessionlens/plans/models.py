@@ -12,6 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlens.functions.columns import like_any
 from sessionlens.operators.classify import campaign_intent, classify_columns
 from sessionlens.operators.funnel import (
     attach_step_flags, exclusive_attribution, gate_funnel, session_step_flags,
@@ -48,26 +49,34 @@ def site_staging(sessions: DataFrame, events: DataFrame, bound=None) -> tuple[Da
     return stg_s, stg_e
 
 
-def site_session_dimensions(stg_sessions: DataFrame) -> DataFrame:
-    """Classified, distinct session dimension rows (the model's first 18 columns)."""
+def site_classified(stg_sessions: DataFrame,
+                    extra: tuple[str, ...] = ()) -> DataFrame:
+    """Session rows with lowercased labels, ``ad_intention`` and the four
+    rule-table classifications (``browser_class``, ``channel``,
+    ``email_stream``, ``platform_class``).  ``extra`` columns pass through."""
     lowered = {c: F.lower(c) for c in S.LOWERED_SESSION_COLUMNS}
     sess = stg_sessions.select(
-        "distinct_session_id", "session_id", "user_id", "ip", "session_start_time",
-        *[expr.alias(c) for c, expr in lowered.items()],
-        "business_entity", "business_entity_language", "first_session_date")
+        "distinct_session_id", "session_id", "user_id", *extra,
+        *[expr.alias(c) for c, expr in lowered.items()])
     sess = campaign_intent(sess, stg_sessions, S.RETARGETING_CAMPAIGNS)
-    sess = classify_columns(sess, {
-        "_browser": (S.BROWSER_RULES, S.BROWSER_DEFAULT),
-        "_channel": (S.CHANNEL_RULES, S.CHANNEL_DEFAULT),
-        "_email_stream": (S.EMAIL_STREAM_RULES, S.EMAIL_STREAM_DEFAULT),
-        "_platform": (S.PLATFORM_RULES, S.PLATFORM_DEFAULT),
+    return classify_columns(sess, {
+        "browser_class": (S.BROWSER_RULES, S.BROWSER_DEFAULT),
+        "channel": (S.CHANNEL_RULES, S.CHANNEL_DEFAULT),
+        "email_stream": (S.EMAIL_STREAM_RULES, S.EMAIL_STREAM_DEFAULT),
+        "platform_class": (S.PLATFORM_RULES, S.PLATFORM_DEFAULT),
     })
+
+
+def site_session_dimensions(stg_sessions: DataFrame) -> DataFrame:
+    """Classified, distinct session dimension rows (the model's first 18 columns)."""
+    sess = site_classified(stg_sessions, extra=("session_start_time", "business_entity",
+                                                "business_entity_language", "first_session_date"))
     dims = sess.select(
         F.to_date("session_start_time").alias("DATE"), "user_id", "distinct_session_id",
-        "session_id", F.col("device_type").alias("device"), F.col("_channel").alias("channel"),
+        "session_id", F.col("device_type").alias("device"), "channel",
         "utm_primary_rollup", "utm_primary_rollup_split", "utm_medium", "utm_source",
-        "utm_platform", "utm_digital_rollup", F.col("_browser").alias("browser"),
-        F.col("_email_stream").alias("email_stream"), F.col("_platform").alias("platform"),
+        "utm_platform", "utm_digital_rollup", F.col("browser_class").alias("browser"),
+        "email_stream", F.col("platform_class").alias("platform"),
         "business_entity", "business_entity_language",
         F.to_date("first_session_date").alias("first_session_date"))
     # One distinct over the published dimensions replaces the original's
@@ -91,26 +100,10 @@ def site_model(sessions: DataFrame, events: DataFrame, bound=None) -> DataFrame:
     return exclusive_attribution(site_gated(sessions, events, bound), S.ATTRIBUTION)
 
 
-def site_classified(stg_sessions: DataFrame) -> DataFrame:
-    """Lowercased session rows with ad_intention and the four classifications."""
-    lowered = {c: F.lower(c) for c in S.LOWERED_SESSION_COLUMNS}
-    sess = stg_sessions.select(
-        "distinct_session_id", "session_id", "user_id",
-        *[expr.alias(c) for c, expr in lowered.items()])
-    sess = campaign_intent(sess, stg_sessions, S.RETARGETING_CAMPAIGNS)
-    return classify_columns(sess, {
-        "browser_class": (S.BROWSER_RULES, S.BROWSER_DEFAULT),
-        "channel": (S.CHANNEL_RULES, S.CHANNEL_DEFAULT),
-        "email_stream": (S.EMAIL_STREAM_RULES, S.EMAIL_STREAM_DEFAULT),
-        "platform_class": (S.PLATFORM_RULES, S.PLATFORM_DEFAULT),
-    })
-
-
 # ------------------------------------------------------------------ app
 
 def app_event_filter(events: DataFrame, name_col: str = "event_table_name") -> DataFrame:
     """App events only: names matching the app patterns or listed exactly."""
-    from sessionlens.functions.columns import like_any
     name = F.col(name_col)
     return events.where(like_any(name, A.APP_EVENT_LIKE) | name.isin(A.APP_EVENT_EXACT))
 
