@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import url_param
+from sessionlens.operators.joins import left_join_null_bypass
 
 
 def bounded_identity_join(events: DataFrame, links: DataFrame, *, event_key: str, link_key: str,
@@ -34,7 +35,8 @@ def bounded_identity_join(events: DataFrame, links: DataFrame, *, event_key: str
     ev = events.withColumn("_ek", F.col(event_key).cast("string"))
     ln = links.withColumn("_lk", F.col(link_key).cast("string"))
     cond = (F.col("_ek") == F.col("_lk")) & (F.col(time_col) < F.col(bound_col))
-    out = ev.join(ln, cond, "left")
+    # Events without a key cannot match; they skip the shuffle.
+    out = left_join_null_bypass(ev, ln, cond, ["_ek"])
     return out.select(*events.columns, *links.columns)
 
 

@@ -34,7 +34,8 @@ def session_base(sessions: DataFrame, events: DataFrame, view_events: Iterable[s
                  session_cols: Sequence[str] = ("session_start_time", "library", "platform",
                                                 "device_type", "country", "region", "city", "ip"),
                  time_col: str = "time", name_col: str = "event_table_name",
-                 key_col: str = "distinct_session_id") -> DataFrame:
+                 key_col: str = "distinct_session_id",
+                 one_row_per_session: bool = False) -> DataFrame:
     """Sessions that have at least one view event.
 
     One row per session and distinct view-event time, all sharing the
@@ -47,9 +48,15 @@ def session_base(sessions: DataFrame, events: DataFrame, view_events: Iterable[s
     comes from one side or is a function of them, so the join of two
     distinct inputs is already distinct and no aggregate follows it; AQE
     can then split a skewed session's partition of the join.
+
+    ``one_row_per_session=True`` keeps only the session's first view time
+    (one row per session key instead of one per view time).
     """
-    ev = (events.where(F.col(name_col).isin(list(view_events)))
-          .select(*keys, time_col).distinct())
+    views = events.where(F.col(name_col).isin(list(view_events)))
+    if one_row_per_session:
+        ev = views.groupBy(*keys).agg(F.min(time_col).alias(time_col))
+    else:
+        ev = views.select(*keys, time_col).distinct()
     sess = sessions.select(*keys, *[c for c in session_cols if c not in keys]).distinct()
     joined = sess.join(ev, list(keys), "inner")
     return joined.select(

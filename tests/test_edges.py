@@ -99,6 +99,8 @@ def test_session_base_keeps_view_times_and_null_key_parts(spark):
         "user_id bigint, session_id bigint, time timestamp_ntz, event_table_name string")
     out = session_base(s, e, A.APP_VIEW_EVENTS).collect()
     assert len(out) == 2 and len({r["distinct_session_id"] for r in out}) == 1
+    one = session_base(s, e, A.APP_VIEW_EVENTS, one_row_per_session=True).collect()
+    assert [r["time"] for r in one] == [ts("2024-01-01 00:01:00")]
     key = spark.range(1).select(surrogate_key(F.lit(10), F.lit(None).cast("bigint"),
                                               F.lit("x")).alias("k")).first()["k"]
     import hashlib
@@ -171,12 +173,12 @@ def test_attribution_exhaustive(spark):
 
 
 def _classify(spark, rows):
-    schema = ("utm_source string, utm_campaign string, utm_medium string, utm_term string, "
+    schema = ("row_id int, utm_source string, utm_campaign string, utm_medium string, utm_term string, "
               "referrer string, landing_page string")
-    df = spark.createDataFrame(rows, schema)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema)
     df = campaign_intent(df, df, S.RETARGETING_CAMPAIGNS)
-    return [r["channel"] for r in classify_columns(
-        df, {"channel": (S.CHANNEL_RULES, S.CHANNEL_DEFAULT)}).collect()]
+    out = classify_columns(df, {"channel": (S.CHANNEL_RULES, S.CHANNEL_DEFAULT)})
+    return [r["channel"] for r in out.orderBy("row_id").collect()]
 
 
 def test_channel_rule_order_and_null_traps(spark):

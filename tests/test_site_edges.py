@@ -41,6 +41,7 @@ SESSIONS = [
     session("d6", 5, 14, "2024-01-02 08:00:00", group=None),
     session("d7", 6, 15, "2024-01-03 08:00:00", landing="website.com/"),
     session("d8", 7, 16, "2024-01-03 09:00:00", medium="Email", campaign="brdcst_slead_x"),
+    session("d9", None, 17, "2024-01-03 10:00:00", source="yahoo", medium="cpc"),  # NULL session id
 ]
 
 EVENTS = [(sid, user, ts(t), name) for sid, user, t, name in [
@@ -74,7 +75,8 @@ def test_site_model_edges_match_literal_sql(spark):
     problems, n = compare(got, con, with_ctes(site_model_body()) + "\nSELECT * FROM site")
     assert not problems, problems
     rows = {r["distinct_session_id"]: r for r in got.collect()}
-    assert set(rows) == {"d1", "d2", "d3", "d4", "d7", "d8"}   # App sessions and NULL group dropped
+    assert set(rows) == {"d1", "d2", "d3", "d4", "d7", "d8", "d9"}   # App sessions and NULL group dropped
+    assert rows["d9"]["channel"] == "Yahoo Paid Search - Non-Branded" and rows["d9"]["ik_thanks_page"] == 0
     d1 = rows["d1"]
     assert d1["channel"] == "Google Paid Search - Non-Branded"
     assert d1["ik_product_page"] == 0 and d1["ik_thanks_page_temp"] == 1   # gates read raw flags
