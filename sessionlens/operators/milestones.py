@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlens.functions.columns import first_time, last_by_time, last_time, minutes_between
+from sessionlens.functions.columns import first_time, last_time, minutes_between
 
 Milestone = tuple[str, str, Sequence[str]]
 
@@ -64,14 +64,25 @@ def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "sess
     times = events.groupBy(by).agg(*aggs) if aggs else events.select(by).distinct()
     if not name_outs:
         return times
-    # A string-valued aggregate forces sort-based aggregation, so the last
-    # event name runs as its own aggregate over three narrow columns and is
-    # joined per key; the time milestones above stay hash-based.
-    names = events.groupBy(by).agg(*[last_by_time(name, t).alias(o) for o in name_outs])
+    # A string-valued aggregate forces sort-based aggregation.  Keep it off
+    # the event rows: a hash aggregate first reduces events to one row per
+    # (key, event name) holding the latest time as a fixed-width number
+    # (NULL time = largest, as NULL times sort last); only those few rows
+    # per session reach the sort-based max_by, whose ties on time go to
+    # the larger name.
+    order = F.when(t.isNull(), F.lit(2**63 - 1)).otherwise(_epoch_micros(t))
+    per_name = events.groupBy(by, name).agg(F.max(order).alias("_last_t"))
+    names = per_name.groupBy(by).agg(
+        *[F.max_by(name, F.struct("_last_t", name)).alias(o) for o in name_outs])
     out = times.join(names, by, "left")
     return out.select(by, *[o for o, _, _ in specs])
 
 
+def _epoch_micros(t: Column) -> Column:
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, t)
+
+
 def milestone_durations(df: DataFrame, durations: Sequence[tuple[str, str, Sequence[str]]], *,
                         valid_after: tuple[str, str, str, str] | None = None,
                         order: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
