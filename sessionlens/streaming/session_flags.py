@@ -122,6 +122,7 @@ def stream_step_flags(events: DataFrame, steps: Sequence[Step], key_type, *,
 
 
 EPOCH = "_epoch"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def append_epoch(base: str, batch: DataFrame, epoch_id: int) -> None:
@@ -147,6 +148,11 @@ def start_flags_stream(spark: SparkSession, source_dir: str, schema: StructType,
     offsets and the session state that let a restarted query resume
     exactly where it stopped.
     """
+    # One state row per live session can outgrow executor heap: keep state in
+    # RocksDB unless the session already chose a provider.
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(provider, None):
+        spark.conf.set(provider, ROCKSDB_PROVIDER)
     events = spark.readStream.schema(schema).parquet(source_dir)
     flags = stream_step_flags(events, steps, schema[key].dataType, allow_list=allow_list,
                               portal=portal, watermark=watermark, session_gap=session_gap,
