@@ -1,5 +1,5 @@
 from sessionlens.functions.columns import (  # noqa: F401
-    any_flag, first_time, flag, last_by_time, last_time, minutes_between,
-    seconds_between, surrogate_key, url_param,
+    first_time, flag, last_time, like_any, minutes_between, seconds_between,
+    surrogate_key, url_param,
 )
 from sessionlens.functions.rules import classify, classify_sql  # noqa: F401
