@@ -2,7 +2,7 @@
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` over the driver's tables
 (through the adapters), running the operator on whole tables.  The DuckDB
-twin of each entry lives in ``oracle.ORACLE`` under the same key.
+twin of each entry is ``oracle.oracle_queries()[key]``.
 """
 
 from __future__ import annotations
