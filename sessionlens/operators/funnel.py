@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import first_time, flag
+from sessionlens.functions.membership import Membership
 from sessionlens.operators.joins import join_per_key
 
 Step = tuple[str, str, Sequence[str]]  # (flag name, "user" | "any", event names)
@@ -39,39 +40,6 @@ def effective_steps(steps: Sequence[Step], allow_list: Iterable[str] | None) ->
     return [(n, s, [e for e in ev if e in allowed]) for n, s, ev in steps]
 
 
-# Steps per bit mask (a signed 64-bit long; 62 keeps clear of the sign bit).
-STEPS_PER_MASK = 62
-
-
-def step_masks(spark, steps: Sequence[Step], portal: PortalSpec | None = None) -> DataFrame:
-    """Lookup table: event name -> one bit mask per group of steps, plus
-    portal/evaluation markers.  Its size is the number of configured event
-    names (a configuration constant), so broadcasting it is safe."""
-    names = sorted({e for _, _, ev in steps for e in ev}
-                   | ({portal[1], *portal[2]} if portal is not None else set()))
-    n_masks = max(1, -(-len(steps) // STEPS_PER_MASK))
-    rows = []
-    for name in names:
-        masks = [0] * n_masks
-        for i, (_, _, evs) in enumerate(steps):
-            if name in evs:
-                masks[i // STEPS_PER_MASK] |= 1 << (i % STEPS_PER_MASK)
-        is_portal = portal is not None and name == portal[1]
-        is_eval = portal is not None and name in portal[2]
-        rows.append((name, *masks, is_portal, is_eval))
-    # An inline VALUES relation: planned as a local table scan whose exact
-    # size Catalyst knows.
-    def lit(v):
-        if isinstance(v, bool):
-            return "true" if v else "false"
-        if isinstance(v, int):
-            return f"{v}L"
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    values = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
-    cols = ["_step_event", *[f"_m{g}" for g in range(n_masks)], "_is_portal", "_is_eval"]
-    return spark.sql(f"SELECT * FROM VALUES {values} AS step_masks({', '.join(cols)})")
-
-
 def session_step_flags(events: DataFrame, steps: Sequence[Step], *,
                        allow_list: Iterable[str] | None = None,
                        portal: PortalSpec | None = None,
@@ -87,29 +55,29 @@ def session_step_flags(events: DataFrame, steps: Sequence[Step], *,
     evaluation, or a time is missing), 0 when it is after, and NULL when
     the session never reached the portal.
 
-    Each event is looked up once in the broadcast ``step_masks`` table (a
+    Each event is looked up once in a broadcast ``Membership`` table (a
     hash join that also drops unrelated events) and the session aggregate
     is a ``bit_or`` per 62 steps: per-event work does not grow with the
     number of steps, and the partial aggregates shuffled per session are a
     few longs instead of one column per step.
     """
     steps = effective_steps(steps, allow_list)
-    masks = step_masks(events.sparkSession, steps, portal)
-    n_masks = len([c for c in masks.columns if c.startswith("_m")])
-    ev = (events.where(F.col(session_col).isNotNull())
-          .join(F.broadcast(masks), F.col(name_col) == F.col("_step_event"), "inner"))
-    aggs = [F.bit_or(f"_m{g}").alias(f"_m{g}") for g in range(n_masks)]
+    sets = [evs for _, _, evs in steps]
+    if portal is not None:
+        sets += [[portal[1]], list(portal[2])]
+    lookup = Membership(events.sparkSession, sets)
+    ev = lookup.attach(events.where(F.col(session_col).isNotNull()), name_col, "inner")
+    aggs = [F.bit_or(w).alias(w) for w in lookup.words]
     if portal is not None:
+        p_idx, e_idx = len(steps), len(steps) + 1
         aggs += [
-            F.max("_is_portal").alias("_has_portal"),
-            first_time(F.col("_is_portal"), time_col).alias("_first_portal"),
-            first_time(F.col("_is_eval"), time_col).alias("_first_eval"),
+            F.max(lookup.member(p_idx)).alias("_has_portal"),
+            first_time(lookup.member(p_idx), time_col).alias("_first_portal"),
+            first_time(lookup.member(e_idx), time_col).alias("_first_eval"),
         ]
     out = ev.groupBy(session_col).agg(*aggs)
-    flags = [F.shiftright(F.col(f"_m{i // STEPS_PER_MASK}"), i % STEPS_PER_MASK)
-             .bitwiseAND(F.lit(1)).cast("int").alias(step)
-             for i, (step, _, _) in enumerate(steps)]
-    cols = [F.col(session_col), *flags]
+    cols = [F.col(session_col), *[lookup.bit(i).cast("int").alias(step)
+                                  for i, (step, _, _) in enumerate(steps)]]
     if portal is not None:
         cols.append(F.when(F.col("_has_portal"),
                            F.when(F.col("_first_portal") > F.col("_first_eval"), F.lit(0))

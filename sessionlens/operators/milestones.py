@@ -60,7 +60,9 @@ def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "sess
             name_outs.append(out)
         else:
             raise ValueError(f"unknown milestone kind {kind!r}")
-    # Time milestones have fixed-width buffers: hash aggregation.
+    # Time milestones have fixed-width buffers: hash aggregation.  (Short
+    # IN lists cost about the same as a broadcast name lookup here, measured
+    # on 3.3M events, so the lists are tested directly.)
     times = events.groupBy(by).agg(*aggs) if aggs else events.select(by).distinct()
     if not name_outs:
         return times
