@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import url_param
-from sessionlens.operators.joins import left_join_null_bypass
+from sessionlens.operators.joins import spread_key
 
 
 def bounded_identity_join(events: DataFrame, links: DataFrame, *, event_key: str, link_key: str,
@@ -33,10 +33,14 @@ def bounded_identity_join(events: DataFrame, links: DataFrame, *, event_key: str
     included).
     """
     ev = events.withColumn("_ek", F.col(event_key).cast("string"))
+    ev = ev.withColumn("_eh", spread_key(ev, ["_ek"]))
     ln = links.withColumn("_lk", F.col(link_key).cast("string"))
-    cond = (F.col("_ek") == F.col("_lk")) & (F.col(time_col) < F.col(bound_col))
-    # Events without a key cannot match; they skip the shuffle.
-    out = left_join_null_bypass(ev, ln, cond, ["_ek"])
+    ln = ln.withColumn("_lh", F.xxhash64("_lk"))
+    # The hash pair is implied by the key equality; it only spreads events
+    # without a key (which cannot match) over reducers.
+    cond = ((F.col("_ek") == F.col("_lk")) & (F.col("_eh") == F.col("_lh"))
+            & (F.col(time_col) < F.col(bound_col)))
+    out = ev.join(ln, cond, "left")
     return out.select(*events.columns, *links.columns)
 
 

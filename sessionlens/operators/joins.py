@@ -15,42 +15,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _H = "_join_key_hash"
 
 
+def spread_key(df: DataFrame, keys: Sequence[str]) -> Column:
+    """xxhash64 of the key, or of the whole row when a key is NULL.
+
+    A NULL key never matches, yet every such row would hash to the same
+    reducer; hashing the row content instead spreads them (deterministically,
+    so a recomputed map task sends each row to the same place)."""
+    any_null = None
+    for k in keys:
+        term = F.col(k).isNull()
+        any_null = term if any_null is None else (any_null | term)
+    return F.when(any_null, F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.xxhash64(*keys))
+
+
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: str | Sequence[str],
                  how: str = "left") -> DataFrame:
     """``rows.join(per_key, keys, how)`` with a skew-splittable plan.
 
     Same result and column layout as the plain USING-style join (``keys``
-    once, then the remaining columns of ``rows`` and ``per_key``).  For a
-    left join, rows with a NULL key cannot match; they bypass the shuffle
-    (all of them would hash to one reducer) and are unioned back with NULL
-    right-side columns.
+    once, then the remaining columns of ``rows`` and ``per_key``).  Rows
+    with a NULL key are spread over reducers instead of all landing on one
+    (``spread_key``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    left = rows.withColumn(_H, F.xxhash64(*keys))
+    left = rows.withColumn(_H, spread_key(rows, keys))
     right = per_key.withColumn(_H, F.xxhash64(*keys))
-    if how != "left":
-        return left.join(right, [*keys, _H], how).drop(_H)
-    return left_join_null_bypass(left, right, [*keys, _H], keys).drop(_H)
-
-
-def left_join_null_bypass(left: DataFrame, right: DataFrame, on, null_keys: Sequence[str]) -> DataFrame:
-    """``left.join(right, on, "left")`` where left rows with a NULL in any of
-    ``null_keys`` skip the join.  ``on`` is a list of column names (USING
-    join) or a join condition that is false whenever such a key is NULL."""
-    any_null = None
-    for k in null_keys:
-        term = F.col(k).isNull()
-        any_null = term if any_null is None else (any_null | term)
-    matched = left.where(~any_null).join(right, on, "left")
-    unmatched = left.where(any_null)
-    extra = [c for c in matched.columns if c not in unmatched.columns]
-    types = dict(matched.dtypes)
-    unmatched = unmatched.select(*unmatched.columns,
-                                 *[F.lit(None).cast(types[c]).alias(c) for c in extra])
-    return matched.unionByName(unmatched)
+    return left.join(right, [*keys, _H], how).drop(_H)
