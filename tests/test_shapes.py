@@ -78,3 +78,10 @@ def test_refresh_bound_reaches_the_scan(spark):
     df = M.site_model(AD.web_sessions(t), AD.web_events(t), "2024-01-25")
     txt = _plan(df)
     assert "GreaterThan(ts,2024-01-25T00:00)" in txt
+
+
+def test_models_compute_each_input_once(spark):
+    # No Union in the model plans: a union branch per key case would make
+    # Spark compute the left side of a join twice.
+    for name in ("site_model", "app_session_model", "bounded_identity_join"):
+        assert _nodes(_plan(QUERIES[name](spark, SF_SMALL)), "Union") == 0, name
