@@ -31,7 +31,8 @@ def spread_key(df: DataFrame, keys: Sequence[str]) -> Column:
     for k in keys:
         term = F.col(k).isNull()
         any_null = term if any_null is None else (any_null | term)
-    return F.when(any_null, F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.xxhash64(*keys))
+    hashable = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]  # xxhash64 rejects maps
+    return F.when(any_null, F.xxhash64(*hashable)).otherwise(F.xxhash64(*keys))
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: str | Sequence[str],
