@@ -38,3 +38,25 @@ def test_cli_models(spark, scratch):
               "--research-log", paths["research_log"], "--out", f"{scratch}/out/research"], spark=spark)
     assert spark.read.parquet(f"{scratch}/out/research").count() == \
         spark.read.parquet(paths["accounts"]).select("main_company_identifier").distinct().count()
+
+
+def test_cli_link_model(spark, scratch):
+    from sessionlens.operators.identity import link_identities
+    t = Tables(spark, SF_SMALL)
+    names = ("id_history", "contact_keys", "emails", "app_web_lookup", "web_session_facts", "page_views")
+    paths = {n: _write(getattr(AD, n)(t), f"{scratch}/in/{n}") for n in names}
+    cli.main(["link", "--id-history", paths["id_history"], "--contact-keys", paths["contact_keys"],
+              "--emails", paths["emails"], "--lookup", paths["app_web_lookup"],
+              "--session-facts", paths["web_session_facts"], "--page-views", paths["page_views"],
+              "--out", f"{scratch}/out/link"], spark=spark)
+    want = link_identities(*[spark.read.parquet(paths[n]) for n in names])
+    assert _same(spark.read.parquet(f"{scratch}/out/link"), want)
+
+
+def test_scale_settings():
+    from sessionlens.session import scale_settings
+    big = scale_settings(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    small = scale_settings(50 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * (256 << 20)
