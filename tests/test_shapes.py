@@ -85,3 +85,19 @@ def test_models_compute_each_input_once(spark):
     # Spark compute the left side of a join twice.
     for name in ("site_model", "app_session_model", "bounded_identity_join"):
         assert _nodes(_plan(QUERIES[name](spark, SF_SMALL)), "Union") == 0, name
+
+
+def test_events_are_shuffled_only_as_partial_flag_aggregates(spark):
+    steps = [st for st in S.SITE_STEPS]
+    t = Tables(spark, SF_SMALL)
+    ev = AD.web_events(t)
+    flags = funnel_flags(ev.select("session_id", "user_id").distinct(), ev, steps,
+                         allow_list=S.SITE_EVENT_ALLOW_LIST, portal=S.PORTAL)
+    lines = [re.sub(r"^\*\(\d+\) ", "", line.lstrip(" :|+-")) for line in _plan(flags).splitlines()]
+    # Below the per-session exchange sits the map-side partial aggregate
+    # (events never cross the network as rows).
+    idx = [i for i, line in enumerate(lines) if line.startswith("Exchange hashpartitioning(session_id")]
+    below = [lines[i + 1] for i in idx]
+    assert any("partial_bit_or" in b for b in below), below
+    for i in idx:
+        assert lines[i + 1].startswith(("HashAggregate", "Project", "Filter")), lines[i + 1]
