@@ -142,15 +142,19 @@ def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
     base = session_base(sessions, events, A.APP_VIEW_EVENTS)
     linked = linked_app_events(events, links)
     rollup = session_rollup(linked, counts={"CSP_shared_count": A.CSP_SHARED_EVENTS})
-    first = first_seen(base)
+    # Both per-user tables (first session, account by the id's text) are
+    # joined to each other first, so the wide session rows are shuffled
+    # once for the pair.  Every user of ``base`` has a first session, so
+    # the account rows (possibly several) attach exactly as they would to
+    # ``base`` directly.
     acct = account_map.select("reference_number", "primary_account_id").distinct()
-    joined = (base.withColumn("_uid", F.col("user_id").cast("string"))
-              .join(acct, F.col("_uid") == F.col("reference_number"), "left")
-              .drop("_uid", "reference_number"))
-    # Per-session / per-user aggregates: joined so that a hot session or
-    # user can be split by AQE (see operators/joins.py).
+    per_user = (first_seen(base).withColumn("_uid", F.col("user_id").cast("string"))
+                .join(acct, F.col("_uid") == F.col("reference_number"), "left")
+                .drop("_uid", "reference_number"))
+    # Per-session / per-user tables: joined so that a hot session or user
+    # can be split by AQE (see operators/joins.py).
+    joined = join_per_key(base, per_user, "user_id")
     joined = join_per_key(joined, rollup, ["session_id", "user_id"])
-    joined = join_per_key(joined, first, "user_id")
     joined = joined.select(*base.columns, "primary_account_id", "first_session_date",
                            "session_end_time", "event_count", "CSP_shared_count")
     return join_per_key(joined, app_milestones(linked), "session_id").select(
