@@ -60,3 +60,22 @@ def test_scale_settings():
     small = scale_settings(50 << 20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * (256 << 20)
+
+
+def test_cli_stream_flags(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from sessionlens.operators.funnel import session_step_flags
+    from sessionlens.plans import site_config as S
+    from sessionlens.streaming.session_flags import read_flags
+    events = AD.web_events(Tables(spark, SF_SMALL))
+    src = f"{scratch}/events"
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    events.where(F.col("time") < cut).write.parquet(f"{src}/part=1")
+    args = ["stream-flags", "--source", src, "--out", f"{scratch}/flags",
+            "--checkpoint", f"{scratch}/_checkpoint"]
+    cli.main(args, spark=spark)
+    events.where(F.col("time") >= cut).write.parquet(f"{src}/part=2")
+    cli.main(args, spark=spark)
+    want = session_step_flags(events, S.SITE_STEPS, allow_list=S.SITE_EVENT_ALLOW_LIST, portal=S.PORTAL)
+    assert _same(read_flags(spark, f"{scratch}/flags"), want)
