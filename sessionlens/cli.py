@@ -41,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     for a in ("--sessions", "--events", "--out"):
         site.add_argument(a, required=True)
     site.add_argument("--lookback-days", type=int, default=1)
+    site.add_argument("--unique-sessions", action="store_true",
+                      help="input has one row per distinct_session_id: skip the DISTINCT shuffle")
     app = sub.add_parser("app", help="app funnel sessions")
     for a in ("--sessions", "--events", "--links", "--account-map", "--out"):
         app.add_argument(a, required=True)
@@ -69,7 +71,8 @@ def main(argv: Sequence[str] | None = None, spark=None) -> None:
     read = spark.read.parquet
     if args.model == "site":
         sessions, events = read(args.sessions), read(args.events)
-        refresh_partitioned(spark, args.out, lambda bound: M.site_model(sessions, events, bound),
+        refresh_partitioned(spark, args.out,
+                            lambda bound: M.site_model(sessions, events, bound, args.unique_sessions),
                             key="distinct_session_id", date_col="DATE",
                             lookback_days=args.lookback_days)
     elif args.model == "app":

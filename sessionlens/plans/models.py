@@ -67,8 +67,14 @@ def site_classified(stg_sessions: DataFrame,
     })
 
 
-def site_session_dimensions(stg_sessions: DataFrame) -> DataFrame:
-    """Classified, distinct session dimension rows (the model's first 18 columns)."""
+def site_session_dimensions(stg_sessions: DataFrame, unique_sessions: bool = False) -> DataFrame:
+    """Classified, distinct session dimension rows (the model's first 18 columns).
+
+    ``unique_sessions=True`` declares that the input has one row per
+    ``distinct_session_id`` (the model's own unique key); the projected rows
+    are then already distinct and the DISTINCT, a full shuffle of the
+    sessions, is skipped.
+    """
     sess = site_classified(stg_sessions, extra=("session_start_time", "business_entity",
                                                 "business_entity_language", "first_session_date"))
     dims = sess.select(
@@ -82,22 +88,26 @@ def site_session_dimensions(stg_sessions: DataFrame) -> DataFrame:
     # One distinct over the published dimensions replaces the original's
     # two (group-by over 23 columns, then SELECT DISTINCT): flags depend
     # only on session_id and user_id, both kept here.
-    return dims.distinct()
+    return dims if unique_sessions else dims.distinct()
 
 
-def site_gated(sessions: DataFrame, events: DataFrame, bound=None) -> DataFrame:
+def site_gated(sessions: DataFrame, events: DataFrame, bound=None,
+               unique_sessions: bool = False) -> DataFrame:
     """Session dimensions and gated step flags (74 columns, before attribution)."""
     stg_s, stg_e = site_staging(sessions, events, bound)
-    dims = site_session_dimensions(stg_s)
+    dims = site_session_dimensions(stg_s, unique_sessions)
     flags = session_step_flags(stg_e, S.SITE_STEPS, allow_list=S.SITE_EVENT_ALLOW_LIST,
                                portal=S.PORTAL)
     d1 = attach_step_flags(dims, flags, S.SITE_STEPS, portal_name=S.PORTAL[0])
     return gate_funnel(d1, S.GATES, keep=S.SITE_DIMENSIONS)
 
 
-def site_model(sessions: DataFrame, events: DataFrame, bound=None) -> DataFrame:
-    """Web sessions with channel attribution and gated funnel flags (83 columns)."""
-    return exclusive_attribution(site_gated(sessions, events, bound), S.ATTRIBUTION)
+def site_model(sessions: DataFrame, events: DataFrame, bound=None,
+               unique_sessions: bool = False) -> DataFrame:
+    """Web sessions with channel attribution and gated funnel flags (83 columns).
+
+    See ``site_session_dimensions`` for ``unique_sessions``."""
+    return exclusive_attribution(site_gated(sessions, events, bound, unique_sessions), S.ATTRIBUTION)
 
 
 # ------------------------------------------------------------------ app

@@ -101,3 +101,15 @@ def test_events_are_shuffled_only_as_partial_flag_aggregates(spark):
     assert any("partial_bit_or" in b for b in below), below
     for i in idx:
         assert lines[i + 1].startswith(("HashAggregate", "Project", "Filter")), lines[i + 1]
+
+
+def test_unique_sessions_skips_the_distinct_with_the_same_result(spark):
+    t = Tables(spark, SF_SMALL)
+    # The adapter sessions have one row per distinct_session_id.
+    s = AD.web_sessions(t)
+    exact = M.site_model(s, AD.web_events(t))
+    fast = M.site_model(s, AD.web_events(t), unique_sessions=True)
+    assert s.count() == s.select("distinct_session_id").distinct().count()
+    cols = sorted(exact.columns)
+    assert exact.select(cols).exceptAll(fast.select(cols)).count() == 0
+    assert fast.select(cols).exceptAll(exact.select(cols)).count() == 0
