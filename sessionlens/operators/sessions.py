@@ -35,7 +35,7 @@ def session_base(sessions: DataFrame, events: DataFrame, view_events: Iterable[s
                                                 "device_type", "country", "region", "city", "ip"),
                  time_col: str = "time", name_col: str = "event_table_name",
                  key_col: str = "distinct_session_id",
-                 one_row_per_session: bool = False) -> DataFrame:
+                 one_row_per_session: bool = False, unique_sessions: bool = False) -> DataFrame:
     """Sessions that have at least one view event.
 
     One row per session and distinct view-event time, all sharing the
@@ -51,13 +51,17 @@ def session_base(sessions: DataFrame, events: DataFrame, view_events: Iterable[s
 
     ``one_row_per_session=True`` keeps only the session's first view time
     (one row per session key instead of one per view time).
+    ``unique_sessions=True`` declares that ``sessions`` has no duplicate
+    rows, which skips their DISTINCT (a shuffle of the sessions table).
     """
     views = events.where(F.col(name_col).isin(list(view_events)))
     if one_row_per_session:
         ev = views.groupBy(*keys).agg(F.min(time_col).alias(time_col))
     else:
         ev = views.select(*keys, time_col).distinct()
-    sess = sessions.select(*keys, *[c for c in session_cols if c not in keys]).distinct()
+    sess = sessions.select(*keys, *[c for c in session_cols if c not in keys])
+    if not unique_sessions:
+        sess = sess.distinct()
     joined = sess.join(ev, list(keys), "inner")
     return joined.select(
         "user_id", "session_id",
