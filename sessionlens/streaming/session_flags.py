@@ -137,6 +137,41 @@ def read_flags(spark: SparkSession, base: str, key: str = "session_id") -> DataF
     return join_per_key(rows, latest, [key, EPOCH], "inner").drop(EPOCH)
 
 
+def compact_flags(spark: SparkSession, base: str, key: str = "session_id") -> int:
+    """Fold all epochs up to the newest one into that epoch's folder.
+
+    ``read_flags`` scans every epoch, so its cost grows with history.  This
+    writes the latest row per key (epochs <= E, the newest epoch present)
+    into a staging folder, swaps it in as ``_epoch=E`` and then removes the
+    older epoch folders, whose rows the snapshot already covers.  Epochs
+    the stream writes meanwhile are > E and untouched.  Returns E.
+
+    The swap is two file-system steps: between removing the old ``E`` folder
+    and renaming the snapshot in, a reader would see the previous values of
+    keys last changed in epoch E, so run it when readers can tolerate that
+    (or pause them).
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    epochs = sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(root)
+                    if st.isDirectory() and st.getPath().getName().startswith(f"{EPOCH}="))
+    if not epochs:
+        return -1
+    newest = epochs[-1]
+    rows = spark.read.parquet(base).where(F.col(EPOCH) <= newest)
+    latest = rows.groupBy(key).agg(F.max(EPOCH).alias(EPOCH))
+    snapshot = join_per_key(rows, latest, [key, EPOCH], "inner").drop(EPOCH)
+    staging = f"{base.rstrip('/')}/_compact-{newest}"
+    snapshot.write.mode("overwrite").parquet(staging)
+    target = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{EPOCH}={newest}")
+    fs.delete(target, True)
+    fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target)
+    for e in epochs[:-1]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{EPOCH}={e}"), True)
+    return newest
+
+
 def start_flags_stream(spark: SparkSession, source_dir: str, schema: StructType, target_base: str,
                        checkpoint_location: str, steps: Sequence[Step], *,
                        allow_list: Iterable[str] | None = None, portal: PortalSpec | None = None,

@@ -7,7 +7,7 @@ from sessionlens.operators.funnel import session_step_flags
 from sessionlens.plans import site_config as S
 from sessionlens.sources import adapters as AD
 from sessionlens.sources.tables import Tables
-from sessionlens.streaming.session_flags import read_flags, start_flags_stream
+from sessionlens.streaming.session_flags import compact_flags, read_flags, start_flags_stream
 
 
 def test_stream_matches_batch(spark, scratch):
@@ -33,3 +33,9 @@ def test_stream_matches_batch(spark, scratch):
     got, want = got.select(cols), want.select(cols)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+    # Compaction keeps the same current rows in a single epoch folder.
+    compact_flags(spark, target)
+    compacted = read_flags(spark, target).select(cols)
+    assert compacted.exceptAll(want).count() == 0 and want.exceptAll(compacted).count() == 0
+    assert spark.read.parquet(target).select("_epoch").distinct().count() == 1
