@@ -494,13 +494,17 @@ def _app(select: str) -> str:
     return with_ctes(app_adapters_sql(), app_body()) + "\n" + select
 
 
-def research_sql() -> str:
-    return with_ctes(research_adapters_sql(), """
+def research_body() -> str:
+    """Literal research-effects script over tables named like the adapters."""
+    return """
 unioned AS (
   SELECT * FROM accounts
   LEFT JOIN (SELECT account_id, CAST(close_date AS DATE) AS opp_close_date, type, is_opp_won
              FROM opportunities) opps USING (account_id)
-  LEFT JOIN research_log USING (main_company_identifier))""") + """
+  LEFT JOIN research_log USING (main_company_identifier))"""
+
+
+RESEARCH_SELECT = """
 SELECT main_company_identifier,
   CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date THEN 1 ELSE 0 END) AS BIGINT)
     AS total_opps_closed_after_deck_delivered,
@@ -516,6 +520,10 @@ SELECT main_company_identifier,
 FROM unioned GROUP BY main_company_identifier"""
 
 
+def research_sql() -> str:
+    return with_ctes(research_adapters_sql(), research_body()) + RESEARCH_SELECT
+
+
 def incremental_refresh_sql() -> str:
     from sessionlens.plans.catalog import INITIAL_BUILD_UNTIL
     until = f"TIMESTAMP '{INITIAL_BUILD_UNTIL}'"

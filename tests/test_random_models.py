@@ -101,3 +101,69 @@ def test_app_model_random(spark):
     problems, n = compare(got, con, with_ctes(app_body()) + "\nSELECT * FROM combined")
     assert not problems, problems
     assert n > 50
+
+
+def test_link_model_random(spark):
+    from sessionlens.operators.identity import link_identities
+    from sessionlens.plans.oracle import LINK_SELECT, link_identities_body
+    rnd = random.Random(5)
+    accts = [None, "A", "B", "C", "D"]
+
+    def ts_or_null(lo_days, hi_days, null_rate=0.15):
+        if rnd.random() < null_rate:
+            return None
+        return dt.datetime(2022, 6, 1) + dt.timedelta(days=rnd.randrange(lo_days, hi_days))
+
+    tables = {
+        "id_history": (["primary_account_id", "date_created", "primary_reference_number"],
+                       [(rnd.choice(accts), ts_or_null(0, 900, 0.0), rnd.choice([None, "a1", "a2", "a3", "a4"]))
+                        for _ in range(40)]),
+        "primary_accounts": (["primary_account_id"], [(a,) for a in accts if a] * 2),
+        "contact_keys": (["primary_account_id", "reference_number", "date_created"],
+                         [(rnd.choice(accts), rnd.choice(["k1", "k2", "k3"]), ts_or_null(200, 900))
+                          for _ in range(12)]),
+        "emails": (["primary_account_id", "reference_number"],
+                   [(rnd.choice(accts), rnd.choice(["e1", "e2"])) for _ in range(6)]),
+        "app_web_lookup": (["app_user_id", "web_user_id"],
+                           [(rnd.choice(["a1", "a2", "a3", "a5"]), rnd.choice(["w1", "w2", "w3"])) for _ in range(8)]),
+        "web_session_facts": (["user_id", "session_start_time", "first_session_date"],
+                              [(rnd.choice(["w1", "w2", "w3", "w4"]), ts_or_null(300, 900, 0.0), ts_or_null(300, 900))
+                               for _ in range(15)]),
+        "page_views": (["user_id", "utm_source", "utm_term", "session_time", "query", "path"],
+                       [(rnd.choice(["w1", "w2", "w3", "w4", None]), rnd.choice(["sfmc", "app", None]),
+                         rnd.choice(["k1", "k2", "k3", None]), ts_or_null(0, 900, 0.05),
+                         rnd.choice([None, "accountId=A", "x=1&accountId=B&y", "accountId=C%26z", "accountId=",
+                                     "accountId=D&accountId=A", "nothing"]),
+                         rnd.choice(["/custom-smile-plan-3d/x", "/home", None]))
+                        for _ in range(60)]),
+    }
+    ts_cols = {"date_created", "session_start_time", "first_session_date", "session_time"}
+    con, frames = register(spark, {n: ([(c, "timestamp_ntz" if c in ts_cols else "string") for c in cols], rows)
+                                   for n, (cols, rows) in tables.items()})
+    got = link_identities(frames["id_history"], frames["contact_keys"], frames["emails"],
+                          frames["app_web_lookup"], frames["web_session_facts"], frames["page_views"])
+    problems, n = compare(got, con, with_ctes(link_identities_body()) + LINK_SELECT)
+    assert not problems, problems
+    assert n > 10
+
+
+def test_outcomes_random(spark):
+    from sessionlens.plans.models import research_effects
+    from sessionlens.plans.oracle import RESEARCH_SELECT, research_body
+    rnd = random.Random(6)
+    accounts = [(rnd.choice([None, 1, 2, 3, 4]), rnd.randrange(12), "n", "t") for _ in range(20)]
+    opps = [(rnd.choice([None] + list(range(12))), T0 + dt.timedelta(days=rnd.randrange(-30, 30))
+             if rnd.random() > 0.1 else None, rnd.choice([True, False, None]),
+             rnd.choice(["Renewal", "New", "New Logo", "Other", None])) for _ in range(150)]
+    research = [(rnd.choice([None, 1, 2, 3, 5]), (T0 + dt.timedelta(days=rnd.randrange(-20, 20))).date()
+                 if rnd.random() > 0.2 else None) for _ in range(10)]
+    con, frames = register(spark, {
+        "accounts": ([("main_company_identifier", "bigint"), ("account_id", "bigint"),
+                      ("account_name", "string"), ("account_type", "string")], accounts),
+        "opportunities": ([("account_id", "bigint"), ("close_date", "timestamp_ntz"),
+                           ("is_opp_won", "boolean"), ("type", "string")], opps),
+        "research_log": ([("main_company_identifier", "bigint"), ("deck_presented_date", "date")], research),
+    })
+    got = research_effects(frames["accounts"], frames["opportunities"], frames["research_log"])
+    problems, n = compare(got, con, with_ctes(research_body()) + RESEARCH_SELECT)
+    assert not problems, problems
