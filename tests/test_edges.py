@@ -244,3 +244,15 @@ def test_funnel_flags_user_vs_any_on_null_user(spark):
     steps = [("u", "user", ["x"]), ("r", "any", ["x"])]
     out = {r["user_id"]: (r["u"], r["r"]) for r in funnel_flags(sess, ev, steps).collect()}
     assert out == {None: (0, 1), 5: (1, 1)}
+
+
+def test_more_steps_than_one_mask_word(spark):
+    # 70 steps span two 62-bit words; each step fires on its own event name.
+    steps = [(f"s{i}", "any", [f"e{i}"]) for i in range(70)]
+    rows = [("a", f"e{i}") for i in range(0, 70, 3)] + [("b", "e69"), ("b", "e61"), ("b", "e62"), ("c", "zzz")]
+    ev = spark.createDataFrame(rows, "session_id string, event_table_name string")
+    sess = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "session_id string")
+    out = {r["session_id"]: r for r in funnel_flags(sess, ev, steps).collect()}
+    for sid in "abcd":
+        fired = {e for s, e in rows if s == sid}
+        assert [out[sid][f"s{i}"] for i in range(70)] == [int(f"e{i}" in fired) for i in range(70)], sid
