@@ -48,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
         app.add_argument(a, required=True)
     app.add_argument("--unique-sessions", action="store_true",
                      help="sessions has no duplicate rows: skip its DISTINCT shuffle")
+    app.add_argument("--one-row-per-session", action="store_true",
+                     help="keep only the first view time of each session")
     link = sub.add_parser("link", help="app account to web identities")
     for a in ("--id-history", "--contact-keys", "--emails", "--lookup", "--session-facts",
               "--page-views", "--out"):
@@ -79,7 +81,8 @@ def main(argv: Sequence[str] | None = None, spark=None) -> None:
                             lookback_days=args.lookback_days)
     elif args.model == "app":
         write_table(M.app_session_model(read(args.sessions), read(args.events), read(args.links),
-                                        read(args.account_map), args.unique_sessions), args.out)
+                                        read(args.account_map), args.unique_sessions,
+                                        args.one_row_per_session), args.out)
     elif args.model == "link":
         write_table(link_identities(read(args.id_history), read(args.contact_keys), read(args.emails),
                                     read(args.lookup), read(args.session_facts),

@@ -143,13 +143,16 @@ def app_milestones(linked_events: DataFrame) -> DataFrame:
 
 
 def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
-                      account_map: DataFrame, unique_sessions: bool = False) -> DataFrame:
+                      account_map: DataFrame, unique_sessions: bool = False,
+                      one_row_per_session: bool = False) -> DataFrame:
     """App sessions with account, rollup and milestone times.
 
     One row per session and view-event time (the original keeps ``time`` in
-    its session DISTINCT), all rows of a session sharing its surrogate key.
+    its session DISTINCT), all rows of a session sharing its surrogate key;
+    ``one_row_per_session=True`` keeps only the first view time.
     """
-    base = session_base(sessions, events, A.APP_VIEW_EVENTS, unique_sessions=unique_sessions)
+    base = session_base(sessions, events, A.APP_VIEW_EVENTS, unique_sessions=unique_sessions,
+                        one_row_per_session=one_row_per_session)
     linked = linked_app_events(events, links)
     rollup = session_rollup(linked, counts={"CSP_shared_count": A.CSP_SHARED_EVENTS})
     # Both per-user tables (first session, account by the id's text) are

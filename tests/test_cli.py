@@ -34,6 +34,11 @@ def test_cli_models(spark, scratch):
               "--links", paths["app_to_web_links"], "--account-map", paths["app_account_map"],
               "--out", f"{scratch}/out/app"], spark=spark)
     assert spark.read.parquet(f"{scratch}/out/app").count() > 0
+    cli.main(["app", "--sessions", paths["app_sessions"], "--events", paths["app_events"],
+              "--links", paths["app_to_web_links"], "--account-map", paths["app_account_map"],
+              "--one-row-per-session", "--out", f"{scratch}/out/app1"], spark=spark)
+    one = spark.read.parquet(f"{scratch}/out/app1")
+    assert one.count() == one.select("distinct_session_id").distinct().count() > 0
     cli.main(["research", "--accounts", paths["accounts"], "--opportunities", paths["opportunities"],
               "--research-log", paths["research_log"], "--out", f"{scratch}/out/research"], spark=spark)
     assert spark.read.parquet(f"{scratch}/out/research").count() == \
