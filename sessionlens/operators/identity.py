@@ -88,25 +88,33 @@ def link_identities(id_history: DataFrame, contact_keys: DataFrame, emails: Data
                     acs_first, "primary_account_id")
 
     # -- contact key and e-mail per account; the contact key's first date.
-    ck = contact_keys.select("primary_account_id", F.col("reference_number").alias("acs_contact_key"),
-                             F.col("date_created").alias("_ck_date"))
+    # That date is a minimum over the account's contact keys, so it comes
+    # from the contact-key table itself, not from the key x e-mail product
+    # (keys with a NULL account never join, so they are left out).
+    ck = contact_keys.select("primary_account_id", F.col("reference_number").alias("acs_contact_key"))
     em = emails.select("primary_account_id", F.col("reference_number").alias("acs_email"))
-    to_ck = acs.join(ck, "primary_account_id", "left").join(em, "primary_account_id", "left")
-    ck_first = (to_ck.groupBy("primary_account_id")
-                .agg(F.min("_ck_date").alias("acs_contact_key_created_date")))
-    to_ck = join_back(to_ck.drop("_ck_date").distinct(), ck_first, "primary_account_id")
+    ck_first = (contact_keys.where(F.col("primary_account_id").isNotNull())
+                .groupBy("primary_account_id")
+                .agg(F.min("date_created").alias("acs_contact_key_created_date")))
+    to_ck = join_back(acs.join(ck, "primary_account_id", "left").join(em, "primary_account_id", "left")
+                      .distinct(), ck_first, "primary_account_id")
 
     # -- route 1: app id -> web user, with that user's first web session.
+    # The session facts only feed the per-account minimum, so they join the
+    # narrow (account, app id) pairs, not the wide rows; joining them to the
+    # wide rows would only repeat rows that the DISTINCT removes again.
     facts = _distinct_first_session(session_facts, "user_id", "first_session_date")
     lku = app_web_lookup.select(F.col("app_user_id").alias("_app_user"),
                                 F.col("web_user_id").alias("buy_now_user_id"))
-    r1 = (to_ck.join(lku, F.col("acs_user_id") == F.col("_app_user"), "left")
-          .join(facts, F.col("_f_user") == F.col("buy_now_user_id"), "left"))
-    r1_first = (r1.groupBy("primary_account_id")
+    pairs = acs.select("primary_account_id", "acs_user_id").distinct()
+    r1_first = (pairs.join(lku, F.col("acs_user_id") == F.col("_app_user"), "left")
+                .join(facts, F.col("_f_user") == F.col("buy_now_user_id"), "left")
+                .groupBy("primary_account_id")
                 .agg(F.min("_f_first").alias("buy_now_user_first_session_date")))
-    r1 = join_back(r1.select("primary_account_id", "acs_reference_date_created", "acs_user_id",
-                             "acs_email", "acs_contact_key", "acs_contact_key_created_date",
-                             "buy_now_user_id", "_app_user").distinct(),
+    r1 = join_back(to_ck.join(lku, F.col("acs_user_id") == F.col("_app_user"), "left")
+                   .select("primary_account_id", "acs_reference_date_created", "acs_user_id",
+                           "acs_email", "acs_contact_key", "acs_contact_key_created_date",
+                           "buy_now_user_id", "_app_user").distinct(),
                    r1_first, "primary_account_id")
 
     # -- route 2: contact key as utm_term on e-mail page views.
