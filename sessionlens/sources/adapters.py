@@ -127,8 +127,10 @@ def web_sessions(t: Tables) -> DataFrame:
     e = _web_keyed_events(t)
     s = (e.groupBy("session_id", F.col("web_user_id").alias("user_id"))
           .agg(F.min("ts").alias("session_start_time")))
-    first = (s.where(F.col("user_id").isNotNull()).groupBy("user_id")
-              .agg(F.min("session_start_time").alias("user_first_session")))
+    # (No NULL-user filter: a NULL user never matches the join below, and
+    # leaving the filter out keeps this branch identical to the session
+    # aggregate above, so Spark reuses its shuffle instead of rescanning.)
+    first = s.groupBy("user_id").agg(F.min("session_start_time").alias("user_first_session"))
     s = s.join(first, "user_id", "left")
     seed = (F.col("session_id") * 7 + F.minute("session_start_time") * 60
             + F.second("session_start_time"))
