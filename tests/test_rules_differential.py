@@ -100,3 +100,25 @@ def test_url_param_matches_literal_extraction_on_random_strings(spark):
     problems, n = compare(got, con, f"SELECT row_id, {url_param_literal('q', 'accountId=')} AS v FROM urls")
     assert not problems, problems
     assert n == 1000
+
+
+def test_second_boundaries_match_duckdb_on_random_timestamps(spark):
+    import datetime as dt
+
+    from sessionlens.functions.columns import minutes_between, seconds_between
+    rnd = random.Random(12)
+    base = dt.datetime(1969, 12, 31, 23, 0, 0)
+
+    def ts():
+        if rnd.random() < 0.03:
+            return None
+        return base + dt.timedelta(seconds=rnd.randrange(0, 2 * 86400), microseconds=rnd.randrange(0, 10**6))
+
+    rows = [(str(i), ts(), ts()) for i in range(2000)]
+    con, frames = register(spark, {"pairs": ([("row_id", "string"), ("a", "timestamp_ntz"),
+                                              ("b", "timestamp_ntz")], rows)})
+    got = frames["pairs"].select("row_id", seconds_between("a", "b").alias("s"),
+                                 minutes_between("a", "b").alias("m"))
+    sql = "SELECT row_id, date_diff('second', a, b) AS s, date_diff('second', a, b) / 60 AS m FROM pairs"
+    problems, n = compare(got, con, sql)
+    assert not problems, problems
