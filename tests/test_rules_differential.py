@@ -122,3 +122,27 @@ def test_second_boundaries_match_duckdb_on_random_timestamps(spark):
     sql = "SELECT row_id, date_diff('second', a, b) AS s, date_diff('second', a, b) / 60 AS m FROM pairs"
     problems, n = compare(got, con, sql)
     assert not problems, problems
+
+
+def test_surrogate_key_matches_duckdb_md5(spark):
+    import datetime as dt
+
+    from sessionlens.functions.columns import surrogate_key
+    rnd = random.Random(13)
+
+    def ts():
+        r = rnd.random()
+        if r < 0.1:
+            return None
+        micro = rnd.choice([0, 170000, 123456, 500000, 1])
+        return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rnd.randrange(0, 86400 * 30), microseconds=micro)
+
+    rows = [(str(i), rnd.choice([None, rnd.randrange(10**9)]), rnd.choice([None, rnd.randrange(10**6)]), ts())
+            for i in range(1000)]
+    con, frames = register(spark, {"keys": ([("row_id", "string"), ("session_id", "bigint"),
+                                             ("user_id", "bigint"), ("start", "timestamp_ntz")], rows)})
+    got = frames["keys"].select("row_id", surrogate_key("session_id", "user_id", "start").alias("k"))
+    sql = ("SELECT row_id, md5(coalesce(CAST(session_id AS VARCHAR), '') || '-' || coalesce(CAST(user_id AS VARCHAR), '')"
+           " || '-' || coalesce(CAST(start AS VARCHAR), '')) AS k FROM keys")
+    problems, n = compare(got, con, sql)
+    assert not problems, problems
