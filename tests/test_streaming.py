@@ -39,3 +39,26 @@ def test_stream_matches_batch(spark, scratch):
     compacted = read_flags(spark, target).select(cols)
     assert compacted.exceptAll(want).count() == 0 and want.exceptAll(compacted).count() == 0
     assert spark.read.parquet(target).select("_epoch").distinct().count() == 1
+
+
+def test_stream_merges_state_across_batches(spark, scratch):
+    # Both arrivals cover every day, so most sessions get events in both
+    # micro-batches and their flags must be merged through the state.
+    src, target, ckpt = f"{scratch}/source", f"{scratch}/table", f"{scratch}/_checkpoint"
+    events = AD.web_events(Tables(spark, SF_SMALL))
+    odd = F.pmod(F.second("time"), F.lit(2)) == 1
+    kw = dict(allow_list=S.SITE_EVENT_ALLOW_LIST, portal=S.PORTAL)
+    events.where(~odd).write.parquet(f"{src}/part=1")
+    q = start_flags_stream(spark, f"{src}/*", events.schema, target, ckpt, S.SITE_STEPS,
+                           watermark="100 days", **kw)
+    q.awaitTermination()
+    events.where(odd).write.parquet(f"{src}/part=2")
+    q = start_flags_stream(spark, f"{src}/*", events.schema, target, ckpt, S.SITE_STEPS,
+                           watermark="100 days", **kw)
+    q.awaitTermination()
+    got = read_flags(spark, target)
+    want = session_step_flags(events, S.SITE_STEPS, **kw)
+    cols = sorted(want.columns)
+    got, want = got.select(cols), want.select(cols)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
