@@ -21,29 +21,21 @@ from sessionlens.functions.columns import first_time, last_time, minutes_between
 Milestone = tuple[str, str, Sequence[str]]
 
 
-def _linked_view(cond: Column, t: Column, link: Column, last: bool) -> Column:
-    """First/last of coalesce(time, link) in time order with NULL times last."""
-    timed = F.max(F.when(cond, t)) if last else F.min(F.when(cond, t))
-    untimed_cond = cond & t.isNull()
-    untimed = F.max(F.when(untimed_cond, link)) if last else F.min(F.when(untimed_cond, link))
-    # NULL-time rows sort last: they win "last" and only fill in for "first".
-    return F.coalesce(untimed, timed) if last else F.coalesce(timed, untimed)
+def _agg(fn: str, col: Column) -> Column:
+    return F.max(col) if fn == "max" else F.min(col)
 
 
-def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "session_id",
-               time_col: str = "event_time", name_col: str = "event_table_name",
-               link_time_col: str | None = None, linked_events: Sequence[str] = ()) -> DataFrame:
-    """One row per ``by`` with one column per milestone spec.
+def milestone_partials(specs: Sequence[Milestone], *, time_col: str = "event_time",
+                       name_col: str = "event_table_name", link_time_col: str | None = None,
+                       linked_events: Sequence[str] = ()) -> list[Column]:
+    """Aggregate columns for the time milestones (not "last_name").
 
-    kinds: "first"/"last" time of a matching event; "csp_first"/"csp_last"
-    the same over matching events *or* ``linked_events`` rows whose
-    ``link_time_col`` is set, valued coalesce(time, link time); "last_name"
-    the name of the last event (NULL times last, ties to the larger name).
+    A linked-view milestone keeps its timed and NULL-time parts apart
+    (``<out>__t`` / ``<out>__u``); ``finish_partials`` combines them.
     """
     name = F.col(name_col)
     t = F.col(time_col)
     aggs = []
-    name_outs = []
     for out, kind, evs in specs:
         cond = name.isin(list(evs))
         if kind == "first":
@@ -55,27 +47,64 @@ def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "sess
                 raise ValueError(f"{out}: {kind} needs link_time_col")
             link = F.col(link_time_col)
             c = cond | (name.isin(list(linked_events)) & link.isNotNull())
-            aggs.append(_linked_view(c, t, link, last=(kind == "csp_last")).alias(out))
-        elif kind == "last_name":
-            name_outs.append(out)
-        else:
+            fn = "max" if kind == "csp_last" else "min"
+            aggs.append(_agg(fn, F.when(c, t)).alias(f"{out}__t"))
+            aggs.append(_agg(fn, F.when(c & t.isNull(), link)).alias(f"{out}__u"))
+        elif kind != "last_name":
             raise ValueError(f"unknown milestone kind {kind!r}")
-    # Time milestones have fixed-width buffers: hash aggregation.  (Short
-    # IN lists cost about the same as a broadcast name lookup here, measured
-    # on 3.3M events, so the lists are tested directly.)
-    times = events.groupBy(by).agg(*aggs) if aggs else events.select(by).distinct()
-    if not name_outs:
-        return times
-    # A string-valued aggregate forces sort-based aggregation.  Keep it off
-    # the event rows: a hash aggregate first reduces events to one row per
-    # (key, event name) holding the latest time as a fixed-width number
-    # (NULL time = largest, as NULL times sort last); only those few rows
-    # per session reach the sort-based max_by, whose ties on time go to
-    # the larger name.
+    return aggs
+
+
+def finish_partials(df: DataFrame, specs: Sequence[Milestone], by: str) -> DataFrame:
+    """Final milestone columns from partials: a linked view takes its timed
+    part, except that NULL-time rows sort last and so win "last"."""
+    cols = [F.col(by)]
+    for out, kind, _ in specs:
+        if kind in ("first", "last"):
+            cols.append(F.col(out))
+        elif kind == "csp_first":
+            cols.append(F.coalesce(f"{out}__t", f"{out}__u").alias(out))
+        elif kind == "csp_last":
+            cols.append(F.coalesce(f"{out}__u", f"{out}__t").alias(out))
+    return df.select(*cols)
+
+
+def last_event_names(events: DataFrame, outs: Sequence[str], *, by: str = "session_id",
+                     time_col: str = "event_time", name_col: str = "event_table_name") -> DataFrame:
+    """Name of the last event per key (NULL times last, ties to the larger name).
+
+    A string-valued aggregate forces sort-based aggregation.  Keep it off the
+    event rows: a hash aggregate first reduces events to one row per (key,
+    event name) holding the latest time as a fixed-width number (NULL time =
+    largest); only those few rows per key reach the sort-based max_by.
+    """
+    name = F.col(name_col)
+    t = F.col(time_col)
     order = F.when(t.isNull(), F.lit(2**63 - 1)).otherwise(_epoch_micros(t))
     per_name = events.groupBy(by, name).agg(F.max(order).alias("_last_t"))
-    names = per_name.groupBy(by).agg(
-        *[F.max_by(name, F.struct("_last_t", name)).alias(o) for o in name_outs])
+    return per_name.groupBy(by).agg(*[F.max_by(name, F.struct("_last_t", name)).alias(o) for o in outs])
+
+
+def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "session_id",
+               time_col: str = "event_time", name_col: str = "event_table_name",
+               link_time_col: str | None = None, linked_events: Sequence[str] = ()) -> DataFrame:
+    """One row per ``by`` with one column per milestone spec.
+
+    kinds: "first"/"last" time of a matching event; "csp_first"/"csp_last"
+    the same over matching events *or* ``linked_events`` rows whose
+    ``link_time_col`` is set, valued coalesce(time, link time); "last_name"
+    the name of the last event (NULL times last, ties to the larger name).
+    Time milestones are one hash aggregate (fixed-width buffers).
+    """
+    time_specs = [sp for sp in specs if sp[1] != "last_name"]
+    name_outs = [out for out, kind, _ in specs if kind == "last_name"]
+    aggs = milestone_partials(time_specs, time_col=time_col, name_col=name_col,
+                              link_time_col=link_time_col, linked_events=linked_events)
+    times = (finish_partials(events.groupBy(by).agg(*aggs), time_specs, by) if aggs
+             else events.select(by).distinct())
+    if not name_outs:
+        return times
+    names = last_event_names(events, name_outs, by=by, time_col=time_col, name_col=name_col)
     out = times.join(names, by, "left")
     return out.select(by, *[o for o, _, _ in specs])
 
