@@ -91,3 +91,24 @@ def test_hot_user_identity_join(spark, skew_conf):
         assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_hot_campaign_lookup(spark, skew_conf):
+    from sessionlens.operators.classify import campaign_intent
+    from sessionlens.plans import site_config as S
+    t = Tables(spark, SF_SMALL)
+    s = (AD.web_sessions(t).select("distinct_session_id", "utm_campaign")
+         .withColumn("_rid", F.monotonically_increasing_id()))
+    # A third of the sessions carry one campaign.
+    s = s.withColumn("utm_campaign", F.when(F.pmod(F.col("_rid"), F.lit(3)) == 0, F.lit("rtg"))
+                     .otherwise(F.col("utm_campaign"))).drop("_rid").repartition(8).cache()
+    out = campaign_intent(s, s, S.RETARGETING_CAMPAIGNS)
+    plan = _final_plan(out)
+    assert "SortMergeJoin" in plan and "skew=true" in plan, plan
+    got = {r["distinct_session_id"]: r["ad_intention"] for r in out.collect()}
+    raw = {r[0] for r in s.select("utm_campaign").distinct().collect() if r[0] is not None}
+    for r in s.collect():
+        c = r["utm_campaign"]
+        want = None if c is None or c not in raw else (
+            "retargeting" if c.lower() in S.RETARGETING_CAMPAIGNS else "prospecting")
+        assert got[r["distinct_session_id"]] == want
