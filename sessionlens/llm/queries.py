@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import exact_dedup, mixing, sharding
+from sessionlens.llm import exact_dedup, language, mixing, packing, sharding
 from sessionlens.llm.common import read_table
 
 #: Shards of op10, all of one weight.
 SHARDS = 16
+#: Token ids of op2.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +26,13 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("text_md5", "source")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op8_mix_sources, op10_rendezvous_shards)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op7_exact_dedup, op8_mix_sources, op9_language_id,
+                                    op10_rendezvous_shards)}
