@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,19 +19,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; on one machine without that setting, one of its own."""
+    fallback = None
+    if spark.sparkContext.master.startswith("local["):
+        fallback = os.path.join(tempfile.gettempdir(), "sessionlens-checkpoints")
+    return checkpoint_dir(spark, fallback).rstrip("/")
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there.
 
-    The folder is the one that ``spark.checkpoint.dir`` names, so rows that an
-    executor wrote outlive that executor.  Only where the setting is absent
-    (local tests) a folder of this machine is installed.
+    Rows that an executor wrote there outlive that executor.
     """
-    spark = df.sparkSession
-    fallback = None
-    if spark.sparkContext.master.startswith("local["):
-        import tempfile
-        fallback = os.path.join(tempfile.gettempdir(), "sessionlens-checkpoints")
-    checkpoint_dir(spark, fallback)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import exact_dedup, language, mixing, packing, sharding
+from sessionlens.llm import exact_dedup, language, mixing, near_join, packing, sharding
 from sessionlens.llm.common import read_table
 
 #: Shards of op10, all of one weight.
@@ -18,6 +18,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_groups(read_table(spark, sf_dir, "documents")).drop("rec", "class_rec")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -34,5 +38,5 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op7_exact_dedup, op8_mix_sources, op9_language_id,
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_near_copies, op7_exact_dedup, op8_mix_sources, op9_language_id,
                                     op10_rendezvous_shards)}
