@@ -28,7 +28,7 @@ from sessionlens.llm.common import (WORD, buckets_for, empty_if_null, free_name,
 #: A source is taken so many times at most.
 MOST_EPOCHS = 3
 #: Rows of a source that are summed in one task.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 4096
 
 
 def word_count(text: Column) -> Column:

@@ -22,7 +22,7 @@ from sessionlens.llm.common import (buckets_for, empty_if_null, hex_bucket, mate
                                     with_running_total)
 
 #: Rows of a shard that are numbered in one task.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 4096
 
 
 def record_key(id_col: str, text_col: str) -> Column:
