@@ -69,3 +69,49 @@ FROM placed
 """
 
 ORACLE = {"op7_exact_dedup": OP7, "op8_mix_sources": OP8}
+
+
+def _license_sql() -> str:
+    """Every block against every template, without any filter."""
+    from sessionlens.llm.license_scan import BLOCK, CONTAINMENT, LOWER, PHRASES, STEP, TEMPLATES, UPPER
+
+    def listed(text: str) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in text.split()) + "]"
+
+    phrases = ", ".join(f"({listed(p)}, '{label}')" for p, label in PHRASES.items())
+    templates = ", ".join(f"({listed(t)}, '{label}')" for t, label in TEMPLATES.items())
+    return rf"""
+WITH phrases(phrase, label) AS (VALUES {phrases}),
+templates(own, label) AS (SELECT list_distinct(t), l FROM (VALUES {templates}) AS v(t, l)),
+docs AS (
+    SELECT row_number() OVER () AS row_no, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+places AS (
+    SELECT row_no, label, unnest(list_filter(range(len(words) - len(phrase) + 1),
+                                             lambda i: words[i + 1:i + len(phrase)] = phrase)) AS place
+    FROM docs, phrases WHERE len(words) >= len(phrase)),
+base AS (
+    SELECT row_no, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+           list(DISTINCT label) AS labels
+    FROM places GROUP BY row_no),
+blocks AS (
+    SELECT row_no, list_distinct(words[start + 1:start + {BLOCK}]) AS block
+    FROM (SELECT row_no, words, unnest(range(0, len(words), {STEP})) AS start FROM docs)),
+shares AS (
+    SELECT row_no, label, len(list_intersect(own, block)) / len(own)::DOUBLE AS share,
+           len(list_intersect(own, block)) >= ceil({CONTAINMENT} * len(own) - 1e-9) AS enough
+    FROM blocks, templates),
+own AS (
+    SELECT row_no, max(share) AS share, list(DISTINCT label) AS labels FROM shares WHERE enough GROUP BY row_no)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []),
+                                                                    coalesce(own.labels, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM docs LEFT JOIN base USING (row_no) LEFT JOIN own USING (row_no)
+"""
+
+
+ORACLE["op5_license_scan"] = _license_sql()
