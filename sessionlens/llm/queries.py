@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sessionlens.llm import (exact_dedup, language, license_scan, lz_dedup, mixing, near_join, packing, sharding,
-                             suffix_dedup)
+from sessionlens.llm import (exact_dedup, language, license_scan, lz_dedup, mixing, near_join, neighbours, packing,
+                             sharding, suffix_dedup)
 from sessionlens.llm.common import read_table
 
 #: Shards of op10, all of one weight.
@@ -27,6 +28,10 @@ def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.near_groups(read_table(spark, sf_dir, "documents")).drop("rec", "class_rec")
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
@@ -51,5 +56,5 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_near_copies, op5_license_scan, op6_lz_dedup, op7_exact_dedup, op8_mix_sources, op9_language_id,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_near_copies, op4_nn_descent, op5_license_scan, op6_lz_dedup, op7_exact_dedup, op8_mix_sources, op9_language_id,
                                     op10_rendezvous_shards)}
