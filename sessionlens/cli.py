@@ -5,14 +5,11 @@
     python -m sessionlens.cli link     --id-history P --contact-keys P --emails P --lookup P \\
                                        --session-facts P --page-views P --out P
     python -m sessionlens.cli research --accounts P --opportunities P --research-log P --out P
-    python -m sessionlens.cli stream-flags --source DIR --out DIR --checkpoint DIR [--continuous]
 
 ``site`` is incremental: the first run builds the table (partitioned by
 ``DATE``); later runs rebuild from the high-water mark and replace only
-the recent partitions.  ``stream-flags`` keeps per-session step flags of
-the site model current from arriving event files (Structured Streaming;
-by default it processes what is available and stops).  The other models
-replace their table.  The inputs must have the columns the models read (see FIXTURES.md part A).  Spark
+the recent partitions.  The other models replace their table; the table
+that ``link`` writes is what ``app --links`` reads.  The inputs must have the columns the models read (see FIXTURES.md part A).  Spark
 settings come from spark-submit / the cluster; ``--shuffle-bytes`` sizes
 shuffle partitions with ``session.scale_settings``.
 """
@@ -25,10 +22,8 @@ from collections.abc import Sequence
 from sessionlens.operators.identity import link_identities
 from sessionlens.operators.refresh import refresh_partitioned
 from sessionlens.plans import models as M
-from sessionlens.plans import site_config as S
 from sessionlens.session import get_spark, scale_settings
 from sessionlens.sources.sinks import write_table
-from sessionlens.streaming.session_flags import start_flags_stream
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -57,11 +52,6 @@ def _parser() -> argparse.ArgumentParser:
     research = sub.add_parser("research", help="outcomes after research presentations")
     for a in ("--accounts", "--opportunities", "--research-log", "--out"):
         research.add_argument(a, required=True)
-    stream = sub.add_parser("stream-flags", help="site step flags from arriving event files")
-    for a in ("--source", "--out", "--checkpoint"):
-        stream.add_argument(a, required=True)
-    stream.add_argument("--watermark", default="1 day")
-    stream.add_argument("--continuous", action="store_true")
     return p
 
 
@@ -87,15 +77,9 @@ def main(argv: Sequence[str] | None = None, spark=None) -> None:
         write_table(link_identities(read(args.id_history), read(args.contact_keys), read(args.emails),
                                     read(args.lookup), read(args.session_facts),
                                     read(args.page_views)), args.out)
-    elif args.model == "research":
+    else:
         write_table(M.research_effects(read(args.accounts), read(args.opportunities),
                                        read(args.research_log)), args.out)
-    else:
-        schema = read(args.source).schema
-        query = start_flags_stream(spark, args.source, schema, args.out, args.checkpoint, S.SITE_STEPS,
-                                   allow_list=S.SITE_EVENT_ALLOW_LIST, portal=S.PORTAL,
-                                   watermark=args.watermark, available_now=not args.continuous)
-        query.awaitTermination()
 
 
 if __name__ == "__main__":

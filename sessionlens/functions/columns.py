@@ -59,7 +59,7 @@ def url_param(query: str | Column, key: str) -> Column:
     pos = F.locate(key, q)
     # Text after the first occurrence (substring_index(.., -1) would take
     # the text after the last one).
-    after = q.substr(pos + F.lit(len(key)), F.lit(1 << 30))
+    after = q.substr(pos + F.lit(len(key)), F.char_length(q))
     value = (F.when(after.contains("&"), F.substring_index(after, "&", 1))
              .when(after.contains("%"), F.substring_index(after, "%", 1))
              .otherwise(after))

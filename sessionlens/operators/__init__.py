@@ -10,6 +10,6 @@ from sessionlens.operators.joins import join_per_key, spread_key  # noqa: F401
 from sessionlens.operators.milestones import milestone_durations, milestones  # noqa: F401
 from sessionlens.operators.outcomes import outcomes_after, research_measures  # noqa: F401
 from sessionlens.operators.refresh import (  # noqa: F401
-    high_water_mark, incremental_refresh, merge_by_key, refresh_partitioned, refresh_table,
+    high_water_mark, incremental_refresh, merge_by_key, latest_partition, refresh_partitioned,
 )
 from sessionlens.operators.sessions import first_seen, session_base, session_rollup  # noqa: F401

@@ -31,7 +31,8 @@ def spread_key(df: DataFrame, keys: Sequence[str]) -> Column:
     for k in keys:
         term = F.col(k).isNull()
         any_null = term if any_null is None else (any_null | term)
-    hashable = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]  # xxhash64 rejects maps
+    # xxhash64 rejects maps, at any depth; their JSON text stands for them.
+    hashable = [F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in df.dtypes]
     return F.when(any_null, F.xxhash64(*hashable)).otherwise(F.xxhash64(*keys))
 
 

@@ -105,7 +105,9 @@ def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "sess
     if not name_outs:
         return times
     names = last_event_names(events, name_outs, by=by, time_col=time_col, name_col=name_col)
-    out = times.join(names, by, "left")
+    # Null-safe: rows without a key form one group, as they do in the aggregates.
+    named = names.withColumnRenamed(by, "_named")
+    out = times.join(named, F.col(by).eqNullSafe(F.col("_named")), "left")
     return out.select(by, *[o for o, _, _ in specs])
 
 

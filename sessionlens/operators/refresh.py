@@ -4,22 +4,22 @@ A run rebuilds only rows newer than the target's high-water mark minus a
 lookback, then replaces target rows by key: rows of the target whose key
 appears in the batch are dropped (all of them, delete+insert semantics, so
 a key repeated in the batch keeps every batch row) and the batch is
-appended.  Without a table format providing MERGE, the result is written as
-a new version directory and a small pointer file is switched afterwards, so
-readers never see a half-written table and a failed run leaves the
-previous version intact (a re-run simply writes the next version).
+appended.  A stored table is partitioned by date; a run stages the recent
+partitions in the shared folder and replaces them by Spark's dynamic
+partition overwrite, so a run that fails can be repeated.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_CURRENT"
-
+#: Name of the folder that holds rows without a date.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 def high_water_mark(target: DataFrame | None, date_col: str, lookback_days: int = 1):
     """max(date_col) - lookback days (one scalar to the driver), or None
@@ -46,7 +46,7 @@ def incremental_refresh(build: Callable[[object], DataFrame], target: DataFrame
     return merge_by_key(target, build(bound), key)
 
 
-# -------------------------------------------------------- versioned storage
+# ------------------------------------------------ partition-scoped refresh
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -54,60 +54,16 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def current_version(spark: SparkSession, base: str) -> str | None:
-    """Path of the live version under ``base`` (None before the first run)."""
-    fs, _ = _fs(spark, base)
-    ptr = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTER}")
-    if not fs.exists(ptr):
+def latest_partition(spark: SparkSession, path: str, date_col: str) -> _dt.date | None:
+    """The largest date among the partition folders of a table (no file is read)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         return None
-    stream = fs.open(ptr)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream))
-        name = reader.readLine()
-    finally:
-        stream.close()
-    return f"{base.rstrip('/')}/{name.strip()}" if name else None
-
-
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    path = current_version(spark, base)
-    return spark.read.parquet(path) if path else None
-
-
-def _switch(spark: SparkSession, base: str, version_name: str) -> None:
-    fs, _ = _fs(spark, base)
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    tmp = Path(f"{base.rstrip('/')}/{POINTER}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(version_name.encode("utf-8")))
-    finally:
-        out.close()
-    final = Path(f"{base.rstrip('/')}/{POINTER}")
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(tmp, final)
-
-
-def refresh_table(spark: SparkSession, base: str, build: Callable[[object], DataFrame],
-                  key: str, date_col: str, lookback_days: int = 1,
-                  partition_by: str | None = None) -> str:
-    """Run one refresh of the table stored under ``base``; returns the new
-    version path.  The new version is fully written (its lineage ends at
-    the files) before the pointer moves."""
-    target = read_current(spark, base)
-    result = incremental_refresh(build, target, key, date_col, lookback_days)
-    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    name = f"v={stamp}"
-    writer = result.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{base.rstrip('/')}/{name}")
-    _switch(spark, base, name)
-    return f"{base.rstrip('/')}/{name}"
-
+    prefix = f"{date_col}="
+    names = [status.getPath().getName() for status in fs.listStatus(p) if status.isDirectory()]
+    dates = [n[len(prefix):] for n in names if n.startswith(prefix) and n != prefix + NULL_PARTITION]
+    return max(map(_dt.date.fromisoformat, dates), default=None)
 
-# ------------------------------------------------ partition-scoped refresh
 
 def refresh_partitioned(spark: SparkSession, path: str, build: Callable[[object], DataFrame],
                         key: str, date_col: str, lookback_days: int = 1,
@@ -120,35 +76,26 @@ def refresh_partitioned(spark: SparkSession, path: str, build: Callable[[object]
     change.  Those partitions are read (partition pruning), merged with the
     batch by key, staged in the shared checkpoint folder (the target cannot
     be overwritten while it is being read) and swapped in with dynamic
-    partition overwrite.  Older partitions are never read or written, so a
-    run costs the batch plus the recent partitions, not the whole table.
+    partition overwrite.  The bound comes from the names of the partition
+    folders, so older partitions are never read or written and a run costs
+    the batch plus the recent partitions, not the whole table.
     The bound's own midnight partition keeps target rows that the batch
     does not replace (a row starting exactly at the bound is not rebuilt).
     """
     from sessionlens.session import checkpoint_dir
 
-    fs, p = _fs(spark, path)
-    target = spark.read.parquet(path) if fs.exists(p) else None
-    bound = high_water_mark(target, date_col, lookback_days)
-    if bound is None:
+    latest = latest_partition(spark, path, date_col)
+    if latest is None:
         build(None).write.mode("overwrite").partitionBy(date_col).parquet(path)
         return
-    batch = build(bound)
+    bound = latest - _dt.timedelta(days=lookback_days)
+    target = spark.read.parquet(path)
     recent = target.where(F.col(date_col) >= F.lit(bound))
-    merged = merge_by_key(recent, batch.select(*recent.columns), key)
+    merged = merge_by_key(recent, build(bound).select(*recent.columns), key)
     root = staging_root or checkpoint_dir(spark)
-    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    staging = f"{root.rstrip('/')}/refresh-staging-{stamp}"
+    staging = f"{root.rstrip('/')}/refresh-staging-{uuid.uuid4().hex}"
     merged.write.mode("errorifexists").partitionBy(date_col).parquet(staging)
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (spark.read.parquet(staging).select(*target.columns)
-         .write.mode("overwrite").partitionBy(date_col).parquet(path))
-    finally:
-        if previous is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    sfs, sp = _fs(spark, staging)
-    sfs.delete(sp, True)
+    (spark.read.parquet(staging).select(*target.columns)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+    staged_fs, staged = _fs(spark, staging)
+    staged_fs.delete(staged, True)

@@ -35,11 +35,12 @@ def session_base(sessions: DataFrame, events: DataFrame, view_events: Iterable[s
                                                 "device_type", "country", "region", "city", "ip"),
                  time_col: str = "time", name_col: str = "event_table_name",
                  key_col: str = "distinct_session_id",
+                 hashed: Sequence[str] = ("session_id", "user_id", "session_start_time"),
                  one_row_per_session: bool = False, unique_sessions: bool = False) -> DataFrame:
     """Sessions that have at least one view event.
 
     One row per session and distinct view-event time, all sharing the
-    session's surrogate key md5(session_id-user_id-session_start_time):
+    session's surrogate key, the md5 of its ``hashed`` columns joined by '-':
     the original filters the right side of a left join, which makes it an
     inner join, and keeps ``time`` in its DISTINCT list.
 
@@ -59,12 +60,11 @@ def session_base(sessions: DataFrame, events: DataFrame, view_events: Iterable[s
         ev = views.groupBy(*keys).agg(F.min(time_col).alias(time_col))
     else:
         ev = views.select(*keys, time_col).distinct()
-    sess = sessions.select(*keys, *[c for c in session_cols if c not in keys])
+    kept = [c for c in session_cols if c not in keys]
+    sess = sessions.select(*keys, *kept)
     if not unique_sessions:
         sess = sess.distinct()
     joined = sess.join(ev, list(keys), "inner")
     return joined.select(
-        "user_id", "session_id",
-        surrogate_key("session_id", "user_id", "session_start_time").alias(key_col),
-        time_col, *session_cols,
+        *keys, surrogate_key(*hashed).alias(key_col), time_col, *kept,
     )

@@ -7,6 +7,10 @@ twin of each entry is ``oracle.oracle_queries()[key]``.
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +22,20 @@ from sessionlens.operators.funnel import (
 )
 from sessionlens.operators.identity import link_identities
 from sessionlens.operators.milestones import milestones
-from sessionlens.operators.refresh import incremental_refresh
+from sessionlens.operators.refresh import latest_partition, merge_by_key, refresh_partitioned
 from sessionlens.operators.sessions import first_seen, session_base, session_rollup
 from sessionlens.plans import app_config as A
 from sessionlens.plans import models as M
 from sessionlens.plans import site_config as S
+from sessionlens.session import checkpoint_dir
 from sessionlens.sources import adapters as AD
 from sessionlens.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# First run of the incremental model covers sessions before this instant;
-# the refresh then rebuilds from the target's high-water mark.
-INITIAL_BUILD_UNTIL = "2024-01-20 00:00:00"
+# The refresh queries build the table without the last days of the data, then
+# refresh it from its own high-water mark.
+REFRESHED_DAYS = 10
 
 URL_PARAMS = ["page=", "ref=", "utm_source="]
 
@@ -136,8 +141,8 @@ def q_first_seen(spark, sf):
 
 def q_milestones(spark, sf):
     ev = _linked(spark, sf).select("session_id", F.col("time").alias("event_time"),
-                                   "event_table_name", "account_id_web_user_first_session")
-    return milestones(ev, A.MILESTONES, link_time_col="account_id_web_user_first_session",
+                                   "event_table_name", "account_id_user_first_session")
+    return milestones(ev, A.MILESTONES, link_time_col="account_id_user_first_session",
                       linked_events=A.CONTACT_INFO_EVENTS)
 
 
@@ -152,19 +157,57 @@ def q_app_session_model(spark, sf):
                                AD.app_account_map(t))
 
 
+def q_linked_app_session_model(spark, sf):
+    """The app model reading the linking model's output; app users carry that model's ids."""
+    t = Tables(spark, sf)
+    links = q_link_identities(spark, sf)
+    named = F.concat(F.lit("app-"), F.col("user_id").cast("string"))
+    accounts = AD.app_account_map(t).withColumn("reference_number", F.concat(F.lit("app-"), "reference_number"))
+    return M.app_session_model(AD.app_sessions(t).withColumn("user_id", named),
+                               AD.app_events(t).withColumn("user_id", named), links, accounts)
+
+
 def q_outcomes_after(spark, sf):
     t = Tables(spark, sf)
     return M.research_effects(AD.accounts(t), AD.opportunities(t), AD.research_log(t))
 
 
+def _early(sessions, events):
+    """Sessions and events before the last REFRESHED_DAYS days of the data."""
+    last = sessions.agg((F.max("session_start_time") - F.make_interval(days=F.lit(REFRESHED_DAYS))).alias("t"))
+    until = F.lit(last.first()["t"]).cast("timestamp_ntz")
+    return sessions.where(F.col("session_start_time") < until), events.where(F.col("time") < until)
+
+
 def q_incremental_refresh(spark, sf):
-    """Site model built up to INITIAL_BUILD_UNTIL, then refreshed from the
-    target's own high-water mark (one day lookback) with all data."""
+    """Site model of the early data, then refreshed with all data from the
+    target's own high-water mark (one day lookback).  The target is written
+    once, so the bound and the merge read files, not its plan."""
     s, e = _web(spark, sf)
-    until = F.lit(INITIAL_BUILD_UNTIL).cast("timestamp_ntz")
-    target = M.site_model(s.where(F.col("session_start_time") < until), e.where(F.col("time") < until))
-    return incremental_refresh(lambda bound: M.site_model(s, e, bound), target,
-                               key="distinct_session_id", date_col="DATE", lookback_days=1)
+    path = f"{_shared_folder(spark)}/refresh-target-{uuid.uuid4().hex}"
+    M.site_model(*_early(s, e)).write.partitionBy("DATE").parquet(path)
+    bound = latest_partition(spark, path, "DATE") - dt.timedelta(days=1)
+    target = spark.read.parquet(path)
+    batch = M.site_model(s, e, bound)
+    return merge_by_key(target.select(*batch.columns), batch, "distinct_session_id")
+
+
+def q_stored_refresh(spark, sf):
+    """The same on a stored table: written, refreshed in place by partition, read back."""
+    s, e = _web(spark, sf)
+    path = f"{_shared_folder(spark)}/site-{uuid.uuid4().hex}"
+    for sessions, events in (_early(s, e), (s, e)):
+        refresh_partitioned(spark, path, lambda bound, s=sessions, e=events: M.site_model(s, e, bound),
+                            key="distinct_session_id", date_col="DATE",
+                            staging_root=_shared_folder(spark))
+    return spark.read.parquet(path)
+
+
+def _shared_folder(spark):
+    """The cluster's checkpoint folder; on one machine without that setting, one of its own."""
+    local = spark.sparkContext.master.startswith("local[")
+    fallback = os.path.join(tempfile.gettempdir(), "sessionlens-checkpoints") if local else None
+    return checkpoint_dir(spark, fallback).rstrip("/")
 
 
 QUERIES: dict[str, Query] = {
@@ -186,6 +229,8 @@ QUERIES: dict[str, Query] = {
     "milestones": q_milestones,
     "milestone_durations": q_milestone_durations,
     "app_session_model": q_app_session_model,
+    "linked_app_session_model": q_linked_app_session_model,
     "outcomes_after": q_outcomes_after,
     "incremental_refresh": q_incremental_refresh,
+    "stored_refresh": q_stored_refresh,
 }

@@ -120,23 +120,23 @@ def app_event_filter(events: DataFrame, name_col: str = "event_table_name") -> D
 
 def simplified_links(links: DataFrame) -> DataFrame:
     """Distinct app-to-web links that carry a web identity."""
-    return (links.select("primary_account_id", "account_id_web_user", "acs_app_user_id",
-                         "account_id_web_user_first_session")
-            .where(F.col("account_id_web_user").isNotNull()).distinct())
+    return (links.select("primary_account_id", "account_id_user", "acs_user_id",
+                         "account_id_user_first_session")
+            .where(F.col("account_id_user").isNotNull()).distinct())
 
 
 def linked_app_events(events: DataFrame, links: DataFrame) -> DataFrame:
     """App events with the links whose first web session came later."""
     return bounded_identity_join(app_event_filter(events), simplified_links(links),
-                                 event_key="user_id", link_key="acs_app_user_id",
-                                 time_col="time", bound_col="account_id_web_user_first_session")
+                                 event_key="user_id", link_key="acs_user_id",
+                                 time_col="time", bound_col="account_id_user_first_session")
 
 
 def app_milestones(linked_events: DataFrame) -> DataFrame:
     """C3 + C4 over linked app events: one row per session id."""
     ev = linked_events.select("session_id", F.col("time").alias("event_time"), "event_table_name",
-                              "account_id_web_user_first_session")
-    ms = milestones(ev, A.MILESTONES, link_time_col="account_id_web_user_first_session",
+                              "account_id_user_first_session")
+    ms = milestones(ev, A.MILESTONES, link_time_col="account_id_user_first_session",
                     linked_events=A.CONTACT_INFO_EVENTS)
     return milestone_durations(ms, A.DURATIONS, valid_after=A.SCAN_END,
                                order=A.MILESTONE_OUTPUT_ORDER, keep=["session_id"])

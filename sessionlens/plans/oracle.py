@@ -1,13 +1,13 @@
-"""DuckDB oracle SQL: the adapters and the models in the *literal* shape.
-
-The Spark side runs the shaped plans (pre-aggregation, aggregates instead
-of windows + DISTINCT, one distinct instead of two); these queries keep the
-original shapes (join then COUNT(DISTINCT)/SUM(CASE), windows followed by
-DISTINCT, position/substring parsing), so a match on the driver's data
-checks each rewrite.  Rule tables, step lists and gates are rendered from
-the same configuration the Spark side uses.
+"""DuckDB oracle SQL: the adapters, and the models restated from their meaning.
+
+Nothing here follows the shape of the Spark plans.  A session's events become
+one list of names and flags are membership tests on it; first and last times
+are filtered aggregates; optional matches are a union of what matches and what
+has no match; pairs of dates are counted by scalar subqueries.  Rule tables,
+step lists and gates are rendered from the configuration the Spark side uses.
 """
 
+
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -97,13 +97,13 @@ app_account_map AS (
   FROM customer),
 app_to_web_links AS (
   SELECT {acct('u.user_id')} AS primary_account_id,
-         'web-' || CAST(u.user_id AS VARCHAR) AS account_id_web_user,
-         CAST(u.user_id AS VARCHAR) AS acs_app_user_id,
-         u.first_ts + to_days(CAST(o.days AS INTEGER)) AS account_id_web_user_first_session
-  FROM (SELECT user_id, min(ts) AS first_ts FROM events GROUP BY 1) u
-  JOIN customer c ON u.user_id = c.c_custkey
-  CROSS JOIN LATERAL (SELECT unnest(CASE WHEN c.c_mktsegment = 'BUILDING' THEN [10, 20] ELSE [10] END) AS days) o
-  WHERE c.c_acctbal >= 0)"""
+         CASE WHEN u.first_ts IS NOT NULL THEN 'web-' || CAST(u.user_id AS VARCHAR) END AS account_id_user,
+         CAST(u.user_id AS VARCHAR) AS acs_user_id,
+         u.first_ts + to_days(CAST(o.days AS INTEGER)) AS account_id_user_first_session
+  FROM (SELECT c_custkey AS user_id, c_mktsegment,
+               CASE WHEN c_acctbal >= 0 THEN (SELECT min(ts) FROM events WHERE user_id = c_custkey) END AS first_ts
+        FROM customer) u
+  CROSS JOIN LATERAL (SELECT unnest(CASE WHEN u.c_mktsegment = 'BUILDING' THEN [10, 20] ELSE [10] END) AS days) o)"""
 
 
 def identity_adapters_sql() -> str:
@@ -120,8 +120,9 @@ contact_keys AS (
          TIMESTAMP '2023-01-01 00:00:00' + to_days(CAST((c_custkey * 3) % 500 AS INTEGER)) AS date_created
   FROM customer),
 emails AS (
-  SELECT {acct('c_custkey')} AS primary_account_id, 'e-' || CAST(c_custkey AS VARCHAR) AS reference_number
-  FROM customer WHERE c_acctbal > 0),
+  SELECT {acct('c_custkey')} AS primary_account_id,
+         CASE WHEN c_acctbal > 0 THEN 'e-' || CAST(c_custkey AS VARCHAR) END AS reference_number
+  FROM customer),
 app_web_lookup AS (
   SELECT 'app-' || CAST(user_id AS VARCHAR) AS app_user_id, 'web-' || CAST(user_id AS VARCHAR) AS web_user_id
   FROM (SELECT DISTINCT user_id FROM events)),
@@ -158,11 +159,11 @@ opportunities AS (
          o_totalprice AS amount FROM orders),
 research_log AS (
   SELECT c_custkey // 3 AS main_company_identifier,
-         CASE WHEN c_acctbal >= 0 THEN DATE '1995-01-01' + CAST((c_custkey * 37) % 2000 AS INTEGER) END - 7
+         CASE WHEN c_acctbal >= 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN DATE '1995-01-01' + CAST((c_custkey * 37) % 2000 AS INTEGER) END - 7
            AS deck_delivered_date,
-         CASE WHEN c_acctbal >= 0 THEN DATE '1995-01-01' + CAST((c_custkey * 37) % 2000 AS INTEGER) END
+         CASE WHEN c_acctbal >= 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN DATE '1995-01-01' + CAST((c_custkey * 37) % 2000 AS INTEGER) END
            AS deck_presented_date
-  FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE'))"""
+  FROM customer)"""
 
 
 def link_urls_sql() -> str:
@@ -177,391 +178,330 @@ def with_ctes(*blocks: str) -> str:
     return "WITH " + ",".join(b.strip("\n") for b in blocks)
 
 
-# ------------------------------------------------------------ site model
+# ------------------------------------------------------------ web sessions
 
-def _gate_sql(spec: tuple) -> str:
-    kind = spec[0]
+def _one_if(condition: str, kind: str = "INTEGER") -> str:
+    return f"CAST(coalesce({condition}, false) AS {kind})"
+
+
+def _gate(spec: tuple) -> str:
+    kind, *rest = spec
     if kind == "keep":
-        return spec[1]
+        return rest[0]
     if kind == "any":
-        return "CASE WHEN " + " OR ".join(f"{c} = 1" for c in spec[1]) + " THEN 1 ELSE 0 END"
+        return f"CAST(greatest({', '.join(rest[0])}) AS INTEGER)"
     if kind == "all":
-        groups = ["(" + " AND ".join(f"{c} = 1" for c in g) + ")" for g in spec[1]]
-        return "CASE WHEN " + " OR ".join(groups) + " THEN 1 ELSE 0 END"
+        return "CAST(greatest(" + ", ".join(f"least({', '.join(group)})" for group in rest[0]) + ") AS INTEGER)"
     if kind == "needs":
-        return f"CASE WHEN {spec[1]} = 0 THEN 0 ELSE {spec[2]} END"
+        return f"if({rest[0]} <> 0, {rest[1]}, 0)"
     if kind == "unless":
-        return f"CASE WHEN {spec[1]} = 1 THEN 0 ELSE {spec[2]} END"
+        return f"if({rest[0]} <> 1, {rest[1]}, 0)"
     raise ValueError(kind)
 
 
-def _attribution_sql(alternatives: list) -> str:
-    alts = ["(" + " AND ".join(f"{c} = {v}" for c, v in alt) + ")" for alt in alternatives]
-    return "CASE WHEN " + " OR ".join(alts) + " THEN 1 ELSE 0 END"
+def _credited(alternatives: list) -> str:
+    return _one_if(" OR ".join("(" + " AND ".join(f"{c} IS NOT DISTINCT FROM {v}" for c, v in alt) + ")"
+                               for alt in alternatives))
 
 
-def site_model_body(bound_sql: str | None = None, sessions: str = "web_sessions",
-                    events: str = "web_events", prefix: str = "") -> str:
-    """CTEs of the literal site model; the final relation is ``{prefix}site``."""
-    p = prefix
-    s_filter = f" AND session_start_time > {bound_sql}" if bound_sql else ""
-    e_filter = f" AND time > {bound_sql}" if bound_sql else ""
-    step_aggs = []
+def web_marks(after: str | None = None, sessions: str = "web_sessions", events: str = "web_events",
+              tag: str = "") -> str:
+    """{tag}visits (labelled sessions with their flags), {tag}portal (who opened the portal before buying)."""
+    visit_bound = f"AND session_start_time > {after}" if after else ""
+    event_bound = f"AND time > {after}" if after else ""
+    portal_name, opened, bought = S.PORTAL
+    # "user" steps count the session's user: 0 or 1, as a bigint.
+    flags = []
     for name, style, evs in S.SITE_STEPS:
-        if style == "user":
-            step_aggs.append(f"COUNT(DISTINCT CASE WHEN e.event_table_name IN ({sql_list(evs)}) "
-                             f"THEN s.user_id END) AS {name}")
-        else:
-            step_aggs.append(f"CASE WHEN SUM(CASE WHEN e.event_table_name IN ({sql_list(evs)}) "
-                             f"THEN 1 END) > 0 THEN 1 ELSE 0 END AS {name}")
-    portal_name, portal_event, eval_events = S.PORTAL
-    step_aggs.append(f"COUNT(DISTINCT CASE WHEN cc.portal_bf_sale = 1 THEN s.user_id END) AS {portal_name}")
-    lowered = ",\n    ".join(f"lower({c}) AS {c}" for c in S.LOWERED_SESSION_COLUMNS)
-    gates = ",\n    ".join(f"{_gate_sql(spec)} AS {name}" for name, spec in S.GATES)
-    attribution = ",\n    ".join(f"{_attribution_sql(alts)} AS {name}" for name, alts in S.ATTRIBUTION)
-    d2_dims = ", ".join('"DATE"' if c == "DATE" else c for c in S.SITE_DIMENSIONS
-                        if c != "first_session_date")
+        heard = f"list_has_any(names, [{sql_list(evs)}])"
+        flag = _one_if(f"{heard} AND user_id IS NOT NULL", "BIGINT") if style == "user" else _one_if(heard)
+        flags.append(f"{flag} AS {name}")
+    flags.append(f"{_one_if('portal_bf_sale = 1 AND user_id IS NOT NULL', 'BIGINT')} AS {portal_name}")
+    labels = ", ".join(f"lower({c}) AS {c}" for c in S.LOWERED_SESSION_COLUMNS)
+    rules = ", ".join(f"{classify_sql(rules, default)} AS {name}" for name, rules, default in (
+        ("browser_class", S.BROWSER_RULES, S.BROWSER_DEFAULT), ("channel", S.CHANNEL_RULES, S.CHANNEL_DEFAULT),
+        ("email_stream", S.EMAIL_STREAM_RULES, S.EMAIL_STREAM_DEFAULT),
+        ("platform_class", S.PLATFORM_RULES, S.PLATFORM_DEFAULT)))
+    campaign = "lower(utm_campaign)"
     return f"""
-{p}stg_sessions AS (
-  SELECT * FROM {sessions} WHERE grouped_landing_pages != {sql_literal(S.APP_SESSIONS_GROUP)}{s_filter}),
-{p}stg_events AS (SELECT * FROM {events} WHERE 1 = 1{e_filter}),
-{p}utm_def AS (
-  SELECT s.utm_campaign AS ad_campaign,
-         CASE WHEN lower(s.utm_campaign) IN ({sql_list(S.RETARGETING_CAMPAIGNS)})
-              THEN 'retargeting' ELSE 'prospecting' END AS ad_intention
-  FROM (SELECT DISTINCT utm_campaign FROM {p}stg_sessions) s),
-{p}sess AS (
-  SELECT DISTINCT distinct_session_id, session_id, user_id, ip, session_start_time AS "TIME",
-    {lowered},
-    business_entity, business_entity_language, first_session_date
-  FROM {p}stg_sessions),
-{p}site_events AS (
-  SELECT session_id, event_table_name FROM {p}stg_events
-  WHERE session_id IN (SELECT session_id FROM {p}sess)
-    AND event_table_name IN ({sql_list(S.SITE_EVENT_ALLOW_LIST)})),
-{p}cc1 AS (
-  SELECT session_id, min(time) AS first_event_time FROM {p}stg_events
-  WHERE event_table_name = {sql_literal(portal_event)} GROUP BY 1),
-{p}cc2 AS (
-  SELECT session_id, min(time) AS first_event_time FROM {p}stg_events
-  WHERE event_table_name IN ({sql_list(eval_events)}) GROUP BY 1),
-{p}cc3 AS (
-  SELECT b.session_id, CASE WHEN b.first_event_time > s.first_event_time THEN 0 ELSE 1 END AS portal_bf_sale
-  FROM {p}cc1 b LEFT JOIN {p}cc2 s ON s.session_id = b.session_id),
-{p}d1 AS (
-  SELECT s.distinct_session_id, s.session_id, s.user_id, s.ip, CAST(s."TIME" AS DATE) AS "DATE",
-    s.device_type AS device, s.business_entity, s.business_entity_language, s.first_session_date,
-    s.referrer, s.landing_page, s.utm_source, s.utm_campaign, s.utm_medium, s.utm_term,
-    s.utm_primary_rollup, s.utm_primary_rollup_split, s.utm_digital_rollup, s.utm_platform,
-    {classify_sql(S.BROWSER_RULES, S.BROWSER_DEFAULT)} AS browser,
-    {classify_sql(S.CHANNEL_RULES, S.CHANNEL_DEFAULT)} AS channel,
-    {classify_sql(S.EMAIL_STREAM_RULES, S.EMAIL_STREAM_DEFAULT)} AS email_stream,
-    {classify_sql(S.PLATFORM_RULES, S.PLATFORM_DEFAULT)} AS platform,
-    {(','+chr(10)+'    ').join(step_aggs)}
-  FROM {p}sess s
-  LEFT JOIN {p}site_events e ON s.session_id = e.session_id
-  LEFT JOIN {p}utm_def utm_def ON s.utm_campaign = utm_def.ad_campaign
-  LEFT JOIN {p}cc3 cc ON cc.session_id = s.session_id
-  GROUP BY ALL),
-{p}d2 AS (
-  SELECT DISTINCT {d2_dims}, CAST(first_session_date AS DATE) AS first_session_date,
-    {gates}
-  FROM {p}d1),
-{p}site AS (
-  SELECT d2.*,
-    {attribution}
-  FROM {p}d2 d2)"""
-
-
-def site_model_sql(bound_sql: str | None = None) -> str:
-    return with_ctes(web_adapters_sql(), site_model_body(bound_sql)) + "\nSELECT * FROM site"
-
-
-# ------------------------------------------------------------ oracle queries
-
-def _site(select: str, bound_sql: str | None = None) -> str:
-    return with_ctes(web_adapters_sql(), site_model_body(bound_sql)) + "\n" + select
-
-
-def funnel_flags_any_sql() -> str:
-    aggs = ",\n  ".join(
-        f"CASE WHEN SUM(CASE WHEN e.event_table_name IN ({sql_list(evs)}) THEN 1 END) > 0 "
-        f"THEN 1 ELSE 0 END AS {name}"
-        for name, style, evs in S.SITE_STEPS if style == "any")
-    return _site(f"""SELECT s.distinct_session_id, s.session_id, s.user_id,
-  {aggs}
-FROM (SELECT DISTINCT distinct_session_id, session_id, user_id FROM stg_sessions) s
-LEFT JOIN site_events e ON s.session_id = e.session_id
-GROUP BY 1, 2, 3""")
-
-
-def funnel_flags_user_sql() -> str:
-    aggs = ",\n  ".join(
-        f"COUNT(DISTINCT CASE WHEN e.event_table_name IN ({sql_list(evs)}) THEN s.user_id END) AS {name}"
-        for name, style, evs in S.SITE_STEPS if style == "user")
-    return _site(f"""SELECT s.distinct_session_id, s.session_id, s.user_id,
-  {aggs},
-  COUNT(DISTINCT CASE WHEN cc.portal_bf_sale = 1 THEN s.user_id END) AS {S.PORTAL[0]}
-FROM (SELECT DISTINCT distinct_session_id, session_id, user_id FROM stg_sessions) s
-LEFT JOIN site_events e ON s.session_id = e.session_id
-LEFT JOIN cc3 cc ON cc.session_id = s.session_id
-GROUP BY 1, 2, 3""")
-
-
-def exclusive_attribution_sql() -> str:
-    names = ", ".join(n for n, _ in S.ATTRIBUTION)
-    return _site(f"SELECT distinct_session_id, session_id, user_id, {names} FROM site")
-
-
-def _classified_sql(select: str) -> str:
-    lowered = ", ".join(f"lower({c}) AS {c}" for c in S.LOWERED_SESSION_COLUMNS)
-    return _site(f"""SELECT {select}
-FROM (SELECT distinct_session_id, session_id, user_id, {lowered} FROM stg_sessions) s
-LEFT JOIN utm_def ON s.utm_campaign = utm_def.ad_campaign""")
-
-
-def classify_channel_sql() -> str:
-    return _classified_sql(
-        "s.distinct_session_id, s.utm_source, s.utm_campaign, s.utm_medium, s.referrer, "
-        f"utm_def.ad_intention, {classify_sql(S.CHANNEL_RULES, S.CHANNEL_DEFAULT)} AS channel")
-
-
-def campaign_intent_sql() -> str:
-    return _classified_sql("s.distinct_session_id, s.utm_campaign, utm_def.ad_intention")
-
-
-def classify_browser_sql() -> str:
-    return _classified_sql(
-        f"s.distinct_session_id, {classify_sql(S.BROWSER_RULES, S.BROWSER_DEFAULT)} AS browser, "
-        f"{classify_sql(S.PLATFORM_RULES, S.PLATFORM_DEFAULT)} AS platform, "
-        f"{classify_sql(S.EMAIL_STREAM_RULES, S.EMAIL_STREAM_DEFAULT)} AS email_stream")
-
-
-def url_param_literal(q: str, key: str) -> str:
-    """The original's extraction: regexp test, then 3-argument position
-    searches emulated as strpos on the suffix starting at the key."""
-    k = sql_literal(key)
-    pos = f"strpos({q}, {k})"
-    rel_amp = f"strpos(substr({q}, {pos}), '&')"
-    rel_pct = f"strpos(substr({q}, {pos}), '%')"
-    amp = f"({rel_amp} + {pos} - 1)"
-    pct = f"({rel_pct} + {pos} - 1)"
-    n = len(key)
-    return f"""CASE WHEN regexp_matches({q}, {sql_literal(key + '[^&%]*')}) THEN
-    CASE WHEN {rel_amp} > 0 THEN substring({q}, {pos} + {n}, {amp} - {pos} - {n})
-         WHEN {rel_pct} > 0 THEN substring({q}, {pos} + {n}, {pct} - {pos} - {n})
-         ELSE substring({q}, {pos} + {n}) END
-  ELSE NULL END"""
+{tag}web AS (
+  SELECT * FROM {sessions}
+  WHERE NOT coalesce(grouped_landing_pages = {sql_literal(S.APP_SESSIONS_GROUP)}, true) {visit_bound}),
+{tag}heard AS (
+  SELECT session_id,
+         list(DISTINCT event_table_name) FILTER (WHERE event_table_name IN ({sql_list(S.SITE_EVENT_ALLOW_LIST)})) AS names,
+         count(*) FILTER (WHERE event_table_name = {sql_literal(opened)}) AS opened_count,
+         min(time) FILTER (WHERE event_table_name = {sql_literal(opened)}) AS opened_at,
+         min(time) FILTER (WHERE event_table_name IN ({sql_list(bought)})) AS bought_at
+  FROM {events} WHERE true {event_bound} GROUP BY session_id),
+{tag}portal AS (
+  SELECT session_id, CAST(coalesce(opened_at <= bought_at, true) AS INTEGER) AS portal_bf_sale
+  FROM {tag}heard WHERE opened_count > 0),
+{tag}labelled AS (
+  SELECT distinct_session_id, session_id, user_id, session_start_time, business_entity, business_entity_language,
+         first_session_date, {labels},
+         CASE WHEN {campaign} IN (SELECT utm_campaign FROM {tag}web WHERE utm_campaign IS NOT NULL)
+              THEN if({campaign} IN ({sql_list(S.RETARGETING_CAMPAIGNS)}), 'retargeting', 'prospecting') END AS ad_intention
+  FROM {tag}web),
+{tag}ruled AS (SELECT *, {rules} FROM {tag}labelled),
+{tag}visits AS (
+  SELECT r.*, {', '.join(flags)}
+  FROM {tag}ruled r LEFT JOIN {tag}heard USING (session_id) LEFT JOIN {tag}portal USING (session_id))"""
+
+
+def site_model_body(after: str | None = None, sessions: str = "web_sessions", events: str = "web_events",
+                    prefix: str = "") -> str:
+    """{prefix}gated (74 columns) and {prefix}site (83 columns) on top of the marks."""
+    renamed = {"DATE": "CAST(session_start_time AS DATE)", "device": "device_type", "browser": "browser_class",
+               "platform": "platform_class", "first_session_date": "CAST(first_session_date AS DATE)"}
+    published = ", ".join(f'{renamed[c]} AS "{c}"' if c in renamed else c for c in S.SITE_DIMENSIONS)
+    gates = ", ".join(f"{_gate(spec)} AS {name}" for name, spec in S.GATES)
+    credit = ", ".join(f"{_credited(alternatives)} AS {name}" for name, alternatives in S.ATTRIBUTION)
+    # A rule may read what an earlier rule has credited.
+    return web_marks(after, sessions, events, prefix) + f""",
+{prefix}gated AS (SELECT DISTINCT {published}, {gates} FROM {prefix}visits),
+{prefix}site AS (SELECT *, {credit} FROM {prefix}gated)"""
+
+
+def _site(select: str) -> str:
+    return with_ctes(web_adapters_sql(), site_model_body()) + "\n" + select
+
+
+def _step_flags(style: str, extra: str = "") -> str:
+    names = ", ".join(name for name, kind, _ in S.SITE_STEPS if kind == style)
+    return _site(f"SELECT DISTINCT distinct_session_id, session_id, user_id, {names}{extra} FROM visits")
+
+
+def refreshed_sql() -> str:
+    """The table as of ``split``, its rows replaced by key with what a rebuild after the bound gives."""
+    from sessionlens.plans.catalog import REFRESHED_DAYS
+    split = f"(SELECT max(session_start_time) - INTERVAL {REFRESHED_DAYS} DAY FROM web_sessions)"
+    return with_ctes(
+        web_adapters_sql(),
+        f"""
+early_sessions AS (SELECT * FROM web_sessions WHERE session_start_time < {split}),
+early_events AS (SELECT * FROM web_events WHERE time < {split})""",
+        site_model_body(None, "early_sessions", "early_events", "before_"),
+        site_model_body('(SELECT max("DATE") - INTERVAL 1 DAY FROM before_site)', prefix="since_"),
+    ) + """
+SELECT * FROM since_site
+UNION ALL
+SELECT * FROM before_site WHERE distinct_session_id NOT IN (SELECT distinct_session_id FROM since_site)"""
+
+
+# ------------------------------------------------------------ query strings
+
+def parameter(text: str, key: str) -> str:
+    """What follows the first ``key``, up to the next '&' or, if there is none, the next '%'."""
+    rest = f"substr({text}, strpos({text}, {sql_literal(key)}) + {len(key)})"
+    ends = f"if(contains({rest}, '&'), '&', '%')"
+    return f"CASE WHEN contains({text}, {sql_literal(key)}) THEN split_part({rest}, {ends}, 1) END"
 
 
 def url_param_sql() -> str:
     from sessionlens.plans.catalog import URL_PARAMS
-    cols = ",\n  ".join(f"{url_param_literal('url', k)} AS {k.rstrip('=')}" for k in URL_PARAMS)
-    return with_ctes(link_urls_sql()) + f"\nSELECT page_id, url,\n  {cols}\nFROM link_urls"
+    found = ", ".join(f"{parameter('url', key)} AS {key.rstrip('=')}" for key in URL_PARAMS)
+    return with_ctes(link_urls_sql()) + f"\nSELECT page_id, url, {found} FROM link_urls"
+
 
+# ------------------------------------------------------------ linked identities
 
 def link_identities_body() -> str:
-    """Literal linking-model CTEs over tables named like the adapters."""
-    w = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    """``identities``: each account's app ids with whatever web user each route gives."""
     return f"""
-account_services AS (
-  SELECT DISTINCT primary_account_id,
-    first_value(h.date_created) OVER (PARTITION BY primary_account_id ORDER BY h.date_created NULLS LAST {w})
-      AS acs_reference_date_created,
-    primary_reference_number AS acs_user_id
-  FROM id_history h LEFT JOIN primary_accounts a USING (primary_account_id)
-  WHERE CAST(h.date_created AS DATE) >= DATE '2023-01-01'),
-to_ck AS (
-  SELECT DISTINCT primary_account_id, acs_reference_date_created, acs_user_id,
-    e.reference_number AS acs_email, c.reference_number AS acs_contact_key,
-    first_value(c.date_created) OVER (PARTITION BY primary_account_id ORDER BY c.date_created NULLS LAST {w})
-      AS acs_contact_key_created_date
-  FROM account_services LEFT JOIN contact_keys c USING (primary_account_id)
-  LEFT JOIN emails e USING (primary_account_id)),
-to_lku AS (
-  SELECT DISTINCT c.primary_account_id, acs_reference_date_created, acs_user_id, acs_email,
-    acs_contact_key, acs_contact_key_created_date, web_user_id, app_user_id,
-    first_value(first_session_date) OVER (PARTITION BY c.primary_account_id ORDER BY first_session_date NULLS LAST {w})
-      AS buy_now_user_first_session_date
-  FROM to_ck c LEFT JOIN app_web_lookup a ON c.acs_user_id = a.app_user_id
-  LEFT JOIN web_session_facts f ON f.user_id = a.web_user_id),
-pageviews_term AS (
-  SELECT DISTINCT CAST(p.user_id AS VARCHAR) AS web_user_id_from_pageviews, p.utm_term,
-    f.first_session_date AS contact_key_user_first_session
-  FROM page_views p LEFT JOIN web_session_facts f ON f.user_id = p.user_id
-  WHERE p.utm_source = 'sfmc' AND p.utm_term IS NOT NULL AND CAST(p.session_time AS DATE) > DATE '2022-01-01'),
-direct AS (
-  SELECT DISTINCT CAST(p.user_id AS VARCHAR) AS account_id_user,
-    s.first_session_date AS account_id_user_first_session,
-    {url_param_literal('query', 'accountId=')} AS primary_account_id
-  FROM page_views p LEFT JOIN web_session_facts s ON s.user_id = p.user_id
-  WHERE path LIKE '%/custom-smile-plan-3d%'),
-final1 AS (SELECT * FROM to_lku h LEFT JOIN pageviews_term p ON h.acs_contact_key = p.utm_term),
-final2 AS (SELECT * FROM final1 LEFT JOIN direct USING (primary_account_id))"""
-
-
-LINK_SELECT = """
-SELECT primary_account_id, acs_reference_date_created, acs_user_id, acs_email, acs_contact_key,
-  acs_contact_key_created_date, web_user_id AS buy_now_user_id, buy_now_user_first_session_date,
-  web_user_id_from_pageviews AS contact_key_user_id, contact_key_user_first_session,
-  account_id_user, account_id_user_first_session
-FROM final2"""
+recent_ids AS (
+  SELECT primary_account_id AS account, primary_reference_number AS app_id, date_created
+  FROM id_history WHERE date_created >= TIMESTAMP '2023-01-01 00:00:00'),
+opened_accounts AS (SELECT account, min(date_created) AS opened_on FROM recent_ids GROUP BY account),
+first_keys AS (SELECT primary_account_id AS account, min(date_created) AS keyed_on FROM contact_keys GROUP BY ALL),
+first_visits AS (SELECT DISTINCT user_id, first_session_date AS visited_on FROM web_session_facts),
+bought AS (
+  SELECT app_user_id AS app_id, web_user_id, visited_on
+  FROM app_web_lookup LEFT JOIN first_visits ON user_id = web_user_id),
+first_bought AS (
+  SELECT account, min(visited_on) AS bought_on FROM recent_ids JOIN bought USING (app_id) GROUP BY account),
+mailed AS (
+  SELECT DISTINCT v.user_id::VARCHAR AS mailed_user, v.utm_term AS contact_key, visited_on AS mailed_on
+  FROM page_views v LEFT JOIN first_visits USING (user_id)
+  WHERE v.utm_source = 'sfmc' AND v.utm_term IS NOT NULL AND v.session_time >= TIMESTAMP '2022-01-02 00:00:00'),
+planned AS (
+  SELECT DISTINCT v.user_id::VARCHAR AS planning_user, {parameter('v.query', 'accountId=')} AS account,
+         visited_on AS planned_on
+  FROM page_views v LEFT JOIN first_visits USING (user_id)
+  WHERE contains(v.path, '/custom-smile-plan-3d')),
+holders AS (
+  SELECT DISTINCT i.account, i.app_id, m.reference_number AS email, k.reference_number AS contact_key, b.web_user_id
+  FROM recent_ids i
+  LEFT JOIN emails m ON m.primary_account_id = i.account
+  LEFT JOIN contact_keys k ON k.primary_account_id = i.account
+  LEFT JOIN bought b ON b.app_id = i.app_id),
+identities AS (
+  SELECT h.account AS primary_account_id, o.opened_on AS acs_reference_date_created, h.app_id AS acs_user_id,
+         h.email AS acs_email, h.contact_key AS acs_contact_key, f.keyed_on AS acs_contact_key_created_date,
+         h.web_user_id AS buy_now_user_id, w.bought_on AS buy_now_user_first_session_date,
+         t.mailed_user AS contact_key_user_id, t.mailed_on AS contact_key_user_first_session,
+         d.planning_user AS account_id_user, d.planned_on AS account_id_user_first_session
+  FROM holders h
+  LEFT JOIN opened_accounts o ON o.account IS NOT DISTINCT FROM h.account
+  LEFT JOIN first_keys f ON f.account = h.account
+  LEFT JOIN first_bought w ON w.account IS NOT DISTINCT FROM h.account
+  LEFT JOIN mailed t ON t.contact_key = h.contact_key
+  LEFT JOIN planned d ON d.account = h.account)"""
+
+
+LINK_SELECT = "\nSELECT * FROM identities"
 
 
 def link_identities_sql() -> str:
     return with_ctes(identity_adapters_sql(), link_identities_body()) + LINK_SELECT
 
 
-def _app_filter(col: str) -> str:
-    likes = " OR ".join(f"{col} LIKE {sql_literal(p)}" for p in A.APP_EVENT_LIKE)
-    return f"({likes} OR {col} IN ({sql_list(A.APP_EVENT_EXACT)}))"
-
-
-def app_body() -> str:
-    """Literal app-session model CTEs over the app adapters."""
-    w = "PARTITION BY session_id ORDER BY event_time NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
-    cols = []
-    for out, kind, evs in A.MILESTONES:
-        cond = f"event_table_name IN ({sql_list(evs)})"
-        if kind == "first":
-            cols.append(f"first_value(CASE WHEN {cond} THEN event_time ELSE NULL END IGNORE NULLS) OVER ({w}) AS {out}")
-        elif kind == "last":
-            cols.append(f"last_value(CASE WHEN {cond} THEN event_time ELSE NULL END IGNORE NULLS) OVER ({w}) AS {out}")
-        elif kind in ("csp_first", "csp_last"):
-            fn = "first_value" if kind == "csp_first" else "last_value"
-            c = (f"({cond} OR (event_table_name IN ({sql_list(A.CONTACT_INFO_EVENTS)}) "
-                 f"AND account_id_web_user_first_session IS NOT NULL))")
-            cols.append(f"{fn}(CASE WHEN {c} THEN coalesce(event_time, account_id_web_user_first_session) "
-                        f"ELSE NULL END IGNORE NULLS) OVER ({w}) AS {out}")
-        elif kind == "last_name":
-            cols.append("last_value(event_table_name) OVER (PARTITION BY session_id ORDER BY event_time NULLS LAST, "
-                        "event_table_name ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS " + out)
-    windows = ",\n    ".join(cols)
-    out_name, value, start, blocker = A.SCAN_END
-    derived = [f"CASE WHEN {value} > {start} AND {blocker} IS NULL THEN {value} ELSE NULL END AS {out_name}"]
-    for out, frm, tos in A.DURATIONS:
-        end = tos[0] if len(tos) == 1 else f"ifnull({tos[0]}, {tos[1]})"
-        derived.append(f"date_diff('second', {frm}, {end}) / 60 AS {out}")
-    derived_sql = ",\n    ".join(derived)
-    share = sql_list(A.CSP_SHARED_EVENTS)
+# ------------------------------------------------------------ app sessions
+
+def _among(names: Sequence[str]) -> str:
+    return f"event_table_name IN ({sql_list(names)})"
+
+
+def _milestone(out: str, kind: str, names: Sequence[str]) -> str:
+    bound = "account_id_user_first_session"
+    if kind == "first":
+        return f"min(time) FILTER (WHERE {_among(names)}) AS {out}"
+    if kind == "last":
+        return f"max(time) FILTER (WHERE {_among(names)}) AS {out}"
+    if kind == "last_name":
+        return f"max_by(event_table_name, (coalesce(time, 'infinity'::TIMESTAMP), event_table_name)) AS {out}"
+    shared = f"({_among(names)} OR ({_among(A.CONTACT_INFO_EVENTS)} AND {bound} IS NOT NULL))"
+    pick = "min" if kind == "csp_first" else "max"
+    timed, untimed = (f"{pick}({value}) FILTER (WHERE {shared} AND {test})" for value, test in
+                      (("time", "time IS NOT NULL"), (bound, "time IS NULL")))
+    # Rows without a time come last.
+    return f"coalesce({timed}, {untimed}) AS {out}" if kind == "csp_first" else f"coalesce({untimed}, {timed}) AS {out}"
+
+
+def app_body(links: str = "app_to_web_links") -> str:
+    """joined_events, visit_starts, per_session, reached (and its durations), app_visits."""
+    wanted = " OR ".join([f"event_table_name LIKE {sql_literal(p)}" for p in A.APP_EVENT_LIKE] + [_among(A.APP_EVENT_EXACT)])
+    reached = ", ".join(_milestone(*m) for m in A.MILESTONES)
+    scan_end, value, start, blocker = A.SCAN_END
+    spans = ", ".join(f"date_diff('second', {begin}, coalesce({', '.join(ends)}, NULL)) / 60 AS {out}"
+                      for out, begin, ends in A.DURATIONS)
+    published = ", ".join(f"d.{c}" for c in A.MILESTONE_OUTPUT_ORDER)
     return f"""
-sessions AS (
-  SELECT DISTINCT user_id, session_id,
-    md5(coalesce(CAST(session_id AS VARCHAR), '') || '-' || coalesce(CAST(user_id AS VARCHAR), '')
-        || '-' || coalesce(CAST(session_start_time AS VARCHAR), '')) AS distinct_session_id,
-    time, session_start_time, library, platform, device_type, country, region, city, ip
-  FROM app_sessions hs LEFT JOIN app_events USING (user_id, session_id)
-  WHERE event_table_name IN ({sql_list(A.APP_VIEW_EVENTS)})),
-simplified_app_to_web AS (
-  SELECT DISTINCT primary_account_id, account_id_web_user, acs_app_user_id, account_id_web_user_first_session
-  FROM app_to_web_links WHERE account_id_web_user IS NOT NULL),
-account_service AS (SELECT DISTINCT reference_number, primary_account_id FROM app_account_map),
-linked AS (
-  SELECT * FROM app_events h
-  LEFT JOIN simplified_app_to_web a
-    ON CAST(h.user_id AS VARCHAR) = CAST(a.acs_app_user_id AS VARCHAR)
-   AND h.time < a.account_id_web_user_first_session
-  WHERE {_app_filter('event_table_name')}),
-events_agg AS (
+known_links AS (
+  SELECT primary_account_id, account_id_user, acs_user_id, account_id_user_first_session
+  FROM {links} WHERE account_id_user IS NOT NULL GROUP BY ALL),
+own_events AS (SELECT row_number() OVER () AS event_no, * FROM app_events WHERE {wanted}),
+matched AS (
+  SELECT e.*, l.* FROM own_events e, known_links l
+  WHERE e.user_id::VARCHAR = l.acs_user_id::VARCHAR AND l.account_id_user_first_session > e.time),
+joined_events AS (
+  SELECT * EXCLUDE (event_no) FROM
+    (SELECT * FROM matched UNION ALL BY NAME
+     SELECT * FROM own_events WHERE event_no NOT IN (SELECT event_no FROM matched))),
+views AS (SELECT user_id, session_id, time FROM app_events WHERE {_among(A.APP_VIEW_EVENTS)} GROUP BY ALL),
+visit_starts AS (
+  SELECT s.user_id, s.session_id,
+         md5(concat(s.session_id, '-', s.user_id, '-', s.session_start_time)) AS distinct_session_id,
+         v.time, s.session_start_time, s.library, s.platform, s.device_type, s.country, s.region, s.city, s.ip
+  FROM (SELECT DISTINCT * FROM app_sessions) s JOIN views v ON v.user_id = s.user_id AND v.session_id = s.session_id),
+first_starts AS (SELECT user_id, min(session_start_time) AS first_session_date FROM visit_starts GROUP BY user_id),
+per_session AS (
   SELECT user_id, session_id, max(time) AS session_end_time, count(*) AS event_count,
-    CAST(sum(CASE WHEN event_table_name IN ({share}) THEN 1 ELSE 0 END) AS BIGINT) AS CSP_shared_count
-  FROM linked GROUP BY 1, 2),
-min_sess AS (SELECT user_id, min(session_start_time) AS first_session_date FROM sessions GROUP BY 1),
-sessions_joined AS (
-  SELECT s.*, a.primary_account_id, ms.first_session_date, ea.session_end_time, ea.event_count,
-    ea.CSP_shared_count
-  FROM sessions s
-  LEFT JOIN account_service a ON CAST(s.user_id AS VARCHAR) = a.reference_number
-  LEFT JOIN events_agg ea ON s.session_id = ea.session_id AND s.user_id = ea.user_id
-  LEFT JOIN min_sess ms ON s.user_id = ms.user_id),
-session_events AS (
-  SELECT DISTINCT session_id, time AS event_time, event_table_name, account_id_web_user_first_session
-  FROM linked),
-windows_raw AS (
-  SELECT DISTINCT session_id,
-    {windows}
-  FROM session_events),
-windowsf AS (
-  SELECT *,
-    {derived_sql}
-  FROM windows_raw),
-combined AS (
-  SELECT sj.*, {', '.join('w.' + c for c in A.MILESTONE_OUTPUT_ORDER)}
-  FROM sessions_joined sj LEFT JOIN windowsf w USING (session_id))"""
+         count(*) FILTER (WHERE {_among(A.CSP_SHARED_EVENTS)}) AS CSP_shared_count
+  FROM joined_events GROUP BY user_id, session_id),
+reached AS (SELECT session_id, {reached} FROM joined_events GROUP BY session_id),
+durations AS (
+  SELECT *, {spans}
+  FROM (SELECT *, if({value} > {start} AND {blocker} IS NULL, {value}, NULL) AS {scan_end} FROM reached)),
+account_names AS (SELECT DISTINCT reference_number, primary_account_id FROM app_account_map),
+app_visits AS (
+  SELECT v.*, (n.primary_account_id) AS primary_account_id, f.first_session_date, p.session_end_time, p.event_count,
+         p.CSP_shared_count, {published}
+  FROM visit_starts v
+  LEFT JOIN first_starts f ON f.user_id = v.user_id
+  LEFT JOIN account_names n ON n.reference_number = v.user_id::VARCHAR
+  LEFT JOIN per_session p ON p.user_id = v.user_id AND p.session_id = v.session_id
+  LEFT JOIN durations d ON d.session_id = v.session_id)"""
 
 
 def _app(select: str) -> str:
     return with_ctes(app_adapters_sql(), app_body()) + "\n" + select
 
 
+def linked_app_sql() -> str:
+    """The app model on the linking model's own output (app users named as there)."""
+    renamed = """
+named_events AS (SELECT * REPLACE ('app-' || user_id AS user_id) FROM app_events),
+named_sessions AS (SELECT * REPLACE ('app-' || user_id AS user_id) FROM app_sessions),
+named_accounts AS (SELECT * REPLACE ('app-' || reference_number AS reference_number) FROM app_account_map)"""
+    body = app_body("identities")
+    for table in ("events", "sessions"):
+        body = body.replace(f"app_{table}", f"named_{table}")
+    body = body.replace("app_account_map", "named_accounts")
+    return with_ctes(app_adapters_sql(), identity_adapters_sql(), link_identities_body(), renamed, body) + \
+        "\nSELECT * FROM app_visits"
+
+
+# ------------------------------------------------------------ research
+
 def research_body() -> str:
-    """Literal research-effects script over tables named like the adapters."""
+    """``deals``: every opportunity with the number of presentations its company had seen by then."""
     return """
-unioned AS (
-  SELECT * FROM accounts
-  LEFT JOIN (SELECT account_id, CAST(close_date AS DATE) AS opp_close_date, type, is_opp_won
-             FROM opportunities) opps USING (account_id)
-  LEFT JOIN research_log USING (main_company_identifier))"""
+deals AS (
+  SELECT a.main_company_identifier AS company, o.type AS kind, o.is_opp_won AS won,
+         (SELECT count(*) FROM research_log r
+          WHERE r.main_company_identifier = a.main_company_identifier
+            AND r.deck_presented_date <= o.close_date::DATE) AS seen
+  FROM opportunities o JOIN accounts a USING (account_id))"""
 
 
 RESEARCH_SELECT = """
-SELECT main_company_identifier,
-  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date THEN 1 ELSE 0 END) AS BIGINT)
-    AS total_opps_closed_after_deck_delivered,
-  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date AND is_opp_won = TRUE THEN 1 ELSE 0 END) AS BIGINT)
-    AS total_opps_won_after_deck_delivered,
-  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date AND is_opp_won = FALSE THEN 1 ELSE 0 END) AS BIGINT)
-    AS total_opps_lost_after_deck_delivered,
-  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date AND is_opp_won = TRUE AND type = 'Renewal'
-           THEN 1 ELSE 0 END) AS BIGINT) AS total_renewal_won_after_deck_delivered,
-  CAST(SUM(CASE WHEN opp_close_date >= deck_presented_date AND is_opp_won = TRUE
-                AND (type = 'New' OR type = 'New Logo') THEN 1 ELSE 0 END) AS BIGINT)
-    AS total_new_opps_won_after_deck_delivered
-FROM unioned GROUP BY main_company_identifier"""
+SELECT c.main_company_identifier,
+       coalesce(sum(seen), 0)::BIGINT AS total_opps_closed_after_deck_delivered,
+       coalesce(sum(seen) FILTER (WHERE won), 0)::BIGINT AS total_opps_won_after_deck_delivered,
+       coalesce(sum(seen) FILTER (WHERE NOT won), 0)::BIGINT AS total_opps_lost_after_deck_delivered,
+       coalesce(sum(seen) FILTER (WHERE won AND kind = 'Renewal'), 0)::BIGINT AS total_renewal_won_after_deck_delivered,
+       coalesce(sum(seen) FILTER (WHERE won AND kind IN ('New', 'New Logo')), 0)::BIGINT
+         AS total_new_opps_won_after_deck_delivered
+FROM (SELECT DISTINCT main_company_identifier FROM accounts) c
+LEFT JOIN deals d ON d.company = c.main_company_identifier
+GROUP BY c.main_company_identifier"""
 
 
 def research_sql() -> str:
     return with_ctes(research_adapters_sql(), research_body()) + RESEARCH_SELECT
 
 
-def incremental_refresh_sql() -> str:
-    from sessionlens.plans.catalog import INITIAL_BUILD_UNTIL
-    until = f"TIMESTAMP '{INITIAL_BUILD_UNTIL}'"
-    bound = '(SELECT max("DATE") - INTERVAL 1 DAY FROM t_site)'
-    return with_ctes(
-        web_adapters_sql(),
-        f"""
-t_sessions AS (SELECT * FROM web_sessions WHERE session_start_time < {until}),
-t_events AS (SELECT * FROM web_events WHERE time < {until})""",
-        site_model_body(None, sessions="t_sessions", events="t_events", prefix="t_"),
-        site_model_body(bound, prefix="b_"),
-    ) + """
-SELECT * FROM t_site t WHERE NOT EXISTS (SELECT 1 FROM b_site b WHERE b.distinct_session_id = t.distinct_session_id)
-UNION ALL
-SELECT * FROM b_site"""
-
+# ------------------------------------------------------------ all queries
 
 def oracle_queries() -> dict[str, str]:
+    durations = ", ".join([A.SCAN_END[0], *[d[0] for d in A.DURATIONS]])
+    milestones = ", ".join(m[0] for m in A.MILESTONES)
+    credited = ", ".join(name for name, _ in S.ATTRIBUTION)
+    refreshed = refreshed_sql()
     return {
-        "site_model": site_model_sql(),
-        "funnel_flags_any": funnel_flags_any_sql(),
-        "funnel_flags_user": funnel_flags_user_sql(),
-        "funnel_gated": _site("SELECT * FROM d2"),
-        "exclusive_attribution": exclusive_attribution_sql(),
-        "happened_before": _site("SELECT session_id, portal_bf_sale FROM cc3"),
-        "classify_channel": classify_channel_sql(),
-        "campaign_intent": campaign_intent_sql(),
-        "classify_browser": classify_browser_sql(),
+        "site_model": _site("SELECT * FROM site"),
+        "funnel_flags_any": _step_flags("any"),
+        "funnel_flags_user": _step_flags("user", f", {S.PORTAL[0]}"),
+        "funnel_gated": _site("SELECT * FROM gated"),
+        "exclusive_attribution": _site(f"SELECT distinct_session_id, session_id, user_id, {credited} FROM site"),
+        "happened_before": _site("SELECT session_id, portal_bf_sale FROM portal"),
+        "classify_channel": _site("SELECT distinct_session_id, utm_source, utm_campaign, utm_medium, referrer, "
+                                  "ad_intention, channel FROM ruled"),
+        "campaign_intent": _site("SELECT distinct_session_id, utm_campaign, ad_intention FROM ruled"),
+        "classify_browser": _site("SELECT distinct_session_id, browser_class AS browser, platform_class AS platform, "
+                                  "email_stream FROM ruled"),
         "url_param": url_param_sql(),
         "link_identities": link_identities_sql(),
-        "bounded_identity_join": _app("SELECT * FROM linked"),
-        "session_rollup": _app("SELECT * FROM events_agg"),
-        "session_base": _app("SELECT * FROM sessions"),
-        "first_seen": _app("SELECT * FROM min_sess"),
-        "milestones": _app("SELECT * FROM windows_raw"),
-        "milestone_durations": _app(
-            "SELECT session_id, " + ", ".join([A.SCAN_END[0], *[d[0] for d in A.DURATIONS]]) + " FROM windowsf"),
-        "app_session_model": _app("SELECT * FROM combined"),
+        "bounded_identity_join": _app("SELECT * FROM joined_events"),
+        "session_rollup": _app("SELECT * FROM per_session"),
+        "session_base": _app("SELECT * FROM visit_starts"),
+        "first_seen": _app("SELECT * FROM first_starts"),
+        "milestones": _app(f"SELECT session_id, {milestones} FROM reached"),
+        "milestone_durations": _app(f"SELECT session_id, {durations} FROM durations"),
+        "app_session_model": _app("SELECT * FROM app_visits"),
+        "linked_app_session_model": linked_app_sql(),
         "outcomes_after": research_sql(),
-        "incremental_refresh": incremental_refresh_sql(),
+        "incremental_refresh": refreshed,
+        "stored_refresh": refreshed,
     }

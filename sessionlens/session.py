@@ -78,8 +78,7 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def scale_settings(shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 * MIB,
-                   max_partitions: int = 100_000) -> dict[str, str]:
+def scale_settings(shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 * MIB) -> dict[str, str]:
     """Shuffle and scan sizing for a given volume of shuffled data.
 
     ``shuffle_bytes``: the widest shuffle of the job (for these models the
@@ -90,7 +89,7 @@ def scale_settings(shuffle_bytes: int, total_cores: int, partition_bytes: int =
     splits skewed ones (a partition is skewed above 4x the target).
     """
     wanted = -(-shuffle_bytes // partition_bytes)
-    partitions = max(2 * total_cores, min(max_partitions, wanted))
+    partitions = max(2 * total_cores, wanted)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),

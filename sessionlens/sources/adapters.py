@@ -197,20 +197,24 @@ def app_account_map(t: Tables) -> DataFrame:
 def app_to_web_links(t: Tables) -> DataFrame:
     """App-to-web links: the web identity and first web session of app users.
 
-    Customers with a negative balance have no link; BUILDING customers get
-    a second, later link (fan-out in the bounded join).
+    Every customer has a row; the web user and time are NULL for those in
+    debt or without events.  BUILDING customers get a second, later link
+    (fan-out in the bounded join).
     """
     first = t.events.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
     c = t.customer.select("c_custkey", "c_acctbal", "c_mktsegment")
-    j = first.join(c, F.col("user_id") == F.col("c_custkey"), "inner").where(F.col("c_acctbal") >= 0)
+    linked = F.when(F.col("c_acctbal") >= 0, F.col("first_ts"))
+    j = (c.join(first, F.col("user_id") == F.col("c_custkey"), "left")
+         .select(F.col("c_custkey").alias("user_id"), "c_mktsegment", linked.alias("first_ts")))
     offsets = F.when(F.col("c_mktsegment") == "BUILDING", F.array(F.lit(10), F.lit(20))) \
                .otherwise(F.array(F.lit(10)))
     j = j.withColumn("days", F.explode(offsets))
     return j.select(
         F.concat(F.lit("acct-"), (F.col("user_id") / 2).cast("bigint").cast("string")).alias("primary_account_id"),
-        F.concat(F.lit("web-"), F.col("user_id").cast("string")).alias("account_id_web_user"),
-        F.col("user_id").cast("string").alias("acs_app_user_id"),
-        (F.col("first_ts") + F.make_interval(days=F.col("days"))).alias("account_id_web_user_first_session"),
+        F.when(F.col("first_ts").isNotNull(), F.concat(F.lit("web-"), F.col("user_id").cast("string")))
+        .alias("account_id_user"),
+        F.col("user_id").cast("string").alias("acs_user_id"),
+        (F.col("first_ts") + F.make_interval(days=F.col("days"))).alias("account_id_user_first_session"),
     )
 
 
@@ -248,11 +252,12 @@ def contact_keys(t: Tables) -> DataFrame:
 
 
 def emails(t: Tables) -> DataFrame:
-    """E-mail ids for customers in credit (accounts without one exist)."""
-    c = t.customer.where(F.col("c_acctbal") > 0).select("c_custkey")
+    """E-mail ids, one row per customer; NULL for customers not in credit."""
+    c = t.customer.select("c_custkey", "c_acctbal")
     return c.select(
         F.concat(F.lit("acct-"), (F.col("c_custkey") / 2).cast("bigint").cast("string")).alias("primary_account_id"),
-        F.concat(F.lit("e-"), F.col("c_custkey").cast("string")).alias("reference_number"),
+        F.when(F.col("c_acctbal") > 0, F.concat(F.lit("e-"), F.col("c_custkey").cast("string")))
+        .alias("reference_number"),
     )
 
 
@@ -324,12 +329,13 @@ def opportunities(t: Tables) -> DataFrame:
 
 
 def research_log(t: Tables) -> DataFrame:
-    """Research presentations to BUILDING, MACHINERY and AUTOMOBILE customers'
-    companies; no presentation date when the customer is in debt."""
-    c = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"))
+    """Research log, one row per customer; a presentation date for BUILDING,
+    MACHINERY and AUTOMOBILE customers that are not in debt."""
+    c = t.customer
     presented = F.date_add(F.lit("1995-01-01").cast("date"),
                            F.pmod(F.col("c_custkey") * 37, F.lit(2000)).cast("int"))
-    presented = F.when(F.col("c_acctbal") >= 0, presented)
+    presented = F.when((F.col("c_acctbal") >= 0)
+                       & F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"), presented)
     return c.select(
         (F.col("c_custkey") / 3).cast("bigint").alias("main_company_identifier"),
         F.date_sub(presented, 7).alias("deck_delivered_date"),

@@ -2,7 +2,7 @@
 
 ``write_table`` replaces a table with a model's result (the original's
 ``table`` materialisation).  Keyed incremental tables go through
-``operators.refresh.refresh_table`` instead, which writes versions.
+``operators.refresh.refresh_partitioned`` instead.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ from sessionlens.plans import app_config as A
 from sessionlens.plans import site_config as S
 
 
-def milestones_literal(events: DataFrame, link_col: str = "account_id_web_user_first_session") -> DataFrame:
+def milestones_literal(events: DataFrame, link_col: str = "account_id_user_first_session") -> DataFrame:
     """C3 as windows + DISTINCT (every event row sorted within its session)."""
     ev = events.select("session_id", "event_time", "event_table_name", link_col).distinct()
     w = (Window.partitionBy("session_id").orderBy(F.col("event_time").asc_nulls_last())

@@ -38,7 +38,7 @@ EVENTS = (["user_id", "session_id", "time", "event_table_name"], [
     (2, 20, ts("2024-01-02 10:00:00"), "web_page_view"),    # not an app event
     (None, 30, ts("2024-01-03 09:00:00"), VIEW),
 ])
-LINKS = (["primary_account_id", "account_id_web_user", "acs_app_user_id", "account_id_web_user_first_session"], [
+LINKS = (["primary_account_id", "account_id_user", "acs_user_id", "account_id_user_first_session"], [
     ("acct-0", "web-1", "1", ts("2024-01-05 00:00:00")),
     ("acct-0", "web-1b", "1", ts("2024-01-06 00:00:00")),   # second link: rows fan out
     ("acct-1", "web-2", "2", ts("2024-01-02 10:00:00")),
@@ -46,7 +46,7 @@ LINKS = (["primary_account_id", "account_id_web_user", "acs_app_user_id", "accou
 ])
 ACCOUNT_MAP = (["reference_number", "primary_account_id"], [("1", "acct-0"), ("2", "acct-1"), ("2", "acct-1")])
 
-TS_COLS = {"session_start_time", "time", "account_id_web_user_first_session"}
+TS_COLS = {"session_start_time", "time", "account_id_user_first_session"}
 INT_COLS = {"user_id", "session_id"}
 
 
@@ -61,7 +61,7 @@ def test_app_model_edges_match_literal_sql(spark):
                                    "app_to_web_links": LINKS, "app_account_map": ACCOUNT_MAP}.items()})
     got = app_session_model(frames["app_sessions"], frames["app_events"], frames["app_to_web_links"],
                             frames["app_account_map"])
-    problems, n = compare(got, con, with_ctes(app_body()) + "\nSELECT * FROM combined")
+    problems, n = compare(got, con, with_ctes(app_body()) + "\nSELECT * FROM app_visits")
     assert not problems, problems
     rows = {r["session_id"]: r for r in got.collect()}
     s1 = rows[10]

@@ -256,3 +256,34 @@ def test_more_steps_than_one_mask_word(spark):
     for sid in "abcd":
         fired = {e for s, e in rows if s == sid}
         assert [out[sid][f"s{i}"] for i in range(70)] == [int(f"e{i}" in fired) for i in range(70)], sid
+
+
+def test_last_event_name_of_rows_without_a_key(spark):
+    df = events(spark, [(None, "2024-01-01", "a", None), ("s", "2024-01-01", "b", None), ("s", None, "c", None)])
+    specs = [("first_a", "first", ["a"]), ("last_event_name", "last_name", [])]
+    got = {r["session_id"]: (r["first_a"], r["last_event_name"]) for r in milestones(df, specs).collect()}
+    assert got == {None: (ts("2024-01-01"), "a"), "s": (None, "c")}
+
+
+def test_session_base_with_other_keys(spark):
+    sessions = spark.createDataFrame([("t1", "v1", "iOS"), ("t2", "v2", "web")], "tenant string, visit string, platform string")
+    events = spark.createDataFrame([("t1", "v1", 5, "view"), ("t1", "v1", 5, "view"), ("t2", "v2", 6, "other")],
+                                   "tenant string, visit string, time int, event_table_name string")
+    out = session_base(sessions, events, ["view"], keys=("tenant", "visit"), session_cols=("platform",),
+                       hashed=("visit", "tenant"))
+    assert out.columns == ["tenant", "visit", "distinct_session_id", "time", "platform"]
+    assert [(r["tenant"], r["visit"], r["time"], r["platform"]) for r in out.collect()] == [("t1", "v1", 5, "iOS")]
+
+
+def test_spread_key_with_nested_maps(spark):
+    from sessionlens.operators.joins import join_per_key
+    rows = spark.sql("SELECT * FROM VALUES (CAST(NULL AS INT), array(map('a', 1))), (1, array(map('b', 2))) AS t(k, v)")
+    names = spark.createDataFrame([(1, "one")], "k int, name string")
+    got = sorted(((r["k"] or 0), r["name"] or "-") for r in join_per_key(rows, names, "k").collect())
+    assert got == [(0, "-"), (1, "one")]
+
+
+def test_url_param_of_a_very_long_query(spark):
+    value = "x" * 3_000_000
+    df = spark.createDataFrame([(f"a=1&k={value}",)], "q string")
+    assert df.select(url_param("q", "k=").alias("v")).first()["v"] == value

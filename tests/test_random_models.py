@@ -83,7 +83,7 @@ def test_app_model_random(spark):
             if t is not None:
                 links.append(("acct", f"web-{u}c", str(u), t))
     account_map = [(str(u), f"acct-{u // 2}") for u in range(30)] + [("4", "acct-extra")]
-    int_cols, ts_cols = {"user_id", "session_id"}, {"session_start_time", "time", "account_id_web_user_first_session"}
+    int_cols, ts_cols = {"user_id", "session_id"}, {"session_start_time", "time", "account_id_user_first_session"}
 
     def typed(cols):
         return [(c, "bigint" if c in int_cols else "timestamp_ntz" if c in ts_cols else "string") for c in cols]
@@ -92,13 +92,13 @@ def test_app_model_random(spark):
         "app_sessions": (typed(["user_id", "session_id", "session_start_time", "library", "platform",
                                 "device_type", "country", "region", "city", "ip"]), sessions),
         "app_events": (typed(["user_id", "session_id", "time", "event_table_name"]), events),
-        "app_to_web_links": (typed(["primary_account_id", "account_id_web_user", "acs_app_user_id",
-                                    "account_id_web_user_first_session"]), links),
+        "app_to_web_links": (typed(["primary_account_id", "account_id_user", "acs_user_id",
+                                    "account_id_user_first_session"]), links),
         "app_account_map": (typed(["reference_number", "primary_account_id"]), account_map),
     })
     got = app_session_model(frames["app_sessions"], frames["app_events"], frames["app_to_web_links"],
                             frames["app_account_map"])
-    problems, n = compare(got, con, with_ctes(app_body()) + "\nSELECT * FROM combined")
+    problems, n = compare(got, con, with_ctes(app_body()) + "\nSELECT * FROM app_visits")
     assert not problems, problems
     assert n > 50
 

@@ -1,4 +1,4 @@
-"""Incremental refresh (C11): bound, delete+insert by key, versioned writes."""
+"""Incremental refresh (C11): bound, delete+insert by key, partitioned writes."""
 
 import datetime as dt
 
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sessionlens.operators.refresh import (
-    current_version, high_water_mark, incremental_refresh, merge_by_key, read_current, refresh_table,
+    high_water_mark, incremental_refresh, latest_partition, merge_by_key, refresh_partitioned,
 )
 from sessionlens.plans import models as M
 from sessionlens.sources import adapters as AD
@@ -41,34 +41,6 @@ def test_boundary_row_is_kept(spark):
     assert got == ["edge", "new", "old"]
 
 
-def test_versioned_refresh_is_idempotent(spark, scratch):
-    base = scratch + "/site_funnel_table"
-    t = Tables(spark, SF_SMALL)
-    s, e = AD.web_sessions(t), AD.web_events(t)
-    until = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
-
-    def first_build(bound):
-        return M.site_model(s.where(F.col("session_start_time") < until), e.where(F.col("time") < until), bound)
-
-    v1 = refresh_table(spark, base, first_build, "distinct_session_id", "DATE")
-    assert current_version(spark, base) == v1
-    n1 = read_current(spark, base).count()
-
-    def build(bound):
-        return M.site_model(s, e, bound)
-
-    v2 = refresh_table(spark, base, build, "distinct_session_id", "DATE")
-    second = read_current(spark, base)
-    assert current_version(spark, base) == v2 != v1
-    n2 = second.count()
-    assert n2 >= n1
-    assert second.select("distinct_session_id").distinct().count() == n2  # no duplicate keys
-    v3 = refresh_table(spark, base, build, "distinct_session_id", "DATE")
-    third = read_current(spark, base)
-    assert third.exceptAll(second).count() == 0 and second.exceptAll(third).count() == 0
-    assert v3 != v2
-
-
 def _files(spark, path):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -81,7 +53,6 @@ def _files(spark, path):
 
 
 def test_partition_scoped_refresh(spark, scratch):
-    from sessionlens.operators.refresh import refresh_partitioned
     path = scratch + "/site_funnel_partitioned"
     t = Tables(spark, SF_SMALL)
     s, e = AD.web_sessions(t), AD.web_events(t)
@@ -108,3 +79,33 @@ def test_partition_scoped_refresh(spark, scratch):
     third = spark.read.parquet(path)
     assert third.select(cols).exceptAll(second.select(cols)).count() == 0
     assert second.select(cols).exceptAll(third.select(cols)).count() == 0
+
+
+def test_bound_comes_from_the_partition_names(spark, scratch):
+    path = scratch + "/dated"
+    rows = [("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 1, 9)), ("c", None)]
+    spark.createDataFrame(rows, "k string, DATE date").write.partitionBy("DATE").parquet(path)
+    assert latest_partition(spark, path, "DATE") == dt.date(2024, 1, 9)
+    assert latest_partition(spark, scratch + "/absent", "DATE") is None
+
+
+def test_refresh_replaces_recent_keys_and_leaves_older_files(spark, scratch):
+    path = scratch + "/daily"
+    rows = [(str(d), d, dt.date(2024, 1, d)) for d in range(1, 10)]
+    table = spark.createDataFrame(rows, "k string, v int, DATE date")
+    table.write.partitionBy("DATE").parquet(path)
+    older = {f for f in _files(spark, path) if "DATE=2024-01-08" > f[f.find("DATE="):]}
+    batch = spark.createDataFrame([("9", 99, dt.date(2024, 1, 9)), ("n", 1, dt.date(2024, 1, 10))], table.schema)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    bounds = []
+
+    def build(bound):
+        bounds.append(bound)
+        return batch
+
+    refresh_partitioned(spark, path, build, "k", "DATE")
+    assert bounds == [dt.date(2024, 1, 8)]
+    got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert got == {**{str(d): d for d in range(1, 9)}, "9": 99, "n": 1}
+    assert len(older) >= 7 and older <= _files(spark, path)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before

@@ -90,14 +90,14 @@ def test_rule_tables_agree_across_engines(spark):
 
 def test_url_param_matches_literal_extraction_on_random_strings(spark):
     from sessionlens.functions.columns import url_param
-    from sessionlens.plans.oracle import url_param_literal
+    from sessionlens.plans.oracle import parameter
     rnd = random.Random(11)
     pieces = ["accountId=", "accountId", "Id=", "a", "1", "&", "%", "%26", "=", "x=2", "&accountId=", ""]
     rows = [(str(i), None if i % 97 == 0 else "".join(rnd.choice(pieces) for _ in range(rnd.randrange(0, 7))))
             for i in range(1000)]
     con, frames = register(spark, {"urls": ([("row_id", "string"), ("q", "string")], rows)})
     got = frames["urls"].select("row_id", url_param("q", "accountId=").alias("v"))
-    problems, n = compare(got, con, f"SELECT row_id, {url_param_literal('q', 'accountId=')} AS v FROM urls")
+    problems, n = compare(got, con, f"SELECT row_id, {parameter('q', 'accountId=')} AS v FROM urls")
     assert not problems, problems
     assert n == 1000
 

@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from sessionlens.operators.funnel import funnel_flags
 from sessionlens.operators.milestones import milestones
 from sessionlens.plans import app_config as A
-from sessionlens.plans import literal as L
+import literal_shapes as L
 from sessionlens.plans import models as M
 from sessionlens.plans import site_config as S
 from sessionlens.plans.catalog import QUERIES
@@ -26,8 +26,8 @@ def test_milestones_equal_window_form(spark):
     t = Tables(spark, SF_SMALL)
     ev = M.linked_app_events(AD.app_events(t), AD.app_to_web_links(t)).select(
         "session_id", F.col("time").alias("event_time"), "event_table_name",
-        "account_id_web_user_first_session")
-    shaped = milestones(ev, A.MILESTONES, link_time_col="account_id_web_user_first_session",
+        "account_id_user_first_session")
+    shaped = milestones(ev, A.MILESTONES, link_time_col="account_id_user_first_session",
                         linked_events=A.CONTACT_INFO_EVENTS)
     assert _same(shaped, L.milestones_literal(ev))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from sessionlens.operators.funnel import funnel_flags
 from sessionlens.operators.identity import bounded_identity_join
-from sessionlens.plans import literal as L
+import literal_shapes as L
 from sessionlens.plans import models as M
 from sessionlens.plans import site_config as S
 from sessionlens.sources import adapters as AD
@@ -79,15 +79,15 @@ def test_hot_user_identity_join(spark, skew_conf):
     # input file over several map tasks, as a multi-file table would be.
     ev = _hot(ev, "user_id", hot_value=1).repartition(8).cache()
     links = M.simplified_links(AD.app_to_web_links(t)).cache()
-    out = bounded_identity_join(ev, links, event_key="user_id", link_key="acs_app_user_id",
-                                time_col="time", bound_col="account_id_web_user_first_session")
+    out = bounded_identity_join(ev, links, event_key="user_id", link_key="acs_user_id",
+                                time_col="time", bound_col="account_id_user_first_session")
     plan = _final_plan(out)
     assert "SortMergeJoin" in plan and "skew=true" in plan, plan
     # Same rows as a join without skew handling.
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     try:
-        plain = bounded_identity_join(ev, links, event_key="user_id", link_key="acs_app_user_id",
-                                      time_col="time", bound_col="account_id_web_user_first_session")
+        plain = bounded_identity_join(ev, links, event_key="user_id", link_key="acs_user_id",
+                                      time_col="time", bound_col="account_id_user_first_session")
         assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -14,13 +14,14 @@ import time
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
 
+import literal_shapes as L  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from sessionlens.operators.funnel import funnel_flags  # noqa: E402
 from sessionlens.operators.milestones import milestones  # noqa: E402
 from sessionlens.plans import app_config as A  # noqa: E402
-from sessionlens.plans import literal as L  # noqa: E402
 from sessionlens.plans import models as M  # noqa: E402
 from sessionlens.plans import site_config as S  # noqa: E402
 from sessionlens.session import get_spark  # noqa: E402
@@ -52,7 +53,7 @@ def main() -> None:
     ev_path, s_path, w_path = f"{base}/ms_events", f"{base}/web_sessions", f"{base}/web_events"
     (M.linked_app_events(AD.app_events(t), AD.app_to_web_links(t))
      .select("session_id", F.col("time").alias("event_time"), "event_table_name",
-             "account_id_web_user_first_session")
+             "account_id_user_first_session")
      .write.mode("overwrite").parquet(ev_path))
     AD.web_sessions(t).write.mode("overwrite").parquet(s_path)
     AD.web_events(t).write.mode("overwrite").parquet(w_path)
@@ -68,7 +69,7 @@ def main() -> None:
     out = {
         "milestones_literal": timed(lambda: L.milestones_literal(ev()), runs),
         "milestones_shaped": timed(lambda: milestones(
-            ev(), A.MILESTONES, link_time_col="account_id_web_user_first_session",
+            ev(), A.MILESTONES, link_time_col="account_id_user_first_session",
             linked_events=A.CONTACT_INFO_EVENTS), runs),
         "funnel_flags_user_literal": timed(lambda: L.funnel_flags_user_literal(sess(), we()), runs),
         "funnel_flags_user_shaped": timed(lambda: funnel_flags(
