@@ -23,10 +23,14 @@ same id are packed each.  No rows give no rows.
 
 from __future__ import annotations
 
+import gc
+import re
+import sys
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -37,8 +41,17 @@ from pyspark.sql import functions as F
 from sessionlens.llm.common import materialise
 
 CAPACITY = 2048
-#: Distinct words whose ids a task remembers; then it starts afresh.
-REMEMBERED = 200_000
+#: Distinct words (and runs) whose ids a Python worker remembers; then it starts afresh.
+REMEMBERED = 700_000
+#: Characters of text that are parted into words at once.
+STRETCH = 2_000_000
+#: Runs that are encoded as one text.
+TOGETHER = 256
+#: Words that neither normalisation nor other letters and digits concern.
+SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: The tokenizer's pattern on such words in lower case, and its vocabulary's mark of a run's last token (fixed values).
+RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+RUN_END = "</w>"
 #: Longer runs without white space are not remembered.
 LONG_WORD = 64
 CLOSING = np.zeros(1, dtype="<u4")
@@ -46,31 +59,89 @@ CLOSING = np.zeros(1, dtype="<u4")
 
 class WordTokens:
     """Token ids of texts.  The tokenizer treats white space as a border that no token
-    spans, so a text's ids are those of its words, and repeated words are encoded once."""
+    spans, so a text's ids are those of its words, and repeated words are encoded once.
+
+    Words of ASCII signs and composed Latin letters are parted further, as the tokenizer
+    parts them, into runs of letters, single digits and runs of other signs; new runs are
+    encoded many at a time and told apart by the vocabulary's mark for a run's last token.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(RUN_END)]] = True
 
     def learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([w.decode("utf-8") for w in words], add_special_tokens=False)
-        for word, ids in zip(words, found, strict=True):
-            self.known[word] = np.array(ids.ids, dtype="<u4").tobytes()
-
-    def ids(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8").split()
-        new = [w for w in set(words) if w not in self.known]
+        parted, whole = {}, []
+        for word in words:
+            text = word.decode("utf-8")
+            if SIMPLE.fullmatch(text) and b"<|" not in word:
+                parted[word] = RUNS.findall(text.lower())
+            else:
+                whole.append(word)
+        new = list({run for parts in parted.values() for run in parts if run not in self.runs})
+        if len(self.runs) + len(new) > REMEMBERED:
+            self.runs.clear()
+            new = list({run for parts in parted.values() for run in parts})
+        groups = [new[at:at + TOGETHER] for at in range(0, len(new), TOGETHER)]
+        found = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, encoded in zip(groups, found, strict=True):
+            ids = np.array(encoded.ids, dtype="<u4")
+            data, ends = ids.tobytes(), ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+            for run, start, end in zip(group, [0, *ends[:-1]], ends, strict=True):
+                self.runs[run] = data[start:end]
+        runs = self.runs
+        for word, parts in parted.items():
+            self.known[word] = runs[parts[0]] if len(parts) == 1 else b"".join([runs[p] for p in parts])
+        for run in new:
+            if len(run) > LONG_WORD:
+                del runs[run]
+        found = self.tokenizer.encode_batch([w.decode("utf-8") for w in whole], add_special_tokens=False)
+        for word, encoded in zip(whole, found, strict=True):
+            self.known[word] = np.array(encoded.ids, dtype="<u4").tobytes()
+
+    def stream(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        at = 0
+        while at < len(texts):
+            stop, size = at, 0
+            while stop < len(texts) and size < STRETCH:
+                size += len(texts[stop])
+                stop += 1
+            yield from self.batch(texts[at:stop])
+            at = stop
+
+    def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; the words that are new to all of them are learned together."""
+        parted = [text.encode("utf-8").split() for text in texts]
+        seen = set().union(*parted)
+        new = seen.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = list(set(words))
+            new = seen
         if new:
-            self.learn(new)
-        out = np.frombuffer(b"".join([self.known[w] for w in words]), dtype="<u4")
-        for w in new:
-            if len(w) > LONG_WORD:
-                del self.known[w]
-        return out
+            gc.disable()  # its many small objects hold no cycles
+            try:
+                self.learn(list(new))
+            finally:
+                gc.enable()
+        ids_of = self.known.__getitem__
+        for words in parted:
+            yield np.frombuffer(b"".join(map(ids_of, words)), dtype="<u4")
+        for word in new:
+            if len(word) > LONG_WORD:
+                del self.known[word]
+
+
+def worker_tokens(path: str) -> WordTokens:
+    """The words that this Python worker remembers, kept from task to task."""
+    kept = sys.modules.setdefault("_sessionlens_word_tokens", SimpleNamespace(by_path={})).by_path
+    if path not in kept:
+        kept[path] = WordTokens(path)
+    return kept[path]
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -78,13 +149,13 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     """doc_id, piece, start, length, ids_crc32, task, nth (number among the task's pieces of that length)."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = WordTokens(tokenizer_path)
+        tokens = worker_tokens(tokenizer_path)
         seen = np.zeros(capacity + 1, dtype="int64")
         task = TaskContext.get().partitionId()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["id"], batch["text"], strict=True):
-                ids = np.concatenate([tokens.ids(text), CLOSING])
+            for doc, found in zip(batch["id"], tokens.stream(list(batch["text"])), strict=True):
+                ids = np.concatenate([found, CLOSING])
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     rows.append((doc, piece, start, len(part), zlib.crc32(part.tobytes()), task, seen[len(part)]))

@@ -185,10 +185,14 @@ def test_packing_plan_equals_item_by_item(seed):
 def test_word_by_word_tokens_equal_the_whole_text():
     tokenizer, words = Tokenizer.from_file(TOKENIZER), packing.WordTokens(TOKENIZER)
     rng = random.Random(5)
-    alphabet = "aA É́  \x0b\x0c\x1c\x85\t\r\nΣς'sdll<|endoftext|>12½ßİ中　​ཱ"
-    for _ in range(3000):
-        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14)))
-        assert words.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    odd = "aA É́  \x0b\x0c\x1c\x85\t\r\nΣς'sdll<|endoftext|>12½ßİ中　​ཱ"
+    plain = "aAbsSdDtTlLvVmMrReE'\"!.,;<>|-_09 7 \n"
+    latin = "aéÉßÿŸÖöñÑçx'tS. ×÷ªº7e\u0301 "
+    for alphabet in (odd, plain, latin):
+        texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+        texts += ["x" * 900 + " <|endoftext|>y", "don't we'LL they'Ve I'm x'x ''s"]
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids.tolist() for at in range(0, len(texts), 100) for ids in words.batch(texts[at:at + 100])] == want
 
 
 def shingle_set(text):
