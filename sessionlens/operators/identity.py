@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import url_param
-from sessionlens.operators.joins import spread_key
+from sessionlens.operators.joins import join_per_key, spread_key
 
 
 def bounded_identity_join(events: DataFrame, links: DataFrame, *, event_key: str, link_key: str,
@@ -47,9 +47,13 @@ def bounded_identity_join(events: DataFrame, links: DataFrame, *, event_key: str
 def join_back(rows: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
     """Left-join a per-key aggregate back onto rows; NULL keys match NULL
     (a window partitions NULL keys together, so their aggregate applies)."""
-    agg = per_key.withColumnRenamed(key, "_jb_key")
-    out = rows.join(agg, F.col(key).eqNullSafe(F.col("_jb_key")), "left")
-    return out.drop("_jb_key")
+    # The hash, implied by the key, gives the join a shuffle of its own, so AQE
+    # can split a hot (or NULL) key.
+    agg = per_key.withColumn("_jb_hash", F.xxhash64(key)).withColumnRenamed(key, "_jb_key")
+    keyed = rows.withColumn("_row_hash", F.xxhash64(key))
+    out = keyed.join(agg, F.col(key).eqNullSafe(F.col("_jb_key"))
+                     & (F.col("_row_hash") == F.col("_jb_hash")), "left")
+    return out.drop("_jb_key", "_jb_hash", "_row_hash")
 
 
 def _day_start(day: str, plus_days: int = 0):
@@ -75,7 +79,10 @@ def link_identities(id_history: DataFrame, contact_keys: DataFrame, emails: Data
     3. the account id carried in the page-view query string
        (``account_id_user*``).
     All joins are left joins, so every account row survives; rows multiply
-    across routes exactly as the chained joins do (no final dedup).
+    across routes exactly as the chained joins do (no final dedup): an account
+    with i ids and e-mails, c users by contact key and d users by the query
+    string gives i * c * d rows.  Each join has a shuffle of its own, so AQE can
+    split a hot account.
     """
     # -- account_services: ids created on/after min_created, with the
     # account's first creation time.
@@ -96,7 +103,7 @@ def link_identities(id_history: DataFrame, contact_keys: DataFrame, emails: Data
     ck_first = (contact_keys.where(F.col("primary_account_id").isNotNull())
                 .groupBy("primary_account_id")
                 .agg(F.min("date_created").alias("acs_contact_key_created_date")))
-    to_ck = join_back(acs.join(ck, "primary_account_id", "left").join(em, "primary_account_id", "left")
+    to_ck = join_back(join_per_key(join_per_key(acs, ck, "primary_account_id"), em, "primary_account_id")
                       .distinct(), ck_first, "primary_account_id")
 
     # -- route 1: app id -> web user, with that user's first web session.
@@ -104,17 +111,17 @@ def link_identities(id_history: DataFrame, contact_keys: DataFrame, emails: Data
     # narrow (account, app id) pairs, not the wide rows; joining them to the
     # wide rows would only repeat rows that the DISTINCT removes again.
     facts = _distinct_first_session(session_facts, "user_id", "first_session_date")
-    lku = app_web_lookup.select(F.col("app_user_id").alias("_app_user"),
+    lku = app_web_lookup.select(F.col("app_user_id").alias("acs_user_id"),
                                 F.col("web_user_id").alias("buy_now_user_id"))
     pairs = acs.select("primary_account_id", "acs_user_id").distinct()
-    r1_first = (pairs.join(lku, F.col("acs_user_id") == F.col("_app_user"), "left")
-                .join(facts, F.col("_f_user") == F.col("buy_now_user_id"), "left")
+    r1_first = (join_per_key(join_per_key(pairs, lku, "acs_user_id"),
+                             facts.withColumnRenamed("_f_user", "buy_now_user_id"), "buy_now_user_id")
                 .groupBy("primary_account_id")
                 .agg(F.min("_f_first").alias("buy_now_user_first_session_date")))
-    r1 = join_back(to_ck.join(lku, F.col("acs_user_id") == F.col("_app_user"), "left")
+    r1 = join_back(join_per_key(to_ck, lku, "acs_user_id")
                    .select("primary_account_id", "acs_reference_date_created", "acs_user_id",
                            "acs_email", "acs_contact_key", "acs_contact_key_created_date",
-                           "buy_now_user_id", "_app_user").distinct(),
+                           "buy_now_user_id").distinct(),
                    r1_first, "primary_account_id")
 
     # -- route 2: contact key as utm_term on e-mail page views.
@@ -123,7 +130,7 @@ def link_identities(id_history: DataFrame, contact_keys: DataFrame, emails: Data
     by_term = (pv2.select("user_id", "utm_term").distinct()
                .join(facts, F.col("_f_user") == F.col("user_id"), "left")
                .select(F.col("user_id").cast("string").alias("contact_key_user_id"),
-                       F.col("utm_term").alias("_utm_term"),
+                       F.col("utm_term").alias("acs_contact_key"),
                        F.col("_f_first").alias("contact_key_user_first_session"))
                .distinct())
 
@@ -134,11 +141,12 @@ def link_identities(id_history: DataFrame, contact_keys: DataFrame, emails: Data
               .join(facts, F.col("_f_user") == F.col("user_id"), "left")
               .select(F.col("user_id").cast("string").alias("account_id_user"),
                       F.col("_f_first").alias("account_id_user_first_session"),
-                      "_direct_account")
+                      F.col("_direct_account").alias("primary_account_id"))
               .distinct())
 
-    final = (r1.join(by_term, F.col("acs_contact_key") == F.col("_utm_term"), "left")
-             .join(direct, F.col("primary_account_id") == F.col("_direct_account"), "left"))
+    # Every pair of an account's contact-key user and direct user is a row: for an account
+    # with c contact-key users and d direct users, c * d of them for each of its other rows.
+    final = join_per_key(join_per_key(r1, by_term, "acs_contact_key"), direct, "primary_account_id")
     return final.select(
         "primary_account_id", "acs_reference_date_created", "acs_user_id", "acs_email",
         "acs_contact_key", "acs_contact_key_created_date", "buy_now_user_id",

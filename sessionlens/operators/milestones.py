@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlens.functions.columns import first_time, last_time, minutes_between
+from sessionlens.functions.columns import first_time, flag, last_time, minutes_between
 
 Milestone = tuple[str, str, Sequence[str]]
 
@@ -111,6 +111,55 @@ def milestones(events: DataFrame, specs: Sequence[Milestone], *, by: str = "sess
     return out.select(by, *[o for o, _, _ in specs])
 
 
+def events_by_name(events: DataFrame, by: Sequence[str], *, time_col: str = "event_time",
+                   name_col: str = "event_table_name", link_time_col: str) -> DataFrame:
+    """One row per (``by``, event name, link present): all that rollups and milestones need.
+
+    ``n`` rows, ``t_min`` / ``t_max`` times, ``untimed`` rows without a time, and the least and
+    greatest link time among those (``u_min`` / ``u_max``); fixed-width buffers, combined map-side.
+    """
+    t, link = F.col(time_col), F.col(link_time_col)
+    no_time = F.when(t.isNull(), link)
+    return events.groupBy(*by, F.col(name_col).alias("name"), link.isNotNull().alias("has_link")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(t).alias("t_min"), F.max(t).alias("t_max"),
+        F.sum(flag(t.isNull())).alias("untimed"), F.min(no_time).alias("u_min"), F.max(no_time).alias("u_max"))
+
+
+def milestones_from_names(by_name: DataFrame, specs: Sequence[Milestone], *, by: str = "session_id",
+                          linked_events: Sequence[str] = (), also: Sequence[Column] = (),
+                          also_names: Sequence[str] = ()) -> DataFrame:
+    """C3 over ``events_by_name`` rows; same columns and values as ``milestones``.
+
+    ``also`` are further aggregates (named ``also_names``) taken in the same pass.
+    """
+    name = F.col("name")
+    last = F.struct(F.when(F.col("untimed") > 0, F.lit(2**63 - 1)).otherwise(_epoch_micros(F.col("t_max"))), name)
+    aggs = []
+    for out, kind, evs in specs:
+        cond = name.isin(list(evs))
+        shared = cond | (name.isin(list(linked_events)) & F.col("has_link"))
+        if kind == "first":
+            aggs.append(F.min(F.when(cond, F.col("t_min"))).alias(out))
+        elif kind == "last":
+            aggs.append(F.max(F.when(cond, F.col("t_max"))).alias(out))
+        elif kind == "csp_first":
+            aggs += [F.min(F.when(shared, F.col("t_min"))).alias(f"{out}__t"),
+                     F.min(F.when(shared, F.col("u_min"))).alias(f"{out}__u")]
+        elif kind == "csp_last":
+            aggs += [F.max(F.when(shared, F.col("t_max"))).alias(f"{out}__t"),
+                     F.max(F.when(shared, F.col("u_max"))).alias(f"{out}__u")]
+        elif kind == "last_name":
+            aggs.append(F.max_by(name, last).alias(out))
+        else:
+            raise ValueError(f"unknown milestone kind {kind!r}")
+    folded = by_name.groupBy(by).agg(*aggs, *also)
+    cols = [F.col(by)]
+    for out, kind, _ in specs:
+        parts = {"csp_first": ("t", "u"), "csp_last": ("u", "t")}.get(kind)
+        cols.append(F.coalesce(*[F.col(f"{out}__{p}") for p in parts]).alias(out) if parts else F.col(out))
+    return folded.select(*cols, *also_names)
+
+
 def _epoch_micros(t: Column) -> Column:
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_diff("MICROSECOND", epoch, t)

@@ -8,17 +8,18 @@ opportunity counts once per intervention row of its company.
 
 The same sums are computed from two pre-aggregates: opportunities counted
 per (company, close date) with one count per measure, interventions
-counted per (company, date).  The pair join then runs over distinct dates
-instead of rows, and its result is multiplied back (count x count).  Both
-pre-aggregates combine map-side, so a company holding a third of all rows
-still ships one partial row per (company, date) per task.
+counted per (company, date).  Both are laid on one calendar per company and
+a running sum over its dates gives each date's number of interventions so
+far, so the work is linear in dates.  Both pre-aggregates combine map-side:
+a company holding a third of all rows still ships one partial row per
+(company, date) per task, and its calendar has one row per distinct date.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,9 +45,17 @@ def outcomes_after(entities: DataFrame, outcomes: DataFrame, interventions: Data
     ivs = (interventions.where(F.col(entity_col).isNotNull() & F.col(intervention_date).isNotNull())
            .groupBy(F.col(entity_col).alias("_ent"), F.col(intervention_date).alias("_idate"))
            .agg(F.count(F.lit(1)).alias("_m")))
-    pairs = per_date.join(ivs, (F.col(entity_col) == F.col("_ent")) & (F.col("_odate") >= F.col("_idate")))
-    sums = pairs.groupBy(F.col(entity_col).alias("_sum_ent")).agg(
-        *[F.sum(F.col(f"_n_{name}") * F.col("_m")).alias(f"_s_{name}") for name in measures])
+    # One row per (entity, date) with what happened on it; each date's outcomes
+    # count once per intervention up to that date, a running sum over dates.
+    zero = F.lit(0).cast("bigint")
+    days = (per_date.withColumn("_m", zero)
+            .unionByName(ivs.select(F.col("_ent").alias(entity_col), F.col("_idate").alias("_odate"),
+                                    *[zero.alias(f"_n_{name}") for name in measures], "_m"))
+            .groupBy(entity_col, "_odate")
+            .agg(F.sum("_m").alias("_m"), *[F.sum(f"_n_{name}").alias(f"_n_{name}") for name in measures]))
+    until = Window.partitionBy(entity_col).orderBy("_odate").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = days.withColumn("_seen", F.sum("_m").over(until)).groupBy(F.col(entity_col).alias("_sum_ent")).agg(
+        *[F.sum(F.col(f"_n_{name}") * F.col("_seen")).alias(f"_s_{name}") for name in measures])
     all_entities = entities.select(entity_col).distinct()
     out = all_entities.join(sums, F.col(entity_col).eqNullSafe(F.col("_sum_ent")), "left")
     return out.select(entity_col, *[F.coalesce(F.col(f"_s_{name}"), F.lit(0)).cast("bigint").alias(name)

@@ -19,9 +19,11 @@ from sessionlens.operators.funnel import (
 )
 from sessionlens.operators.identity import bounded_identity_join
 from sessionlens.operators.joins import join_per_key
-from sessionlens.operators.milestones import milestone_durations, milestones
+from sessionlens.operators.milestones import (
+    events_by_name, milestone_durations, milestones, milestones_from_names,
+)
 from sessionlens.operators.outcomes import outcomes_after, research_measures
-from sessionlens.operators.sessions import first_seen, session_base, session_rollup
+from sessionlens.operators.sessions import first_seen, session_base
 from sessionlens.plans import app_config as A
 from sessionlens.plans import site_config as S
 
@@ -153,8 +155,16 @@ def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
     """
     base = session_base(sessions, events, A.APP_VIEW_EVENTS, unique_sessions=unique_sessions,
                         one_row_per_session=one_row_per_session)
-    linked = linked_app_events(events, links)
-    rollup = session_rollup(linked, counts={"CSP_shared_count": A.CSP_SHARED_EVENTS})
+    # One aggregate straight after the identity join, then one fold per session: the milestones,
+    # and the session's rows by user and event name (at most names x users of one session), from
+    # which each user's rollup is read.  The join of event rows thus runs once.
+    by_name = events_by_name(linked_app_events(events, links), ["user_id", "session_id"], time_col="time",
+                             link_time_col="account_id_user_first_session")
+    reached = milestones_from_names(
+        by_name, A.MILESTONES, linked_events=A.CONTACT_INFO_EVENTS, also_names=["_rows"],
+        also=[F.collect_list(F.struct("user_id", "name", "n", "t_max")).alias("_rows")])
+    reached = milestone_durations(reached, A.DURATIONS, valid_after=A.SCAN_END,
+                                  order=A.MILESTONE_OUTPUT_ORDER, keep=["session_id", "_rows"])
     # Both per-user tables (first session, account by the id's text) are
     # joined to each other first, so the wide session rows are shuffled
     # once for the pair.  Every user of ``base`` has a first session, so
@@ -166,12 +176,17 @@ def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
                 .drop("_uid", "reference_number"))
     # Per-session / per-user tables: joined so that a hot session or user
     # can be split by AQE (see operators/joins.py).
-    joined = join_per_key(base, per_user, "user_id")
-    joined = join_per_key(joined, rollup, ["session_id", "user_id"])
-    joined = joined.select(*base.columns, "primary_account_id", "first_session_date",
-                           "session_end_time", "event_count", "CSP_shared_count")
-    return join_per_key(joined, app_milestones(linked), "session_id").select(
-        *joined.columns, *A.MILESTONE_OUTPUT_ORDER)
+    joined = join_per_key(join_per_key(base, per_user, "user_id"), reached, "session_id")
+    own = F.filter("_rows", lambda r: r["user_id"] == F.col("user_id"))
+    shared = F.filter("_own", lambda r: r["name"].isin(A.CSP_SHARED_EVENTS))
+    total = lambda rows: F.aggregate(rows, F.lit(0).cast("bigint"), lambda s, r: s + r["n"])
+    joined = joined.withColumn("_own", own)
+    some = F.size("_own") > 0
+    return joined.select(
+        *base.columns, "primary_account_id", "first_session_date",
+        F.array_max(F.transform("_own", lambda r: r["t_max"])).alias("session_end_time"),
+        F.when(some, total(F.col("_own"))).alias("event_count"), F.when(some, total(shared)).alias("CSP_shared_count"),
+        *A.MILESTONE_OUTPUT_ORDER)
 
 
 # ------------------------------------------------------------- research

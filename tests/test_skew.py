@@ -112,3 +112,30 @@ def test_hot_campaign_lookup(spark, skew_conf):
         want = None if c is None or c not in raw else (
             "retargeting" if c.lower() in S.RETARGETING_CAMPAIGNS else "prospecting")
         assert got[r["distinct_session_id"]] == want
+
+
+def test_hot_account_in_the_linking_model(spark, skew_conf):
+    from sessionlens.operators.identity import link_identities
+    t = Tables(spark, SF_SMALL)
+    # A third of the app ids belong to one account, which also has contact keys and an e-mail.
+    hist = (AD.id_history(t).unionByName(spark.range(1200).select(
+        F.when(F.col("id") % 3 == 0, F.lit("acct-0")).otherwise(F.concat(F.lit("acct-x"), "id")).alias("primary_account_id"),
+        F.lit("2024-01-05 00:00:00").cast("timestamp_ntz").alias("date_created"),
+        F.concat(F.lit("app-x"), "id").alias("primary_reference_number"))).repartition(8).cache())
+    out = link_identities(hist, AD.contact_keys(t), AD.emails(t), AD.app_web_lookup(t), AD.web_session_facts(t),
+                          AD.page_views(t).where("utm_source != 'sfmc'"))
+    plan = _final_plan(out)
+    assert "SortMergeJoin(skew=true)" in plan, plan
+    assert out.where("primary_account_id = 'acct-0'").select("acs_user_id").distinct().count() >= 400
+
+
+def test_hot_company_outcomes(spark):
+    from sessionlens.operators.outcomes import outcomes_after
+    deals = spark.range(900).select(F.lit(7).alias("account_id"), F.date_add(F.lit("2024-01-01").cast("date"),
+                                    (F.col("id") % 30).cast("int")).alias("close_date"))
+    decks = spark.range(60).select(F.lit(1).alias("main_company_identifier"), F.date_add(
+        F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("deck_presented_date"))
+    companies = spark.createDataFrame([(1, 7), (2, 8)], "main_company_identifier int, account_id int")
+    got = {r["main_company_identifier"]: r["closed"] for r in outcomes_after(
+        companies, deals, decks, {"closed": F.lit(True)}).collect()}
+    assert got == {1: sum(30 * (day + 1) for day in range(30)), 2: 0}
