@@ -48,27 +48,38 @@ SELECT doc_id, size, source_size, target,
 FROM walked JOIN targets ON walked.source IS NOT DISTINCT FROM targets.source
 """
 
+# crc32 is folded byte by byte through its table, which the polynomial gives.
 OP10 = """
-WITH RECURSIVE bytes AS (
+WITH crc_table AS (
+    SELECT list(v ORDER BY n) AS t
+    FROM (SELECT n, list_reduce([n::BIGINT] || range(8), lambda c, i:
+                                CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+          FROM range(256) r(n))),
+bytes AS (
     SELECT doc_id, coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) AS record,
-           strlen(coalesce(text, '')) + 1 AS size, coalesce(text, '') AS body
+           strlen(coalesce(text, '')) AS length, hex(encode(coalesce(text, ''))) AS digits
     FROM documents),
+sums AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, doc_id, record, length + 1 AS size,
+           xor(list_reduce([4294967295::BIGINT]
+                           || list_transform(range(1, length + 1), lambda i: ('0x' || substr(digits, 2 * i - 1, 2))::BIGINT),
+                           lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS text_crc32
+    FROM bytes, crc_table),
 draws AS (
-    SELECT doc_id, record, size, body, n AS shard,
+    SELECT row_no, n AS shard,
            -1.0 / ln((('0x' || substr(md5(record || ':' || n), 1, 13))::BIGINT + 0.5::DOUBLE)
                      / 4503599627370496.0::DOUBLE) AS draw
-    FROM bytes, range(17) AS r(n)),
+    FROM sums, range(17) AS r(n)),
 placed AS (
-    SELECT doc_id, record, size, body,
-           arg_max(shard, draw) FILTER (WHERE shard < 16) AS shard, arg_max(shard, draw) AS grown_shard
-    FROM draws GROUP BY ALL)
-SELECT doc_id, size::BIGINT AS size, 0::BIGINT AS text_crc32, 'key' AS law, shard::INT AS shard,
-       row_number() OVER (PARTITION BY shard ORDER BY md5(record), record, size) - 1 AS slot,
+    SELECT row_no, arg_max(shard, draw) FILTER (WHERE shard < 16) AS shard, arg_max(shard, draw) AS grown_shard
+    FROM draws GROUP BY row_no)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(record), record, text_crc32, size) - 1 AS slot,
        grown_shard::INT AS grown_shard
-FROM placed
+FROM sums JOIN placed USING (row_no)
 """
 
-ORACLE = {"op7_exact_dedup": OP7, "op8_mix_sources": OP8}
+ORACLE = {"op7_exact_dedup": OP7, "op8_mix_sources": OP8, "op10_rendezvous_shards": OP10}
 
 
 def _license_sql() -> str:
