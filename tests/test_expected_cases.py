@@ -1,0 +1,93 @@
+"""Expected results written by hand, independent of the shared configuration."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from sessionlens.operators.classify import classify_columns
+from sessionlens.operators.funnel import exclusive_attribution, gate_funnel
+from sessionlens.plans import site_config as S
+
+RAW = sorted({name for name, _, _ in S.SITE_STEPS} | {S.PORTAL[0]})
+# (raw flags that are 1, gated outputs that must be 1, gated outputs that must be 0)
+GATED = [
+    ("sa_complete", "", "lead_complete sa_complete lead_view"),
+    ("sa_view sa_complete", "lead_view lead_complete sa_view sa_complete", ""),
+    ("sa_view lead_complete", "lead_view sa_view", "lead_complete sa_complete"),
+    ("lead_view lead_complete", "lead_view lead_complete", "sa_view sa_complete"),
+    ("pn_appt_confirmed", "pn_appt_confirmed", "pn_appt_confirmed_for_care"),
+    ("pn_appt_confirmed view_any_care_plus_page", "pn_appt_confirmed pn_appt_confirmed_for_care", ""),
+    ("retainer_confirmation", "", "retainer_confirmation"),
+    ("ik_product_page scan_book_page", "scan_book_page", "ik_product_page"),
+    # The kit's gate reads the ungated product page.
+    ("ik_product_page scan_book_page ik_thanks_page", "ik_thanks_page_temp", "ik_product_page bypass_kit_thanks_page"),
+    ("scan_complete_page", "", "scan_complete_page_temp scan_locations_complete_page_temp bypass_scan_complete_page_temp"),
+    ("scan_complete_page scan_book_page bypass_sa_prod_page", "scan_complete_page_temp bypass_scan_complete_page_temp",
+     "scan_locations_complete_page_temp scan_single_location_complete_page_temp"),
+    # So does the payment page's gate: shipping counts as seen although checkout was not.
+    ("sales_shipping_page sales_payment_page", "sales_payment_page", "sales_shipping_page"),
+    ("sales_purchase_page", "sales_purchase_page", "sales_checkout_page"),
+    ("rcm_lead_page rcm_submit_form", "rcm_lead_page", "rcm_submit_info rcm_submit_form"),
+]
+# (gated flags that are 1, attributed outputs that are 1; all others are 0)
+CREDITED = [
+    ("", ""),
+    ("scan_complete_page_temp", "scan_complete_page non_by_pass_scan_completion"),
+    ("scan_locations_complete_page_temp", "scan_locations_complete_page non_by_pass_scan_completion"),
+    ("scan_single_location_complete_page_temp", "single_scan_location_complete_page"),
+    ("scan_single_location_complete_page_temp scan_complete_page_temp",
+     "scan_location_complete_after_checkout_page non_by_pass_scan_completion"),
+    ("scan_single_location_complete_page_temp scan_locations_complete_page_temp", "scan_location_complete_after_shops_page"),
+    ("any_scan_complete_page view_web_csp", "scan_location_complete_after_web_csp"),
+    ("bypass_scan_complete_page_temp", "bypass_sa_order_page"),
+    ("bypass_scan_complete_page_temp scan_locations_complete_page_temp",
+     "scan_locations_complete_page non_by_pass_scan_completion"),
+    ("ik_thanks_page_temp", "ik_thanks_page"),
+    ("ik_thanks_page_temp bypass_sa_order_page_temp", ""),
+]
+LABELS = ("utm_source", "utm_campaign", "utm_medium", "ad_intention")
+CHANNELS = [
+    (("snapchat", None, None, None), "Snapchat"),
+    (("google", "x competitors branded", None, None), "Google Paid Search - Conquesting"),
+    (("google", "branded", None, None), "Google Paid Search - Branded"),
+    (("google", "other", None, None), "Google Paid Search - Non-Branded"),
+    (("google", None, "cpc", None), "Google Paid Search - Non-Branded"),
+    (("yahoo", "plain", "cpc", None), "Yahoo Paid Search - Non-Branded"),
+    (("yahoo", "plain", "nativeca", None), "Yahoo - Native"),
+    (("yahoo", "a prsp b", None, None), "Yahoo - Prospecting"),
+    (("dataxu", "a rtg b", None, None), "DataXu - Retargeting"),
+    (("dataxuca", None, None, None), "DataXu"),
+    (("adhoc", None, None, None), "E-mail"),
+    (("unheard", None, "email", None), "E-mail"),
+    (("taboola", None, "prsp", "retargeting"), "Taboola - Retargeting"),
+    (("taboola", None, "prsp", None), "Taboola - Prospecting"),
+    (("taboola", None, None, None), "Taboola - Unknown"),
+    (("outbrain", None, None, "prospecting"), "Outbrain - Prospecting"),
+]
+
+
+def _flags(spark, names, wanted):
+    return spark.range(1).select(*[F.lit(int(n in wanted.split())).alias(n) for n in names])
+
+
+@pytest.mark.parametrize("raw, ones, zeros", GATED)
+def test_gates(spark, raw, ones, zeros):
+    assert set(raw.split()) <= set(RAW)
+    row = gate_funnel(_flags(spark, RAW, raw), S.GATES).first()
+    assert {n: row[n] for n in ones.split()} == dict.fromkeys(ones.split(), 1)
+    assert {n: row[n] for n in zeros.split()} == dict.fromkeys(zeros.split(), 0)
+
+
+@pytest.mark.parametrize("gated, credited", CREDITED)
+def test_attribution(spark, gated, credited):
+    names = [name for name, _ in S.GATES]
+    row = exclusive_attribution(_flags(spark, names, gated), S.ATTRIBUTION).first()
+    assert {name for name, _ in S.ATTRIBUTION if row[name]} == set(credited.split())
+
+
+def test_channel_rules(spark):
+    others = ("utm_term", "referrer", "landing_page", "browser", "platform")
+    rows = [(i, *labels, *[None] * len(others)) for i, (labels, _) in enumerate(CHANNELS)]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{c} string" for c in (*LABELS, *others)))
+    got = {r["id"]: r["channel"] for r in classify_columns(
+        df, {"channel": (S.CHANNEL_RULES, S.CHANNEL_DEFAULT)}).collect()}
+    assert [got[i] for i in range(len(rows))] == [want for _, want in CHANNELS]
