@@ -22,7 +22,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; on one machine without that setting, one of its own."""
     fallback = None
-    if spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] == "local":
         fallback = os.path.join(tempfile.gettempdir(), "sessionlens-checkpoints")
     return checkpoint_dir(spark, fallback).rstrip("/")
 
