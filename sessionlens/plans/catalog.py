@@ -205,7 +205,7 @@ def q_stored_refresh(spark, sf):
 
 def _shared_folder(spark):
     """The cluster's checkpoint folder; on one machine without that setting, one of its own."""
-    local = spark.sparkContext.master.startswith("local[")
+    local = spark.sparkContext.master.split("[")[0] == "local"
     fallback = os.path.join(tempfile.gettempdir(), "sessionlens-checkpoints") if local else None
     return checkpoint_dir(spark, fallback).rstrip("/")
 
