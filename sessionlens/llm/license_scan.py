@@ -116,6 +116,8 @@ def template_matches(words: DataFrame, templates: dict[str, str] | None = None,
     prefixes = spark.createDataFrame(index, "token string, template int, label string, own array<string>, "
                                             "own_left int, need int")
     rare = sorted({row[0] for row in index}, key=rank.__getitem__)
+    # Only documents with such a word are cut into blocks.
+    words = words.filter(F.arrays_overlap("words", literal_array(rare)))
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(STEP))
     blocks = words.select("key", F.explode(F.transform(starts, lambda i: F.slice("words", i + 1, F.lit(BLOCK)))).alias("block"))
     hit = blocks.filter(F.arrays_overlap("block", literal_array(rare)))
