@@ -127,7 +127,6 @@ def _compare(nodes: list[bytes], blocks: np.ndarray, weights: np.ndarray, texts:
     if len(set(blocks.tolist())) > 1:  # pairs within a block are compared in that block's own group
         linked &= blocks[:, None] != blocks[None, :]
     counts = linked @ weights
-    label = np.arange(len(nodes))
     order = sorted(range(len(nodes)), key=lambda i: nodes[i])
     rank = np.empty(len(nodes), dtype=int)
     rank[order] = np.arange(len(nodes))

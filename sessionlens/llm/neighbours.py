@@ -121,10 +121,16 @@ def by_group(rows: DataFrame, compare, schema: str) -> DataFrame:
 
 
 def divided(rows: DataFrame, name: str) -> DataFrame:
-    """``part``: groups of more than MOST_MEMBERS rows are dealt by hash of ``name``."""
-    sizes = rows.groupBy("grp").agg(F.count("*").alias("members"))
-    return (join_per_key(rows, sizes, "grp", "inner")
-            .withColumn("part", F.pmod(F.xxhash64(name), F.ceil(F.col("members") / MOST_MEMBERS))).drop("members"))
+    """``part``: groups of more than MOST_MEMBERS rows are dealt by hash of ``name``; ``rows`` is materialised.
+
+    There are MOST_PIVOTS groups at most, so the large ones are listed in the expression.
+    """
+    sizes = rows.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_MEMBERS).collect()
+    parts = F.lit(1)
+    if sizes:
+        listed = F.create_map(*[F.lit(v) for r in sizes for v in (r["grp"], -(-r["n"] // MOST_MEMBERS))])
+        parts = F.coalesce(F.element_at(listed, F.col("grp")), F.lit(1))
+    return rows.withColumn("part", F.pmod(F.xxhash64(name), parts))
 
 
 def best_edges(edges: DataFrame, degree: int = DEGREE) -> DataFrame:
@@ -148,13 +154,13 @@ def start_graph(nodes: DataFrame, count: int, width: int) -> tuple[DataFrame, Da
             yield pd.DataFrame({"node": batch["node"], "groups": list(nearest.astype("int64"))})
 
     joined = materialise(nodes.mapInPandas(join_groups, "node long, groups array<long>"))
-    members = joined.select("node", F.explode("groups").alias("grp")).join(nodes, "node")
+    members = divided(joined.select("node", F.explode("groups").alias("grp")), "node").join(nodes, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         names, vectors = group["node"].to_numpy(), padded(group["v"], width)
         return best_of(names, vectors, names, vectors, np.full(len(names), -np.inf, "f4"), DEGREE)
 
-    edges = by_group(divided(members, "node"), compare, "a long, b long, s double")
+    edges = by_group(members, compare, "a long, b long, s double")
     return materialise(best_edges(edges)), joined.select("node", F.element_at("groups", 1).alias("grp"))
 
 
@@ -162,8 +168,9 @@ def descend(nodes: DataFrame, graph: DataFrame, home: DataFrame, width: int) ->
     """One round of NN-descent: pairs (a, b, s) that improve a's list."""
     close = graph.filter(F.col("r") <= INTRODUCED)
     both = close.select("a", "b").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    gathered = (both.join(home.withColumnRenamed("node", "a"), "a").select("grp", F.col("b").alias("node"))
-                .unionByName(home.select("grp", "node")).distinct())
+    gathered = materialise(both.join(home.withColumnRenamed("node", "a"), "a")
+                           .select("grp", F.col("b").alias("node"))
+                           .unionByName(home.select("grp", "node")).distinct())
     lists = graph.groupBy("a").agg(F.count("*").alias("n"), F.min("s").alias("least"))
     worst = (nodes.join(lists, nodes["node"] == lists["a"], "left")
              .select("node", "v", F.when(F.col("n") >= DEGREE, F.col("least")).alias("worst")))
@@ -193,24 +200,31 @@ def build_graph(nodes: DataFrame, count: int, width: int) -> tuple[DataFrame, Da
     return graph, home
 
 
+def best_of_pool(found: DataFrame) -> DataFrame:
+    """The POOL best (a, b, s) of each query a; ``done`` where some row of the pair is."""
+    once = found.groupBy("a", "b").agg(F.max("s").alias("s"), F.max("done").alias("done"))
+    ranked = once.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b")))
+    return ranked.filter(F.col("r") <= POOL).drop("r")
+
+
 def search(nodes: DataFrame, graph: DataFrame, home: DataFrame, queries: DataFrame, width: int) -> DataFrame:
     """(a, b, s): the best POOL nodes b found for each query node a (its own node among them)."""
-    entry = queries.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(float("inf")).alias("s"))
+    own = queries.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(float("inf")).alias("s"),
+                         F.lit(True).alias("done"))
     near = graph.join(queries.withColumnRenamed("node", "a"), "a", "left_semi")
-    pool = materialise(best_edges(entry.unionByName(near.select("a", "b", "s")), POOL).drop("r"))
-    expanded = entry.select("a", "b")
+    pool = materialise(best_of_pool(own.unionByName(near.select("a", "b", "s", F.lit(False).alias("done")))))
+    edges = graph.select(F.col("a").alias("via"), F.col("b").alias("to"))
     for _ in range(STEPS):
-        fresh = materialise(pool.select("a", "b").join(expanded, ["a", "b"], "left_anti"))
+        fresh = pool.filter("NOT done").select("a", F.col("b").alias("via"))
         if fresh.isEmpty():
             break
-        expanded = expanded.unionByName(fresh)
-        edges = graph.select(F.col("a").alias("via"), F.col("b").alias("to"))
-        reached = join_per_key(fresh.withColumnRenamed("b", "via"), edges, "via", "inner").select("a", F.col("to").alias("b"))
-        seen = pool.select("a", "b").unionByName(expanded)
-        new = reached.distinct().join(seen, ["a", "b"], "left_anti")
+        reached = join_per_key(fresh, edges, "via", "inner").select("a", F.col("to").alias("b")).distinct()
+        # What left the pool earlier can come back to be scored, but not into a full pool.
+        new = reached.join(pool.select("a", "b"), ["a", "b"], "left_anti")
         # Vectors of what a group's queries have reached travel to the group once.
         placed = new.join(home.withColumnRenamed("node", "a"), "a")
-        wanted = placed.select("grp", F.col("b").alias("node")).distinct().withColumn("is_query", F.lit(0))
+        wanted = materialise(placed.select("grp", F.col("b").alias("node")).distinct()
+                             .withColumn("is_query", F.lit(0)))
         asking = (queries.join(home, "node").select("grp", "node").withColumn("is_query", F.lit(1)))
         parts = divided(wanted, "node").select("grp", "part", "node", "is_query")
         homes = parts.select("grp", "part").distinct()
@@ -230,7 +244,8 @@ def search(nodes: DataFrame, graph: DataFrame, home: DataFrame, queries: DataFra
             return best_of(names[asks], vectors[asks], names[~asks], vectors[~asks], least[asks], POOL)
 
         found = by_group(members, compare, "a long, b long, s double")
-        pool = materialise(best_edges(pool.unionByName(found), POOL).drop("r"))
+        pool = materialise(best_of_pool(pool.withColumn("done", F.lit(True))
+                                        .unionByName(found.withColumn("done", F.lit(False)))))
     return pool
 
 
