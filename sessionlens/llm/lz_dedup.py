@@ -7,8 +7,9 @@ windows are judged on the input.
 Reference blocks are the distinct segments of all texts (``anchors.py``), each
 labelled with the smallest id of a document that holds it.  They are indexed
 by anchor.  A document's segment whose content stands in a smaller document is
-one factor, found by counting.  Every other content is parsed against all
-reference blocks of its anchor: a factor begins at the first window that a
+one factor, found by counting.  Every content is parsed once against all
+reference blocks of its anchor, and its factors hold at every place where its
+smallest document has it: a factor begins at the first window that a
 block of a smaller document holds, and is extended greedily, word by word, as
 long as a further window is held; windows across the border of two factors are
 looked up like any other.  Factors have ``WINDOW`` words or more by
@@ -38,7 +39,7 @@ from sessionlens.operators.joins import join_per_key
 
 WINDOW = 50
 GRAM = 16
-SPAN = "key long, start long, stop long"
+SPAN = "anchor long, digest long, start long, stop long"
 #: The rank of a row without an id.
 LAST = (1 << 63) - 1
 
@@ -51,7 +52,7 @@ def word_units(text: str) -> np.ndarray:
 def _cut(text: str, places: list) -> Iterator[tuple]:
     windows = signed(run_hashes(word_units(text), WINDOW, seed=2))
     for p in places:
-        yield p["anchor"], p["ord"], p["first"], windows[p["first"]:p["first"] + p["number"]]
+        yield p["anchor"], p["digest"], p["ord"], windows[p["first"]:p["first"] + p["number"]]
 
 
 class ReferenceIndex:
@@ -78,18 +79,18 @@ def _parse(group: pd.DataFrame) -> pd.DataFrame:
     index = ReferenceIndex(np.repeat(group["anchor"].to_numpy("int64"), sizes),
                            np.concatenate(list(group["windows"])).astype("int64"), documents)
     held = np.split(index.least < documents, np.cumsum(sizes)[:-1])
-    out = [(key, first + a, first + b) for key, first, h in zip(group["key"], group["first"], held, strict=True)
+    out = [(anchor, digest, a, b) for anchor, digest, h in zip(group["anchor"], group["digest"], held, strict=True)
            for a, b in factors(h)]
-    return pd.DataFrame(out, columns=["key", "start", "stop"]).astype("int64")
+    return pd.DataFrame(out, columns=["anchor", "digest", "start", "stop"]).astype("int64")
 
 
 def _windows_one_by_one(cuttings: DataFrame) -> DataFrame:
     """The same answer for anchors with very many contents, by a grouped minimum over single windows."""
-    windows = cuttings.select("key", "anchor", "ord", "first", F.posexplode("windows").alias("at", "window"))
+    windows = cuttings.select("anchor", "digest", "ord", F.posexplode("windows").alias("at", "window"))
     least = windows.groupBy("anchor", "window").agg(F.min("ord").alias("least"))
     held = join_per_key(windows, least, ["anchor", "window"], "inner").filter("least < ord")
-    return held.select("key", (F.col("first") + F.col("at")).alias("start"),
-                       (F.col("first") + F.col("at") + WINDOW).alias("stop"))
+    return held.select("anchor", "digest", F.col("at").cast("long").alias("start"),
+                       (F.col("at") + WINDOW).cast("long").alias("stop"))
 
 
 def held_spans(texts: DataFrame) -> DataFrame:
@@ -99,17 +100,24 @@ def held_spans(texts: DataFrame) -> DataFrame:
     several = found.filter("several")
     contents = A.contents_of(several, ordered=True)
     contents = materialise(contents.select("anchor", "digest", "c_count", "place.*"))
-    copied = join_per_key(several.select("key", "ord", "first", "number", "anchor", "digest"),
-                          contents.select("anchor", "digest", F.col("ord").alias("least")),
-                          ["anchor", "digest"], "inner").filter("least < ord")
-    settled = whole.select("key", "first", "number").unionByName(copied.select("key", "first", "number"))
-    spans = settled.select("key", F.col("first").alias("start"), (F.col("first") + F.col("number") + WINDOW - 1).alias("stop"))
     sizes = contents.groupBy("anchor").agg(F.count("*").alias("size")).filter(F.col("size") > A.MOST_CONTENTS)
     cuttings = materialise(A.cut_out(texts, contents, _cut,
-                                     "key long, anchor long, ord long, first long, windows array<long>"))
-    usual = cuttings.join(sizes, "anchor", "left_anti")
-    spans = spans.unionByName(A.by_collection(usual, _parse, SPAN))
-    return spans.unionByName(_windows_one_by_one(cuttings.join(sizes, "anchor", "left_semi")))
+                                     "key long, anchor long, digest long, ord long, windows array<long>"))
+    parsed = A.by_collection(cuttings.join(sizes, "anchor", "left_anti"), _parse, SPAN).unionByName(
+        _windows_one_by_one(cuttings.join(sizes, "anchor", "left_semi")))
+    # A set, as rows equal in id and text are cut out once each; a segment has few windows.
+    parsed = parsed.groupBy("anchor", "digest").agg(F.collect_set(F.struct("start", "stop")).alias("parts"))
+    least = join_per_key(contents.select("anchor", "digest", F.col("ord").alias("least")), parsed, ["anchor", "digest"])
+    # Every place of a content: whole where a smaller document has it, else the factors found in the content.
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("end").alias("stop")))
+    end = (F.col("number") + WINDOW - 1).cast("long")
+    places = join_per_key(several.select("key", "ord", "first", "number", "anchor", "digest"), least,
+                          ["anchor", "digest"], "inner").withColumn("end", end)
+    places = places.select("key", "first", F.explode(F.when(F.col("least") < F.col("ord"), everything)
+                                                     .otherwise(F.col("parts"))).alias("part"))
+    return whole.select("key", F.col("first").alias("start"), (F.col("first") + end).alias("stop")).unionByName(
+        places.select("key", (F.col("first") + F.col("part.start")).alias("start"),
+                      (F.col("first") + F.col("part.stop")).alias("stop")))
 
 
 def remove_held_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -119,6 +119,37 @@ def test_lz_dedup_matches_smallest_holder(docs):
         assert row["kept_sha256"] == hashlib.sha256(kept).hexdigest()
 
 
+@pytest.mark.parametrize("most", [lz_dedup.A.MOST_CONTENTS, 1])
+def test_lz_dedup_parses_every_place_of_a_content(spark, monkeypatch, most):
+    passage, around = prose(21, 90), prose(22, 80)
+    twice = f"{around} {passage} {around} {passage} {around}"
+    texts = [(1, f"{prose(23, 70)} {passage} {prose(24, 70)}"), (7, twice), (8, passage), (None, f"{prose(25, 60)} {twice}"),
+             (None, f"{prose(26, 60)} {prose(27, 90)} {prose(28, 60)}"), (None, f"{prose(29, 60)} {prose(27, 90)}"),
+             (None, f"{prose(30, 80)} {prose(31, 90)} {prose(30, 80)}"),
+             (None, f"{prose(30, 80)} {prose(31, 90)} {prose(30, 80)} tail"), (None, None),
+             (5, f"{prose(32, 60)} {prose(31, 90)} {prose(33, 60)}")]
+    texts += [texts[4], texts[1]]                                          # rows equal in id and text
+    rank = lambda doc: lz_dedup.LAST if doc is None else doc
+    least: dict = {}
+    for doc, text in texts:
+        w = (text or "").split()
+        for k in range(len(w) - 49):
+            window = tuple(w[k:k + 50])
+            least[window] = min(least.get(window, rank(doc)), rank(doc))
+    want = []
+    for doc, text in texts:
+        w = (text or "").split()
+        gone = [False] * len(w)
+        for k in range(len(w) - 49):
+            if least[tuple(w[k:k + 50])] < rank(doc):
+                gone[k:k + 50] = [True] * 50
+        want.append((rank(doc), len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g)))
+    monkeypatch.setattr(lz_dedup.A, "MOST_CONTENTS", most)
+    got = lz_dedup.remove_held_words(spark.createDataFrame(texts, "doc_id long, text string"))
+    got = got.select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert sorted((rank(d), *rest) for d, *rest in got) == sorted(want)
+
+
 def test_lz_dedup_window_by_window_path_agrees(docs, monkeypatch):
     want = sorted(map(tuple, lz_dedup.remove_held_words(docs).select("doc_id", "n_removed").fillna(-1).collect()))
     monkeypatch.setattr(lz_dedup.A, "MOST_CONTENTS", 1)
