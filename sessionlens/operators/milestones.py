@@ -126,12 +126,8 @@ def events_by_name(events: DataFrame, by: Sequence[str], *, time_col: str = "eve
 
 
 def milestones_from_names(by_name: DataFrame, specs: Sequence[Milestone], *, by: str = "session_id",
-                          linked_events: Sequence[str] = (), also: Sequence[Column] = (),
-                          also_names: Sequence[str] = ()) -> DataFrame:
-    """C3 over ``events_by_name`` rows; same columns and values as ``milestones``.
-
-    ``also`` are further aggregates (named ``also_names``) taken in the same pass.
-    """
+                          linked_events: Sequence[str] = ()) -> DataFrame:
+    """C3 over ``events_by_name`` rows; same columns and values as ``milestones``."""
     name = F.col("name")
     last = F.struct(F.when(F.col("untimed") > 0, F.lit(2**63 - 1)).otherwise(_epoch_micros(F.col("t_max"))), name)
     aggs = []
@@ -152,12 +148,12 @@ def milestones_from_names(by_name: DataFrame, specs: Sequence[Milestone], *, by:
             aggs.append(F.max_by(name, last).alias(out))
         else:
             raise ValueError(f"unknown milestone kind {kind!r}")
-    folded = by_name.groupBy(by).agg(*aggs, *also)
+    folded = by_name.groupBy(by).agg(*aggs)
     cols = [F.col(by)]
     for out, kind, _ in specs:
         parts = {"csp_first": ("t", "u"), "csp_last": ("u", "t")}.get(kind)
         cols.append(F.coalesce(*[F.col(f"{out}__{p}") for p in parts]).alias(out) if parts else F.col(out))
-    return folded.select(*cols, *also_names)
+    return folded.select(*cols)
 
 
 def _epoch_micros(t: Column) -> Column:

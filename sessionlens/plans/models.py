@@ -8,6 +8,8 @@ except the single high-water-mark scalar of the incremental refresh.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import tempfile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from sessionlens.operators.outcomes import outcomes_after, research_measures
 from sessionlens.operators.sessions import first_seen, session_base
 from sessionlens.plans import app_config as A
 from sessionlens.plans import site_config as S
+from sessionlens.session import checkpoint_dir
 
 
 def as_timestamp(bound) -> Column:
@@ -144,6 +147,16 @@ def app_milestones(linked_events: DataFrame) -> DataFrame:
                                order=A.MILESTONE_OUTPUT_ORDER, keep=["session_id"])
 
 
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` read back from the shared checkpoint folder; on a cluster without that setting, ``df`` itself."""
+    spark = df.sparkSession
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if not local and not spark.conf.get("spark.checkpoint.dir", None):
+        return df
+    checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "sessionlens-checkpoints") if local else None)
+    return df.checkpoint(eager=True)
+
+
 def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
                       account_map: DataFrame, unique_sessions: bool = False,
                       one_row_per_session: bool = False) -> DataFrame:
@@ -155,16 +168,18 @@ def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
     """
     base = session_base(sessions, events, A.APP_VIEW_EVENTS, unique_sessions=unique_sessions,
                         one_row_per_session=one_row_per_session)
-    # One aggregate straight after the identity join, then one fold per session: the milestones,
-    # and the session's rows by user and event name (at most names x users of one session), from
-    # which each user's rollup is read.  The join of event rows thus runs once.
-    by_name = events_by_name(linked_app_events(events, links), ["user_id", "session_id"], time_col="time",
-                             link_time_col="account_id_user_first_session")
-    reached = milestones_from_names(
-        by_name, A.MILESTONES, linked_events=A.CONTACT_INFO_EVENTS, also_names=["_rows"],
-        also=[F.collect_list(F.struct("user_id", "name", "n", "t_max")).alias("_rows")])
+    # One aggregate straight after the identity join, written once; the rollup per user and session
+    # and the milestones per session are partial aggregates of its rows, so a session that many
+    # users share never stands in one row.  The join of event rows thus runs once.
+    by_name = written_once(events_by_name(linked_app_events(events, links), ["user_id", "session_id"], time_col="time",
+                                          link_time_col="account_id_user_first_session"))
+    shared = F.when(F.col("name").isin(A.CSP_SHARED_EVENTS), F.col("n")).otherwise(F.lit(0))
+    rollup = by_name.groupBy("session_id", "user_id").agg(
+        F.max("t_max").alias("session_end_time"), F.sum("n").alias("event_count"),
+        F.sum(shared).alias("CSP_shared_count"))
+    reached = milestones_from_names(by_name, A.MILESTONES, linked_events=A.CONTACT_INFO_EVENTS)
     reached = milestone_durations(reached, A.DURATIONS, valid_after=A.SCAN_END,
-                                  order=A.MILESTONE_OUTPUT_ORDER, keep=["session_id", "_rows"])
+                                  order=A.MILESTONE_OUTPUT_ORDER, keep=["session_id"])
     # Both per-user tables (first session, account by the id's text) are
     # joined to each other first, so the wide session rows are shuffled
     # once for the pair.  Every user of ``base`` has a first session, so
@@ -176,16 +191,11 @@ def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
                 .drop("_uid", "reference_number"))
     # Per-session / per-user tables: joined so that a hot session or user
     # can be split by AQE (see operators/joins.py).
-    joined = join_per_key(join_per_key(base, per_user, "user_id"), reached, "session_id")
-    own = F.filter("_rows", lambda r: r["user_id"] == F.col("user_id"))
-    shared = F.filter("_own", lambda r: r["name"].isin(A.CSP_SHARED_EVENTS))
-    total = lambda rows: F.aggregate(rows, F.lit(0).cast("bigint"), lambda s, r: s + r["n"])
-    joined = joined.withColumn("_own", own)
-    some = F.size("_own") > 0
+    joined = join_per_key(join_per_key(base, per_user, "user_id"), rollup, ["session_id", "user_id"])
+    joined = join_per_key(joined, reached, "session_id")
     return joined.select(
         *base.columns, "primary_account_id", "first_session_date",
-        F.array_max(F.transform("_own", lambda r: r["t_max"])).alias("session_end_time"),
-        F.when(some, total(F.col("_own"))).alias("event_count"), F.when(some, total(shared)).alias("CSP_shared_count"),
+        "session_end_time", "event_count", "CSP_shared_count",
         *A.MILESTONE_OUTPUT_ORDER)
 
 

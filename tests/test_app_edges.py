@@ -71,3 +71,20 @@ def test_app_model_edges_match_literal_sql(spark):
     assert s1["event_count"] > 8  # events repeated once per later link
     assert rows[20]["first_viewed_CSP_time"] is None  # link not strictly later
     assert 30 not in rows  # a NULL user never matches its events
+
+
+def test_a_session_id_shared_by_many_users_is_never_one_row(spark):
+    sessions = [(u, 10, ts("2024-01-01 09:00:00"), "sdk", "iOS", "m", "US", "NA", "x", "ip") for u in range(300)]
+    events = [(u, 10, ts("2024-01-01 09:01:00") + dt.timedelta(seconds=k), name) for u in range(300)
+              for k, name in enumerate([VIEW, SHARE, SHARE][:1 + u % 3])]
+    con, frames = register(spark, {
+        name: ([(c, _spark_type(c)) for c in cols], rows)
+        for name, (cols, rows) in {"app_sessions": (SESSIONS[0], sessions), "app_events": (EVENTS[0], events),
+                                   "app_to_web_links": LINKS, "app_account_map": ACCOUNT_MAP}.items()})
+    got = app_session_model(frames["app_sessions"], frames["app_events"], frames["app_to_web_links"],
+                            frames["app_account_map"])
+    problems, n = compare(got, con, with_ctes(app_body()) + "\nSELECT * FROM app_visits")
+    assert not problems, problems
+    assert n == 300
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "array" not in plan.lower()
