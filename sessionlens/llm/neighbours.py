@@ -21,7 +21,8 @@ that an answer can need.
 Vectors that are null, empty or zero, or hold a null or a component that is not
 finite, and rows without an id take no part.  Shorter vectors count as padded
 with zeros.  Rows equal in id and vector count once.  Groups larger than
-``MOST_MEMBERS`` are divided by hash.  With no rows there are no answers.
+``MOST_MEMBERS`` are divided by hash and compared part by part, every part with
+every other.  With no rows there are no answers.
 """
 
 from __future__ import annotations
@@ -120,17 +121,41 @@ def by_group(rows: DataFrame, compare, schema: str) -> DataFrame:
     return rows.repartition("grp", "part").sortWithinPartitions("grp", "part").mapInPandas(run, schema)
 
 
-def divided(rows: DataFrame, name: str) -> DataFrame:
-    """``part``: groups of more than MOST_MEMBERS rows are dealt by hash of ``name``; ``rows`` is materialised.
+def divided(rows: DataFrame, name: str, most: int | None = None) -> DataFrame:
+    """``part`` of ``parts``: groups of more than MOST_MEMBERS rows are dealt by hash of ``name``, about ``most`` rows a part.
+
+    ``rows`` is materialised.
 
     There are MOST_PIVOTS groups at most, so the large ones are listed in the expression.
     """
     sizes = rows.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_MEMBERS).collect()
     parts = F.lit(1)
     if sizes:
-        listed = F.create_map(*[F.lit(v) for r in sizes for v in (r["grp"], -(-r["n"] // MOST_MEMBERS))])
-        parts = F.coalesce(F.element_at(listed, F.col("grp")), F.lit(1))
-    return rows.withColumn("part", F.pmod(F.xxhash64(name), parts))
+        listed = F.create_map(*[F.lit(v) for r in sizes for v in (r["grp"], -(-r["n"] // (most or MOST_MEMBERS)))])
+        parts = F.coalesce(F.element_at(listed, F.col("grp")), F.lit(1).cast("long"))
+    return rows.withColumn("part", F.pmod(F.xxhash64(name), parts)).withColumn("parts", parts.cast("long"))
+
+
+def in_blocks(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` for each pair of parts of their group (``part``); ``half`` is the row's own part.
+
+    Two parts together are about MOST_MEMBERS rows, and every two rows of a group meet in one pair.
+    """
+    dealt = divided(rows, name, max(1, MOST_MEMBERS // 2)).withColumnRenamed("part", "half")
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    pair = F.least("half", "other") * F.col("parts") + F.greatest("half", "other")
+    return dealt.withColumn("part", pair).drop("parts", "other")
+
+
+def best_in_block(group: pd.DataFrame, vectors: np.ndarray, worst: np.ndarray, count: int) -> pd.DataFrame:
+    """``best_of`` between the block's two halves, or within its only one."""
+    names, half = group["node"].to_numpy(), group["half"].to_numpy()
+    own = half == half[0]
+    if own.all():
+        # A part with itself (or, harmlessly once more, where the other part is empty).
+        return best_of(names, vectors, names, vectors, worst, count)
+    return pd.concat([best_of(names[a], vectors[a], names[~a], vectors[~a], worst[a], count) for a in (own, ~own)],
+                     ignore_index=True)
 
 
 def best_edges(edges: DataFrame, degree: int = DEGREE) -> DataFrame:
@@ -154,11 +179,10 @@ def start_graph(nodes: DataFrame, count: int, width: int) -> tuple[DataFrame, Da
             yield pd.DataFrame({"node": batch["node"], "groups": list(nearest.astype("int64"))})
 
     joined = materialise(nodes.mapInPandas(join_groups, "node long, groups array<long>"))
-    members = divided(joined.select("node", F.explode("groups").alias("grp")), "node").join(nodes, "node")
+    members = in_blocks(joined.select("node", F.explode("groups").alias("grp")), "node").join(nodes, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        names, vectors = group["node"].to_numpy(), padded(group["v"], width)
-        return best_of(names, vectors, names, vectors, np.full(len(names), -np.inf, "f4"), DEGREE)
+        return best_in_block(group, padded(group["v"], width), np.full(len(group), -np.inf, "f4"), DEGREE)
 
     edges = by_group(members, compare, "a long, b long, s double")
     return materialise(best_edges(edges)), joined.select("node", F.element_at("groups", 1).alias("grp"))
@@ -174,13 +198,12 @@ def descend(nodes: DataFrame, graph: DataFrame, home: DataFrame, width: int) ->
     lists = graph.groupBy("a").agg(F.count("*").alias("n"), F.min("s").alias("least"))
     worst = (nodes.join(lists, nodes["node"] == lists["a"], "left")
              .select("node", "v", F.when(F.col("n") >= DEGREE, F.col("least")).alias("worst")))
-    members = join_per_key(divided(gathered, "node"), worst, "node", "inner")
+    members = join_per_key(in_blocks(gathered, "node"), worst, "node", "inner")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        names, vectors = group["node"].to_numpy(), padded(group["v"], width)
         least = group["worst"].to_numpy("f8", na_value=-np.inf)
         least = np.where(np.isnan(least), -np.inf, least).astype("f4")
-        return best_of(names, vectors, names, vectors, least, OFFERS)
+        return best_in_block(group, padded(group["v"], width), least, OFFERS)
 
     return by_group(members, compare, "a long, b long, s double")
 

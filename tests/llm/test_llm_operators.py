@@ -312,6 +312,30 @@ def test_neighbours_against_brute_force(spark, n):
     assert hits >= 0.9 * total
 
 
+def test_divided_groups_are_compared_whole(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(700)]
+    nodes = spark.createDataFrame(rows, "node long, v array<double>")
+    rough = spark.createDataFrame([(i, (i + k) % 700, float(k), k) for i in range(700) for k in range(1, 4)],
+                                  "a long, b long, s double, r int")
+    monkeypatch.setattr(neighbours, "OFFERS", 700)
+
+    def found():
+        graph, home = neighbours.start_graph(nodes, len(rows), 12)
+        return [{(r["a"], r["b"]) for r in df.collect()}
+                for df in (graph, neighbours.descend(nodes, rough, home, 12))]
+
+    want = found()
+    monkeypatch.setattr(neighbours, "MOST_MEMBERS", 100)
+    got = found()
+    v = np.array([x for _, x in rows], dtype=np.float32)
+    score = v @ v.T
+    np.fill_diagonal(score, -np.inf)
+    best = {(a, int(b)) for a in range(700) for b in np.argsort(-score[a])[:neighbours.DEGREE]}
+    assert len(best & got[0]) >= 0.999 * len(best)
+    assert len(want[1] ^ got[1]) <= 0.001 * len(want[1])
+
+
 def test_license_scan_against_brute_force(docs):
     got = by_id(license_scan.scan(docs))
     for r in corpus():
