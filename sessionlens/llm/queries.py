@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm import (exact_dedup, language, license_scan, lz_dedup, mixing, near_join, neighbours, packing,
+from sessionlens.llm import (alignment, exact_dedup, language, license_scan, lz_dedup, mixing, near_join, neighbours, packing,
                              sharding, suffix_dedup)
 from sessionlens.llm.common import read_table
 
@@ -14,6 +14,8 @@ from sessionlens.llm.common import read_table
 SHARDS = 16
 #: Token ids of op2.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The two sides of op12.
+ALIGNED = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,5 +58,10 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_near_copies, op4_nn_descent, op5_license_scan, op6_lz_dedup, op7_exact_dedup, op8_mix_sources, op9_language_id,
-                                    op10_rendezvous_shards)}
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(read_table(spark, sf_dir, "documents"), *ALIGNED)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_suffix_dedup, op2_best_fit_packing, op3_near_copies, op4_nn_descent, op5_license_scan, op6_lz_dedup,
+    op7_exact_dedup, op8_mix_sources, op9_language_id, op10_rendezvous_shards, op12_align_tokens)}

@@ -1,0 +1,148 @@
+"""Cross-tokenizer alignment against a plain walk over the tokens."""
+
+import collections
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from sessionlens.llm import alignment
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+SCHEMA = "doc_id long, text string, groups string, links string, _both string, pair long"
+
+
+def texts() -> list:
+    rng = random.Random(5)
+    chars = "ab éß漢\n\t  .,!'1#ZQ"
+    noise = ["".join(rng.choice(chars) for _ in range(rng.randint(1, 90))) for _ in range(25)]
+    return [None, "", " ", "   ", "a", "the cat, the dog", "The cat's 12 hats!", "<|endoftext|> and <s>", "▁ lower one",
+            "x" * 300, "line\nline\r\n\tend  ", "ﬁne Å ½", "emoji 👩‍🔬 ‍", *noise,
+            " ".join(f"word{rng.randrange(40)}" for _ in range(900)), "the cat, the dog"]
+
+
+def rows() -> list[tuple]:
+    found = [(i, t, "x", "y", "z", 1) for i, t in enumerate(texts())]
+    return [*found, found[5], (None, "the dog", None, None, None, None)]
+
+
+def brute(rows):
+    """Tokens by the two libraries, whole texts, one token after the other."""
+    a_side, b_side = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    a_side.encode_special_tokens = True
+    alphabet = alignment.byte_level_alphabet()
+    parsed, counts = [], collections.Counter()
+    for doc, text, *_ in rows:
+        if not text:
+            parsed.append((doc, [], [], []))
+            continue
+        a = [(t.id, bytes(alphabet[c] for c in a_side.id_to_token(t.id)))
+             for t in [type("T", (), {"id": i}) for i in a_side.encode(" " + text, add_special_tokens=False).ids]]
+        b = [(i, bytes([int(b_side.id_to_piece(i)[1:-1], 16)]) if b_side.is_byte(i)
+              else b_side.id_to_piece(i).replace("▁", " ").encode()) for i in b_side.encode(text)]
+        data = (" " + text).encode()
+        if b"".join(x for _, x in a) != data or b"".join(x for _, x in b) != data:
+            parsed.append((doc, [], [], []))
+            continue
+        ends = [[], []]
+        for side, tokens in enumerate((a, b)):
+            at = 0
+            for i, own in tokens:
+                at += len(own)
+                ends[side].append((at, i))
+        shared = sorted({e for e, _ in ends[0]} & {e for e, _ in ends[1]})
+        groups, low = [], 0
+        for high in shared:
+            groups.append([[i for e, i in side if low < e <= high] for side in ends])
+            low = high
+        links = [(i, j) for e, i in ends[0] for f, j in ends[1] if e == f]
+        counts.update(links)
+        parsed.append((doc, a, b, groups, links))
+    best = collections.defaultdict(int)
+    for (_, j), n in counts.items():
+        best[j] = max(best[j], n)
+    out = []
+    for doc, a, b, groups, *links in parsed:
+        links = links[0] if links else []
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append((doc, len(a), len(b), len(groups), len(links), sum(counts[p] == best[p[1]] for p in links),
+                    sum(counts[p] for p in links), hashlib.sha256(text.encode()).hexdigest() if text else ""))
+    return out
+
+
+def test_report_matches_a_walk_over_the_tokens(spark):
+    got = alignment.alignment_report(spark.createDataFrame(rows(), SCHEMA), A, B)
+    assert got.columns == COLUMNS
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute(rows())))
+
+
+@pytest.mark.parametrize("name", ["STRETCH", "TOGETHER"])
+def test_cut_texts_and_small_runs_agree(spark, monkeypatch, name):
+    """Long texts in stretches, and runs of few characters, in the functions that tasks call."""
+    aligner = alignment.Aligner(A, B)
+    own = [t for t in texts() if t]
+    want = aligner.align(own)
+    monkeypatch.setattr(alignment, name, 40)
+    if name == "STRETCH":
+        assert max(len(alignment.stretches(" " + t)) for t in own) > 20
+        assert aligner.align(own).equals(want)
+    else:
+        got = [aligner.align(own[run])["groups"].tolist() for run in alignment.in_runs([len(t) for t in own])]
+        assert len(got) > 5 and sum(got, []) == want["groups"].tolist()
+
+
+def test_a_text_of_megabytes(spark):
+    text = " ".join(f"part{i % 977}é" for i in range(300_000))
+    assert len(text) > 2 * alignment.STRETCH
+    docs = spark.createDataFrame([(1, text), (2, "part5é")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in alignment.align(docs, A, B, keep_groups=True).collect()}
+    whole = Tokenizer.from_file(A).encode(" " + text, add_special_tokens=False).ids
+    assert got[1]["n_a"] == len(whole)
+    assert [int(x) for g in got[1]["groups"].split(";") for x in g.split("|")[0].split(",")] == whole
+
+
+def test_overlaps_are_all_pairs_that_share_a_byte():
+    import numpy as np
+    import pandas as pd
+    rng = random.Random(2)
+    for _ in range(40):
+        sides, at = [[], []], 0
+        for doc in range(rng.randint(1, 4)):
+            size = rng.randint(1, 12)
+            for side in sides:
+                cuts = sorted({0, size, *(rng.randrange(size) for _ in range(rng.randint(0, 6)))})
+                side += [(doc, at + s, at + e) for s, e in zip(cuts, cuts[1:], strict=False)]
+            at += size
+        a, b = (pd.DataFrame(s, columns=["doc", "start", "end"]) for s in sides)
+        got = alignment.overlaps(a[["doc", "start"]], b[["doc", "start"]])
+        want = [(i, j) for i, x in enumerate(sides[0]) for j, y in enumerate(sides[1]) if max(x[1], y[1]) < min(x[2], y[2])]
+        assert sorted(zip(*map(np.ndarray.tolist, got), strict=True)) == want
+
+
+def test_every_linked_pair_is_in_the_table():
+    pairs = set(alignment.suffix_pairs(A, B).tolist())
+    a, b = (side.tokens for side in alignment.sides(A, B))
+    rng = random.Random(1)
+    for _ in range(20_000):
+        i, j = rng.choice(list(a)[:2000]), rng.choice(list(b)[:2000])
+        assert (a[i].endswith(b[j]) or b[j].endswith(a[i])) == ((i << 32 | j) in pairs)
+
+
+def test_empty_and_textless_tables(spark):
+    assert alignment.alignment_report(spark.createDataFrame([], SCHEMA), A, B).collect() == []
+    nulls = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert sorted(map(tuple, alignment.alignment_report(nulls, A, B).collect())) == [(1, *[0] * 6, ""), (2, *[0] * 6, "")]
+
+
+def test_pair_counts_sum_to_links(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    aligned = alignment.align(docs, A, B).cache()
+    counts = alignment.pair_counts(aligned, A, B)
+    assert counts.columns == ["pair", "a_id", "b_id", "n_links"]
+    assert counts.agg(F.sum("n_links")).first()[0] == aligned.agg(F.sum("n_links")).first()[0]
+    aligned.unpersist()
