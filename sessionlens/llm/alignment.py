@@ -201,8 +201,9 @@ def group_texts(a: Side, b: Side, group_a: np.ndarray, group_b: np.ndarray, docs
     text = out[np.arange(out.shape[1]) < length[:, None]].tobytes()
     doc = np.empty(n, "i8")
     doc[place_a], doc[place_b] = a.doc, b.doc
-    ends = np.cumsum(np.bincount(doc, weights=length, minlength=docs).astype("i8"))
-    return [text[s:e] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+    size = np.bincount(doc, weights=length, minlength=docs).astype("i8")
+    ends = np.cumsum(size)
+    return [text[s:e] for s, e in zip(ends - size, ends, strict=True)]
 
 
 class Aligner:
