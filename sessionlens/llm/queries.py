@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens.llm import (alignment, exact_dedup, language, license_scan, lz_dedup, mixing, near_join, neighbours, packing,
-                             sharding, suffix_dedup)
+                             quality, sharding, suffix_dedup)
 from sessionlens.llm.common import read_table
 
 #: Shards of op10, all of one weight.
@@ -62,6 +62,10 @@ def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_report(read_table(spark, sf_dir, "documents"), *ALIGNED)
 
 
+def op13_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_best_fit_packing, op3_near_copies, op4_nn_descent, op5_license_scan, op6_lz_dedup,
-    op7_exact_dedup, op8_mix_sources, op9_language_id, op10_rendezvous_shards, op12_align_tokens)}
+    op7_exact_dedup, op8_mix_sources, op9_language_id, op10_rendezvous_shards, op12_align_tokens, op13_quality_nbsvm)}
