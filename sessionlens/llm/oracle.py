@@ -79,7 +79,54 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS
 FROM sums JOIN placed USING (row_no)
 """
 
-ORACLE = {"op7_exact_dedup": OP7, "op8_mix_sources": OP8, "op10_rendezvous_shards": OP10}
+# A node is a prefix held as a list; its subtree is found through the members of the nodes below.
+OP11 = r"""
+WITH crc_table AS (
+    SELECT list(v ORDER BY n) AS t
+    FROM (SELECT n, list_reduce([n::BIGINT] || range(8), lambda c, i:
+                                CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+          FROM range(256) r(n))),
+convs AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                         ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+shared AS (
+    SELECT conv_id, turns, conv_id - conv_id % 20 AS base,
+           xor(list_reduce([4294967295::BIGINT]
+                           || list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+                           lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) % 4 AS h
+    FROM convs, crc_table),
+rebuilt AS (
+    SELECT own.conv_id, list_concat(coalesce(lender.turns[1:own.h], []), coalesce(own.turns[own.h + 1:], [])) AS turns
+    FROM shared own LEFT JOIN convs lender ON lender.conv_id = own.base),
+passes AS (
+    SELECT conv_id AS member, d AS depth, min(conv_id) OVER same AS node,
+           count(*) OVER (PARTITION BY d, turns[1:d]) AS n_convs, d = len(turns) AS ended,
+           CASE WHEN d = 0 THEN 0
+                ELSE len(regexp_extract_all(turns[d]['text'], '[^\x20\x09-\x0D]+')) END AS words
+    FROM rebuilt, unnest(range(len(turns) + 1)) AS r(d)
+    WINDOW same AS (PARTITION BY d, turns[1:d] ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+ends AS (
+    SELECT node, depth, string_agg(member::VARCHAR, ',' ORDER BY member) AS ids FROM passes WHERE ended GROUP BY ALL),
+nodes AS (
+    SELECT member AS conv_id, p.depth, n_convs, (n_convs - 1) * words AS saves
+    FROM passes p WHERE node = member),
+children AS (
+    SELECT up.node, up.depth, count(*) AS n_children
+    FROM nodes JOIN passes up ON up.member = nodes.conv_id AND up.depth = nodes.depth - 1 GROUP BY ALL),
+subtrees AS (
+    SELECT up.node, up.depth, sum(saves) AS saved_tokens, count(*) FILTER (WHERE c.node IS NULL) AS n_leaves
+    FROM nodes JOIN passes up ON up.member = nodes.conv_id AND up.depth <= nodes.depth
+    LEFT JOIN children c ON c.node = nodes.conv_id AND c.depth = nodes.depth GROUP BY up.node, up.depth)
+SELECT n.conv_id, n.depth, up.node AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0)::BIGINT AS n_children,
+       s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN subtrees s ON s.node = n.conv_id AND s.depth = n.depth
+LEFT JOIN children c ON c.node = n.conv_id AND c.depth = n.depth
+LEFT JOIN ends e ON e.node = n.conv_id AND e.depth = n.depth
+LEFT JOIN passes up ON up.member = n.conv_id AND up.depth = n.depth - 1
+"""
+
+ORACLE = {"op7_exact_dedup": OP7, "op8_mix_sources": OP8, "op10_rendezvous_shards": OP10, "op11_prefix_trie": OP11}
 
 
 def _license_sql() -> str:

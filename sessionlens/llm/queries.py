@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlens.llm import (alignment, exact_dedup, language, license_scan, lz_dedup, mixing, near_join, neighbours, packing,
-                             quality, sharding, suffix_dedup)
+from sessionlens.llm import (alignment, conversation_trie, exact_dedup, language, license_scan, lz_dedup, mixing,
+                             near_join, neighbours, packing, quality, sharding, suffix_dedup)
 from sessionlens.llm.common import read_table
 
 #: Shards of op10, all of one weight.
@@ -58,6 +58,10 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(read_table(spark, sf_dir, "conversations"), share_openings=True)
+
+
 def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_report(read_table(spark, sf_dir, "documents"), *ALIGNED)
 
@@ -68,4 +72,4 @@ def op13_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_best_fit_packing, op3_near_copies, op4_nn_descent, op5_license_scan, op6_lz_dedup,
-    op7_exact_dedup, op8_mix_sources, op9_language_id, op10_rendezvous_shards, op12_align_tokens, op13_quality_nbsvm)}
+    op7_exact_dedup, op8_mix_sources, op9_language_id, op10_rendezvous_shards, op11_prefix_trie, op12_align_tokens, op13_quality_nbsvm)}

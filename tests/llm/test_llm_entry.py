@@ -22,6 +22,9 @@ COLUMNS = {
     "op8_mix_sources": "doc_id size source_size target taken",
     "op9_language_id": "doc_id held_out lang_pred score",
     "op10_rendezvous_shards": "doc_id size text_crc32 law shard slot grown_shard",
+    "op11_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12_align_tokens": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13_quality_nbsvm": "doc_id held_out score predicted",
 }
 
 
