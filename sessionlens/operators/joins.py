@@ -21,6 +21,12 @@ from pyspark.sql import functions as F
 _H = "_join_key_hash"
 
 
+def row_hash(df: DataFrame) -> Column:
+    """xxhash64 of the whole row."""
+    # xxhash64 rejects maps, at any depth; their JSON text stands for them.
+    return F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in df.dtypes])
+
+
 def spread_key(df: DataFrame, keys: Sequence[str]) -> Column:
     """xxhash64 of the key, or of the whole row when a key is NULL.
 
@@ -31,9 +37,7 @@ def spread_key(df: DataFrame, keys: Sequence[str]) -> Column:
     for k in keys:
         term = F.col(k).isNull()
         any_null = term if any_null is None else (any_null | term)
-    # xxhash64 rejects maps, at any depth; their JSON text stands for them.
-    hashable = [F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in df.dtypes]
-    return F.when(any_null, F.xxhash64(*hashable)).otherwise(F.xxhash64(*keys))
+    return F.when(any_null, row_hash(df)).otherwise(F.xxhash64(*keys))
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: str | Sequence[str],

@@ -125,6 +125,20 @@ def events_by_name(events: DataFrame, by: Sequence[str], *, time_col: str = "eve
         F.sum(flag(t.isNull())).alias("untimed"), F.min(no_time).alias("u_min"), F.max(no_time).alias("u_max"))
 
 
+def counted_events_by_name(events: DataFrame, by: Sequence[str], *, time_col: str = "event_time",
+                           name_col: str = "event_table_name", links_col: str = "n_links") -> DataFrame:
+    """``events_by_name`` of the identity join, from event rows that carry their number of later links.
+
+    The join repeats an event once per later link and keeps one row of an event without any; an
+    event without a time has none, so it brings no link time.
+    """
+    t, links = F.col(time_col), F.col(links_col)
+    no_time = F.lit(None).cast("timestamp_ntz")
+    return events.groupBy(*by, F.col(name_col).alias("name"), (links > 0).alias("has_link")).agg(
+        F.sum(F.greatest(links, F.lit(1))).alias("n"), F.min(t).alias("t_min"), F.max(t).alias("t_max"),
+        F.sum(flag(t.isNull())).alias("untimed"), F.min(no_time).alias("u_min"), F.max(no_time).alias("u_max"))
+
+
 def milestones_from_names(by_name: DataFrame, specs: Sequence[Milestone], *, by: str = "session_id",
                           linked_events: Sequence[str] = ()) -> DataFrame:
     """C3 over ``events_by_name`` rows; same columns and values as ``milestones``."""

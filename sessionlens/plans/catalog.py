@@ -125,6 +125,12 @@ def q_bounded_identity_join(spark, sf):
     return _linked(spark, sf)
 
 
+def q_later_link_counts(spark, sf):
+    """C12 counted: every app event with the number of links that begin after it."""
+    t = Tables(spark, sf)
+    return M.counted_app_events(AD.app_events(t), AD.app_to_web_links(t))
+
+
 def q_session_rollup(spark, sf):
     return session_rollup(_linked(spark, sf), counts={"CSP_shared_count": A.CSP_SHARED_EVENTS})
 
@@ -223,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "url_param": q_url_param,
     "link_identities": q_link_identities,
     "bounded_identity_join": q_bounded_identity_join,
+    "later_link_counts": q_later_link_counts,
     "session_rollup": q_session_rollup,
     "session_base": q_session_base,
     "first_seen": q_first_seen,

@@ -21,8 +21,9 @@ from sessionlens.operators.funnel import (
 )
 from sessionlens.operators.identity import bounded_identity_join
 from sessionlens.operators.joins import join_per_key
+from sessionlens.operators.later_links import later_link_counts
 from sessionlens.operators.milestones import (
-    events_by_name, milestone_durations, milestones, milestones_from_names,
+    counted_events_by_name, milestone_durations, milestones, milestones_from_names,
 )
 from sessionlens.operators.outcomes import outcomes_after, research_measures
 from sessionlens.operators.sessions import first_seen, session_base
@@ -137,6 +138,13 @@ def linked_app_events(events: DataFrame, links: DataFrame) -> DataFrame:
                                  time_col="time", bound_col="account_id_user_first_session")
 
 
+def counted_app_events(events: DataFrame, links: DataFrame) -> DataFrame:
+    """App events, each with the number of links whose first web session came later (C12 without the product)."""
+    narrow = app_event_filter(events).select("user_id", "session_id", "time", "event_table_name")
+    return later_link_counts(narrow, simplified_links(links), event_key="user_id", link_key="acs_user_id",
+                             time_col="time", bound_col="account_id_user_first_session")
+
+
 def app_milestones(linked_events: DataFrame) -> DataFrame:
     """C3 + C4 over linked app events: one row per session id."""
     ev = linked_events.select("session_id", F.col("time").alias("event_time"), "event_table_name",
@@ -148,11 +156,9 @@ def app_milestones(linked_events: DataFrame) -> DataFrame:
 
 
 def written_once(df: DataFrame) -> DataFrame:
-    """``df`` read back from the shared checkpoint folder; on a cluster without that setting, ``df`` itself."""
+    """``df`` read back from the shared checkpoint folder.  A cluster must name one in ``spark.checkpoint.dir``."""
     spark = df.sparkSession
     local = spark.sparkContext.master.split("[")[0] == "local"
-    if not local and not spark.conf.get("spark.checkpoint.dir", None):
-        return df
     checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "sessionlens-checkpoints") if local else None)
     return df.checkpoint(eager=True)
 
@@ -168,11 +174,11 @@ def app_session_model(sessions: DataFrame, events: DataFrame, links: DataFrame,
     """
     base = session_base(sessions, events, A.APP_VIEW_EVENTS, unique_sessions=unique_sessions,
                         one_row_per_session=one_row_per_session)
-    # One aggregate straight after the identity join, written once; the rollup per user and session
-    # and the milestones per session are partial aggregates of its rows, so a session that many
-    # users share never stands in one row.  The join of event rows thus runs once.
-    by_name = written_once(events_by_name(linked_app_events(events, links), ["user_id", "session_id"], time_col="time",
-                                          link_time_col="account_id_user_first_session"))
+    # The identity join is counted, not built.  One aggregate of the counted events, written once; the
+    # rollup per user and session and the milestones per session are partial aggregates of its rows,
+    # so a session that many users share never stands in one row.
+    by_name = written_once(counted_events_by_name(counted_app_events(events, links), ["user_id", "session_id"],
+                                                  time_col="time"))
     shared = F.when(F.col("name").isin(A.CSP_SHARED_EVENTS), F.col("n")).otherwise(F.lit(0))
     rollup = by_name.groupBy("session_id", "user_id").agg(
         F.max("t_max").alias("session_end_time"), F.sum("n").alias("event_count"),

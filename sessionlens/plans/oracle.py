@@ -494,6 +494,9 @@ def oracle_queries() -> dict[str, str]:
         "url_param": url_param_sql(),
         "link_identities": link_identities_sql(),
         "bounded_identity_join": _app("SELECT * FROM joined_events"),
+        "later_link_counts": _app("""SELECT e.user_id, e.session_id, e.time, e.event_table_name,
+       (SELECT count(*) FROM known_links l WHERE l.acs_user_id::VARCHAR = e.user_id::VARCHAR
+        AND l.account_id_user_first_session > e.time) AS n_links FROM own_events e"""),
         "session_rollup": _app("SELECT * FROM per_session"),
         "session_base": _app("SELECT * FROM visit_starts"),
         "first_seen": _app("SELECT * FROM first_starts"),

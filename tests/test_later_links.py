@@ -1,0 +1,90 @@
+"""Later-link counts against the identity join, rows with nulls, ties and a hot user."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from sessionlens.operators.identity import bounded_identity_join
+from sessionlens.operators.later_links import later_link_counts
+from sessionlens.operators.milestones import counted_events_by_name, events_by_name
+from sessionlens.plans import models as M
+from sessionlens.sources import adapters as AD
+from sessionlens.sources.tables import Tables
+
+KEYS = {"event_key": "user_id", "link_key": "acs_user_id", "time_col": "time",
+        "bound_col": "account_id_user_first_session"}
+EVENTS = "event_id long, user_id long, session_id long, time timestamp_ntz, event_table_name string, tags map<string,string>"
+LINKS = "primary_account_id string, account_id_user string, acs_user_id string, account_id_user_first_session timestamp_ntz"
+
+
+def _tables(spark, seed, events=400, links=120, users=12):
+    rng = random.Random(seed)
+    base = dt.datetime(1969, 12, 31, 20)
+
+    def at():        # few instants, on both sides of 1970, so that events and bounds tie
+        return rng.choice([None, *[base + dt.timedelta(minutes=20 * k) for k in range(30)]]) if rng.random() < 0.9 else \
+            base + dt.timedelta(microseconds=rng.randrange(10**11))
+
+    ev = [(i, rng.choice([None, *range(users)]), rng.randrange(5), at(), rng.choice("abc"), {"k": "v"}) for i in range(events)]
+    ev += ev[:30]
+    ln = [("acct", rng.choice(["w1", "w2", None]), rng.choice([None, *map(str, range(users)), "x"]), at()) for _ in range(links)]
+    return spark.createDataFrame(ev, EVENTS), spark.createDataFrame(ln + ln[:20], LINKS)
+
+
+def _same(a, b):
+    assert a.columns == b.columns
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_counts_equal_the_join(spark):
+    for seed in (1, 2):
+        events, links = _tables(spark, seed)
+        events = events.withColumn("row", F.monotonically_increasing_id()).cache()
+        joined = (bounded_identity_join(events.drop("tags"), links, **KEYS).groupBy("row")
+                  .agg(F.sum(F.col("account_id_user_first_session").isNotNull().cast("long")).alias("n_links")))
+        for micros in (3_600_000_000, 1, 10**15):
+            got = later_link_counts(events, links, **KEYS, slice_micros=micros)
+            assert got.columns == [*events.columns, "n_links"] and got.count() == events.count()
+            _same(got.select("row", "n_links"), joined)
+
+
+def test_folded_names_equal_those_of_the_join(spark):
+    events, links = _tables(spark, 3)
+    links = links.where("account_id_user IS NOT NULL").distinct()
+    want = events_by_name(bounded_identity_join(events.drop("tags"), links, **KEYS), ["user_id", "session_id"],
+                          time_col="time", link_time_col="account_id_user_first_session")
+    got = counted_events_by_name(later_link_counts(events, links, **KEYS), ["user_id", "session_id"], time_col="time")
+    _same(got, want)
+
+
+def test_empty_sides(spark):
+    events, links = _tables(spark, 4, 20, 20)
+    assert later_link_counts(events.limit(0), links, **KEYS).collect() == []
+    alone = later_link_counts(events, links.limit(0), **KEYS).collect()
+    assert len(alone) == events.count() and {r["n_links"] for r in alone} == {0}
+
+
+def test_hot_user_with_a_thousand_links(spark):
+    """A third of all events and 1,000 links with one user: no join of events to links, no group with them all."""
+    t = Tables(spark, SF_SMALL)
+    events = AD.app_events(t).withColumn("_rid", F.monotonically_increasing_id())
+    events = events.withColumn("user_id", F.when(F.col("_rid") % 3 == 0, F.lit(1)).otherwise(F.col("user_id"))).drop("_rid")
+    many = spark.range(1000).select(F.lit("acct-0").alias("primary_account_id"), F.lit("web-1").alias("account_id_user"),
+                                    F.lit("1").alias("acs_user_id"),
+                                    (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+                                     + F.make_dt_interval(hours=F.col("id").cast("int") * 7))
+                                    .alias("account_id_user_first_session"))
+    links = AD.app_to_web_links(t).select(*many.columns).unionByName(many)
+    events, links = (spark.createDataFrame(df.collect(), df.schema) for df in (events, links))
+    counted = M.counted_app_events(events, links)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 1 and "_slice" in joins[0] and "account_id_user" not in joins[0], plan
+    product = M.linked_app_events(events, links)
+    want = (product.groupBy("user_id", "session_id", "time", "event_table_name")
+            .agg(F.count("account_id_user_first_session").alias("all")).agg(F.sum("all")).first()[0])
+    assert counted.agg(F.sum("n_links")).first()[0] == want > 1000
+    rows = counted.where("user_id = 1").groupBy(F.date_trunc("hour", "time")).count().agg(F.max("count"), F.sum("count")).first()
+    assert rows[0] < rows[1] / 10
