@@ -7,7 +7,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlens.functions.rules import Rule, classify
+from sessionlens.functions.rule_index import classify_by_index
+from sessionlens.functions.rules import Rule
 from sessionlens.operators.joins import join_per_key
 
 
@@ -37,5 +38,5 @@ def campaign_intent(sessions: DataFrame, campaigns: DataFrame, retargeting: Iter
 
 
 def classify_columns(df: DataFrame, tables: Mapping[str, tuple[Sequence[Rule], str | None]]) -> DataFrame:
-    """Add one column per rule table (first matching rule wins)."""
-    return df.withColumns({name: classify(rules, default) for name, (rules, default) in tables.items()})
+    """Add one column per rule table (first matching rule wins); large tables go through their rule index."""
+    return classify_by_index(df, tables)
