@@ -4,7 +4,7 @@ A run rebuilds only rows newer than the target's high-water mark minus a
 lookback, then replaces target rows by key: rows of the target whose key
 appears in the batch are dropped (all of them, delete+insert semantics, so
 a key repeated in the batch keeps every batch row) and the batch is
-appended.  A stored table is partitioned by date; a run stages the recent
+appended.  A stored table is partitioned by date; a run stages the rebuilt
 partitions in the shared folder and replaces them by Spark's dynamic
 partition overwrite, so a run that fails can be repeated.
 """
@@ -54,48 +54,75 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def latest_partition(spark: SparkSession, path: str, date_col: str) -> _dt.date | None:
-    """The largest date among the partition folders of a table (no file is read)."""
+def partition_dates(spark: SparkSession, path: str, date_col: str) -> list[_dt.date | None]:
+    """The dates among the partition folders of a table, None for rows without one (no file is read)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return None
+        return []
     prefix = f"{date_col}="
     names = [status.getPath().getName() for status in fs.listStatus(p) if status.isDirectory()]
-    dates = [n[len(prefix):] for n in names if n.startswith(prefix) and n != prefix + NULL_PARTITION]
-    return max(map(_dt.date.fromisoformat, dates), default=None)
+    values = [n[len(prefix):] for n in names if n.startswith(prefix)]
+    return [None if v == NULL_PARTITION else _dt.date.fromisoformat(v) for v in values]
+
+
+def latest_partition(spark: SparkSession, path: str, date_col: str) -> _dt.date | None:
+    """The largest date among the partition folders of a table."""
+    return max((d for d in partition_dates(spark, path, date_col) if d is not None), default=None)
+
+
+def by_date(df: DataFrame, date_col: str) -> DataFrame:
+    """Rows gathered by date before a partitioned write, so that a date gets few files.
+
+    The rows of a build are dealt by session key, and every task would write a file for every date it meets.
+    The rebalance is one more shuffle of the rows to be written; AQE splits a date too large for one task.
+    """
+    return df.hint("rebalance", F.col(date_col))
+
+
+def write_by_date(df: DataFrame, path: str, date_col: str, mode: str = "errorifexists") -> None:
+    by_date(df, date_col).write.mode(mode).partitionBy(date_col).parquet(path)
 
 
 def refresh_partitioned(spark: SparkSession, path: str, build: Callable[[object], DataFrame],
                         key: str, date_col: str, lookback_days: int = 1,
                         staging_root: str | None = None) -> None:
-    """Refresh a table partitioned by ``date_col``, rewriting only recent partitions.
-
-    Precondition: a key always lands in the same ``date_col`` value (true
-    for the site model, whose key hashes the session start that ``DATE``
-    is derived from).  Then only partitions on or after the bound date can
-    change.  Those partitions are read (partition pruning), merged with the
-    batch by key, staged in the shared checkpoint folder (the target cannot
-    be overwritten while it is being read) and swapped in with dynamic
-    partition overwrite.  The bound comes from the names of the partition
-    folders, so older partitions are never read or written and a run costs
-    the batch plus the recent partitions, not the whole table.
-    The bound's own midnight partition keeps target rows that the batch
-    does not replace (a row starting exactly at the bound is not rebuilt).
+    """Refresh a table partitioned by ``date_col``, rewriting only the partitions of rebuilt rows.
+
+    ``build(bound)`` gives the rows to replace: those after the bound, and for a build that
+    follows late events also older rows (``plans.models.site_model_touched``).  Precondition: a
+    key always lands in the same ``date_col`` value (true for the site model, whose key hashes the
+    session start that ``DATE`` is derived from).
+
+    The rebuilt rows are staged in the shared checkpoint folder, and the names of their
+    partition folders say which partitions of the table change; only those are read, merged by
+    key, staged too (a table cannot be overwritten while it is being read) and swapped in by
+    dynamic partition overwrite.  The bound comes from partition names as well.  A run thus costs
+    the rebuilt rows and the partitions they fall into, and one that fails can be repeated.
+    Staged rows are deleted at the end.
     """
     from sessionlens.session import checkpoint_dir
 
     latest = latest_partition(spark, path, date_col)
     if latest is None:
-        build(None).write.mode("overwrite").partitionBy(date_col).parquet(path)
+        write_by_date(build(None), path, date_col, "overwrite")
         return
     bound = latest - _dt.timedelta(days=lookback_days)
     target = spark.read.parquet(path)
-    recent = target.where(F.col(date_col) >= F.lit(bound))
-    merged = merge_by_key(recent, build(bound).select(*recent.columns), key)
     root = staging_root or checkpoint_dir(spark)
     staging = f"{root.rstrip('/')}/refresh-staging-{uuid.uuid4().hex}"
-    merged.write.mode("errorifexists").partitionBy(date_col).parquet(staging)
-    (spark.read.parquet(staging).select(*target.columns)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
-    staged_fs, staged = _fs(spark, staging)
-    staged_fs.delete(staged, True)
+    rebuilt, merged = f"{staging}/rebuilt", f"{staging}/merged"
+    try:
+        write_by_date(build(bound).select(*target.columns), rebuilt, date_col)
+        dates = partition_dates(spark, rebuilt, date_col)
+        if not dates:
+            return
+        batch = spark.read.schema(target.schema).parquet(rebuilt)
+        touched = F.col(date_col).isin([d for d in dates if d is not None])
+        if None in dates:
+            touched = touched | F.col(date_col).isNull()
+        write_by_date(merge_by_key(target.where(touched), batch, key), merged, date_col)
+        (spark.read.schema(target.schema).parquet(merged).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+    finally:
+        staged_fs, staged = _fs(spark, staging)
+        staged_fs.delete(staged, True)

@@ -22,7 +22,9 @@ from sessionlens.operators.funnel import (
 )
 from sessionlens.operators.identity import link_identities
 from sessionlens.operators.milestones import milestones
-from sessionlens.operators.refresh import latest_partition, merge_by_key, refresh_partitioned
+from sessionlens.operators.refresh import (
+    latest_partition, merge_by_key, refresh_partitioned, write_by_date,
+)
 from sessionlens.operators.sessions import first_seen, session_base, session_rollup
 from sessionlens.plans import app_config as A
 from sessionlens.plans import models as M
@@ -191,24 +193,37 @@ def q_incremental_refresh(spark, sf):
     once, so the bound and the merge read files, not its plan."""
     s, e = _web(spark, sf)
     path = f"{_shared_folder(spark)}/refresh-target-{uuid.uuid4().hex}"
-    M.site_model(*_early(s, e)).write.partitionBy("DATE").parquet(path)
-    bound = latest_partition(spark, path, "DATE") - dt.timedelta(days=1)
+    write_by_date(M.site_model(*_early(s, e)), path, "DATE")
+    latest = latest_partition(spark, path, "DATE")
+    if latest is None:      # all data are of the last days
+        return M.site_model(s, e)
     target = spark.read.parquet(path)
-    batch = M.site_model(s, e, bound)
+    batch = M.site_model(s, e, latest - dt.timedelta(days=1))
     return merge_by_key(target.select(*batch.columns), batch, "distinct_session_id")
 
 
-def q_stored_refresh(spark, sf):
-    """The same on a stored table: written, refreshed in place by partition, read back."""
+def _refreshed(spark, sf, model):
+    """A stored table of the early data, refreshed in place with all data and read back.  The table
+    stays in the shared folder, as the rows returned are read from it."""
     s, e = _web(spark, sf)
     path = f"{_shared_folder(spark)}/site-{uuid.uuid4().hex}"
     for sessions, events in (_early(s, e), (s, e)):
-        refresh_partitioned(spark, path, lambda bound, s=sessions, e=events: M.site_model(s, e, bound),
+        refresh_partitioned(spark, path, lambda bound, s=sessions, e=events: model(s, e, bound),
                             key="distinct_session_id", date_col="DATE",
                             staging_root=_shared_folder(spark))
     return spark.read.parquet(path)
 
 
+def q_stored_refresh(spark, sf):
+    """The same on a stored table: written, refreshed in place by partition, read back."""
+    return _refreshed(spark, sf, M.site_model)
+
+
+def q_touched_refresh(spark, sf):
+    """A stored refresh that follows late events into older partitions: equal to a full rebuild."""
+    return _refreshed(spark, sf, M.site_model_touched)
+
+
 def _shared_folder(spark):
     """The cluster's checkpoint folder; on one machine without that setting, one of its own."""
     local = spark.sparkContext.master.split("[")[0] == "local"
@@ -240,4 +255,5 @@ QUERIES: dict[str, Query] = {
     "outcomes_after": q_outcomes_after,
     "incremental_refresh": q_incremental_refresh,
     "stored_refresh": q_stored_refresh,
+    "touched_refresh": q_touched_refresh,
 }

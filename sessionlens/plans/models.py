@@ -55,16 +55,17 @@ def site_staging(sessions: DataFrame, events: DataFrame, bound=None) -> tuple[Da
     return stg_s, stg_e
 
 
-def site_classified(stg_sessions: DataFrame,
-                    extra: tuple[str, ...] = ()) -> DataFrame:
+def site_classified(stg_sessions: DataFrame, extra: tuple[str, ...] = (),
+                    campaigns: DataFrame | None = None) -> DataFrame:
     """Session rows with lowercased labels, ``ad_intention`` and the four
     rule-table classifications (``browser_class``, ``channel``,
-    ``email_stream``, ``platform_class``).  ``extra`` columns pass through."""
+    ``email_stream``, ``platform_class``).  ``extra`` columns pass through.
+    Campaigns are looked up among those of ``campaigns`` (the sessions themselves if None)."""
     lowered = {c: F.lower(c) for c in S.LOWERED_SESSION_COLUMNS}
     sess = stg_sessions.select(
         "distinct_session_id", "session_id", "user_id", *extra,
         *[expr.alias(c) for c, expr in lowered.items()])
-    sess = campaign_intent(sess, stg_sessions, S.RETARGETING_CAMPAIGNS)
+    sess = campaign_intent(sess, stg_sessions if campaigns is None else campaigns, S.RETARGETING_CAMPAIGNS)
     return classify_columns(sess, {
         "browser_class": (S.BROWSER_RULES, S.BROWSER_DEFAULT),
         "channel": (S.CHANNEL_RULES, S.CHANNEL_DEFAULT),
@@ -73,7 +74,8 @@ def site_classified(stg_sessions: DataFrame,
     })
 
 
-def site_session_dimensions(stg_sessions: DataFrame, unique_sessions: bool = False) -> DataFrame:
+def site_session_dimensions(stg_sessions: DataFrame, unique_sessions: bool = False,
+                            campaigns: DataFrame | None = None) -> DataFrame:
     """Classified, distinct session dimension rows (the model's first 18 columns).
 
     ``unique_sessions=True`` declares that the input has one row per
@@ -82,7 +84,8 @@ def site_session_dimensions(stg_sessions: DataFrame, unique_sessions: bool = Fal
     sessions, is skipped.
     """
     sess = site_classified(stg_sessions, extra=("session_start_time", "business_entity",
-                                                "business_entity_language", "first_session_date"))
+                                                "business_entity_language", "first_session_date"),
+                           campaigns=campaigns)
     dims = sess.select(
         F.to_date("session_start_time").alias("DATE"), "user_id", "distinct_session_id",
         "session_id", F.col("device_type").alias("device"), "channel",
@@ -101,7 +104,11 @@ def site_gated(sessions: DataFrame, events: DataFrame, bound=None,
                unique_sessions: bool = False) -> DataFrame:
     """Session dimensions and gated step flags (74 columns, before attribution)."""
     stg_s, stg_e = site_staging(sessions, events, bound)
-    dims = site_session_dimensions(stg_s, unique_sessions)
+    return _gated(stg_s, stg_e, unique_sessions)
+
+
+def _gated(stg_s: DataFrame, stg_e: DataFrame, unique_sessions: bool, campaigns: DataFrame | None = None) -> DataFrame:
+    dims = site_session_dimensions(stg_s, unique_sessions, campaigns)
     flags = session_step_flags(stg_e, S.SITE_STEPS, allow_list=S.SITE_EVENT_ALLOW_LIST,
                                portal=S.PORTAL)
     d1 = attach_step_flags(dims, flags, S.SITE_STEPS, portal_name=S.PORTAL[0])
@@ -116,6 +123,38 @@ def site_model(sessions: DataFrame, events: DataFrame, bound=None,
     return exclusive_attribution(site_gated(sessions, events, bound, unique_sessions), S.ATTRIBUTION)
 
 
+def touched_session_ids(sessions: DataFrame, events: DataFrame, bound) -> DataFrame:
+    """Ids of sessions that began by ``bound`` and that rows after it change: late events of the
+    session, or the first session whose campaign text the session's own campaign is looked up by."""
+    after = as_timestamp(bound)
+    recent = F.coalesce(F.col("session_start_time") > after, F.lit(False))
+    late = events.where((F.col("time") > after) & F.col("session_id").isNotNull()).select("session_id").distinct()
+    texts = sessions.where(F.col("utm_campaign").isNotNull())
+    new = (texts.where(recent).select("utm_campaign").distinct()
+           .join(texts.where(~recent).select("utm_campaign").distinct(), "utm_campaign", "left_anti"))
+    named = (texts.where(~recent).select("session_id", F.lower("utm_campaign").alias("utm_campaign"))
+             .join(new, "utm_campaign", "left_semi").select("session_id").distinct())
+    return late.unionByName(named.where(F.col("session_id").isNotNull())).distinct()
+
+
+def site_model_touched(sessions: DataFrame, events: DataFrame, bound=None, unique_sessions: bool = False) -> DataFrame:
+    """``site_model`` of the sessions that began after ``bound`` or that rows after it change, each
+    from all of its events.  With these rows replaced, a table equals a full rebuild.
+
+    Semi joins by session id narrow sessions and events; Spark puts a Bloom filter of the
+    touched ids before the scan of the event table where that is large.
+    """
+    if bound is None:
+        return site_model(sessions, events, None, unique_sessions)
+    stg_s, stg_e = site_staging(sessions, events)
+    recent = F.coalesce(F.col("session_start_time") > as_timestamp(bound), F.lit(False))
+    ids = touched_session_ids(stg_s, stg_e, bound)
+    rebuilt = stg_s.where(recent).unionByName(stg_s.where(~recent).join(ids, "session_id", "left_semi").select(*stg_s.columns))
+    known = ids.unionByName(stg_s.where(recent & F.col("session_id").isNotNull()).select("session_id")).distinct()
+    own_events = stg_e.join(known, "session_id", "left_semi").select(*stg_e.columns)
+    return exclusive_attribution(_gated(rebuilt, own_events, unique_sessions, campaigns=stg_s), S.ATTRIBUTION)
+
+
 # ------------------------------------------------------------------ app
 
 def app_event_filter(events: DataFrame, name_col: str = "event_table_name") -> DataFrame:

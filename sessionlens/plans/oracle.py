@@ -507,4 +507,5 @@ def oracle_queries() -> dict[str, str]:
         "outcomes_after": research_sql(),
         "incremental_refresh": refreshed,
         "stored_refresh": refreshed,
+        "touched_refresh": _site("SELECT * FROM site"),
     }
