@@ -23,6 +23,7 @@ whole, and long ones by themselves.  Empty tables give empty tables.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -226,8 +227,9 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
              .select("label_id", "good", (F.col("marks") - F.col("good")).alias("bad"), F.xxhash64("label_id").alias("spread")))
     texts = (docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col))
              .select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
-    # the second key gives the join a shuffle of its own, which AQE can split at an id that many rows share
-    return (texts.join(marks, (F.col("id") == F.col("label_id")) & (F.xxhash64("id") == F.col("spread")))
+    # the second key gives the join a shuffle of its own, which AQE can split at an id that many rows share;
+    # labels grow with the documents, so they are never broadcast
+    return (texts.join(marks.hint("merge"), (F.col("id") == F.col("label_id")) & (F.xxhash64("id") == F.col("spread")))
             .filter(~held_out("label_id")).select("text", "good", "bad"))
 
 
@@ -243,7 +245,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = [min(1.0, sample / 2 / many[c]) for c in ("bad", "good")]
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Counts per bucket of all rows (class -1), and the buckets of the drawn texts (class 0 or 1)."""
+        """One row with the counts per bucket of all rows (class -1), and the buckets of the drawn texts (0 or 1)."""
         totals = np.zeros((2, BUCKETS), dtype="i8")
         for batch in batches:
             texts, marks = list(batch["text"]), batch[["bad", "good"]].to_numpy()
@@ -257,18 +259,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 drawn = [(kind, rank[i], buckets[ends[i] - size[i]:ends[i]].tobytes()) for i in range(len(size))
                          for kind in (0, 1) if marks[run][i, kind] and rank[i] < share[kind]]
                 if drawn:
-                    yield pd.DataFrame(drawn, columns=["kind", "rank", "buckets"]).assign(bucket=-1, bad=0, good=0)[columns]
-        seen = np.flatnonzero(totals.sum(axis=0))
-        yield pd.DataFrame({"bucket": seen, "bad": totals[0][seen], "good": totals[1][seen]}).assign(
-            kind=-1, rank=0.0, buckets=b"")[columns]
+                    yield pd.DataFrame(drawn, columns=["kind", "rank", "buckets"])
+        if totals.any():
+            yield pd.DataFrame([(-1, 0.0, zlib.compress(totals.tobytes(), 1))], columns=["kind", "rank", "buckets"])
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = np.zeros((2, BUCKETS), dtype="i8")
+        for batch in batches:
+            for packed in batch["buckets"]:
+                totals += np.frombuffer(zlib.decompress(packed), dtype="i8").reshape(totals.shape)
+        seen = np.flatnonzero(totals.any(axis=0))
+        yield pd.DataFrame({"bucket": seen, "bad": totals[0][seen], "good": totals[1][seen]})
 
-    schema = "kind int, rank double, buckets binary, bucket long, bad long, good long"
-    columns = [part.split(" ")[0] for part in schema.split(", ")]
     # equal texts have equal ranks, evenly spread over 0..1
     rank = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    seen = materialise(rows.withColumn("rank", rank).mapInPandas(counted, schema))
-    counts = (seen.filter("kind < 0").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-              .toPandas())                                                        # at most BUCKETS rows
+    seen = materialise(rows.withColumn("rank", rank).mapInPandas(counted, "kind int, rank double, buckets binary"))
+    # the counts of many tasks are added in one, and those of all by a shuffle of at most BUCKETS rows a task
+    adders = max(8, seen.rdd.getNumPartitions() // 32)
+    counts = (seen.filter("kind < 0").coalesce(adders).mapInPandas(added, "bucket long, bad long, good long")
+              .groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas())
     good, bad = np.zeros(BUCKETS), np.zeros(BUCKETS)
     good[counts["bucket"]], bad[counts["bucket"]] = counts["good"], counts["bad"]
     drawn = seen.filter("kind >= 0").dropDuplicates(["kind", "buckets"]).withColumn("size", F.octet_length("buckets") / 4)
