@@ -19,7 +19,9 @@ all events and the join to the sessions keeps only known ids.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,6 +125,34 @@ def funnel_flags(sessions: DataFrame, events: DataFrame, steps: Sequence[Step],
                              session_col=session_col, user_col=user_col)
 
 
+#: Conditions that one bit mask holds.
+MASK_BITS = 62
+
+
+def conditional_distinct_counts(rows: DataFrame, group: Sequence[str], id_col: str,
+                                conditions: Mapping[str, Column]) -> DataFrame:
+    """A5: per group and condition, how many different ids have a row on which the condition holds.
+
+    COUNT(DISTINCT CASE WHEN condition THEN id END) per condition would repeat every row once per
+    condition.  Here rows are first reduced to one per (group, id) with a bit per condition,
+    partially in every task, so a hot group is spread over its ids and a hot id is one row a
+    task; then the bits are summed.  NULL ids are not counted; their groups stay, as do groups
+    without any match (0).  NULL group values form groups.
+    """
+    names = list(conditions)
+    masks = {}
+    for w in range(0, len(names), MASK_BITS):
+        bits = [F.when(conditions[n], F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long"))
+                for k, n in enumerate(names[w:w + MASK_BITS])]
+        masks[f"_mask{w // MASK_BITS}"] = reduce(Column.bitwiseOR, bits)
+    per_id = rows.groupBy(*group, F.col(id_col).alias("_id")).agg(*[F.bit_or(m).alias(n) for n, m in masks.items()])
+    sums = []
+    for k, n in enumerate(names):
+        bit = F.shiftright(F.col(f"_mask{k // MASK_BITS}"), k % MASK_BITS).bitwiseAND(F.lit(1))
+        sums.append(F.sum(F.when(F.col("_id").isNotNull(), bit).otherwise(F.lit(0))).alias(n))
+    return per_id.groupBy(*group).agg(*sums)
+
+
 def _gate_column(spec: tuple) -> Column:
     kind = spec[0]
     if kind == "keep":
@@ -160,17 +190,13 @@ def gate_funnel(df: DataFrame, gates: Sequence[tuple[str, tuple]], keep: Sequenc
 def exclusive_attribution(df: DataFrame, rules: Sequence[tuple[str, list]]) -> DataFrame:
     """Add one 0/1 column per rule: 1 when any alternative's
     (column, value) pairs all hold.  Later rules may read earlier outputs."""
-    out = df
+    out, batch = df, {}
     for name, alternatives in rules:
-        cond = None
-        for alt in alternatives:
-            a = None
-            for c, v in alt:
-                term = F.col(c) == v
-                a = term if a is None else (a & term)
-            cond = a if cond is None else (cond | a)
-        out = out.withColumn(name, flag(cond))
-    return out
+        # one projection for all rules up to the first that reads one of them
+        if batch.keys() & {c for alt in alternatives for c, _ in alt}:
+            out, batch = out.withColumns(batch), {}
+        batch[name] = flag(reduce(or_, [reduce(and_, [F.col(c) == v for c, v in alt]) for alt in alternatives]))
+    return out.withColumns(batch) if batch else out
 
 
 def happened_before(events: DataFrame, first_events: Sequence[str], then_events: Sequence[str], *,

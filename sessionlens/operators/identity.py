@@ -14,8 +14,9 @@ DISTINCT would otherwise have to undo.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import url_param
@@ -66,89 +67,138 @@ def _distinct_first_session(session_facts: DataFrame, user_col: str, date_col: s
                                 F.col(date_col).alias("_f_first")).distinct()
 
 
-def link_identities(id_history: DataFrame, contact_keys: DataFrame, emails: DataFrame,
+@dataclass(frozen=True)
+class IdentityRoutes:
+    """The identities of accounts, route by route (C10, J10): rows add up instead of multiplying.
+
+    An account with i app ids, e e-mails, k contact keys that u web users came by, and d users
+    by the query string has i + e + u + d rows here, and i * e * u * d in ``product``.
+
+    accounts        primary_account_id, acs_reference_date_created, acs_contact_key_created_date,
+                    buy_now_user_first_session_date, buy_now_user_last_session_date: one row each
+    app_ids         primary_account_id, acs_user_id, buy_now_user_id, first_session
+    emails          primary_account_id, acs_email
+    contact_users   primary_account_id, acs_contact_key, contact_key_user_id, contact_key_user_first_session
+    account_users   primary_account_id, account_id_user, account_id_user_first_session
+
+    All are distinct, hold only accounts with an app id, and may hold a NULL account, whose
+    rows no other route can join.
+    """
+
+    accounts: DataFrame
+    app_ids: DataFrame
+    emails: DataFrame
+    contact_users: DataFrame
+    account_users: DataFrame
+
+    def long(self) -> DataFrame:
+        """One row per account, route and web user: primary_account_id, route, via (the app id, contact
+        key or NULL), web_user_id, first_session."""
+        def route(df: DataFrame, name: str, via: Column, user: str, first: str) -> DataFrame:
+            return (df.where(F.col(user).isNotNull())
+                    .select("primary_account_id", F.lit(name).alias("route"), via.cast("string").alias("via"),
+                            F.col(user).cast("string").alias("web_user_id"), F.col(first).alias("first_session")).distinct())
+        return (route(self.app_ids, "app_id", F.col("acs_user_id"), "buy_now_user_id", "first_session")
+                .unionByName(route(self.contact_users, "contact_key", F.col("acs_contact_key"), "contact_key_user_id",
+                                   "contact_key_user_first_session"))
+                .unionByName(route(self.account_users, "account_id", F.lit(None), "account_id_user",
+                                   "account_id_user_first_session")))
+
+    def app_to_web(self) -> DataFrame:
+        """What the app model reads of the product: primary_account_id, account_id_user, acs_user_id,
+        account_id_user_first_session; i * d rows an account."""
+        ids = self.app_ids.select("primary_account_id", "acs_user_id").distinct()
+        return (join_per_key(ids, self.account_users, "primary_account_id")
+                .select("primary_account_id", "account_id_user", "acs_user_id", "account_id_user_first_session"))
+
+    def product(self) -> DataFrame:
+        """Every combination of an account's identities, as chained left joins give it.
+
+        Each join has a shuffle of its own, so AQE can split a hot account.
+        """
+        ids = self.app_ids.drop("first_session").distinct()
+        rows = join_back(ids, self.accounts.drop("buy_now_user_last_session_date"), "primary_account_id")
+        for route in (self.emails, self.contact_users, self.account_users):
+            rows = join_per_key(rows, route, "primary_account_id")
+        return rows.select(
+            "primary_account_id", "acs_reference_date_created", "acs_user_id", "acs_email",
+            "acs_contact_key", "acs_contact_key_created_date", "buy_now_user_id",
+            "buy_now_user_first_session_date", "contact_key_user_id", "contact_key_user_first_session",
+            "account_id_user", "account_id_user_first_session")
+
+
+def last_value(value: str) -> Column:
+    """W5 as an aggregate: NULL if any row of the group is NULL (NULLs sort last), else the maximum."""
+    return F.when(F.count(F.lit(1)) == F.count(F.col(value)), F.max(F.col(value)))
+
+
+def identity_routes(id_history: DataFrame, contact_keys: DataFrame, emails: DataFrame,
                     app_web_lookup: DataFrame, session_facts: DataFrame, page_views: DataFrame, *,
                     min_created: str = "2023-01-01", min_page_view_date: str = "2022-01-01",
                     contact_source: str = "sfmc", account_param: str = "accountId=",
-                    plan_path_like: str = "%/custom-smile-plan-3d%") -> DataFrame:
-    """Every web identity linked to each app account, by three routes.
+                    plan_path_like: str = "%/custom-smile-plan-3d%") -> IdentityRoutes:
+    """The web identities of app accounts by three routes.
 
     1. app id -> app-to-web lookup -> web user (``buy_now_user_*``);
     2. the account's contact key used as ``utm_term`` on page views from the
        e-mail source (``contact_key_user_*``);
     3. the account id carried in the page-view query string
        (``account_id_user*``).
-    All joins are left joins, so every account row survives; rows multiply
-    across routes exactly as the chained joins do (no final dedup): an account
-    with i ids and e-mails, c users by contact key and d users by the query
-    string gives i * c * d rows.  Each join has a shuffle of its own, so AQE can
-    split a hot account.
     """
-    # -- account_services: ids created on/after min_created, with the
-    # account's first creation time.
+    # -- app ids created on/after min_created, with the account's first creation time.
     # (date(t) >= D is t >= D 00:00: a bound on the raw column reaches the scan.)
     hist = id_history.where(F.col("date_created") >= _day_start(min_created))
-    acs_first = hist.groupBy("primary_account_id").agg(
-        F.min("date_created").alias("acs_reference_date_created"))
-    acs = join_back(hist.select("primary_account_id",
-                                F.col("primary_reference_number").alias("acs_user_id")).distinct(),
-                    acs_first, "primary_account_id")
-
-    # -- contact key and e-mail per account; the contact key's first date.
-    # That date is a minimum over the account's contact keys, so it comes
-    # from the contact-key table itself, not from the key x e-mail product
-    # (keys with a NULL account never join, so they are left out).
-    ck = contact_keys.select("primary_account_id", F.col("reference_number").alias("acs_contact_key"))
-    em = emails.select("primary_account_id", F.col("reference_number").alias("acs_email"))
-    ck_first = (contact_keys.where(F.col("primary_account_id").isNotNull())
-                .groupBy("primary_account_id")
-                .agg(F.min("date_created").alias("acs_contact_key_created_date")))
-    to_ck = join_back(join_per_key(join_per_key(acs, ck, "primary_account_id"), em, "primary_account_id")
-                      .distinct(), ck_first, "primary_account_id")
+    acs = hist.select("primary_account_id", F.col("primary_reference_number").alias("acs_user_id")).distinct()
+    known = acs.where(F.col("primary_account_id").isNotNull()).select("primary_account_id").distinct()
+    opened = hist.groupBy("primary_account_id").agg(F.min("date_created").alias("acs_reference_date_created"))
+
+    def of_known(rows: DataFrame) -> DataFrame:
+        return join_per_key(rows, known, "primary_account_id", "inner").select(*rows.columns)
+
+    # -- the contact key's first date, a minimum over the account's contact keys alone.
+    keyed = (contact_keys.where(F.col("primary_account_id").isNotNull()).groupBy("primary_account_id")
+             .agg(F.min("date_created").alias("acs_contact_key_created_date")))
+    mail = of_known(emails.select("primary_account_id", F.col("reference_number").alias("acs_email")).distinct())
 
     # -- route 1: app id -> web user, with that user's first web session.
-    # The session facts only feed the per-account minimum, so they join the
-    # narrow (account, app id) pairs, not the wide rows; joining them to the
-    # wide rows would only repeat rows that the DISTINCT removes again.
     facts = _distinct_first_session(session_facts, "user_id", "first_session_date")
-    lku = app_web_lookup.select(F.col("app_user_id").alias("acs_user_id"),
-                                F.col("web_user_id").alias("buy_now_user_id"))
-    pairs = acs.select("primary_account_id", "acs_user_id").distinct()
-    r1_first = (join_per_key(join_per_key(pairs, lku, "acs_user_id"),
-                             facts.withColumnRenamed("_f_user", "buy_now_user_id"), "buy_now_user_id")
-                .groupBy("primary_account_id")
-                .agg(F.min("_f_first").alias("buy_now_user_first_session_date")))
-    r1 = join_back(join_per_key(to_ck, lku, "acs_user_id")
-                   .select("primary_account_id", "acs_reference_date_created", "acs_user_id",
-                           "acs_email", "acs_contact_key", "acs_contact_key_created_date",
-                           "buy_now_user_id").distinct(),
-                   r1_first, "primary_account_id")
+    lookup = app_web_lookup.select(F.col("app_user_id").alias("acs_user_id"),
+                                   F.col("web_user_id").alias("buy_now_user_id")).distinct()
+    app_ids = (join_per_key(join_per_key(acs, lookup, "acs_user_id"),
+                            facts.withColumnRenamed("_f_user", "buy_now_user_id"), "buy_now_user_id")
+               .select("primary_account_id", "acs_user_id", "buy_now_user_id", F.col("_f_first").alias("first_session")))
+    visited = app_ids.groupBy("primary_account_id").agg(
+        F.min("first_session").alias("buy_now_user_first_session_date"),
+        last_value("first_session").alias("buy_now_user_last_session_date"))
+    accounts = join_back(join_back(opened, keyed, "primary_account_id"), visited, "primary_account_id")
 
     # -- route 2: contact key as utm_term on e-mail page views.
     pv2 = page_views.where((F.col("utm_source") == contact_source) & F.col("utm_term").isNotNull()
                            & (F.col("session_time") >= _day_start(min_page_view_date, 1)))
-    by_term = (pv2.select("user_id", "utm_term").distinct()
-               .join(facts, F.col("_f_user") == F.col("user_id"), "left")
+    by_term = (join_per_key(pv2.select("user_id", "utm_term").distinct(), facts.withColumnRenamed("_f_user", "user_id"),
+                            "user_id")
                .select(F.col("user_id").cast("string").alias("contact_key_user_id"),
                        F.col("utm_term").alias("acs_contact_key"),
                        F.col("_f_first").alias("contact_key_user_first_session"))
                .distinct())
+    keys = of_known(contact_keys.select("primary_account_id", F.col("reference_number").alias("acs_contact_key")).distinct())
+    contact_users = (join_per_key(keys, by_term, "acs_contact_key")
+                     .select("primary_account_id", "acs_contact_key", "contact_key_user_id", "contact_key_user_first_session"))
 
     # -- route 3: the account id parameter in the page-view query.
     pv3 = page_views.where(F.col("path").like(plan_path_like))
-    direct = (pv3.select("user_id", url_param("query", account_param).alias("_direct_account"))
-              .distinct()
-              .join(facts, F.col("_f_user") == F.col("user_id"), "left")
-              .select(F.col("user_id").cast("string").alias("account_id_user"),
-                      F.col("_f_first").alias("account_id_user_first_session"),
-                      F.col("_direct_account").alias("primary_account_id"))
+    direct = (join_per_key(pv3.select("user_id", url_param("query", account_param).alias("primary_account_id")).distinct(),
+                           facts.withColumnRenamed("_f_user", "user_id"), "user_id")
+              .select("primary_account_id", F.col("user_id").cast("string").alias("account_id_user"),
+                      F.col("_f_first").alias("account_id_user_first_session"))
               .distinct())
+    return IdentityRoutes(accounts, app_ids, mail, contact_users, of_known(direct))
+
 
-    # Every pair of an account's contact-key user and direct user is a row: for an account
-    # with c contact-key users and d direct users, c * d of them for each of its other rows.
-    final = join_per_key(join_per_key(r1, by_term, "acs_contact_key"), direct, "primary_account_id")
-    return final.select(
-        "primary_account_id", "acs_reference_date_created", "acs_user_id", "acs_email",
-        "acs_contact_key", "acs_contact_key_created_date", "buy_now_user_id",
-        "buy_now_user_first_session_date", "contact_key_user_id", "contact_key_user_first_session",
-        "account_id_user", "account_id_user_first_session")
+def link_identities(*tables: DataFrame, **options: str) -> DataFrame:
+    """C10 as one table: every web identity linked to each app account (``identity_routes``, multiplied out).
+
+    All joins are left joins, so every account row survives; rows multiply across routes exactly as
+    the chained joins do (no final dedup).
+    """
+    return identity_routes(*tables, **options).product()

@@ -20,7 +20,7 @@ from sessionlens.functions.columns import url_param
 from sessionlens.operators.funnel import (
     exclusive_attribution, funnel_flags, happened_before,
 )
-from sessionlens.operators.identity import link_identities
+from sessionlens.operators.identity import identity_routes
 from sessionlens.operators.milestones import milestones
 from sessionlens.operators.refresh import (
     latest_partition, merge_by_key, refresh_partitioned, write_by_date,
@@ -80,6 +80,11 @@ def q_exclusive_attribution(spark, sf):
                       *[name for name, _ in S.ATTRIBUTION])
 
 
+def q_funnel_users(spark, sf):
+    s, e = _web(spark, sf)
+    return M.funnel_users(s, e)
+
+
 def q_happened_before(spark, sf):
     _, e = _web(spark, sf)
     name, portal_event, eval_events = S.PORTAL
@@ -112,12 +117,27 @@ def q_url_param(spark, sf):
     return urls.select("page_id", "url", *[url_param("url", k).alias(k.rstrip("=")) for k in URL_PARAMS])
 
 
-def q_link_identities(spark, sf):
+def _routes(spark, sf):
     t = Tables(spark, sf)
-    return link_identities(AD.id_history(t), AD.contact_keys(t), AD.emails(t), AD.app_web_lookup(t),
+    return identity_routes(AD.id_history(t), AD.contact_keys(t), AD.emails(t), AD.app_web_lookup(t),
                            AD.web_session_facts(t), AD.page_views(t))
 
 
+def q_link_identities(spark, sf):
+    return _routes(spark, sf).product()
+
+
+def q_identity_routes(spark, sf):
+    """C10 without the product: one row per account, route and web user."""
+    return _routes(spark, sf).long()
+
+
+def q_account_visits(spark, sf):
+    """The first and last web session date of each account's app users."""
+    return _routes(spark, sf).accounts.select("primary_account_id", "buy_now_user_first_session_date",
+                                              "buy_now_user_last_session_date")
+
+
 def _linked(spark, sf):
     t = Tables(spark, sf)
     return M.linked_app_events(AD.app_events(t), AD.app_to_web_links(t))
@@ -168,7 +188,7 @@ def q_app_session_model(spark, sf):
 def q_linked_app_session_model(spark, sf):
     """The app model reading the linking model's output; app users carry that model's ids."""
     t = Tables(spark, sf)
-    links = q_link_identities(spark, sf)
+    links = _routes(spark, sf).app_to_web()
     named = F.concat(F.lit("app-"), F.col("user_id").cast("string"))
     accounts = AD.app_account_map(t).withColumn("reference_number", F.concat(F.lit("app-"), "reference_number"))
     return M.app_session_model(AD.app_sessions(t).withColumn("user_id", named),
@@ -237,12 +257,15 @@ QUERIES: dict[str, Query] = {
     "funnel_flags_user": q_funnel_flags_user,
     "funnel_gated": q_funnel_gated,
     "exclusive_attribution": q_exclusive_attribution,
+    "funnel_users": q_funnel_users,
     "happened_before": q_happened_before,
     "classify_channel": q_classify_channel,
     "campaign_intent": q_campaign_intent,
     "classify_browser": q_classify_browser,
     "url_param": q_url_param,
     "link_identities": q_link_identities,
+    "identity_routes": q_identity_routes,
+    "account_visits": q_account_visits,
     "bounded_identity_join": q_bounded_identity_join,
     "later_link_counts": q_later_link_counts,
     "session_rollup": q_session_rollup,

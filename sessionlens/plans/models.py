@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sessionlens.functions.columns import like_any
 from sessionlens.operators.classify import campaign_intent, classify_columns
 from sessionlens.operators.funnel import (
-    attach_step_flags, exclusive_attribution, gate_funnel, session_step_flags,
+    attach_step_flags, conditional_distinct_counts, exclusive_attribution, gate_funnel, session_step_flags,
 )
 from sessionlens.operators.identity import bounded_identity_join
 from sessionlens.operators.joins import join_per_key
@@ -155,6 +155,20 @@ def site_model_touched(sessions: DataFrame, events: DataFrame, bound=None, uniqu
     return exclusive_attribution(_gated(rebuilt, own_events, unique_sessions, campaigns=stg_s), S.ATTRIBUTION)
 
 
+def funnel_users(sessions: DataFrame, events: DataFrame) -> DataFrame:
+    """Users who reached each "user" step, per day and channel: the model's 16 conditional distinct
+    counts (A5) over groups of many users."""
+    stg_s, stg_e = site_staging(sessions, events)
+    steps = [step for step in S.SITE_STEPS if step[1] == "user"]
+    flags = session_step_flags(stg_e, steps, allow_list=S.SITE_EVENT_ALLOW_LIST, portal=S.PORTAL)
+    dims = site_classified(stg_s, extra=("session_start_time",)).select(
+        F.to_date("session_start_time").alias("DATE"), "channel", "user_id", "session_id").distinct()
+    visits = join_per_key(dims, flags, "session_id")
+    conditions = {name: F.col(name) == 1 for name, _, _ in steps}
+    conditions[S.PORTAL[0]] = F.col(f"{S.PORTAL[0]}_bf_eval") == 1
+    return conditional_distinct_counts(visits, ["DATE", "channel"], "user_id", conditions)
+
+
 # ------------------------------------------------------------------ app
 
 def app_event_filter(events: DataFrame, name_col: str = "event_table_name") -> DataFrame:

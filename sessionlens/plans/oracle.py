@@ -356,6 +356,25 @@ def link_identities_sql() -> str:
     return with_ctes(identity_adapters_sql(), link_identities_body()) + LINK_SELECT
 
 
+ROUTES_SELECT = """
+SELECT DISTINCT i.account AS primary_account_id, 'app_id' AS route, i.app_id AS via, b.web_user_id, b.visited_on AS first_session
+FROM recent_ids i JOIN bought b USING (app_id) WHERE b.web_user_id IS NOT NULL
+UNION ALL
+SELECT DISTINCT k.primary_account_id, 'contact_key', m.contact_key, m.mailed_user, m.mailed_on
+FROM contact_keys k JOIN mailed m ON m.contact_key = k.reference_number
+WHERE k.primary_account_id IN (SELECT account FROM recent_ids) AND m.mailed_user IS NOT NULL
+UNION ALL
+SELECT DISTINCT account, 'account_id', NULL, planning_user, planned_on
+FROM planned WHERE account IN (SELECT account FROM recent_ids) AND planning_user IS NOT NULL"""
+
+VISITS_SELECT = """
+SELECT DISTINCT account AS primary_account_id, first_value(visited_on) OVER w AS buy_now_user_first_session_date,
+       last_value(visited_on) OVER w AS buy_now_user_last_session_date
+FROM recent_ids LEFT JOIN bought USING (app_id)
+WINDOW w AS (PARTITION BY account ORDER BY visited_on NULLS LAST
+             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
+
 # ------------------------------------------------------------ app sessions
 
 def _among(names: Sequence[str]) -> str:
@@ -485,6 +504,10 @@ def oracle_queries() -> dict[str, str]:
         "funnel_flags_user": _step_flags("user", f", {S.PORTAL[0]}"),
         "funnel_gated": _site("SELECT * FROM gated"),
         "exclusive_attribution": _site(f"SELECT distinct_session_id, session_id, user_id, {credited} FROM site"),
+        "funnel_users": _site('SELECT CAST(session_start_time AS DATE) AS "DATE", channel, ' + ", ".join(
+            f"count(DISTINCT CASE WHEN {name} = 1 THEN user_id END) AS {name}"
+            for name in [*(n for n, style, _ in S.SITE_STEPS if style == "user"), S.PORTAL[0]])
+            + " FROM visits GROUP BY ALL"),
         "happened_before": _site("SELECT session_id, portal_bf_sale FROM portal"),
         "classify_channel": _site("SELECT distinct_session_id, utm_source, utm_campaign, utm_medium, referrer, "
                                   "ad_intention, channel FROM ruled"),
@@ -493,6 +516,8 @@ def oracle_queries() -> dict[str, str]:
                                   "email_stream FROM ruled"),
         "url_param": url_param_sql(),
         "link_identities": link_identities_sql(),
+        "identity_routes": with_ctes(identity_adapters_sql(), link_identities_body()) + ROUTES_SELECT,
+        "account_visits": with_ctes(identity_adapters_sql(), link_identities_body()) + VISITS_SELECT,
         "bounded_identity_join": _app("SELECT * FROM joined_events"),
         "later_link_counts": _app("""SELECT e.user_id, e.session_id, e.time, e.event_table_name,
        (SELECT count(*) FROM known_links l WHERE l.acs_user_id::VARCHAR = e.user_id::VARCHAR
