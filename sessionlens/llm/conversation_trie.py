@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from sessionlens.llm.common import WORD, materialise
 
 #: Different conversations that pass a node which a task peels by itself, at most.
-TOGETHER = 4096
+TOGETHER = 512
 #: Rows of a subtree that a task gathers before it peels the deepest of them.
 GATHERED = 100_000
 #: Ids in one piece of a list of conversations.
