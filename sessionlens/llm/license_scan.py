@@ -5,29 +5,36 @@ words stand consecutively, each place counted.  The method: every block of
 ``BLOCK`` words (one starts each ``STEP`` words, so any run of ``STEP`` words
 lies within one) is joined with license templates by token containment: the
 share of a template's distinct words that the block holds must be
-``CONTAINMENT`` or more.
+``CONTAINMENT`` or more.  Notices of one family share most of their words, so
+the block must also hold the template's telling phrase, the words that set it
+apart from its siblings ("cc by 4 0" against "cc by nc 4 0"), one after the other.
 
 The join is exact and filters before it verifies:
 
 * tokens are ordered by their frequency over all documents, rarest first;
 * prefix: a block that holds ``need`` of a template's n words holds one of the
   first n - need + 1, so only blocks with such a word are joined, on that word;
-* length: the block must hold ``need`` template words at all;
+* length: the block must hold ``need`` template words at all, and its document
+  ``need`` words of some template;
 * position: after the matched word both sides must have enough words left;
 * the pairs that remain are verified by intersecting the sets.
 
-Templates and their words are a fixed list, so they are broadcast.  A null text
-is empty.  Rows equal in id and text share their labels.  No rows give no rows.
+Texts are normalised and split once; what the join reads is written, and holds
+the words of those documents only that pass the length filter.  Templates and
+their words are a fixed list, so they are broadcast.  A null text is empty.
+Rows equal in id and text share their labels.  No rows give no rows.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import empty_if_null
+from sessionlens.llm.common import empty_if_null, materialise
 from sessionlens.operators.joins import join_per_key
 
 #: Base phrases and their labels (fixed values).
@@ -37,23 +44,43 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Templates: opening words of well-known license notices, and their labels (fixed values).
-TEMPLATES = {
-    "this work is licensed under the gnu general public license version 3": "gpl-3.0",
-    "this work is licensed under the gnu general public license version 2": "gpl-2.0",
-    "licensed under the apache license version 2 0": "apache-2.0",
-    "released under the mit license": "mit-notice",
-    "licensed under cc by 4 0": "cc-by-4.0",
-    "licensed under cc by sa 4 0": "cc-by-sa-4.0",
-    "licensed under cc by nc 4 0": "cc-by-nc-4.0",
-    "this work is licensed under a creative commons attribution 4 0 international license": "cc-by-4.0",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software": "mit-text",
-    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-    "general public license": "gpl-notice",
-    "this source code form is subject to the terms of the mozilla public license": "mpl-2.0",
-    "all rights reserved": "all-rights-reserved",
-}
+#: Templates: label, telling phrase and words of well-known license notices (fixed values).
+TEMPLATES = [
+    ("gpl-3.0", "general public license version 3", "this work is licensed under the gnu general public license version 3"),
+    ("gpl-2.0", "general public license version 2", "this work is licensed under the gnu general public license version 2"),
+    ("apache-2.0", "apache license version 2 0", "licensed under the apache license version 2 0"),
+    ("mit-notice", "mit license", "released under the mit license"),
+    ("cc-by-4.0", "cc by 4 0", "licensed under cc by 4 0"),
+    ("cc-by-sa-4.0", "cc by sa 4 0", "licensed under cc by sa 4 0"),
+    ("cc-by-nc-4.0", "cc by nc 4 0", "licensed under cc by nc 4 0"),
+    ("cc-by-nd-4.0", "cc by nd 4 0", "licensed under cc by nd 4 0"),
+    ("cc-by-nc-sa-4.0", "cc by nc sa 4 0", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-nd-4.0", "cc by nc nd 4 0", "licensed under cc by nc nd 4 0"),
+    ("cc-by-4.0", "attribution 4 0",
+     "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-sa-4.0", "attribution sharealike 4 0",
+     "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nc-4.0", "attribution noncommercial 4 0",
+     "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("mit-text", "permission is hereby granted free of charge",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction"),
+    ("bsd", "redistribution and use in source and binary forms",
+     "redistribution and use in source and binary forms with or without modification are permitted provided that "
+     "the following conditions are met"),
+    ("gpl-notice", "gnu general public license",
+     "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+     "general public license as published by the free software foundation"),
+    ("lgpl-notice", "gnu lesser general public license",
+     "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+     "lesser general public license as published by the free software foundation"),
+    ("agpl-notice", "gnu affero general public license",
+     "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+     "affero general public license as published by the free software foundation"),
+    ("mpl-2.0", "mozilla public license",
+     "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("all-rights-reserved", "all rights reserved", "all rights reserved"),
+]
 CONTAINMENT = 0.8
 BLOCK = 64
 STEP = 32
@@ -94,58 +121,77 @@ def literal_array(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def token_order(words: DataFrame, tokens: list[str]) -> list[str]:
-    """``tokens`` by the number of documents that hold them, rarest first."""
-    held = words.select(F.explode(F.array_intersect(literal_array(tokens), "words")).alias("token"))
-    counts = {r["token"]: r["n"] for r in held.groupBy("token").agg(F.count("*").alias("n")).collect()}
+def needed(own: list[str], containment: float) -> int:
+    """How many of a template's words a block must hold."""
+    return math.ceil(containment * len(own) - 1e-9)
+
+
+def token_order(held: DataFrame, tokens: list[str]) -> list[str]:
+    """``tokens`` by the number of documents that hold them, rarest first; ``held`` has each document's."""
+    counts = {r["token"]: r["n"] for r in held.select(F.explode("held").alias("token")).groupBy("token")
+              .agg(F.count("*").alias("n")).collect()}
     return sorted(tokens, key=lambda t: (counts.get(t, 0), t))
 
 
-def template_matches(words: DataFrame, templates: dict[str, str] | None = None,
-                     containment: float = CONTAINMENT) -> DataFrame:
-    """key, label, containment for each block and template that match; ``words`` has key and words."""
-    templates = TEMPLATES if templates is None else templates
-    spark = words.sparkSession
-    order = token_order(words, sorted({w for t in templates for w in t.split()}))
+def template_matches(docs: DataFrame, templates: list[tuple[str, str, str]], containment: float = CONTAINMENT) -> DataFrame:
+    """key, label, containment for each block and template that match; ``docs`` has key, held and words
+    (null where the length filter has ruled all templates out)."""
+    spark = docs.sparkSession
+    order = token_order(docs, sorted({w for _, _, text in templates for w in text.split()}))
     rank = {t: i for i, t in enumerate(order)}
     index = []
-    for number, (text, label) in enumerate(templates.items()):
+    for label, phrase, text in templates:
         own = sorted(set(text.split()), key=rank.__getitem__)
-        need = math.ceil(containment * len(own) - 1e-9)
-        index += [(own[i], number, label, own, len(own) - i - 1, need) for i in range(len(own) - need + 1)]
-    prefixes = spark.createDataFrame(index, "token string, template int, label string, own array<string>, "
+        need = needed(own, containment)
+        index += [(own[i], label, f" {phrase} ", own, len(own) - i - 1, need) for i in range(len(own) - need + 1)]
+    prefixes = spark.createDataFrame(index, "token string, label string, phrase string, own array<string>, "
                                             "own_left int, need int")
     rare = sorted({row[0] for row in index}, key=rank.__getitem__)
     # Only documents with such a word are cut into blocks.
-    words = words.filter(F.arrays_overlap("words", literal_array(rare)))
+    words = docs.filter(F.col("words").isNotNull() & F.arrays_overlap("held", literal_array(rare)))
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(STEP))
     blocks = words.select("key", F.explode(F.transform(starts, lambda i: F.slice("words", i + 1, F.lit(BLOCK)))).alias("block"))
     hit = blocks.filter(F.arrays_overlap("block", literal_array(rare)))
     # The block's template words in global order, and those among them that some prefix has.
-    ordered = hit.select("key", F.array_intersect(literal_array(order), "block").alias("held"))
-    probes = ordered.select("key", "held", F.explode(F.array_intersect(literal_array(rare), "held")).alias("token"))
+    ordered = hit.select("key", "block", F.array_intersect(literal_array(order), "block").alias("held"))
+    probes = ordered.select("key", "block", "held", F.explode(F.array_intersect(literal_array(rare), "held")).alias("token"))
     pairs = probes.join(F.broadcast(prefixes), "token")
     pairs = pairs.filter((F.size("held") >= F.col("need"))
                          & (F.least("own_left", F.size("held") - F.array_position("held", F.col("token")).cast("int")) + 1
                             >= F.col("need")))
-    verified = pairs.withColumn("overlap", F.size(F.array_intersect("own", "held"))).filter("overlap >= need")
+    line = F.concat(F.lit(" "), F.array_join("block", " "), F.lit(" "))
+    verified = (pairs.withColumn("overlap", F.size(F.array_intersect("own", "held"))).filter("overlap >= need")
+                .filter(F.contains(line, F.col("phrase"))))
     return verified.select("key", "label", (F.col("overlap") / F.size("own")).alias("containment"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+def prepared(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str, str]],
+             containment: float) -> DataFrame:
+    """One walk over the texts: doc_id, key, n_words, the base columns, held (the template words of the
+    document) and, where some template's length filter is passed, its words."""
     text = empty_if_null(text_col)
     spaced = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("key"),
                          spaced_words(text).alias("spaced"))
     # Splitting " a  b " at the double spaces leaves a space at either end.
-    words = spaced.select("key", F.when(F.col("spaced") == "", F.array().cast("array<string>"))
-                          .otherwise(F.split(F.trim("spaced"), "  ")).alias("words"))
-    found = (template_matches(words).groupBy("key")
+    words = F.when(F.col("spaced") == "", F.array().cast("array<string>")).otherwise(F.split(F.trim("spaced"), "  "))
+    counted = spaced.withColumn("words", words).withColumn("n_words", F.size("words").cast("long"))
+    owned = [sorted(set(text.split())) for _, _, text in templates]
+    tokens = sorted({w for own in owned for w in own})
+    held = counted.withColumn("held", F.array_intersect(literal_array(tokens), "words"))
+    passed = reduce(or_, [F.size(F.array_intersect(literal_array(own), "held")) >= needed(own, containment)
+                          for own in owned])
+    return held.select("doc_id", "key", "n_words", "held", F.when(passed, F.col("words")).alias("words"),
+                       *[c.alias(n) for n, c in base_columns(F.col("spaced"), F.col("n_words")).items()])
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         templates: list[tuple[str, str, str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    templates = TEMPLATES if templates is None else templates
+    read = materialise(prepared(docs, id_col, text_col, templates, containment))
+    found = (template_matches(read.select("key", "held", "words"), templates, containment).groupBy("key")
              .agg(F.collect_set("label").alias("own_labels"), F.max("containment").alias("containment")))
-    counted = spaced.withColumn("n_words", words_in(F.col("spaced")))
-    base = counted.select("doc_id", "key", "n_words", *[c.alias(n) for n, c in
-                          base_columns(F.col("spaced"), F.col("n_words")).items()])
-    joined = join_per_key(base, found, "key", "left")
+    joined = join_per_key(read.drop("held", "words"), found, "key", "left")
     own = F.coalesce("own_labels", F.array().cast("array<string>"))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("containment", F.lit(0.0)))
     return joined.select("doc_id", "n_words", "n_base", "first_word", "last_word",

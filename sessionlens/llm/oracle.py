@@ -130,17 +130,17 @@ ORACLE = {"op7_exact_dedup": OP7, "op8_mix_sources": OP8, "op10_rendezvous_shard
 
 
 def _license_sql() -> str:
-    """Every block against every template, without any filter."""
+    """Every block against every template, without any filter; a block is one line of words."""
     from sessionlens.llm.license_scan import BLOCK, CONTAINMENT, LOWER, PHRASES, STEP, TEMPLATES, UPPER
 
     def listed(text: str) -> str:
         return "[" + ", ".join(f"'{w}'" for w in text.split()) + "]"
 
     phrases = ", ".join(f"({listed(p)}, '{label}')" for p, label in PHRASES.items())
-    templates = ", ".join(f"({listed(t)}, '{label}')" for t, label in TEMPLATES.items())
+    templates = ", ".join(f"({listed(text)}, ' {telling} ', '{label}')" for label, telling, text in TEMPLATES)
     return rf"""
 WITH phrases(phrase, label) AS (VALUES {phrases}),
-templates(own, label) AS (SELECT list_distinct(t), l FROM (VALUES {templates}) AS v(t, l)),
+templates(own, telling, label) AS (SELECT list_distinct(t), p, l FROM (VALUES {templates}) AS v(t, p, l)),
 docs AS (
     SELECT row_number() OVER () AS row_no, doc_id,
            regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
@@ -154,14 +154,13 @@ base AS (
            list(DISTINCT label) AS labels
     FROM places GROUP BY row_no),
 blocks AS (
-    SELECT row_no, list_distinct(words[start + 1:start + {BLOCK}]) AS block
+    SELECT row_no, list_distinct(words[start + 1:start + {BLOCK}]) AS block,
+           ' ' || array_to_string(words[start + 1:start + {BLOCK}], ' ') || ' ' AS line
     FROM (SELECT row_no, words, unnest(range(0, len(words), {STEP})) AS start FROM docs)),
-shares AS (
-    SELECT row_no, label, len(list_intersect(own, block)) / len(own)::DOUBLE AS share,
-           len(list_intersect(own, block)) >= ceil({CONTAINMENT} * len(own) - 1e-9) AS enough
-    FROM blocks, templates),
 own AS (
-    SELECT row_no, max(share) AS share, list(DISTINCT label) AS labels FROM shares WHERE enough GROUP BY row_no)
+    SELECT row_no, max(len(list_intersect(own, block)) / len(own)::DOUBLE) AS share, list(DISTINCT label) AS labels
+    FROM blocks JOIN templates ON contains(line, telling) AND len(list_intersect(own, block)) / len(own) >= {CONTAINMENT}
+    GROUP BY row_no)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word,
        coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,

@@ -350,9 +350,10 @@ def test_license_scan_against_brute_force(docs):
         own = set()
         for start in range(0, len(words), license_scan.STEP):
             block = set(words[start:start + license_scan.BLOCK])
-            for text, label in license_scan.TEMPLATES.items():
+            line = f" {' '.join(words[start:start + license_scan.BLOCK])} "
+            for label, telling, text in license_scan.TEMPLATES:
                 t = set(text.split())
-                if len(t & block) >= license_scan.CONTAINMENT * len(t) - 1e-9:
+                if len(t & block) >= license_scan.CONTAINMENT * len(t) - 1e-9 and f" {telling} " in line:
                     own.add(label)
         row = got[r[0]][0]
         assert (row["n_words"], row["n_base"]) == (len(words), len(places))
@@ -362,6 +363,37 @@ def test_license_scan_against_brute_force(docs):
         assert 0 <= row["score"] <= 1
 
 
+#: Notices as people write them, and the labels that they mean.
+NOTICES = {
+    "Licensed under CC BY 4.0.": "cc-by,cc-by-4.0",
+    "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc-4.0",
+    "Licensed under CC BY-SA 4.0": "cc-by,cc-by-sa-4.0",
+    "Text licensed under cc by-nc-sa 4.0!": "cc-by,cc-by-nc-sa-4.0",
+    "This work is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+    "This work is licensed under the GNU General Public License, version 2.": "gpl,gpl-2.0",
+    "Released under the MIT License.": "mit,mit-notice",
+    "Licensed under the Apache License, Version 2.0.": "apache,apache-2.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by-4.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "cc-by-sa-4.0",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the Software), to deal in the Software without restriction": "mit-text",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+    "Public License as published by the Free Software Foundation": "agpl-notice",
+    "All rights reserved.": "all-rights-reserved",
+    "We released the film under the new license of the year.": "",
+    "All of the rights of the reserved seats": "",
+    "A license under which the public may use general works is free; version 3 of the GNU tools is not licensed so.": "",
+    "mit 4 0 cc licensed by under": "",
+}
+
+
+@pytest.mark.parametrize("around", ["", "alpha beta gamma delta " * 40])
+def test_each_notice_has_its_own_label_and_no_siblings(spark, around):
+    rows = [(i, f"{around}{notice} {around}") for i, notice in enumerate(NOTICES)]
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == list(NOTICES.values())
+
+
 def test_exact_groups(docs, monkeypatch):
     groups = collections.defaultdict(list)
     for r in corpus():
