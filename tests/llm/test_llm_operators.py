@@ -415,13 +415,41 @@ def test_exact_groups(docs, monkeypatch):
 
 def test_heavy_hitters_are_decided_before_the_shuffle(spark):
     df = spark.createDataFrame([(i, "same" if i % 3 else f"t{i}") for i in range(900)], "doc_id long, text string")
-    digests = df.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
-    winners = exact_dedup.verified_winners(digests, "doc_id", "text_sha256").collect()
+    digests = df.select("doc_id", F.sha2("text", 256).alias("text_sha256"), F.lit(1).alias("mark"))
+    winners = exact_dedup.verified_winners(digests, "doc_id", "text_sha256", "mark").collect()
     assert [(r["winner_size"], r["winner_id"]) for r in winners] == [(600, 899)]
     rows = exact_dedup.exact_groups(df).filter("group_size = 600").collect()
     assert len(rows) == 600 and [r["doc_id"] for r in rows if r["kept"]] == [899]
 
 
+@pytest.mark.parametrize("ids", ["null", "same", "both"])
+def test_frequent_text_without_distinct_ids_leaves_one_row(spark, ids):
+    """A third of all rows have one text and no id, or one id: all but one go before the shuffle."""
+    own = {"null": lambda i: None, "same": lambda i: 7, "both": lambda i: None if i % 2 else 7}[ids]
+    rows = [(own(i) if i % 3 == 0 else i + 10, "hot" if i % 3 == 0 else f"t{i}", "b" if i == 30 else "a", i % 4) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, mark string, row_no int").repartition(6)
+    got = exact_dedup.exact_groups(df).filter("group_size = 200").collect()
+    assert len(got) == 200 and sum(r["kept"] for r in got) == 1
+    kept = next(r for r in got if r["kept"])
+    assert kept["doc_id"] == kept["keep_id"] == (None if ids == "null" else 7)
+    marked = df.select("doc_id", F.sha2("text", 256).alias("digest"), F.monotonically_increasing_id().alias("mark"))
+    frequent, rest = exact_dedup._split(marked, marked.cache(), "doc_id", "digest", "mark")
+    assert frequent.filter("wins").count() == 1 and rest.count() == 400
+    stay = exact_dedup.drop_exact_copies(df)
+    assert stay.columns == df.columns and stay.filter("text = 'hot'").count() == 1 and stay.count() == 401
+
+
+def test_sketches_are_combined_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "ARITY", 2)
+    rows = spark.range(5000).select(F.when(F.col("id") % 4 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit("warm"))
+                                    .otherwise(F.col("id").cast("string")).alias("v")).repartition(13)
+    named = exact_dedup.misra_gries(rows, "v", candidates=2, tracked=64)
+    assert {r["value"] for r in named.collect()} >= {"hot"}
+    # 13 tasks: 7, 4, 2 and one
+    assert named._jdf.queryExecution().optimizedPlan().toString().count("approx_top_k_combine(") == 4
+    assert exact_dedup.misra_gries(rows.limit(0), "v").collect() == []
+
+
 def brute_targets(sizes: dict) -> dict:
     order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
     weight = {s: 1 + i % 3 for i, s in enumerate(order)}
