@@ -15,6 +15,8 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,42 @@ def latest_partition(spark: SparkSession, path: str, date_col: str) -> _dt.date
     return max((d for d in partition_dates(spark, path, date_col) if d is not None), default=None)
 
 
+def footer_maximum(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row ``maximum``: the largest value of a column of a stored table, from the statistics in the
+    files' footers.
+
+    Spark pushes the aggregate into the scan for numbers and dates; other types are scanned.  The
+    settings that this needs are made in a session of its own, so the caller's stay as they are.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.max(F.col(column)).alias("maximum"))
+
+
+def stored_high_water_mark(spark: SparkSession, path: str, date_col: str, lookback_days: int = 1) -> _dt.date | None:
+    """``high_water_mark`` of a stored table without reading its rows: from the names of its partition
+    folders, or else from file footers (S4, A11).  None if there is no table or no date.
+
+    Files that carry no statistics are scanned.
+    """
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    latest = latest_partition(spark, path, date_col)
+    if latest is None:
+        table = spark.read.parquet(path)
+        if date_col not in table.columns:
+            raise ValueError(f"{path} has no column {date_col}")
+        try:
+            latest = footer_maximum(spark, path, date_col).first()["maximum"]
+        except (PySparkException, Py4JJavaError) as failed:
+            if "statistic" not in str(failed).lower() and "min/max" not in str(failed).lower():
+                raise
+            latest = table.agg(F.max(date_col)).first()[0]
+    return None if latest is None else latest - _dt.timedelta(days=lookback_days)
+
+
 def by_date(df: DataFrame, date_col: str) -> DataFrame:
     """Rows gathered by date before a partitioned write, so that a date gets few files.
 

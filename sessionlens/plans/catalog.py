@@ -23,7 +23,7 @@ from sessionlens.operators.funnel import (
 from sessionlens.operators.identity import identity_routes
 from sessionlens.operators.milestones import milestones
 from sessionlens.operators.refresh import (
-    latest_partition, merge_by_key, refresh_partitioned, write_by_date,
+    latest_partition, merge_by_key, refresh_partitioned, stored_high_water_mark, write_by_date,
 )
 from sessionlens.operators.sessions import first_seen, session_base, session_rollup
 from sessionlens.plans import app_config as A
@@ -234,6 +234,15 @@ def _refreshed(spark, sf, model):
     return spark.read.parquet(path)
 
 
+def q_stored_watermark(spark, sf):
+    """The high-water mark of a stored table without date partitions, from its files' footers."""
+    s, _ = _web(spark, sf)
+    path = f"{_shared_folder(spark)}/sessions-{uuid.uuid4().hex}"
+    s.select("distinct_session_id", F.to_date("session_start_time").alias("DATE")).write.parquet(path)
+    bound = stored_high_water_mark(spark, path, "DATE")
+    return spark.range(1).select(F.lit(bound).cast("date").alias("high_water_mark"))
+
+
 def q_stored_refresh(spark, sf):
     """The same on a stored table: written, refreshed in place by partition, read back."""
     return _refreshed(spark, sf, M.site_model)
@@ -277,6 +286,7 @@ QUERIES: dict[str, Query] = {
     "linked_app_session_model": q_linked_app_session_model,
     "outcomes_after": q_outcomes_after,
     "incremental_refresh": q_incremental_refresh,
+    "stored_watermark": q_stored_watermark,
     "stored_refresh": q_stored_refresh,
     "touched_refresh": q_touched_refresh,
 }

@@ -531,6 +531,8 @@ def oracle_queries() -> dict[str, str]:
         "linked_app_session_model": linked_app_sql(),
         "outcomes_after": research_sql(),
         "incremental_refresh": refreshed,
+        "stored_watermark": with_ctes(web_adapters_sql())
+            + "\nSELECT max(CAST(session_start_time AS DATE)) - 1 AS high_water_mark FROM web_sessions",
         "stored_refresh": refreshed,
         "touched_refresh": _site("SELECT * FROM site"),
     }

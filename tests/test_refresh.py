@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sessionlens.operators.refresh import (
-    high_water_mark, incremental_refresh, latest_partition, merge_by_key, refresh_partitioned,
+    footer_maximum, high_water_mark, incremental_refresh, latest_partition, merge_by_key, refresh_partitioned,
+    stored_high_water_mark,
 )
 from sessionlens.plans import models as M
 from sessionlens.sources import adapters as AD
@@ -191,3 +192,21 @@ def test_refresh_query_on_three_days_of_events(spark, scratch, monkeypatch):
     assert want > 0
     for query in (C.q_incremental_refresh, C.q_stored_refresh, C.q_touched_refresh):
         assert query(spark, SF_SMALL).count() == want
+
+
+def test_watermark_from_footers_equals_the_scan(spark, scratch):
+    rows = spark.range(900).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 7 > 0, F.date_add(
+        F.lit("2024-01-01"), (F.col("id") % 50).cast("int"))).alias("DATE"))
+    rows.repartition(5).write.parquet(scratch + "/flat")
+    assert stored_high_water_mark(spark, scratch + "/flat", "DATE") == high_water_mark(rows, "DATE") == dt.date(2024, 2, 18)
+    plan = footer_maximum(spark, scratch + "/flat", "DATE")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(DATE)]" in plan, plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    # no statistics in the footers; only nulls; partition folders; no table
+    rows.write.option("parquet.column.statistics.enabled", "false").parquet(scratch + "/bare")
+    assert stored_high_water_mark(spark, scratch + "/bare", "DATE") == dt.date(2024, 2, 18)
+    rows.where("DATE IS NULL").write.parquet(scratch + "/nulls")
+    assert stored_high_water_mark(spark, scratch + "/nulls", "DATE") is None
+    rows.write.partitionBy("DATE").parquet(scratch + "/dated")
+    assert stored_high_water_mark(spark, scratch + "/dated", "DATE", 3) == dt.date(2024, 2, 16)
+    assert stored_high_water_mark(spark, scratch + "/absent", "DATE") is None
