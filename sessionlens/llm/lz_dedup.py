@@ -7,13 +7,18 @@ windows are judged on the input.
 Reference blocks are the distinct segments of all texts (``anchors.py``), each
 labelled with the smallest id of a document that holds it.  They are indexed
 by anchor.  A document's segment whose content stands in a smaller document is
-one factor, found by counting.  Every content is parsed once against all
-reference blocks of its anchor, and its factors hold at every place where its
-smallest document has it: a factor begins at the first window that a
-block of a smaller document holds, and is extended greedily, word by word, as
-long as a further window is held; windows across the border of two factors are
-looked up like any other.  Factors have ``WINDOW`` words or more by
-construction and become the removed spans.
+one factor, found by counting.  Every other content is factored once against
+all reference blocks of its anchor, and its factors hold at every place where
+its smallest document has it: from left to right, the longest match of the rest
+with a single reference block of a smaller document is the next factor, if it
+has ``WINDOW`` words or more; else the next word is a literal.  Such a factor is a
+duplicate span.  A window across a factor's end lies in no single factor, so the
+windows at every factor boundary are looked up in the index too.  What begins at
+a literal has been tried there, so no window is missed.
+
+A match from a window is extended in the index by pairs: a run of at most twice
+``WINDOW`` words is the pair of its first and its last window, so the longest match
+is the farthest second window that some smaller block has with the first.
 
 A null text has no words; texts shorter than a window are kept whole.  Rows
 with the same id never remove each other's words; a null id counts as larger
@@ -56,31 +61,79 @@ def _cut(text: str, places: list) -> Iterator[tuple]:
 
 
 class ReferenceIndex:
-    """For every window of the reference blocks, the smallest document that holds it."""
-
-    def __init__(self, anchors: np.ndarray, windows: np.ndarray, documents: np.ndarray):
-        order = np.lexsort((documents, windows, anchors))
-        self.anchors, self.windows, documents = anchors[order], windows[order], documents[order]
+    """Reference blocks of many anchors, given as runs of windows: which smaller document holds what."""
+
+    def __init__(self, anchors: np.ndarray, windows: list[np.ndarray], documents: np.ndarray):
+        sizes = np.array([len(w) for w in windows])
+        self.ends = np.cumsum(sizes)
+        block = np.repeat(np.arange(len(windows)), sizes)
+        self.left = self.ends[block] - np.arange(len(block)) - 1     # windows after this one in its block
+        self.document = documents[block]
+        flat, anchor = np.concatenate(windows).astype("int64"), anchors[block]
+        order = np.lexsort((flat, anchor))
         new = np.ones(len(order), dtype=bool)
-        new[1:] = (np.diff(self.anchors) != 0) | (np.diff(self.windows) != 0)
-        self.least = np.empty(len(order), dtype=np.int64)
-        self.least[order] = documents[np.flatnonzero(new)][np.cumsum(new) - 1]
-
-
-def factors(held: np.ndarray) -> list[tuple[int, int]]:
-    """Greedy factors (first word, end) of a block, given which of its windows an earlier document holds."""
-    return [(a, b - 1 + WINDOW) for a, b in runs(held)]
+        new[1:] = (np.diff(anchor[order]) != 0) | (np.diff(flat[order]) != 0)
+        self.name = np.empty(len(order), dtype="int64")              # equal windows of one anchor
+        self.name[order] = np.cumsum(new) - 1
+        self.least = self._least(self.name, np.arange(len(order)))
+        self.held = self.least < self.document
+
+    def _least(self, names: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For each name the smallest document among the places ``at`` that have it."""
+        _, names = np.unique(names, return_inverse=True)
+        least = np.full(names.max(initial=-1) + 1, np.iinfo("int64").max)
+        np.minimum.at(least, names, self.document[at])
+        return least[names]
+
+    def longest_matches(self) -> tuple[np.ndarray, np.ndarray]:
+        """From every window: how many windows the longest match with one smaller block has (0: none), and
+        the smallest document with such a match."""
+        length, reference = self.held.astype("int64"), np.where(self.held, self.least, -1)
+        asked, step = np.flatnonzero(self.held), 1
+        names = int(self.name.max(initial=0)) + 1
+        while True:
+            asked = asked[self.left[asked] >= step]
+            if not len(asked):
+                return length, reference
+            wanted = np.zeros(names, dtype=bool)
+            wanted[self.name[asked]] = True
+            at = np.flatnonzero(wanted[self.name] & (self.left >= step))
+            found = np.empty(len(self.name), dtype="int64")
+            found[at] = self._least(self.name[at] * names + self.name[at + step], at)
+            asked = asked[found[asked] < self.document[asked]]
+            length[asked], reference[asked] = step + 1, found[asked]
+            step += 1
+
+
+def factors(length: np.ndarray, reference: np.ndarray, least: np.ndarray) -> list[tuple[int, int, int]]:
+    """Greedy factors of one block (first word, end, document), and the boundary windows that hold, as
+    spans of their own.
+
+    ``length`` is the longest match from each window, in windows, ``reference`` the smallest document that has
+    it, ``least`` the smallest that has the window.
+    """
+    out, at = [], 0
+    starts = np.flatnonzero(length)
+    while True:
+        k = np.searchsorted(starts, at)
+        if k == len(starts):
+            return out
+        at = int(starts[k])
+        stop = at + int(length[at]) - 1 + WINDOW
+        out.append((at, stop, int(reference[at])))
+        # windows that begin in the factor's last words and end behind it
+        for a in starts[np.searchsorted(starts, at + int(length[at])):np.searchsorted(starts, stop)]:
+            out.append((int(a), int(a) + WINDOW, int(least[a])))
+        at = stop
 
 
 def _parse(group: pd.DataFrame) -> pd.DataFrame:
     """Every block of the group against all others: the group's index, then each block's factors."""
-    sizes = np.array([len(w) for w in group["windows"]])
-    documents = np.repeat(group["ord"].to_numpy("int64"), sizes)
-    index = ReferenceIndex(np.repeat(group["anchor"].to_numpy("int64"), sizes),
-                           np.concatenate(list(group["windows"])).astype("int64"), documents)
-    held = np.split(index.least < documents, np.cumsum(sizes)[:-1])
-    out = [(anchor, digest, a, b) for anchor, digest, h in zip(group["anchor"], group["digest"], held, strict=True)
-           for a, b in factors(h)]
+    index = ReferenceIndex(group["anchor"].to_numpy("int64"), list(group["windows"]), group["ord"].to_numpy("int64"))
+    length, reference = index.longest_matches()
+    out = [(anchor, digest, a, b) for anchor, digest, s, e in
+           zip(group["anchor"], group["digest"], [0, *index.ends[:-1]], index.ends, strict=True)
+           for a, b, _ in factors(length[s:e], reference[s:e], index.least[s:e])]
     return pd.DataFrame(out, columns=["anchor", "digest", "start", "stop"]).astype("int64")
 
 

@@ -553,3 +553,53 @@ EMPTY = {
 @pytest.mark.parametrize("name", EMPTY)
 def test_empty_table(empty, name):
     assert EMPTY[name](empty).collect() == []
+
+
+def naive_factors(blocks: list[tuple[int, list]], own: int, size: int) -> list[tuple[int, int]]:
+    """Longest match of the rest with one block of a smaller document, from left to right, then boundary windows."""
+    document, words = blocks[own]
+    smaller = [w for d, w in blocks if d < document]
+
+    def longest(at):
+        best = 0
+        for w in smaller:
+            for k in range(len(w)):
+                n = 0
+                while at + n < len(words) and k + n < len(w) and words[at + n] == w[k + n]:
+                    n += 1
+                best = max(best, n)
+        return best
+
+    out, at = [], 0
+    while at < len(words):
+        n = longest(at)
+        if n < size:
+            at += 1
+            continue
+        out.append((at, at + n))
+        out += [(k, k + size) for k in range(at + n - size + 1, min(at + n, len(words) - size + 1)) if longest(k) >= size]
+        at += n
+    return out
+
+
+def test_lz_factors_equal_a_naive_parser(monkeypatch):
+    monkeypatch.setattr(lz_dedup, "WINDOW", 6)
+    rng = random.Random(12)
+    for _ in range(120):
+        # distinct words, so that blocks are aligned as anchors align them; edits part them
+        base = list(range(11))
+        blocks = []
+        for document in rng.sample(range(50), rng.randint(2, 9)):
+            words = [w if rng.random() < 0.9 else 100 + rng.randrange(3) for w in base]
+            low = rng.randrange(3)
+            blocks.append((document, words[low:len(words) - rng.randrange(3)]))
+        windows = [np.array([hash(tuple(w[k:k + 6])) for k in range(len(w) - 5)], dtype="int64") for _, w in blocks]
+        index = lz_dedup.ReferenceIndex(np.zeros(len(blocks), "int64"), windows, np.array([d for d, _ in blocks]))
+        length, reference = index.longest_matches()
+        for own, (s, e) in enumerate(zip([0, *index.ends[:-1]], index.ends, strict=True)):
+            got = lz_dedup.factors(length[s:e], reference[s:e], index.least[s:e])
+            assert [(a, b) for a, b, _ in got] == naive_factors(blocks, own, 6)
+            for a, b, document in got:      # the reference is a smaller document that holds the factor
+                run = blocks[own][1][a:b]
+                assert document == min(d for d, w in blocks if any(w[k:k + b - a] == run for k in range(len(w))))
+                assert document < blocks[own][0]
