@@ -50,12 +50,14 @@ def misra_gries(df: DataFrame, column: str, candidates: int = CANDIDATES,
     last = sketches.agg(F.max("place")).first()[0]
     if last is None:
         return df.select(F.col(column).alias("value")).limit(0)
-    while last >= ARITY:
+    while True:
+        # grouped to the end, as a combination of no sketches at all (of an empty partition) fails
         sketches = (sketches.groupBy(F.floor(F.col("place") / ARITY).cast("int").alias("place"))
                     .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")))
         last //= ARITY
-    top = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
-    return top.select(F.expr(f"approx_top_k_estimate(sketch, {candidates})").alias("top")).select(F.explode("top.item").alias("value"))
+        if not last:
+            break
+    return sketches.select(F.expr(f"approx_top_k_estimate(sketch, {candidates})").alias("top")).select(F.explode("top.item").alias("value"))
 
 
 def verified_winners(digests: DataFrame, id_col: str, digest: str, mark: str) -> DataFrame:
