@@ -79,6 +79,31 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS
 FROM sums JOIN placed USING (row_no)
 """
 
+# All pairs of documents that share a shingle, and what links reach from each.
+OP3 = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                   ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                   END) AS shingle
+    FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT one, two FROM shared JOIN sizes x ON x.doc_id = one JOIN sizes y ON y.doc_id = two
+    WHERE 10 * shared.n >= 8 * (x.n + y.n - shared.n)),
+reached(start, doc) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT start, two FROM reached JOIN links ON one = doc)
+SELECT d.doc_id, (SELECT min(doc) FROM reached WHERE start = d.doc_id) AS class_id,
+       (SELECT count(*) FROM links WHERE one = d.doc_id) AS n_links,
+       coalesce((SELECT n FROM sizes WHERE sizes.doc_id = d.doc_id), 0) AS n_shingles
+FROM documents d
+"""
+
 # A node is a prefix held as a list; its subtree is found through the members of the nodes below.
 OP11 = r"""
 WITH crc_table AS (
@@ -126,7 +151,7 @@ LEFT JOIN ends e ON e.node = n.conv_id AND e.depth = n.depth
 LEFT JOIN passes up ON up.member = n.conv_id AND up.depth = n.depth - 1
 """
 
-ORACLE = {"op7_exact_dedup": OP7, "op8_mix_sources": OP8, "op10_rendezvous_shards": OP10, "op11_prefix_trie": OP11}
+ORACLE = {"op3_near_copies": OP3, "op7_exact_dedup": OP7, "op8_mix_sources": OP8, "op10_rendezvous_shards": OP10, "op11_prefix_trie": OP11}
 
 
 def _license_sql() -> str:

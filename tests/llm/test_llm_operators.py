@@ -445,7 +445,7 @@ def test_sketches_are_combined_in_a_tree(spark, monkeypatch):
                                     .otherwise(F.col("id").cast("string")).alias("v")).repartition(13)
     named = exact_dedup.misra_gries(rows, "v", candidates=2, tracked=64)
     assert {r["value"] for r in named.collect()} >= {"hot"}
-    # 13 tasks: 7, 4, 2 and one
+    # 13 tasks: 7, 4, 2, one
     assert named._jdf.queryExecution().optimizedPlan().toString().count("approx_top_k_combine(") == 4
     assert exact_dedup.misra_gries(rows.limit(0), "v").collect() == []
 
@@ -603,3 +603,58 @@ def test_lz_factors_equal_a_naive_parser(monkeypatch):
                 run = blocks[own][1][a:b]
                 assert document == min(d for d, w in blocks if any(w[k:k + b - a] == run for k in range(len(w))))
                 assert document < blocks[own][0]
+
+
+def test_near_copies_without_ids(spark):
+    base = prose(41, 90)
+    near = base.split()
+    near[20] = "other"
+    rows = [(None, base), (None, base), (3, base), (9, " ".join(near)), (None, prose(42, 60)), (None, None), (4, None)]
+    got = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in near_join.near_groups(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted([(None, 3, 3), (None, 3, 3), (3, 3, 3), (9, 3, 3), (None, None, 0), (None, None, 0), (4, 4, 0)], key=str)
+
+
+def test_trie_node_connects_whatever_is_alike():
+    """Clusters of one node against all pairs of signatures, as connected components."""
+    rng = np.random.default_rng(5)
+    shortest = near_join.matched_depth()
+    for tree in (0, 7):
+        centres = rng.integers(0, 256, (6, near_join.TREES * near_join.DEPTH), dtype="u1")
+        signs = centres[rng.integers(0, 6, 60)]
+        noise = rng.random(signs.shape) < rng.random((60, 1)) * 0.6
+        signs = np.where(noise, rng.integers(0, 256, signs.shape, dtype="u1"), signs)
+        label = near_join.connected_in_node(signs, tree, shortest)
+        alike = (signs[:, None, :] == signs[None, :, :]).mean(axis=2) >= near_join.PLAUSIBLE
+        want = np.arange(60)
+        while True:
+            new = np.array([want[alike[i]].min() for i in range(60)])
+            if (new == want).all():
+                break
+            want = new
+        assert len(set(zip(label.tolist(), want.tolist(), strict=True))) == len(set(label.tolist())) == len(set(want.tolist()))
+
+
+@pytest.mark.parametrize("block", [2, 5])
+def test_large_trie_nodes_in_blocks_lose_no_link(spark, monkeypatch, block):
+    base = prose(43, 200).split()
+    rows = []
+    for i in range(24):
+        words = list(base)
+        for k in range(i % 8):
+            words[(i * 7 + k * 23) % 200] = f"new{i}x{k}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_join, "NODE_BLOCK", block)
+    sets = [shingle_set(t) for _, t in rows]
+    want = {i: sum(10 * len(a & b) >= 8 * len(a | b) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)}
+    assert {r["doc_id"]: r["n_links"] for r in near_join.near_groups(df).collect()} == want
+
+
+def test_near_join_of_texts_of_megabytes(spark):
+    words = prose(44, 400_000, vocabulary=5000)
+    rows = [(1, words), (2, words + " tail"), (3, prose(45, 300))]
+    assert len(words) > 2 << 20
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near_join.near_groups(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
