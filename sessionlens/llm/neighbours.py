@@ -5,7 +5,10 @@ graph; a node remembers the ``top + 1`` smallest ids of its rows, which is all
 that an answer can need.
 
 1. Start: a bounded sample of nodes serves as pivots; every node joins the
-   groups of its ``START_GROUPS`` nearest pivots and is compared within them.
+   groups of its ``START_GROUPS`` nearest pivots.  A group of more than
+   ``SPLIT_ABOVE`` takes one member in ``SECOND_SIZE`` as pivots of its own and is
+   split by them, so groups stay as large as that at any number of vectors.  Nodes
+   are compared within their groups.
 2. NN-descent: in each round a node's best ``INTRODUCED`` neighbours, and the
    nodes it is such a neighbour of, are introduced to each other by joins: (centre, neighbour)
    pairs are dealt by the centre's group, vectors are joined to them once per
@@ -14,10 +17,14 @@ that an answer can need.
    lists change.
 3. Search: a query starts from the graph's entry at its own node and keeps the
    best ``POOL`` nodes found; each step expands the unexpanded ones along their
-   edges, until the pool rests.
+   edges, until the pool rests or ``STEPS`` steps are done.
 4. The pool's rows are scored again in double precision on the original
    vectors and ranked; ties go to the smaller id.
 
+Scores in single precision only choose candidates.  The side that ranks is scaled
+row by row, the ranked side by one factor for the table, both powers of two,
+so doubles of any finite size are compared without overflow.
+
 Vectors that are null, empty or zero, or hold a null or a component that is not
 finite, and rows without an id take no part.  Shorter vectors count as padded
 with zeros.  Rows equal in id and vector count once.  Groups larger than
@@ -46,6 +53,9 @@ GROUP_SIZE = 256
 MOST_PIVOTS = 2048
 #: Nodes that are compared in one task at once.
 MOST_MEMBERS = 6144
+#: Groups of more members are split by pivots of their own, one per SECOND_SIZE members.
+SPLIT_ABOVE = 6144
+SECOND_SIZE = 1024
 ROUNDS = 4
 #: Share of changed edges below which rounds end.
 AT_REST = 0.02
@@ -73,12 +83,27 @@ def make_nodes(rows: DataFrame, top: int) -> tuple[DataFrame, DataFrame]:
 
 
 def padded(vectors, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), dtype=np.float32)
+    out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         out[i, :len(v)] = v
     return out
 
 
+def exponent(largest: float) -> int:
+    return int(np.frexp(largest)[1]) if largest else 0
+
+
+def ranked_side(wide: np.ndarray, power: int) -> np.ndarray:
+    """All rows times the same power of two, in single precision."""
+    return np.ldexp(wide, -power).astype(np.float32)
+
+
+def ranking_side(wide: np.ndarray) -> np.ndarray:
+    """Every row times the power of two that brings it near 1: its order of the others stays the same."""
+    power = np.frexp(np.abs(wide).max(axis=1, initial=0.0))[1]
+    return np.ldexp(wide, -power[:, None]).astype(np.float32)
+
+
 def best_of(names: np.ndarray, vectors: np.ndarray, others: np.ndarray, other_vectors: np.ndarray,
             worst: np.ndarray, count: int) -> pd.DataFrame:
     """For each name the ``count`` best others that beat its worst neighbour (columns a, b, s)."""
@@ -125,15 +150,11 @@ def divided(rows: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """``part`` of ``parts``: groups of more than MOST_MEMBERS rows are dealt by hash of ``name``, about ``most`` rows a part.
 
     ``rows`` is materialised.
-
-    There are MOST_PIVOTS groups at most, so the large ones are listed in the expression.
     """
-    sizes = rows.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_MEMBERS).collect()
-    parts = F.lit(1)
-    if sizes:
-        listed = F.create_map(*[F.lit(v) for r in sizes for v in (r["grp"], -(-r["n"] // (most or MOST_MEMBERS)))])
-        parts = F.coalesce(F.element_at(listed, F.col("grp")), F.lit(1).cast("long"))
-    return rows.withColumn("part", F.pmod(F.xxhash64(name), parts)).withColumn("parts", parts.cast("long"))
+    sizes = rows.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_MEMBERS)
+    parts = F.coalesce(F.ceil(F.col("n") / (most or MOST_MEMBERS)).cast("long"), F.lit(1).cast("long"))
+    return (join_per_key(rows, sizes, "grp").withColumn("parts", parts)
+            .withColumn("part", F.pmod(F.xxhash64(name), F.col("parts"))).drop("n"))
 
 
 def in_blocks(rows: DataFrame, name: str) -> DataFrame:
@@ -147,14 +168,15 @@ def in_blocks(rows: DataFrame, name: str) -> DataFrame:
     return dealt.withColumn("part", pair).drop("parts", "other")
 
 
-def best_in_block(group: pd.DataFrame, vectors: np.ndarray, worst: np.ndarray, count: int) -> pd.DataFrame:
+def best_in_block(group: pd.DataFrame, wide: np.ndarray, power: int, worst: np.ndarray, count: int) -> pd.DataFrame:
     """``best_of`` between the block's two halves, or within its only one."""
     names, half = group["node"].to_numpy(), group["half"].to_numpy()
+    ranking, ranked = ranking_side(wide), ranked_side(wide, power)
     own = half == half[0]
     if own.all():
         # A part with itself (or, harmlessly once more, where the other part is empty).
-        return best_of(names, vectors, names, vectors, worst, count)
-    return pd.concat([best_of(names[a], vectors[a], names[~a], vectors[~a], worst[a], count) for a in (own, ~own)],
+        return best_of(names, ranking, names, ranked, worst, count)
+    return pd.concat([best_of(names[a], ranking[a], names[~a], ranked[~a], worst[a], count) for a in (own, ~own)],
                      ignore_index=True)
 
 
@@ -164,31 +186,65 @@ def best_edges(edges: DataFrame, degree: int = DEGREE) -> DataFrame:
     return ranked.filter(F.col("r") <= degree)
 
 
-def start_graph(nodes: DataFrame, count: int, width: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, s) edges within the pivots' groups; (node, grp): each node's nearest pivot."""
+def split_again(members: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, place, grp) with groups of more than SPLIT_ABOVE split by pivots among their own members.
+
+    A part of a group meets all of the group's pivots; a group that has drawn none stays as it is.
+    """
+    large = members.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > SPLIT_ABOVE).select("grp")
+    large = materialise(large)
+    if large.isEmpty():
+        return members
+    inside = materialise(join_per_key(members, large, "grp", "inner"))
+    dealt = divided(inside, "node").withColumn("is_pivot", F.lit(0))
+    pivots = dealt.filter(F.pmod(F.xxhash64(F.lit(5), F.col("node")), F.lit(SECOND_SIZE)) == 0)
+    pivots = (pivots.select("node", "place", "grp", "parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+                            .alias("part"), F.lit(1).alias("is_pivot")))
+    rows = join_per_key(dealt.unionByName(pivots), nodes, "node", "inner")
+
+    def choose(group: pd.DataFrame) -> pd.DataFrame:
+        drawn = group["is_pivot"].to_numpy() == 1
+        out = group.loc[~drawn, ["node", "place", "grp"]]
+        if drawn.any():
+            centres = group[drawn].sort_values("node", kind="stable")
+            vectors = ranking_side(padded(centres["v"], width))
+            vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+            near = (ranking_side(padded(group.loc[~drawn, "v"], width)) @ vectors.T).argmax(axis=1)
+            out = out.assign(grp=out["grp"] + MOST_PIVOTS * (1 + centres["node"].to_numpy()[near]))
+        return out
+
+    inner = by_group(rows, choose, "node long, place int, grp long")
+    return materialise(join_per_key(members, large.withColumn("large", F.lit(True)), "grp").filter("large IS NULL")
+                       .select("node", "place", "grp").unionByName(inner))
+
+
+def start_graph(nodes: DataFrame, count: int, width: int, power: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(a, b, s) edges within the pivots' groups; (node, grp): the group of each node's nearest pivot."""
     pivots = min(MOST_PIVOTS, max(1, count // GROUP_SIZE))
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(pivots).select("v").collect()
-    centres = padded([r["v"] for r in sample], width)
+    centres = ranking_side(padded([r["v"] for r in sample], width))
     centres = centres / np.linalg.norm(centres, axis=1, keepdims=True)
     groups = min(START_GROUPS, len(centres))
 
     def join_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            score = padded(batch["v"], width) @ centres.T
+            score = ranking_side(padded(batch["v"], width)) @ centres.T
             nearest = np.argsort(-score, axis=1, kind="stable")[:, :groups]
             yield pd.DataFrame({"node": batch["node"], "groups": list(nearest.astype("int64"))})
 
     joined = materialise(nodes.mapInPandas(join_groups, "node long, groups array<long>"))
-    members = in_blocks(joined.select("node", F.explode("groups").alias("grp")), "node").join(nodes, "node")
+    joined = joined.select("node", F.posexplode("groups").alias("place", "grp"))
+    joined = split_again(joined, nodes, width)
+    members = in_blocks(joined.select("node", "grp"), "node").join(nodes, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        return best_in_block(group, padded(group["v"], width), np.full(len(group), -np.inf, "f4"), DEGREE)
+        return best_in_block(group, padded(group["v"], width), power, np.full(len(group), -np.inf, "f4"), DEGREE)
 
     edges = by_group(members, compare, "a long, b long, s double")
-    return materialise(best_edges(edges)), joined.select("node", F.element_at("groups", 1).alias("grp"))
+    return materialise(best_edges(edges)), joined.filter("place = 0").select("node", "grp")
 
 
-def descend(nodes: DataFrame, graph: DataFrame, home: DataFrame, width: int) -> DataFrame:
+def descend(nodes: DataFrame, graph: DataFrame, home: DataFrame, width: int, power: int = 0) -> DataFrame:
     """One round of NN-descent: pairs (a, b, s) that improve a's list."""
     close = graph.filter(F.col("r") <= INTRODUCED)
     both = close.select("a", "b").unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -203,15 +259,15 @@ def descend(nodes: DataFrame, graph: DataFrame, home: DataFrame, width: int) ->
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         least = group["worst"].to_numpy("f8", na_value=-np.inf)
         least = np.where(np.isnan(least), -np.inf, least).astype("f4")
-        return best_in_block(group, padded(group["v"], width), least, OFFERS)
+        return best_in_block(group, padded(group["v"], width), power, least, OFFERS)
 
     return by_group(members, compare, "a long, b long, s double")
 
 
-def build_graph(nodes: DataFrame, count: int, width: int) -> tuple[DataFrame, DataFrame]:
-    graph, home = start_graph(nodes, count, width)
+def build_graph(nodes: DataFrame, count: int, width: int, power: int) -> tuple[DataFrame, DataFrame]:
+    graph, home = start_graph(nodes, count, width, power)
     for _ in range(ROUNDS):
-        offers = descend(nodes, graph, home, width).withColumn("new", F.lit(1))
+        offers = descend(nodes, graph, home, width, power).withColumn("new", F.lit(1))
         merged = graph.drop("r").withColumn("new", F.lit(0)).unionByName(offers).groupBy("a", "b").agg(
             F.max("s").alias("s"), F.min("new").alias("new"))
         ranked = merged.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("s"), "b")))
@@ -230,7 +286,7 @@ def best_of_pool(found: DataFrame) -> DataFrame:
     return ranked.filter(F.col("r") <= POOL).drop("r")
 
 
-def search(nodes: DataFrame, graph: DataFrame, home: DataFrame, queries: DataFrame, width: int) -> DataFrame:
+def search(nodes: DataFrame, graph: DataFrame, home: DataFrame, queries: DataFrame, width: int, power: int) -> DataFrame:
     """(a, b, s): the best POOL nodes b found for each query node a (its own node among them)."""
     own = queries.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(float("inf")).alias("s"),
                          F.lit(True).alias("done"))
@@ -259,12 +315,12 @@ def search(nodes: DataFrame, graph: DataFrame, home: DataFrame, queries: DataFra
 
         def compare(group: pd.DataFrame) -> pd.DataFrame:
             asks = group["is_query"].to_numpy() == 1
-            names, vectors = group["node"].to_numpy(), padded(group["v"], width)
+            names, wide = group["node"].to_numpy(), padded(group["v"], width)
             least = group["worst"].to_numpy("f8", na_value=-np.inf)
             least = np.where(np.isnan(least), -np.inf, least).astype("f4")
             if not asks.any() or asks.all():
                 return pd.DataFrame({"a": [], "b": [], "s": []}).astype({"a": "int64", "b": "int64", "s": "float64"})
-            return best_of(names[asks], vectors[asks], names[~asks], vectors[~asks], least[asks], POOL)
+            return best_of(names[asks], ranking_side(wide[asks]), names[~asks], ranked_side(wide[~asks], power), least[asks], POOL)
 
         found = by_group(members, compare, "a long, b long, s double")
         pool = materialise(best_of_pool(pool.withColumn("done", F.lit(True))
@@ -278,7 +334,8 @@ def nearest(rows: DataFrame, is_query: Column, top: int = 20, id_col: str = "vec
     valid = rows.filter(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
     numbered = valid.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     nodes, ids = make_nodes(numbered, top)
-    count, width = nodes.agg(F.count("*"), F.max(F.size("v"))).first()
+    count, width, largest = nodes.agg(F.count("*"), F.max(F.size("v")), F.max(F.array_max(F.transform(
+        "v", lambda x: F.abs(x.cast("double")))))).first()
     asked = valid.filter(is_query).select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).alias("q"),
                                           F.xxhash64(vector_col).alias("h1"),
                                           F.xxhash64(F.lit(1), F.col(vector_col)).alias("h2")).distinct()
@@ -286,8 +343,9 @@ def nearest(rows: DataFrame, is_query: Column, top: int = 20, id_col: str = "vec
     asked = materialise(asked.join(named, ["h1", "h2"]).select("query_id", "q", "node"))
     if not count:
         return asked.select("query_id", F.lit(0).alias("rank"), F.col("node").alias("vec_id"), F.lit(0.0).alias("score"))
-    graph, home = build_graph(nodes, count, width)
-    pool = search(nodes, graph, home, asked.select("node").distinct(), width)
+    power = exponent(largest)
+    graph, home = build_graph(nodes, count, width, power)
+    pool = search(nodes, graph, home, asked.select("node").distinct(), width, power)
     wide = join_per_key(pool.select(F.col("a").alias("from"), F.col("b").alias("node")), nodes, "node", "inner")
     pairs = asked.withColumnRenamed("node", "from").join(wide, "from")
     product = F.aggregate(F.zip_with("q", "v", lambda x, y: F.coalesce(x.cast("double") * y.cast("double"), F.lit(0.0))),

@@ -336,6 +336,49 @@ def test_divided_groups_are_compared_whole(spark, monkeypatch):
     assert len(want[1] ^ got[1]) <= 0.001 * len(want[1])
 
 
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    """Components beyond single precision on both sides; scores stay finite in double precision."""
+    rng = np.random.default_rng(21)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** rng.choice([-120, -39, 0, 39, 120])).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    v = np.array([x for _, x in rows])
+    for q in range(0, 300, 20):
+        score = v @ v[q]
+        want = [i for i in np.lexsort((np.arange(300), -score)) if i != q][:20]
+        assert len(got[q]) == 20 and len({i for _, i, _ in got[q]} & set(want)) >= 19
+        assert all(np.isclose(s, score[i], rtol=1e-9) for _, i, s in got[q])
+
+
+def test_large_groups_are_split_by_pivots_of_their_own(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(3000)]
+    nodes = spark.createDataFrame(rows, "node long, v array<double>")
+    monkeypatch.setattr(neighbours, "MOST_MEMBERS", 200)
+    monkeypatch.setattr(neighbours, "SPLIT_ABOVE", 200)
+    monkeypatch.setattr(neighbours, "SECOND_SIZE", 60)
+    monkeypatch.setattr(neighbours, "MOST_PIVOTS", 4)
+    members = spark.range(3000).select(F.col("id").alias("node"), F.lit(0).alias("place"), (F.col("id") % 4).alias("grp"))
+    members = members.filter("grp < 3 OR node < 400")
+    out = neighbours.split_again(members, nodes, 8).collect()
+    assert sorted(r["node"] for r in out) == sorted(r["node"] for r in members.collect())
+    sizes = collections.Counter(r["grp"] for r in out)
+    assert max(sizes.values()) < 350 and len(sizes) > 15
+    assert {r["grp"] for r in out if r["node"] % 4 == 3} == {3}              # small enough as it is
+    for name, value in (("SPLIT_ABOVE", 300), ("SECOND_SIZE", 150), ("MOST_PIVOTS", 6)):
+        monkeypatch.setattr(neighbours, name, value)
+    df = nodes.select(F.col("node").alias("vec_id"), F.col("v").alias("embedding"))
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    v = np.array([x for _, x in rows])
+    hits = sum(len(got[q] & {int(i) for i in np.argsort(-np.where(np.arange(3000) == q, -np.inf, v @ v[q]))[:20]})
+               for q in range(0, 3000, 20))
+    assert hits >= 0.9 * 150 * 20
+
+
 def test_license_scan_against_brute_force(docs):
     got = by_id(license_scan.scan(docs))
     for r in corpus():
