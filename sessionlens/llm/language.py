@@ -161,7 +161,8 @@ def sample_for_training(learnable: DataFrame, text_col: str, label_col: str,
     """Texts and labels, ``windows`` of them in expectation and twice that at most.
 
     A document gives ``WINDOWS_PER_DOCUMENT`` pieces from evenly spaced places,
-    one that hashes below its language's share of the bound.
+    one that hashes below its language's share of the bound.  Equal pieces of one
+    label, as of many copies, are one.
     """
     lettered = learnable.filter(F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     counts = {r["label"]: r["n"] for r in lettered.groupBy(F.col(label_col).alias("label"))
@@ -179,6 +180,7 @@ def sample_for_training(learnable: DataFrame, text_col: str, label_col: str,
               for i in range(WINDOWS_PER_DOCUMENT)]
     rows = (lettered.filter(drawn)
             .select(F.explode(F.array_distinct(F.array(*pieces))).alias("piece"), F.col(label_col).alias("label"))
+            .dropDuplicates(["piece", "label"])
             .orderBy(F.xxhash64("piece"), "piece", "label").limit(2 * windows).collect())
     return [r["piece"] for r in rows], [r["label"] for r in rows]
 
