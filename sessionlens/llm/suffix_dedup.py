@@ -7,14 +7,16 @@ Strings that may repeat are found by their anchors (``anchors.py``).  Segments
 whose whole content repeats are settled by counting.  The other contents, cut
 out around their anchors, are the documents of collections.  A collection is
 built column by column, from the last to the first: each round inserts one
-symbol per document in front of its suffix and updates the transform, the
-stable sort of the previous order by the new symbols, and the common prefixes
-of neighbours, one more than the least between them where the symbol is the
-same.  Documents are aligned at their anchors, and equal windows always stand
-in the same column, so the suffixes of a column form one sorted segment that
-need not be merged with those of other columns.  Columns are read from and
-written to sequential files; one column's arrays are held in memory.  A window
-whose common prefix with a neighbour reaches ``WINDOW`` occurs again.
+symbol per document in front of its suffix.  Read in the order of the suffixes,
+the new symbols are the column's segment of the transform; its stable sort is the
+order of the longer suffixes, and the common prefix of two neighbours is one more
+than the least between them where their symbols are the same.  Documents are
+aligned at their anchors, and equal windows always stand in the same column, so
+the suffixes of a column form one sorted segment that need not be merged with
+those of other columns.  Columns of symbols go through a sequential file, written
+and read one at a time, and repeats are kept as runs, so beside the documents
+themselves a task holds a few columns, however many there are.  A window whose
+common prefix with a neighbour reaches ``WINDOW`` occurs again.
 
 A null text is empty; texts shorter than a window are kept whole; repeated rows
 are copies of each other, so both lose their repeated bytes.  Rows are named by
@@ -71,12 +73,15 @@ def write_columns(documents: list[bytes], anchor_at: np.ndarray) -> tuple[Column
     """The aligned symbols, last column first (-1: none), the number of columns and the anchors' column."""
     lengths = np.array([len(d) for d in documents])
     left, right = int(anchor_at.max()), int((lengths - anchor_at).max())
-    symbols = np.full((left + right, len(documents)), -1, dtype=np.int16)
-    for i, (d, a) in enumerate(zip(documents, anchor_at, strict=True)):
-        symbols[left - a:left - a + len(d), i] = np.frombuffer(d, dtype=np.uint8)
+    data = np.frombuffer(b"".join(documents), dtype=np.uint8)
+    begins = np.cumsum(lengths) - lengths
     out = ColumnFile(len(documents), "int16")
-    for column in symbols[::-1]:
-        out.append(column)
+    for column in range(left + right - 1, -1, -1):
+        at = column - left + anchor_at
+        inside = (at >= 0) & (at < lengths)
+        symbols = np.full(len(documents), -1, dtype=np.int16)
+        symbols[inside] = data[(begins + at)[inside]]
+        out.append(symbols)
     out.rewind()
     return out, left + right, left
 
@@ -114,9 +119,10 @@ def insert_column(order: np.ndarray, common: np.ndarray, symbols: np.ndarray,
             common = least_between(levels, low, kept)
         order = order[kept]
         common = common[:len(kept)]
-    by_symbol = np.argsort(symbols[order], kind="stable")
+    transform = symbols[order]
+    by_symbol = np.argsort(transform, kind="stable")
     new_order = order[by_symbol]
-    symbol = symbols[new_order]
+    symbol = transform[by_symbol]
     out = np.zeros(len(new_order), dtype=np.uint8)
     same = np.flatnonzero(symbol[1:] == symbol[:-1]) + 1
     if len(same):
@@ -133,26 +139,36 @@ def minima(values: np.ndarray) -> list[np.ndarray]:
     return levels
 
 
-def repeated_windows(documents: list[bytes], anchor_at: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """For each document, which of its window starts stand in another document of the collection."""
+def repeated_runs(documents: list[bytes], anchor_at: np.ndarray,
+                  window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first window, end) of the runs of window starts that stand in another document of the collection."""
     columns, width, left = write_columns(documents, anchor_at)
-    marks = ColumnFile(len(documents), "bool")
     order, common = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint8)
-    for _ in range(width):
-        order, common = insert_column(order, common, columns.next(), window)
-        reaches = common >= window
+    ends = np.full(len(documents), -1, dtype=np.int64)      # where the open run of a document ends
+    found = []
+    for column in range(width - 1, -2, -1):
         repeats = np.zeros(len(documents), dtype=bool)
-        repeats[order[reaches]] = True
-        repeats[order[np.flatnonzero(reaches) - 1]] = True
-        marks.append(repeats)
+        if column >= 0:
+            order, common = insert_column(order, common, columns.next(), window)
+            reaches = common >= window
+            repeats[order[reaches]] = True
+            repeats[order[np.flatnonzero(reaches) - 1]] = True
+        closed = np.flatnonzero((ends >= 0) & ~repeats)
+        shift = anchor_at[closed] - left
+        found.append((closed, column + 1 + shift, ends[closed] + shift))
+        ends[closed] = -1
+        ends[repeats & (ends < 0)] = column + 1
     columns.close()
-    marks.rewind()
-    table = np.empty((width, len(documents)), dtype=bool)
-    for column in range(width - 1, -1, -1):
-        table[column] = marks.next()
-    marks.close()
-    return [table[left - a:left - a + max(0, len(d) - window + 1), i]
-            for i, (d, a) in enumerate(zip(documents, anchor_at, strict=True))]
+    document, first, end = (np.concatenate(part) for part in zip(*found, strict=True))
+    return document, first, end
+
+
+def repeated_windows(documents: list[bytes], anchor_at: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
+    """For each document, which of its window starts stand in another document of the collection."""
+    out = [np.zeros(max(0, len(d) - window + 1), dtype=bool) for d in documents]
+    for document, first, end in zip(*repeated_runs(documents, anchor_at, window), strict=True):
+        out[document][first:end] = True
+    return out
 
 
 def _cut(text: str, places: list) -> Iterator[tuple]:
@@ -167,11 +183,12 @@ def _cut(text: str, places: list) -> Iterator[tuple]:
 
 
 def _compare(group: pd.DataFrame) -> pd.DataFrame:
-    found = repeated_windows(list(group["content"]), group["at"].to_numpy())
-    out = [(key, first + a, first + b - 1 + WINDOW)
-           for key, first, count, marked in zip(group["key"], group["first"], group["c_count"], found, strict=True)
-           if count == 1 for a, b in runs(marked)]
-    return pd.DataFrame(out, columns=["key", "start", "stop"]).astype("int64")
+    document, first, end = repeated_runs(list(group["content"]), group["at"].to_numpy("int64"))
+    alone = group["c_count"].to_numpy()[document] == 1
+    document, first, end = document[alone], first[alone], end[alone]
+    begin = group["first"].to_numpy("int64")[document]
+    return pd.DataFrame({"key": group["key"].to_numpy("int64")[document], "start": begin + first,
+                         "stop": begin + end - 1 + WINDOW})
 
 
 def _windows_one_by_one(cuttings: DataFrame) -> DataFrame:
