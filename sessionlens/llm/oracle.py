@@ -79,6 +79,57 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS
 FROM sums JOIN placed USING (row_no)
 """
 
+# Every window of 200 bytes, counted; a byte goes if the last repeated window at or before it covers it.
+OP1 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_no, doc_id, hex(encode(coalesce(text, ''))) AS digits,
+           octet_length(encode(coalesce(text, ''))) AS n_bytes
+    FROM documents),
+places AS (SELECT row_no, unnest(range(n_bytes)) AS place FROM docs),
+windows AS (
+    SELECT row_no, place, md5(substr(digits, 2 * place + 1, 400)) AS run
+    FROM places JOIN docs USING (row_no) WHERE place + 200 <= n_bytes),
+again AS (SELECT run FROM windows GROUP BY run HAVING count(*) > 1),
+starts AS (SELECT row_no, place FROM windows WHERE run IN (SELECT run FROM again)),
+judged AS (
+    SELECT p.row_no, p.place,
+           coalesce(p.place - max(s.place) OVER (PARTITION BY p.row_no ORDER BY p.place
+                                                 ROWS UNBOUNDED PRECEDING) < 200, false) AS gone
+    FROM places p LEFT JOIN starts s ON s.row_no = p.row_no AND s.place = p.place),
+edges AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY row_no ORDER BY place), false) AS opens FROM judged),
+result AS (
+    SELECT row_no, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+           string_agg(substr(digits, 2 * place + 1, 2), '' ORDER BY place) FILTER (WHERE NOT gone) AS kept
+    FROM edges JOIN docs USING (row_no) GROUP BY row_no)
+SELECT doc_id, n_bytes::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs LEFT JOIN result USING (row_no)
+"""
+
+# Every window of 50 words with the smallest document that has it.
+OP6 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(doc_id, 9223372036854775807) AS ord,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+windows AS (
+    SELECT row_no, ord, place, md5(array_to_string(words[place + 1:place + 50], ' ')) AS run
+    FROM (SELECT *, unnest(range(len(words) - 49)) AS place FROM docs WHERE len(words) >= 50)),
+held AS (
+    SELECT row_no, place FROM windows JOIN (SELECT run, min(ord) AS least FROM windows GROUP BY run) USING (run)
+    WHERE least < ord),
+gone AS (SELECT DISTINCT row_no, unnest(range(place, place + 50)) AS place FROM held),
+spread AS (SELECT row_no, unnest(range(len(words))) AS place, unnest(words) AS word FROM docs),
+kept AS (
+    SELECT s.row_no, count(g.place) AS n_removed,
+           string_agg(word, ' ' ORDER BY s.place) FILTER (WHERE g.place IS NULL) AS text
+    FROM spread s LEFT JOIN gone g ON g.row_no = s.row_no AND g.place = s.place GROUP BY s.row_no)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row_no)
+"""
+
 # All pairs of documents that share a shingle, and what links reach from each.
 OP3 = r"""
 WITH RECURSIVE split AS (
@@ -151,7 +202,8 @@ LEFT JOIN ends e ON e.node = n.conv_id AND e.depth = n.depth
 LEFT JOIN passes up ON up.member = n.conv_id AND up.depth = n.depth - 1
 """
 
-ORACLE = {"op3_near_copies": OP3, "op7_exact_dedup": OP7, "op8_mix_sources": OP8, "op10_rendezvous_shards": OP10, "op11_prefix_trie": OP11}
+ORACLE = {"op1_suffix_dedup": OP1, "op3_near_copies": OP3, "op6_lz_dedup": OP6, "op7_exact_dedup": OP7,
+          "op8_mix_sources": OP8, "op10_rendezvous_shards": OP10, "op11_prefix_trie": OP11}
 
 
 def _license_sql() -> str:
