@@ -321,9 +321,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id."""
     row = free_name(docs, "row_")
-    stays = near_groups(docs, id_col, text_col).filter("rec = class_rec").select("rec").distinct()
+    stays = materialise(near_groups(docs, id_col, text_col).filter("rec = class_rec").groupBy("rec")
+                        .agg(F.count("*").alias("n")))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
-                         record(id_col, text_col).alias("rec"), row_hash(docs).alias("mark"))
+                         record(id_col, text_col).alias("rec"))
+    alone = packed.join(stays.filter("n = 1"), "rec", "left_semi")
     # of rows equal in id and text the one with the larger hash, by an aggregate that starts in every task
-    once = packed.join(stays, "rec", "left_semi").groupBy("rec").agg(F.max_by(row, "mark").alias(row))
-    return once.select(f"{row}.*")
+    hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
+                         record(id_col, text_col).alias("rec"), row_hash(docs).alias("mark"))
+    again = hashed.join(stays.filter("n > 1"), "rec", "left_semi").groupBy("rec").agg(F.max_by(row, "mark").alias(row))
+    return alone.select(f"{row}.*").unionByName(again.select(f"{row}.*"))
