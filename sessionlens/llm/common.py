@@ -13,6 +13,9 @@ from sessionlens.session import checkpoint_dir
 
 #: Words of the white-space kind: runs of anything but these six characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows, and bytes of text, from which a part of a result gets a file of its own.
+ROWS_PER_FILE = 2048
+BYTES_PER_FILE = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,13 +30,30 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_dir(spark, fallback).rstrip("/")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+def narrow_files(spark: SparkSession, rows: int) -> int:
+    """How many files so many short rows fill; no fewer than tasks run at once."""
+    return max(spark.sparkContext.defaultParallelism, buckets_for(rows, ROWS_PER_FILE))
 
-    Rows that an executor wrote there outlive that executor.
+
+def files_for(df: DataFrame) -> int:
+    """How many files the rows of ``df`` fill, by their number and the bytes of their texts."""
+    size = F.lit(0).cast("long")
+    for c, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return max(narrow_files(df.sparkSession, rows), buckets_for(held, BYTES_PER_FILE))
+
+
+def materialise(df: DataFrame, files: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder, to ``files`` files at most if given, and read it from there.
+
+    Rows that an executor wrote there outlive that executor.  On local disks
+    each file that Hadoop creates starts two processes (``chmod``), which for a
+    moment show the executor's memory as theirs: few rows belong in few files.
     """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if files is None else df.coalesce(files)).checkpoint(eager=True)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

@@ -13,14 +13,17 @@ from sessionlens.llm.common import materialise
 from sessionlens.operators.joins import join_per_key
 
 
-def connected_components(links: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``links`` (a, b); the component is its smallest node."""
+def connected_components(links: DataFrame, files: int | None = None) -> DataFrame:
+    """(node, component) for every node of ``links`` (a, b); the component is its smallest node.
+
+    Each step's links are written to ``files`` files at most, if given.
+    """
     links = materialise(links.filter(F.col("a") != F.col("b"))
-                        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+                        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), files)
     before = None
     while True:
         large = _large_star(links)
-        links = materialise(_small_star(large))
+        links = materialise(_small_star(large), files)
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == before:
             break

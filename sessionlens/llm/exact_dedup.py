@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import empty_if_null, free_name, materialise
+from sessionlens.llm.common import empty_if_null, files_for, free_name, materialise
 from sessionlens.operators.joins import row_hash
 
 #: Frequent digests that are named at most; bounds what is broadcast.
@@ -106,4 +106,5 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     frequent, rest = _split(rows, materialise(rows.drop(packed)), "doc_id", "digest", "mark")
     # rows that are equal in all columns win together: one of them, by an aggregate that starts in every task
     winners = frequent.filter("wins").groupBy("digest").agg(F.any_value(packed).alias(packed))
-    return rest.filter("row_no = 1").select(f"{packed}.*").unionByName(winners.select(f"{packed}.*"))
+    return (rest.filter("row_no = 1").select(f"{packed}.*").unionByName(winners.select(f"{packed}.*"))
+            .coalesce(files_for(docs)))

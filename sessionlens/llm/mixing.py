@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import (WORD, buckets_for, empty_if_null, free_name, hex_bucket,
+from sessionlens.llm.common import (WORD, buckets_for, empty_if_null, files_for, free_name, hex_bucket,
                                     materialise, with_running_total)
 
 #: A source is taken so many times at most.
@@ -126,4 +126,4 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         elif c == chars_col:
             value = F.when(F.col(cut) > 0, F.char_length("short_").cast(docs.schema[c].dataType)).otherwise(value)
         columns.append(value.alias(c))
-    return out.select(*columns)
+    return out.select(*columns).coalesce(files_for(docs))

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import empty_if_null, free_name, materialise
+from sessionlens.llm.common import empty_if_null, files_for, free_name, materialise
 from sessionlens.llm.components import connected_components
 from sessionlens.llm.hashing import U, mix, shingles, signed
 from sessionlens.operators.joins import join_per_key, row_hash
@@ -267,13 +267,15 @@ def may_be_linked(classes: DataFrame) -> DataFrame:
     return grouped.mapInPandas(_plausible, "a binary, b binary")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                files: int | None = None) -> DataFrame:
     """doc_id, class_id, n_links, n_shingles, rec, class_rec: one row per document.
 
     ``class_id`` is the smallest id among the documents that links connect
     (its own for a document without links), ``n_links`` the number of other
-    documents whose similarity is ``THRESHOLD`` or more.
+    documents whose similarity is ``THRESHOLD`` or more.  ``files``: those that ``docs`` fills, if known.
     """
+    files = files or files_for(docs.select(text_col))
     named = docs.select(F.col(id_col).alias("doc_id"), record(id_col, text_col).alias("rec"),
                         empty_if_null(text_col).alias("text"))
     kind = docs.schema[id_col].dataType
@@ -283,10 +285,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = marked.drop("paths", "sign")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"),
                            F.col("rec").alias("rec"))).alias("first")
-    classes = materialise(rows.filter("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("n_docs"), first))
+    classes = materialise(rows.filter("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("n_docs"), first), files)
     signed_classes = materialise(marked.filter("node IS NOT NULL").groupBy("node")
-                                 .agg(F.first("paths").alias("paths"), F.first("sign").alias("sign")))
-    candidates = connected_components(may_be_linked(signed_classes))
+                                 .agg(F.first("paths").alias("paths"), F.first("sign").alias("sign")), files)
+    candidates = connected_components(may_be_linked(signed_classes), files)
     sizes = candidates.groupBy("component").agg(F.count("*").alias("size"))
     placed = join_per_key(candidates, sizes, "component", "inner")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -305,11 +307,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     grouped = texts.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
     verified = materialise(grouped.mapInPandas(_verified, "node binary, linked long, least binary"))
     links = verified.groupBy("node").agg(F.sum("linked").alias("linked"))
-    final = connected_components(verified.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    final = connected_components(verified.select(F.col("node").alias("a"), F.col("least").alias("b")), files)
     known = (classes.join(links, "node", "left").join(final, "node", "left")
              .select("node", "n_docs", "first", F.coalesce("linked", F.lit(0)).alias("linked"),
                      F.coalesce("component", "node").alias("component")))
-    known = materialise(known)
+    known = materialise(known, files)
     heads = known.groupBy("component").agg(F.min("first").alias("head"))
     known = join_per_key(known, heads, "component", "inner").select("node", "n_docs", "linked", "head")
     return join_per_key(rows, known, "node", "left").select(
@@ -321,8 +323,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id."""
     row = free_name(docs, "row_")
-    stays = materialise(near_groups(docs, id_col, text_col).filter("rec = class_rec").groupBy("rec")
-                        .agg(F.count("*").alias("n")))
+    files = files_for(docs)
+    stays = materialise(near_groups(docs, id_col, text_col, files).filter("rec = class_rec").groupBy("rec")
+                        .agg(F.count("*").alias("n")), files)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
                          record(id_col, text_col).alias("rec"))
     alone = packed.join(stays.filter("n = 1"), "rec", "left_semi")
@@ -330,4 +333,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
                          record(id_col, text_col).alias("rec"), row_hash(docs).alias("mark"))
     again = hashed.join(stays.filter("n > 1"), "rec", "left_semi").groupBy("rec").agg(F.max_by(row, "mark").alias(row))
-    return alone.select(f"{row}.*").unionByName(again.select(f"{row}.*"))
+    return alone.select(f"{row}.*").unionByName(again.select(f"{row}.*")).coalesce(files)

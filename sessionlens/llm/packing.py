@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import materialise
+from sessionlens.llm.common import materialise, narrow_files
 
 CAPACITY = 2048
 #: Distinct words (and runs) whose ids a Python worker remembers; then it starts afresh.
@@ -288,5 +288,6 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         return pd.DataFrame({"sequence_id": row[:, 2] + inside // row[:, 3],
                              "offset": row[:, 4] + inside % row[:, 3] * length})
 
-    return (numbered.withColumn("place", look_up("length", "nth"))
+    files = narrow_files(docs.sparkSession, sum(histogram.values()))
+    return (numbered.coalesce(files).withColumn("place", look_up("length", "nth"))
             .select("doc_id", "piece", "start", "length", "ids_crc32", "place.sequence_id", "place.offset"))
